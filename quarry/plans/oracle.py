@@ -1,0 +1,70 @@
+"""DuckDB SQL twins of the registered queries (same keys, same column
+names).  Shared SQL snippets are macros expanded with ``str.format``."""
+
+from __future__ import annotations
+
+from ..functions import constants as K
+
+SP = K.RE2_SPACE_CLASS
+
+
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{SP}+|{SP}+$', '', 'g')"
+
+
+EXAMPLES_2 = f"""
+conv AS (
+  SELECT 0 AS src, conv_id, turn, role, text FROM conversations
+  UNION ALL
+  SELECT 1 AS src, conv_id, turn, role,
+         translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') FROM conversations
+),
+ex AS (
+  SELECT src, conv_id, list({{'role': role, 'content': text}} ORDER BY turn) AS messages
+  FROM conv GROUP BY src, conv_id
+)"""
+
+QC = EXAMPLES_2 + f""",
+s1 AS (
+  SELECT src, conv_id, messages,
+    CASE
+      WHEN len(list_filter(messages, lambda m: m.role = 'assistant')) = 0 THEN 'no_assistant'
+      WHEN coalesce({strip("list_filter(messages, lambda m: m.role = 'user')[1].content")}, '') = '' THEN 'no_user'
+      WHEN length({strip("list_filter(messages, lambda m: m.role = 'user')[1].content")}) < 80 THEN 'short_user'
+    END AS stage1
+  FROM ex
+),
+s2 AS (
+  SELECT *, CASE WHEN stage1 IS NULL THEN md5(lower(array_to_string(list_transform(messages,
+      lambda m: lower({strip("coalesce(m.role, '')")}) || ':' || {strip("coalesce(m.content, '')")}), chr(10)))) END AS sig
+  FROM s1
+),
+s3 AS (
+  SELECT *, CASE WHEN sig IS NOT NULL AND row_number() OVER (PARTITION BY sig ORDER BY src, conv_id) > 1
+                 THEN true ELSE false END AS dup
+  FROM s2
+),
+qc AS (
+  SELECT src, conv_id,
+    CASE WHEN stage1 IS NULL AND NOT dup THEN
+      CAST(floor(length(array_to_string(list_transform(messages, lambda m: coalesce(m.content, '')), chr(10))) / 4) AS BIGINT)
+    END AS n_tok,
+    stage1, dup
+  FROM s3
+),
+qcr AS (
+  SELECT src, conv_id, n_tok,
+    coalesce(stage1, CASE WHEN dup THEN 'duplicate' END,
+             CASE WHEN n_tok > 700 THEN 'too_long' END, 'kept') AS drop_reason
+  FROM qc
+)"""
+
+SQL: dict[str, str] = {}
+
+SQL["qc_cascade"] = f"WITH {QC} SELECT src, conv_id, drop_reason, n_tok FROM qcr"
+
+SQL["qc_drop_report"] = f"""WITH {QC}
+SELECT * FROM (
+  SELECT drop_reason, n, round(100.0 * n / sum(n) OVER (), 1) AS pct FROM (
+    SELECT drop_reason, count(*) AS n FROM qcr GROUP BY drop_reason) t) u
+WHERE drop_reason <> 'kept'"""

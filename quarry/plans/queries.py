@@ -1,0 +1,43 @@
+"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame
+over the whole driver tables.  Output columns are flat (no structs) so an
+independent SQL engine can produce the same rows; each query has a SQL
+twin in ``oracle.py`` under the same key."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import quality as Q
+from . import standins as S
+
+# The default cap of 4096 drops nothing on the driver tables; 700 does.
+QC_MAX_TOKENS = 700
+
+REGISTRY: dict = {}
+
+
+def query(name):
+    def deco(fn):
+        REGISTRY[name] = fn
+        return fn
+    return deco
+
+
+def _qc(spark, sf_dir):
+    ex = S.chat_examples(spark, sf_dir, upper_copy=True)
+    return Q.qc(ex, max_tokens=QC_MAX_TOKENS)
+
+
+@query("qc_cascade")
+def qc_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 + D1: drop reason of every example of two inputs."""
+    return _qc(spark, sf_dir).select(
+        F.col("ord.src").alias("src"), F.col("ord.conv_id").alias("conv_id"),
+        "drop_reason", "n_tok")
+
+
+@query("qc_drop_report")
+def qc_drop_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: drop-reason counts with percent of all rows read."""
+    return Q.drop_report(_qc(spark, sf_dir))
