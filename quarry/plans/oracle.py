@@ -68,3 +68,66 @@ SELECT * FROM (
   SELECT drop_reason, n, round(100.0 * n / sum(n) OVER (), 1) AS pct FROM (
     SELECT drop_reason, count(*) AS n FROM qcr GROUP BY drop_reason) t) u
 WHERE drop_reason <> 'kept'"""
+
+
+PAIR_SYS = K.PAIR_SYSTEM_PROMPT.replace("'", "''")
+NL = "chr(10)"
+
+SQL["build_pairs"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, role, {strip('text')} AS txt FROM conversations
+  WHERE role IN ('user', 'assistant') AND {strip('text')} <> ''
+), isl AS (
+  SELECT *, coalesce(sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (
+      PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS island
+  FROM t
+), g AS (
+  SELECT conv_id, island,
+    string_agg(CASE WHEN role = 'user' THEN txt END, {NL} || {NL} ORDER BY turn) AS users,
+    max(CASE WHEN role = 'assistant' THEN txt END) AS assistant
+  FROM isl GROUP BY conv_id, island
+)
+SELECT CAST(conv_id AS VARCHAR) AS session_id, CAST(island AS BIGINT) AS island,
+  md5('system:' || '{PAIR_SYS}' || {NL} || 'user:' || {strip('users')} || {NL} || 'assistant:' || assistant) AS msg_md5
+FROM g WHERE users IS NOT NULL AND assistant IS NOT NULL
+"""
+
+
+def follow_sql(k: int, minutes: int, min_chars: int) -> str:
+    end = f"a.anchor_ts + INTERVAL {minutes} MINUTE" if minutes else "CAST(NULL AS TIMESTAMP)"
+    return f"""
+WITH t AS (
+  SELECT user_id, event_id, ts, event_type,
+    event_type || ' #' || CAST(event_id AS VARCHAR) || ' ' || coalesce(props, '') AS body,
+    sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (
+      PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island
+  FROM events
+), a AS (
+  SELECT user_id, island, body AS anchor_text, ts AS anchor_ts FROM t
+  WHERE event_type = 'signup' AND length(body) >= {min_chars}
+), b AS (
+  SELECT t.*, a.anchor_text, {end} AS wend FROM t JOIN a USING (user_id, island)
+  WHERE t.event_type <> 'signup'
+), v AS (
+  SELECT *, max(CASE WHEN wend IS NOT NULL AND (ts IS NULL OR ts > wend) THEN 1 ELSE 0 END) OVER (
+      PARTITION BY user_id, island ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS viol
+  FROM b
+), e AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, island ORDER BY ts, event_id) AS rn,
+    CASE WHEN event_type = 'purchase' THEN 'assistant:' || body
+         ELSE 'user:' || '[TOOL RESULT]' || {NL} || body END AS line
+  FROM v WHERE viol = 0 AND event_type IN ('purchase', 'click', 'view')
+), w AS (
+  SELECT user_id, island, any_value(anchor_text) AS anchor_text,
+    bool_or(event_type = 'purchase') AS saw, count(*) AS n_follow,
+    string_agg(line, {NL} ORDER BY rn) AS lines
+  FROM e WHERE rn <= {k} GROUP BY user_id, island
+)
+SELECT CAST(user_id AS VARCHAR) AS session_id, CAST(island AS BIGINT) AS island, n_follow,
+  md5('system:' || '{PAIR_SYS}' || {NL} || 'user:' || anchor_text || {NL} || lines) AS msg_md5
+FROM w WHERE saw
+"""
+
+
+SQL["follow_windows"] = follow_sql(3, 1440, 20)
+SQL["follow_k"] = follow_sql(3, 0, 20)

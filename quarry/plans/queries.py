@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..operators import quality as Q
+from ..operators import sessions as W
 from . import standins as S
 
 # The default cap of 4096 drops nothing on the driver tables; 700 does.
@@ -41,3 +43,40 @@ def qc_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 def qc_drop_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: drop-reason counts with percent of all rows read."""
     return Q.drop_report(_qc(spark, sf_dir))
+
+
+def transcript_md5(messages="messages"):
+    """md5 of ``role:content`` lines - a flat, engine-neutral fingerprint."""
+    m = F.col(messages)
+    return F.md5(F.array_join(F.transform(m, lambda x: F.concat(x["role"], F.lit(":"), x["content"])), "\n"))
+
+
+# Stand-in parameters for follow windows on ``events`` (see FIXTURES.md).
+FOLLOW_K = 3
+FOLLOW_MINUTES = 1440
+FOLLOW_MIN_CHARS = 20
+
+
+@query("build_pairs")
+def build_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + W2 on conversations: user/assistant pairs."""
+    pairs = W.build_pairs(S.conversation_turns(spark, sf_dir))
+    return pairs.select("session_id", "island", transcript_md5().alias("msg_md5"))
+
+
+@query("follow_windows")
+def follow_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W3 + W4 + F11 on the events stand-in: k=3, 1,440 minutes."""
+    turns = S.event_turns(spark, sf_dir, max_tool_chars=4000)
+    win = W.follow_windows(turns, follow_k=FOLLOW_K, follow_minutes=FOLLOW_MINUTES,
+                           min_user_chars=FOLLOW_MIN_CHARS)
+    return win.select("session_id", "island", "n_follow", transcript_md5().alias("msg_md5"))
+
+
+@query("follow_k")
+def follow_k_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count-only windows (no minute bound), k=3."""
+    turns = S.event_turns(spark, sf_dir, max_tool_chars=4000)
+    win = W.follow_windows(turns, follow_k=FOLLOW_K, follow_minutes=0,
+                           min_user_chars=FOLLOW_MIN_CHARS)
+    return win.select("session_id", "island", "n_follow", transcript_md5().alias("msg_md5"))

@@ -82,3 +82,23 @@ def event_turns(spark: SparkSession, sf_dir: str, max_tool_chars: int = 4000,
         human.alias("has_human"),
         F.when(human, body).otherwise(F.lit("")).alias("human_text"),
     )
+
+
+def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` as normalised log turns: session = conv_id, order =
+    turn, each text is string content (so user / assistant text is the
+    stripped text and every user turn is a human turn)."""
+    conv = table(spark, sf_dir, "conversations")
+    txt = T.strip("text")
+    role = F.col("role")
+    return conv.select(
+        F.col("conv_id").cast("string").alias("session_id"),
+        F.lit(None).cast("string").alias("ts_raw"),
+        F.lit(None).cast("timestamp").alias("ts"),
+        F.struct(F.lit(0).alias("src"), F.col("conv_id"), F.col("turn")).alias("ord"),
+        role.alias("role"),
+        F.when(role == "user", txt).otherwise(F.lit("")).alias("user_text"),
+        F.when(role == "assistant", txt).otherwise(F.lit("")).alias("assistant_text"),
+        (role == "user").alias("has_human"),
+        F.when(role == "user", txt).otherwise(F.lit("")).alias("human_text"),
+    )
