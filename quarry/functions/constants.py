@@ -14,6 +14,7 @@ PATCH_SYSTEM_PROMPT = "You are a terse, patch-first coding assistant."
 FIM_SYSTEM_PROMPT = (
     "You are a precise coding assistant that completes code given a prefix and suffix."
 )
+FIM_MARKER_SYSTEM_PROMPT = "Fill the missing code exactly; minimal changes."
 STEER_SYSTEM_PROMPT = (
     "You are a precise coding assistant. "
     "You cannot call tools or browse. "

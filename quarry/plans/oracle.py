@@ -131,3 +131,338 @@ FROM w WHERE saw
 
 SQL["follow_windows"] = follow_sql(3, 1440, 20)
 SQL["follow_k"] = follow_sql(3, 0, 20)
+
+
+# ======================================================================
+# Documents: stats, clip, balance, buckets
+# ======================================================================
+NTOK = "CAST(floor(length(text) / 4) AS BIGINT)"
+DOCS_TOK = f"d AS (SELECT doc_id, text, source, lang, {NTOK} AS n_tok FROM documents)"
+
+
+def _floor_idx(p):
+    return f"CAST(floor({p}::DOUBLE * (n - 1)) AS BIGINT)"
+
+
+def _scan_idx(p):
+    return f"least(n - 1, CAST(floor({p}::DOUBLE / 100.0::DOUBLE * n) AS BIGINT))"
+
+
+SQL["token_stats_floor"] = f"""
+WITH {DOCS_TOK}, s AS (
+  SELECT n_tok AS v, row_number() OVER (ORDER BY n_tok) - 1 AS i, count(*) OVER () AS n FROM d)
+SELECT max(n) AS n,
+  max(CASE WHEN i = {_floor_idx(0.5)} THEN v END) AS p50,
+  max(CASE WHEN i = {_floor_idx(0.75)} THEN v END) AS p75,
+  max(CASE WHEN i = {_floor_idx(0.9)} THEN v END) AS p90,
+  max(CASE WHEN i = {_floor_idx(0.95)} THEN v END) AS p95,
+  max(v) AS max,
+  CAST(floor(sum(v)::DOUBLE / count(*)) AS BIGINT) AS mean
+FROM s"""
+
+SQL["token_stats_scan"] = f"""
+WITH {DOCS_TOK}, s AS (
+  SELECT n_tok AS v, row_number() OVER (ORDER BY n_tok) - 1 AS i, count(*) OVER () AS n FROM d)
+SELECT max(n) AS n, min(v) AS min,
+  max(CASE WHEN i = {_scan_idx(50)} THEN v END) AS p50,
+  max(CASE WHEN i = {_scan_idx(90)} THEN v END) AS p90,
+  max(CASE WHEN i = {_scan_idx(95)} THEN v END) AS p95,
+  max(CASE WHEN i = {_scan_idx(99)} THEN v END) AS p99,
+  max(v) AS max
+FROM s"""
+
+SQL["token_stats_linear"] = f"""
+WITH {DOCS_TOK}
+SELECT count(n_tok) AS n, round(min(n_tok)::DOUBLE, 6) AS min, round(max(n_tok)::DOUBLE, 6) AS max,
+  round(avg(n_tok), 6) AS mean, round(quantile_cont(n_tok, 0.5), 6) AS median,
+  round(quantile_cont(n_tok, 0.9), 6) AS p90, round(quantile_cont(n_tok, 0.95), 6) AS p95
+FROM d"""
+
+CLIP = f"""c AS (
+  SELECT doc_id, {NTOK} AS n_tok,
+    CASE WHEN coalesce(text, '') = '' THEN 'dropped'
+         WHEN {NTOK} <= 300 THEN 'kept' ELSE '{{mode}}' END AS clip_status, text
+  FROM documents
+), c2 AS (
+  SELECT doc_id, n_tok, clip_status,
+    CASE WHEN clip_status = 'clipped' THEN substr(text, 1, 300 * 4 + 3) ELSE text END AS text
+  FROM c
+)"""
+
+SQL["length_clip"] = f"""WITH {CLIP.format(mode='clipped')}
+SELECT doc_id, clip_status, n_tok, CAST(length(text) AS BIGINT) AS out_len, md5(text) AS out_md5 FROM c2"""
+
+SQL["length_drop"] = f"""WITH {CLIP.format(mode='dropped')}
+SELECT doc_id, n_tok FROM c2 WHERE clip_status = 'kept'"""
+
+SQL["clip_report"] = f"""WITH {CLIP.format(mode='clipped')}
+SELECT count(*) FILTER (WHERE clip_status IN ('kept', 'clipped')) AS kept,
+  count(*) FILTER (WHERE clip_status = 'clipped') AS clipped,
+  count(*) FILTER (WHERE clip_status = 'dropped') AS dropped FROM c2"""
+
+SQL["dataset_stats"] = f"""WITH {DOCS_TOK}
+SELECT CASE WHEN grouping(source) = 1 THEN 'TOTAL' ELSE source END AS source,
+  count(*) AS examples, round(avg(n_tok), 4) AS avg_len
+FROM d GROUP BY ROLLUP (source)"""
+
+SQL["lang_balance"] = """
+SELECT doc_id, lang FROM (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) AS rn
+  FROM documents) t WHERE rn <= 50"""
+
+SQL["length_buckets"] = f"""WITH {DOCS_TOK}
+SELECT doc_id, n_tok, CAST(floor(n_tok / 256) AS BIGINT) AS bucket FROM d"""
+
+# ======================================================================
+# Chat examples (input 0 only)
+# ======================================================================
+EX1 = """ex AS (
+  SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS messages
+  FROM conversations GROUP BY conv_id
+)"""
+
+
+def first_content(role):
+    return f"list_filter(messages, lambda m: m.role = '{role}')[1].content"
+
+
+def render(gen=False):
+    body = "array_to_string(list_transform(messages, lambda m: '<|im_start|>' || coalesce(m.role, '') || chr(10) || coalesce(m.content, '') || '<|im_end|>' || chr(10)), '')"
+    return f"({body} || '<|im_start|>assistant' || chr(10))" if gen else body
+
+
+def joined():
+    return "array_to_string(list_transform(messages, lambda m: coalesce(m.content, '')), chr(10))"
+
+
+def qc_sig():
+    return ("md5(lower(array_to_string(list_transform(messages, lambda m: lower("
+            + strip("coalesce(m.role, '')") + ") || ':' || " + strip("coalesce(m.content, '')") + "), chr(10))))")
+
+
+def merge_sig():
+    return ("md5(array_to_string(list_transform(messages, lambda m: lower(coalesce(m.role, '')) || ':' || "
+            + strip("coalesce(m.content, '')") + "), chr(10)))")
+
+
+SQL["token_estimate"] = f"WITH {EX1} SELECT conv_id, CAST(floor(length({joined()}) / 4) AS BIGINT) AS n_tok FROM ex"
+
+SQL["qc_signature"] = f"WITH {EXAMPLES_2} SELECT src, conv_id, {qc_sig()} AS sig FROM ex"
+SQL["merge_signature"] = f"WITH {EXAMPLES_2} SELECT src, conv_id, {merge_sig()} AS sig FROM ex"
+
+SQL["first_messages"] = f"""WITH {EX1}
+SELECT conv_id, md5({first_content('user')}) AS user_md5, md5({first_content('assistant')}) AS assistant_md5 FROM ex"""
+
+SQL["render_chat"] = f"""WITH {EX1}
+SELECT conv_id, md5({render()}) AS plain_md5, md5({render(True)}) AS gen_md5,
+  CAST(length({render()}) AS BIGINT) AS n_chars FROM ex"""
+
+SQL["train_text"] = f"""WITH {EX1}
+SELECT conv_id, md5(coalesce(nullif({first_content('system')}, ''), {render()})) AS text_md5 FROM ex"""
+
+SQL["turn_counts"] = f"""WITH {EX1}
+SELECT conv_id, CAST(len(messages) AS BIGINT) AS turns, CAST(greatest(0, len(messages) - 3) AS BIGINT) AS extra_turns FROM ex"""
+
+
+def preview_sql(x, n):
+    collapsed = strip(f"regexp_replace(coalesce({x}, ''), '{SP}+', ' ', 'g')")
+    keep = n - 2
+    head = f"regexp_extract({collapsed}, '^(.{{0,{keep}}})(?: |$)', 1)"
+    return (f"CASE WHEN length({collapsed}) <= {n} THEN {collapsed} "
+            f"WHEN {head} = '' THEN '…' ELSE {head} || ' …' END")
+
+
+SQL["preview"] = f"WITH {EX1} SELECT conv_id, {preview_sql(first_content('user'), 60)} AS preview FROM ex"
+
+SQL["peek_contains"] = f"""WITH {EX1}
+SELECT conv_id FROM ex WHERE coalesce(contains(lower(coalesce({first_content('user')}, '')), 'the'), false)"""
+
+SQL["peek_sample"] = f"""WITH {EX1}
+SELECT conv_id FROM ex ORDER BY md5('0:' || CAST(conv_id AS VARCHAR)), conv_id LIMIT 5"""
+
+# ======================================================================
+# Merge and split
+# ======================================================================
+MERGE = EXAMPLES_2 + f""",
+allx AS (SELECT * FROM ex UNION ALL SELECT 2 AS src, conv_id, messages FROM ex WHERE src = 0),
+m AS (
+  SELECT src, conv_id, {merge_sig()} AS sig FROM allx WHERE len(messages) > 0
+),
+md AS (
+  SELECT *, row_number() OVER (PARTITION BY sig ORDER BY src, conv_id) > 1 AS is_dup FROM m
+),
+cnt AS (SELECT count(*) FILTER (WHERE NOT is_dup) AS n FROM md),
+k AS (
+  SELECT n, CASE WHEN n > 1 THEN least(k2, n - 1) ELSE 0 END AS eval_n FROM (
+    SELECT n, CASE WHEN n >= 100 THEN greatest(k1, least(100, greatest(0, n - 1))) ELSE greatest(1, k1) END AS k2
+    FROM (SELECT n, greatest(least(CAST(round_even(n * 0.15::DOUBLE, 0) AS BIGINT), n // 2), 0) AS k1 FROM cnt) a) b
+)"""
+
+SQL["merge_dedupe"] = f"WITH {MERGE} SELECT src, conv_id, is_dup FROM md"
+
+SQL["merge_report"] = f"""WITH {MERGE}
+SELECT 'input_' || CAST(src AS VARCHAR) AS item, count(*) AS n FROM md GROUP BY src
+UNION ALL SELECT 'unique', n FROM cnt
+UNION ALL SELECT 'duplicates', (SELECT count(*) FROM md) - n FROM cnt
+UNION ALL SELECT 'train', n - eval_n FROM k
+UNION ALL SELECT 'eval', eval_n FROM k"""
+
+SQL["eval_size"] = f"WITH {MERGE} SELECT n, eval_n, n - eval_n AS train_n FROM k"
+
+SQL["train_eval_split"] = f"""WITH {MERGE},
+u AS (SELECT src, conv_id, row_number() OVER (ORDER BY md5('42:' || sig)) AS r FROM md WHERE NOT is_dup)
+SELECT src, conv_id, CASE WHEN r <= (SELECT eval_n FROM k) THEN 'eval' ELSE 'train' END AS split FROM u"""
+
+# ======================================================================
+# FIM
+# ======================================================================
+def _u(h, start):
+    return f"(CAST(('0x' || substr({h}, {start}, 13)) AS BIGINT)::DOUBLE / 4503599627370496.0::DOUBLE)"
+
+
+FIM = f"""g0 AS (
+  SELECT CAST(doc_id AS VARCHAR) AS path, regexp_replace(text, '\\r\\n?', chr(10), 'g') AS code
+  FROM documents
+  WHERE coalesce(length(text), 0) > 0
+    AND NOT (length(text) > 20000 AND instr(substr(text, 1, 2000), chr(10)) = 0)
+), g1 AS (
+  SELECT path, code, CAST(sample_no AS INTEGER) AS sample_no,
+    md5('42:' || path || ':' || CAST(sample_no AS VARCHAR)) AS h1
+  FROM g0, range(0, 6) AS r(sample_no) WHERE length(code) >= 200
+), g2 AS (
+  SELECT *, md5(h1) AS h2,
+    CASE WHEN length(code) > 1600
+         THEN CAST(floor({_u('h1', 1)} * (length(code) - 1600 + 1)) AS BIGINT) ELSE 0 END AS st
+  FROM g1
+), g3 AS (
+  SELECT path, sample_no, h1, h2, substr(code, st + 1, 1600) AS win FROM g2
+), g4 AS (
+  SELECT *, CAST(length(win) AS BIGINT) AS L,
+    greatest(80, CAST(floor(length(win) * (0.2::DOUBLE + 0.2::DOUBLE * {_u('h1', 14)})) AS BIGINT)) AS ml
+  FROM g3 WHERE instr(win, chr(10)) > 0
+), g5 AS (
+  SELECT *, 20 + CAST(floor({_u('h2', 1)} * ((L - ml - 20) - 20 + 1)) AS BIGINT) AS ms
+  FROM g4 WHERE ml < L - 40
+), spans AS (
+  SELECT path, sample_no, substr(win, 1, ms) AS prefix, substr(win, ms + 1, ml) AS middle,
+    substr(win, ms + ml + 1) AS suffix
+  FROM g5
+), spans_u AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY md5(prefix || '§' || middle || '§' || suffix)
+                                 ORDER BY path, sample_no) AS rn FROM spans) t WHERE rn = 1
+)"""
+
+SQL["fim_gates"] = """
+SELECT doc_id, CAST(length(regexp_replace(text, '\\r\\n?', chr(10), 'g')) AS BIGINT) AS n_chars FROM documents
+WHERE coalesce(length(text), 0) > 0
+  AND NOT (length(text) > 20000 AND instr(substr(text, 1, 2000), chr(10)) = 0)
+  AND length(regexp_replace(text, '\\r\\n?', chr(10), 'g')) >= 200"""
+
+SQL["fim_spans"] = f"""WITH {FIM}
+SELECT path, sample_no, CAST(length(prefix) AS BIGINT) AS prefix_len, CAST(length(middle) AS BIGINT) AS middle_len,
+  CAST(length(suffix) AS BIGINT) AS suffix_len, md5(prefix || '§' || middle || '§' || suffix) AS span_md5
+FROM spans"""
+
+SQL["fim_dedupe"] = f"WITH {FIM} SELECT path, sample_no FROM spans_u"
+
+FIM_SYS = K.FIM_SYSTEM_PROMPT.replace("'", "''")
+FIM_INS = K.FIM_INSTRUCTION.replace("\n", "' || chr(10) || '")
+
+SQL["fim_examples"] = f"""WITH {FIM}
+SELECT path, sample_no, md5('system:{FIM_SYS}' || chr(10) || 'user:' ||
+  '[FILE] ' || path || chr(10) || '{FIM_INS}' || 'PREFIX:' || chr(10) || prefix || chr(10) ||
+  '<FILL>' || chr(10) || '...' || chr(10) || '</FILL>' || chr(10) || 'SUFFIX:' || chr(10) || suffix ||
+  chr(10) || 'assistant:' || middle) AS msg_md5
+FROM spans_u"""
+
+# ======================================================================
+# Documents: scalar functions and gates
+# ======================================================================
+TOOL = "(CASE WHEN length(chr(10) || '[TOOL RESULT]' || chr(10) || {x}) > {n} THEN substr(chr(10) || '[TOOL RESULT]' || chr(10) || {x}, 1, {n}) || chr(10) || '[...truncated tool output...]' ELSE chr(10) || '[TOOL RESULT]' || chr(10) || {x} END)"
+
+SQL["tool_truncate"] = f"""SELECT doc_id, CAST(length({TOOL.format(x='text', n=6000)}) AS BIGINT) AS out_len,
+  md5({TOOL.format(x='text', n=6000)}) AS out_md5 FROM documents"""
+
+LASTN = "(CASE WHEN length(text) <= 8000 THEN text ELSE right(text, 8000) END)"
+SQL["before_budget"] = f"SELECT doc_id, CAST(length({LASTN}) AS BIGINT) AS out_len, md5({LASTN}) AS out_md5 FROM documents"
+
+BREAKS_RE2 = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
+SQL["commit_subject"] = f"""SELECT doc_id, {strip("string_split_regex(" + strip('text') + ", '" + BREAKS_RE2 + "')[1]")} AS subject FROM documents"""
+
+from ..operators.quality import REDACT_PATTERNS as REDACT  # noqa: E402
+
+
+def _redact_sql():
+    cur = "text"
+    cols = []
+    for name, pat, rep in REDACT:
+        cols.append(f"CAST(len(regexp_extract_all({cur}, '{pat}')) AS BIGINT) AS n_{name}")
+        cur = f"regexp_replace({cur}, '{pat}', '{rep}', 'g')"
+    total = " + ".join(f"n_{n}" for n, _, _ in REDACT)
+    return (f"SELECT doc_id, n_email, n_secret, n_card, n_ip, n_phone, {total} AS n_redacted, md5(t) AS text_md5 "
+            f"FROM (SELECT doc_id, {', '.join(cols)}, {cur} AS t FROM documents) x")
+
+
+SQL["pii_redact"] = _redact_sql()
+
+SQL["license_gate"] = """
+SELECT doc_id, license FROM (
+  SELECT doc_id, CASE
+    WHEN regexp_matches(text, '(?i)apache license,? version 2\\.0') THEN 'apache-2.0'
+    WHEN regexp_matches(text, '(?i)gnu general public license,? version 3') THEN 'gpl-3.0'
+    WHEN regexp_matches(text, '(?i)cc by-nc 4\\.0') THEN 'cc-by-nc-4.0'
+    WHEN regexp_matches(text, '(?i)mit license') THEN 'mit'
+    ELSE 'none' END AS license
+  FROM documents) t
+WHERE license IN ('apache-2.0', 'mit', 'none')"""
+
+SQL["quality_filter"] = """
+SELECT doc_id, source FROM documents
+WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality >= 1 AND coalesce(toxic, 0) = 0)"""
+
+SQL["empty_text_check"] = """
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE coalesce(length(text), 0) = 0) AS n_empty FROM documents"""
+
+# ======================================================================
+# Raw logs re-emitted from conversations
+# ======================================================================
+UP = "translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
+LOG_USER = strip(f"text || chr(10) || {TOOL.format(x=UP, n=500)}")
+
+SQL["session_keys"] = """
+SELECT conv_id, turn, CAST(conv_id AS VARCHAR) AS session_id, role,
+  strftime(TIMESTAMP '2024-01-01 00:00:00' + turn * INTERVAL 60 SECOND, '%Y-%m-%d %H:%M:%S') AS ts,
+  '/work/repo' || CAST(conv_id AS VARCHAR) AS cwd
+FROM conversations"""
+
+SQL["log_texts"] = f"""
+SELECT conv_id, turn,
+  md5(CASE WHEN role = 'user' THEN {LOG_USER} ELSE '' END) AS user_md5,
+  md5(CASE WHEN role = 'assistant' THEN {strip('text')} ELSE '' END) AS assistant_md5,
+  md5(CASE WHEN role = 'user' THEN {strip('text')} ELSE '' END) AS human_md5,
+  role = 'user' AS has_human
+FROM conversations"""
+
+SQL["log_pairs"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, role,
+    CASE WHEN role = 'user' THEN {LOG_USER} ELSE {strip('text')} END AS txt
+  FROM conversations WHERE role IN ('user', 'assistant')
+), t2 AS (SELECT * FROM t WHERE txt <> ''),
+isl AS (
+  SELECT *, coalesce(sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (
+      PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS island
+  FROM t2
+), g AS (
+  SELECT conv_id, island,
+    string_agg(CASE WHEN role = 'user' THEN txt END, chr(10) || chr(10) ORDER BY turn) AS users,
+    max(CASE WHEN role = 'assistant' THEN txt END) AS assistant
+  FROM isl GROUP BY conv_id, island
+)
+SELECT CAST(conv_id AS VARCHAR) AS session_id, CAST(island AS BIGINT) AS island,
+  md5('system:' || '{PAIR_SYS}' || chr(10) || 'user:' || {strip('users')} || chr(10) || 'assistant:' || assistant) AS msg_md5
+FROM g WHERE users IS NOT NULL AND assistant IS NOT NULL"""
+
+SQL["iso_parse"] = """
+SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts FROM events"""

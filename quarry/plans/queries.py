@@ -80,3 +80,348 @@ def follow_k_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     win = W.follow_windows(turns, follow_k=FOLLOW_K, follow_minutes=0,
                            min_user_chars=FOLLOW_MIN_CHARS)
     return win.select("session_id", "island", "n_follow", transcript_md5().alias("msg_md5"))
+
+
+# ======================================================================
+# Documents: lengths, stats, clipping, balance
+# ======================================================================
+from ..operators import stats as ST  # noqa: E402
+from ..operators import split as SP  # noqa: E402
+from ..operators import fim as FM  # noqa: E402
+from ..operators import segments as SG  # noqa: E402
+from ..sources import jsonl as J  # noqa: E402
+
+CLIP_CAP = 300
+BALANCE_N = 50
+BUCKET_WIDTH = 256
+
+
+def _docs_tok(spark, sf_dir):
+    d = S.table(spark, sf_dir, "documents")
+    return d.withColumn("n_tok", T.text_token_estimate("text"))
+
+
+@query("token_stats_floor")
+def token_stats_floor(spark, sf_dir):
+    """A2: floor-rule quantiles of the char/4 token estimate."""
+    return ST.length_stats(_docs_tok(spark, sf_dir), "n_tok", (0.5, 0.75, 0.9, 0.95), "floor")
+
+
+@query("token_stats_scan")
+def token_stats_scan(spark, sf_dir):
+    """A3: scan-rule quantiles (percent probabilities)."""
+    return ST.length_stats(_docs_tok(spark, sf_dir), "n_tok", (50, 90, 95, 99), "scan")
+
+
+@query("token_stats_linear")
+def token_stats_linear(spark, sf_dir):
+    """A4: interpolated quantiles, mean and median."""
+    out = ST.length_stats(_docs_tok(spark, sf_dir), "n_tok", (0.9, 0.95), "linear")
+    return out.select(*[F.round(c, 6).alias(c) if c != "n" else c for c in out.columns])
+
+
+def _clipped(spark, sf_dir, mode="truncate"):
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ST.clip_tokens(d, CLIP_CAP, "text", mode=mode)
+
+
+@query("length_clip")
+def length_clip(spark, sf_dir):
+    """P16 + K4: truncate to the cap, text rewritten."""
+    c = _clipped(spark, sf_dir)
+    return c.select("doc_id", "clip_status", "n_tok", F.length("text").cast("bigint").alias("out_len"),
+                    F.md5("text").alias("out_md5"))
+
+
+@query("length_drop")
+def length_drop(spark, sf_dir):
+    """drop mode keeps rows within the cap with non-empty text."""
+    c = _clipped(spark, sf_dir, mode="drop")
+    return c.where(F.col("clip_status") == "kept").select("doc_id", "n_tok")
+
+
+@query("clip_report")
+def clip_report(spark, sf_dir):
+    """A5: kept / clipped / dropped."""
+    return ST.clip_report(_clipped(spark, sf_dir))
+
+
+@query("dataset_stats")
+def dataset_stats(spark, sf_dir):
+    """Examples and average length per source plus a total row."""
+    return ST.dataset_stats(_docs_tok(spark, sf_dir), "source", "n_tok")
+
+
+@query("lang_balance")
+def lang_balance(spark, sf_dir):
+    """At most 50 documents per language in seeded hash order."""
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return ST.balance(d, "lang", BALANCE_N, "doc_id", seed=42)
+
+
+@query("length_buckets")
+def length_buckets(spark, sf_dir):
+    """Length bucket ids with range-partitioned layout."""
+    return ST.length_buckets(_docs_tok(spark, sf_dir).select("doc_id", "n_tok"), "n_tok", BUCKET_WIDTH)
+
+
+# ======================================================================
+# Chat examples: projections (P9-P14, P25, P26), peek
+# ======================================================================
+def _ex(spark, sf_dir):
+    return S.chat_examples(spark, sf_dir)
+
+
+@query("token_estimate")
+def token_estimate(spark, sf_dir):
+    """char/4 estimate over joined contents."""
+    return _ex(spark, sf_dir).select("conv_id", T.token_estimate("messages").alias("n_tok"))
+
+
+@query("qc_signature")
+def qc_signature(spark, sf_dir):
+    """P10 over both inputs (case-only copies share a signature)."""
+    ex = S.chat_examples(spark, sf_dir, upper_copy=True)
+    return ex.select("src", "conv_id", T.qc_signature("messages").alias("sig"))
+
+
+@query("merge_signature")
+def merge_signature(spark, sf_dir):
+    """P11 over both inputs (case kept, copies differ)."""
+    ex = S.chat_examples(spark, sf_dir, upper_copy=True)
+    return ex.select("src", "conv_id", T.merge_signature("messages").alias("sig"))
+
+
+@query("first_messages")
+def first_messages(spark, sf_dir):
+    """First user and first assistant content."""
+    return _ex(spark, sf_dir).select(
+        "conv_id", F.md5(T.first_content("messages", "user")).alias("user_md5"),
+        F.md5(T.first_content("messages", "assistant")).alias("assistant_md5"))
+
+
+@query("render_chat")
+def render_chat(spark, sf_dir):
+    """Chat template with and without the generation prompt."""
+    return _ex(spark, sf_dir).select(
+        "conv_id", F.md5(T.render_chat("messages")).alias("plain_md5"),
+        F.md5(T.render_chat("messages", generation_prompt=True)).alias("gen_md5"),
+        F.length(T.render_chat("messages")).cast("bigint").alias("n_chars"))
+
+
+@query("train_text")
+def train_text(spark, sf_dir):
+    """A non-empty ``text`` (here: the system turn) wins over the
+    rendered messages."""
+    ex = _ex(spark, sf_dir).withColumn("text", T.first_content("messages", "system"))
+    return ex.select("conv_id", F.md5(T.train_text("text", "messages")).alias("text_md5"))
+
+
+@query("turn_counts")
+def turn_counts(spark, sf_dir):
+    """Turns and extra turns."""
+    return _ex(spark, sf_dir).select("conv_id", T.turns("messages").alias("turns"),
+                                     T.extra_turns("messages").alias("extra_turns"))
+
+
+@query("preview")
+def preview(spark, sf_dir):
+    """P25: whitespace-collapsed first user message cut to 60 characters."""
+    return _ex(spark, sf_dir).select(
+        "conv_id", T.preview(T.first_content("messages", "user"), 60).alias("preview"))
+
+
+@query("peek_contains")
+def peek_contains(spark, sf_dir):
+    """first user message contains 'the' (case-insensitive)."""
+    return Q.anchor_contains(_ex(spark, sf_dir), "the").select("conv_id")
+
+
+@query("peek_sample")
+def peek_sample(spark, sf_dir):
+    """L3: seeded sample of 5 examples."""
+    return SP.sample_n(_ex(spark, sf_dir), "conv_id", 5, seed=0).select("conv_id")
+
+
+# ======================================================================
+# Merge and split (S3 stand-in, D2, L1, L2, A6)
+# ======================================================================
+def _merge_inputs(spark, sf_dir):
+    """Three inputs in order: the examples, an exact copy, a case copy."""
+    ex = S.chat_examples(spark, sf_dir, upper_copy=True)
+    base = ex.where(F.col("src") == 0)
+    copy = base.withColumn("src", F.lit(2))
+    allx = ex.unionByName(copy).withColumn("ord", F.struct("src", "conv_id"))
+    return allx.where(F.size("messages") > 0)
+
+
+@query("merge_dedupe")
+def merge_dedupe(spark, sf_dir):
+    """First copy (input order) of each merge signature."""
+    d = SP.merge_dedupe(_merge_inputs(spark, sf_dir))
+    return d.select("src", "conv_id", "is_dup")
+
+
+@query("merge_report")
+def merge_report(spark, sf_dir):
+    """Rows per input, unique, duplicates, train and eval sizes."""
+    return SP.merge_report(SP.merge_dedupe(_merge_inputs(spark, sf_dir)))
+
+
+@query("eval_size")
+def eval_size(spark, sf_dir):
+    """L1: eval size rule applied to the unique example count."""
+    d = SP.merge_dedupe(_merge_inputs(spark, sf_dir)).where(~F.col("is_dup"))
+    n = d.agg(F.count(F.lit(1)).alias("n"))
+    return n.select("n", SP.eval_size_col(F.col("n")).alias("eval_n")).withColumn(
+        "train_n", F.col("n") - F.col("eval_n"))
+
+
+@query("train_eval_split")
+def train_eval_split(spark, sf_dir):
+    """L2: seeded exact-size split of the unique examples."""
+    d = SP.merge_dedupe(_merge_inputs(spark, sf_dir)).where(~F.col("is_dup"))
+    d = d.cache()
+    k = SP.eval_size(d.count())
+    out = SP.split_label(d, "sig", k, seed=42)
+    return out.select("src", "conv_id", "split")
+
+
+# ======================================================================
+# FIM (F8, L6, D4, P21, P17)
+# ======================================================================
+def _spans(spark, sf_dir):
+    d = S.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), "text")
+    return FM.fim_spans(d, "path", "text", per_file=6, max_len=1600, seed=42)
+
+
+@query("fim_gates")
+def fim_gates(spark, sf_dir):
+    """F8: documents that pass the file-level FIM gates."""
+    d = S.table(spark, sf_dir, "documents")
+    return FM.fim_gates(d).select("doc_id", F.length("code").cast("bigint").alias("n_chars"))
+
+
+@query("fim_spans")
+def fim_spans(spark, sf_dir):
+    """Six seeded span draws per document."""
+    s = _spans(spark, sf_dir)
+    return s.select("path", "sample_no",
+                    F.length("prefix").cast("bigint").alias("prefix_len"),
+                    F.length("middle").cast("bigint").alias("middle_len"),
+                    F.length("suffix").cast("bigint").alias("suffix_len"),
+                    FM.span_hash().alias("span_md5"))
+
+
+@query("fim_dedupe")
+def fim_dedupe(spark, sf_dir):
+    """Spans after the shared md5 dedupe."""
+    return FM.fim_dedupe(_spans(spark, sf_dir)).select("path", "sample_no")
+
+
+@query("fim_examples")
+def fim_examples(spark, sf_dir):
+    """Chat-style FIM examples."""
+    ex = FM.fim_example(FM.fim_dedupe(_spans(spark, sf_dir)))
+    return ex.select("path", "sample_no", transcript_md5().alias("msg_md5"))
+
+
+# ======================================================================
+# Documents: text scalar functions and gates
+# ======================================================================
+@query("tool_truncate")
+def tool_truncate(spark, sf_dir):
+    """P5: tool-result block cut at 6,000 characters."""
+    d = S.table(spark, sf_dir, "documents")
+    b = T.tool_block("text", 6000)
+    return d.select("doc_id", F.length(b).cast("bigint").alias("out_len"), F.md5(b).alias("out_md5"))
+
+
+@query("before_budget")
+def before_budget(spark, sf_dir):
+    """Last 8,000 characters."""
+    d = S.table(spark, sf_dir, "documents")
+    b = T.last_n("text", 8000)
+    return d.select("doc_id", F.length(b).cast("bigint").alias("out_len"), F.md5(b).alias("out_md5"))
+
+
+@query("commit_subject")
+def commit_subject(spark, sf_dir):
+    """First line, stripped."""
+    d = S.table(spark, sf_dir, "documents")
+    return d.select("doc_id", T.subject("text").alias("subject"))
+
+
+@query("pii_redact")
+def pii_redact(spark, sf_dir):
+    """Redact e-mail, secrets, card numbers, IPs and phones."""
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "text")
+    r = Q.redact(d, "text")
+    return r.select("doc_id", "n_email", "n_secret", "n_card", "n_ip", "n_phone", "n_redacted",
+                    F.md5("text").alias("text_md5"))
+
+
+@query("license_gate")
+def license_gate(spark, sf_dir):
+    """keep documents whose license class is allowed."""
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return Q.license_gate(d).select("doc_id", "license")
+
+
+@query("quality_filter")
+def quality_filter(spark, sf_dir):
+    """documents labelled high quality and not toxic."""
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "source")
+    return Q.keep_quality(d, S.table(spark, sf_dir, "labels"))
+
+
+@query("empty_text_check")
+def empty_text_check(spark, sf_dir):
+    """rows and empty training texts."""
+    d = S.table(spark, sf_dir, "documents")
+    return d.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_if(F.coalesce(F.length("text"), F.lit(0)) == 0).cast("bigint").alias("n_empty"))
+
+
+# ======================================================================
+# Raw logs (S1 parsing, P2-P8, W4) from conversations re-emitted as JSON
+# ======================================================================
+LOG_TOOL_CHARS = 500
+
+
+def _log_turns(spark, sf_dir):
+    recs = J.parse_records(S.log_lines(spark, sf_dir)).where(~F.col("bad_json"))
+    return SG.normalise(recs, max_tool_chars=LOG_TOOL_CHARS, tool_fallback=True)
+
+
+@query("session_keys")
+def session_keys(spark, sf_dir):
+    """P7 + P8: session id, role and parsed timestamp of every record."""
+    t = _log_turns(spark, sf_dir)
+    return t.select(F.col("ord.conv_id").alias("conv_id"), F.col("ord.turn").alias("turn"),
+                    "session_id", "role", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "cwd")
+
+
+@query("log_texts")
+def log_texts(spark, sf_dir):
+    """User, assistant and human text of every record."""
+    t = _log_turns(spark, sf_dir)
+    return t.select(F.col("ord.conv_id").alias("conv_id"), F.col("ord.turn").alias("turn"),
+                    F.md5("user_text").alias("user_md5"), F.md5("assistant_text").alias("assistant_md5"),
+                    F.md5("human_text").alias("human_md5"), "has_human")
+
+
+@query("log_pairs")
+def log_pairs(spark, sf_dir):
+    """S1 -> W2 end to end on raw log lines (tool results included)."""
+    pairs = W.build_pairs(_log_turns(spark, sf_dir))
+    return pairs.select("session_id", "island", transcript_md5().alias("msg_md5"))
+
+
+@query("iso_parse")
+def iso_parse(spark, sf_dir):
+    """ISO-8601 with 'Z' parses; garbage gives null."""
+    ev = S.table(spark, sf_dir, "events")
+    raw = F.when(F.col("event_type") == "error", F.lit("not-a-time")).otherwise(
+        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
+    return ev.select("event_id", F.date_format(T.parse_ts(raw), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))

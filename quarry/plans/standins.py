@@ -102,3 +102,74 @@ def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
         (role == "user").alias("has_human"),
         F.when(role == "user", txt).otherwise(F.lit("")).alias("human_text"),
     )
+
+
+def _json_str(c):
+    """A JSON string literal for a string column."""
+    arr = F.to_json(F.array(c))
+    return F.substring(arr, F.lit(2), F.length(arr) - F.lit(2))
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` re-emitted as raw agent-log JSON lines (M1/M2):
+    system turns carry ``session_id`` and string content; user turns a
+    text segment plus a tool result (the ASCII upper-cased text);
+    assistant turns a text segment plus a non-text tool-use segment.
+    Columns ``ord, value`` like ``sources.jsonl.read_lines``."""
+    conv = table(spark, sf_dir, "conversations")
+    j = _json_str
+    role = F.col("role")
+    ts = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("turn") * 60),
+                       "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    up = F.translate("text", LOWER_ASCII, UPPER_ASCII)
+    content = (
+        F.when(role == "user", F.concat(
+            F.lit('[{"type":"text","text":'), j(F.col("text")),
+            F.lit('},{"type":"tool_result","content":'), j(up), F.lit("}]")))
+        .when(role == "assistant", F.concat(
+            F.lit('[{"type":"text","text":'), j(F.col("text")),
+            F.lit('},{"type":"tool_use","name":"grep"}]')))
+        .otherwise(j(F.col("text"))))
+    key = F.when(role == "system", F.lit("session_id")).otherwise(F.lit("sessionId"))
+    value = F.concat(
+        F.lit('{"'), key, F.lit('":'), j(F.col("conv_id").cast("string")),
+        F.lit(',"type":'), j(role), F.lit(',"timestamp":'), j(ts),
+        F.lit(',"cwd":"/work/repo'), F.col("conv_id").cast("string"), F.lit('"'),
+        F.lit(',"message":{"role":'), j(role), F.lit(',"content":'), content, F.lit("}}"))
+    return conv.select(F.struct(F.lit(0).alias("src"), "conv_id", "turn").alias("ord"),
+                       value.alias("value"))
+
+
+def document_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as exported commits + diffs (M8/M9).
+
+    sha = md5(doc_id); message = the document text; parents: none for
+    doc_id 0 (root), two for German documents (merge commits), else
+    the previous doc_id; refs: ``main``, ``feature/<lang>`` and the
+    symbolic ``origin/HEAD``; committed_at = 2024-01-01 + doc_id minutes.
+    The diff rewrites the text as one file: header lines, then each line
+    prefixed by position (pos % 5 = 1 removed, 3 added, else context).
+    """
+    docs = table(spark, sf_dir, "documents")
+    sha = F.md5(F.col("doc_id").cast("string"))
+    prev = F.md5((F.col("doc_id") - 1).cast("string"))
+    prev2 = F.md5((F.col("doc_id") - 2).cast("string"))
+    d = docs
+    parents = (F.when(F.col("doc_id") == F.lit(0), F.array().cast("array<string>"))
+               .when(F.col("lang") == "de", F.array(prev, prev2))
+               .otherwise(F.array(prev)))
+    lines = F.split(T.lf(F.col("text")), "\n")
+    marked = F.transform(lines, lambda x, i: F.concat(
+        F.when(i % 5 == 1, F.lit("-")).when(i % 5 == 3, F.lit("+")).otherwise(F.lit(" ")), x))
+    path = F.col("doc_id").cast("string")
+    header = F.concat(F.lit("diff --git a/"), path, F.lit(" b/"), path, F.lit("\n--- a/"), path,
+                      F.lit("\n+++ b/"), path, F.lit("\n@@ -1 +1 @@\n"))
+    diff = F.concat(header, F.array_join(marked, "\n"))
+    n_lines = F.size(F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: (i % 5 == 1) | (i % 5 == 3)))
+    return d.select(
+        "doc_id", sha.alias("sha"), parents.alias("parents"),
+        F.col("text").alias("message"), F.lit(1).alias("n_files"), n_lines.cast("int").alias("n_lines"),
+        F.array(F.lit("main"), F.concat(F.lit("feature/"), F.col("lang")), F.lit("origin/HEAD")).alias("refs"),
+        F.lit("repo0").alias("repo"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(mins=F.col("doc_id"))).alias("committed_at"),
+        diff.alias("diff"))
