@@ -466,3 +466,229 @@ FROM g WHERE users IS NOT NULL AND assistant IS NOT NULL"""
 
 SQL["iso_parse"] = """
 SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts FROM events"""
+
+
+# ======================================================================
+# Commits and diffs built from documents, parsed line by line in SQL
+# ======================================================================
+def rstrip(x: str) -> str:
+    return f"regexp_replace({x}, '{SP}+$', '')"
+
+
+def lstrip(x: str) -> str:
+    return f"regexp_replace({x}, '^{SP}+', '')"
+
+
+DIFF = """dd AS (
+  SELECT doc_id, md5(id) AS sha, lang, text, id AS path, lines,
+    'diff --git a/' || id || ' b/' || id || chr(10) || '--- a/' || id || chr(10) || '+++ b/' || id || chr(10) ||
+    '@@ -1 +1 @@' || chr(10) ||
+    array_to_string(list_transform(lines, lambda x, i: (CASE WHEN (i - 1) % 5 = 1 THEN '-'
+        WHEN (i - 1) % 5 = 3 THEN '+' ELSE ' ' END) || x), chr(10)) AS diff,
+    len(list_filter(range(len(lines)), lambda j: j % 5 = 1 OR j % 5 = 3)) AS n_lines
+  FROM (SELECT doc_id, lang, text, CAST(doc_id AS VARCHAR) AS id,
+               string_split(regexp_replace(text, '\\r\\n?', chr(10), 'g'), chr(10)) AS lines FROM documents) s
+), dl0 AS (
+  SELECT doc_id, sha, unnest(l) AS line, generate_subscripts(l, 1) AS gpos
+  FROM (SELECT doc_id, sha, string_split(diff, chr(10)) AS l FROM dd) s
+), dl1 AS (
+  SELECT *, sum(CASE WHEN line LIKE 'diff --git %' THEN 1 ELSE 0 END) OVER w - 1 AS file_no
+  FROM dl0 WINDOW w AS (PARTITION BY doc_id ORDER BY gpos ROWS UNBOUNDED PRECEDING)
+), dl2 AS (
+  SELECT *, sum(CASE WHEN line LIKE '@@%' THEN 1 ELSE 0 END) OVER w AS hunk_no
+  FROM dl1 WINDOW w AS (PARTITION BY doc_id, file_no ORDER BY gpos ROWS UNBOUNDED PRECEDING)
+), dl AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, file_no, hunk_no ORDER BY gpos) - 1 AS pos
+  FROM dl2
+), dk AS (
+  SELECT *, CASE WHEN hunk_no = 0 THEN 'header' WHEN pos = 0 THEN 'hunk'
+    WHEN left(line, 1) = ' ' THEN 'context' WHEN left(line, 1) = '+' THEN 'added'
+    WHEN left(line, 1) = '-' THEN 'removed' WHEN left(line, 1) = '\\' THEN 'marker'
+    WHEN line = '' THEN 'context' ELSE 'other' END AS kind
+  FROM dl
+), ba AS (
+  SELECT doc_id, file_no, hunk_no,
+    coalesce(string_agg(substr(line, 2) || chr(10), '' ORDER BY pos) FILTER (WHERE kind IN ('context', 'removed')), '') AS b,
+    coalesce(string_agg(substr(line, 2) || chr(10), '' ORDER BY pos) FILTER (WHERE kind IN ('context', 'added')), '') AS a
+  FROM dk WHERE hunk_no > 0 GROUP BY doc_id, file_no, hunk_no
+), bf AS (
+  SELECT doc_id, file_no,
+    string_agg(b, '' ORDER BY hunk_no) AS before, string_agg(a, '' ORDER BY hunk_no) AS after
+  FROM ba WHERE """ + "coalesce({0}, '') <> '' OR coalesce({1}, '') <> ''".format(strip("b"), strip("a")) + """
+  GROUP BY doc_id, file_no
+), files AS (
+  SELECT bf.*, dd.sha, dd.path, dd.text, dd.lang, dd.n_lines, """ + rstrip("dd.diff") + """ AS patch_block
+  FROM bf JOIN dd USING (doc_id)
+)"""
+
+SQL["diff_lines"] = f"""WITH {DIFF}
+SELECT doc_id, CAST(file_no AS INTEGER) AS file_no, CAST(hunk_no AS INTEGER) AS hunk_no, CAST(pos AS INTEGER) AS pos, kind,
+  CASE WHEN kind IN ('context', 'added', 'removed') THEN CAST(length(substr(line, 2)) AS BIGINT) END AS value_len
+FROM dk"""
+
+SQL["diff_before_after"] = f"""WITH {DIFF}
+SELECT doc_id, path, md5(before) AS before_md5, md5(after) AS after_md5 FROM files
+WHERE coalesce({strip('patch_block')}, '') <> ''"""
+
+SQL["patch_block"] = f"""WITH {DIFF}
+SELECT doc_id, md5(patch_block) AS block_md5, CAST(length(patch_block) AS BIGINT) AS block_len FROM files
+WHERE coalesce({strip('patch_block')}, '') <> ''"""
+
+PATCH_SYS = K.PATCH_SYSTEM_PROMPT.replace("'", "''")
+BORING = K.BORING_PATTERN
+INTENT = K.INTENT_PATTERN
+SUBJ = strip("string_split_regex(" + strip("text") + ", '" + BREAKS_RE2 + "')[1]")
+INTENTFUL = (f"({strip('text')} <> '' AND NOT regexp_matches({strip('text')}, '(?i){BORING}') "
+             f"AND regexp_matches({strip('text')}, '(?i){INTENT}'))")
+PATCH = DIFF + f""",
+px AS (
+  SELECT sha, path, {SUBJ} AS subject, before, patch_block FROM files
+  WHERE n_lines <= 1200 AND 1 <= 20 AND {INTENTFUL} AND doc_id <> 0 AND lang <> 'de'
+    AND coalesce({strip('patch_block')}, '') <> ''
+), pe AS (
+  SELECT sha, path,
+    'Commit intent: ' || subject || chr(10) || 'File: ' || path || chr(10) || '<BEFORE>' || chr(10) ||
+      CASE WHEN length(before) <= 8000 THEN before ELSE right(before, 8000) END AS usr,
+    '```diff' || chr(10) || patch_block || chr(10) || '```' ||
+      CASE WHEN subject <> '' THEN chr(10) || 'Reason: ' || subject ELSE '' END AS assistant
+  FROM px
+)"""
+
+SQL["patch_examples"] = f"""WITH {PATCH}
+SELECT sha, path, md5('system:{PATCH_SYS}' || chr(10) || 'user:' || usr) AS msg_md5, md5(assistant) AS assistant_md5 FROM pe"""
+
+SQL["fold_assistant"] = f"""WITH {PATCH}
+SELECT sha, CAST(3 AS BIGINT) AS n_msgs,
+  md5('system:{PATCH_SYS}' || chr(10) || 'user:' || usr || chr(10) || 'assistant:' || assistant) AS msg_md5 FROM pe"""
+
+SQL["diff_metrics"] = f"""WITH {DIFF}
+SELECT d.sha, count(DISTINCT dd.path) AS files_touched,
+  count(*) FILTER (WHERE kind = 'added') AS added, count(*) FILTER (WHERE kind = 'removed') AS removed,
+  max(CAST(length(dd.diff) AS BIGINT)) AS diff_chars
+FROM dk d JOIN dd USING (doc_id) GROUP BY d.sha"""
+
+SQL["commit_dedupe"] = "SELECT DISTINCT 'repo0' AS repo, md5(CAST(doc_id AS VARCHAR)) AS sha FROM documents"
+
+SQL["commit_cap"] = """
+SELECT ref, sha FROM (
+  SELECT ref, sha, row_number() OVER (PARTITION BY ref ORDER BY doc_id DESC, sha) AS rn FROM (
+    SELECT doc_id, md5(CAST(doc_id AS VARCHAR)) AS sha, unnest(['main', 'feature/' || lang]) AS ref
+    FROM documents WHERE lang <> 'de' OR doc_id = 0) a) b
+WHERE rn <= 100"""
+
+SQL["commit_parents"] = "SELECT md5(CAST(doc_id AS VARCHAR)) AS sha FROM documents WHERE doc_id <> 0 AND lang <> 'de'"
+
+SQL["commit_size"] = """
+SELECT o_orderkey, n_files, n_lines FROM orders JOIN (
+  SELECT l_orderkey, count(*) AS n_files, CAST(sum(l_quantity) AS BIGINT) AS n_lines FROM lineitem GROUP BY l_orderkey
+) li ON o_orderkey = l_orderkey
+WHERE n_files <= 3 AND n_lines <= 400"""
+
+SQL["message_intent"] = f"SELECT doc_id, {INTENTFUL} AS intent FROM documents"
+
+SKIP_DIRS_SQL = ", ".join(f"'{d}'" for d in K.SKIP_DIRS)
+SKIP_EXT_SQL = ", ".join(f"'{e}'" for e in K.SKIP_EXTENSIONS)
+PATHS = """p AS (
+  SELECT doc_id, (CASE WHEN source = 'src3' THEN 'node_modules/' WHEN source = 'src7' THEN 'build/' ELSE '' END)
+    || source || '/' || (CASE WHEN source = 'src5' THEN 'package-lock' ELSE 'doc' || CAST(doc_id AS VARCHAR) END)
+    || (CASE lang WHEN 'en' THEN '.ts' WHEN 'fr' THEN '.min.js' WHEN 'de' THEN '.PNG' ELSE '.json' END) AS path
+  FROM documents
+)"""
+SQL["path_skip"] = f"""WITH {PATHS}
+SELECT doc_id, path,
+  list_has_any(string_split(path, '/'), [{SKIP_DIRS_SQL}])
+  OR lower(regexp_extract(regexp_extract(path, '([^/]*)$', 1), '^.+(\\.[^.]+)$', 1)) IN ({SKIP_EXT_SQL})
+  OR regexp_matches(path, '(?i){K.VENDOR_FILE_PATTERN}') AS skip
+FROM p"""
+
+SQL["harvest_report"] = f"""WITH {PATCH}, {FIM.strip()}
+SELECT 'patch' AS kind, count(*) AS n FROM pe UNION ALL SELECT 'fim', count(*) FROM spans_u"""
+
+# ======================================================================
+# Preferences and evaluation
+# ======================================================================
+CANDS = """c AS (
+  SELECT d.doc_id, d.source AS prompt, d.doc_id AS cand_id, l.quality = 1 AS tests, l.toxic = 0 AS typecheck,
+    d.n_chars < 20000 AS lint, 1 AS files_touched, d.n_chars AS patch_len,
+    CAST(floor(length(d.text) / 4) AS BIGINT) AS n_tok, l.quality AS label
+  FROM documents d JOIN labels l USING (doc_id)
+)"""
+
+SQL["pref_unary"] = """
+SELECT d.doc_id, CASE WHEN l.quality IN (1) THEN 1 ELSE 0 END AS label
+FROM documents d JOIN labels l USING (doc_id)"""
+
+SQL["pref_pairs"] = f"""WITH {CANDS}
+SELECT prompt, chosen, rejected FROM (
+  SELECT prompt, min(doc_id) FILTER (WHERE label = 1) AS chosen, min(doc_id) FILTER (WHERE label = 0) AS rejected
+  FROM c GROUP BY prompt) t
+WHERE chosen IS NOT NULL AND rejected IS NOT NULL"""
+
+SQL["rft_winners"] = f"""WITH {CANDS}
+SELECT prompt, cand_id, patch_len FROM (
+  SELECT *, row_number() OVER (PARTITION BY prompt ORDER BY patch_len, cand_id) AS rn
+  FROM c WHERE tests AND typecheck AND lint AND files_touched <= 2) t WHERE rn = 1"""
+
+SQL["reward"] = f"""WITH {CANDS}
+SELECT doc_id, round(CAST(tests AS DOUBLE) * 1.0::DOUBLE + CAST(typecheck AS DOUBLE) * 0.2::DOUBLE
+  + CAST(lint AS DOUBLE) * 0.2::DOUBLE - CAST(patch_len AS DOUBLE) * 0.001::DOUBLE
+  - CAST(files_touched AS DOUBLE) * 0.1::DOUBLE - CAST(n_tok AS DOUBLE) * 0.0005::DOUBLE, 6) AS reward FROM c"""
+
+RUNS = """r AS (
+  SELECT event_id, user_id, event_type <> 'error' AS success, value AS short_tps,
+    CAST(json_extract(props, '$.k') AS DOUBLE) / 10.0::DOUBLE AS model_memory,
+    CAST(json_extract(props, '$.k') AS DOUBLE) / 10.0::DOUBLE + value / 100.0::DOUBLE AS peak_cpu_memory,
+    CAST(json_extract(props, '$.k') AS DOUBLE) AS new_tokens
+  FROM events
+)"""
+
+SQL["run_top_speed"] = f"WITH {RUNS} SELECT event_id, short_tps FROM r WHERE success ORDER BY short_tps DESC, event_id LIMIT 3"
+SQL["run_top_memory"] = f"""WITH {RUNS}
+SELECT event_id, model_memory FROM r WHERE success AND model_memory > 0 ORDER BY model_memory, event_id LIMIT 3"""
+
+SQL["run_vs_baseline"] = f"""WITH {RUNS}, b AS (
+  SELECT user_id, peak_cpu_memory AS bmem, short_tps AS btps FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM r) t WHERE rn = 1
+)
+SELECT event_id, round(greatest(0.0::DOUBLE, peak_cpu_memory - bmem), 6) AS extra_memory,
+  round(CASE WHEN short_tps > 0 AND btps > 0 AND short_tps <> btps THEN (btps - short_tps) / btps * 100.0::DOUBLE END, 6) AS slowdown_pct
+FROM r JOIN b USING (user_id)"""
+
+SQL["run_best"] = f"""WITH {RUNS}
+SELECT event_id, round(short_tps / 10.0::DOUBLE * 0.4::DOUBLE + 10.0::DOUBLE / greatest(model_memory, 1.0::DOUBLE) * 0.3::DOUBLE + 3.0::DOUBLE, 6) AS score
+FROM r WHERE success
+ORDER BY short_tps / 10.0::DOUBLE * 0.4::DOUBLE + 10.0::DOUBLE / greatest(model_memory, 1.0::DOUBLE) * 0.3::DOUBLE + 3.0::DOUBLE DESC, event_id LIMIT 1"""
+
+SQL["run_throughput"] = f"""WITH {RUNS}
+SELECT event_id, round(CASE WHEN short_tps > 0 THEN new_tokens / short_tps ELSE 0.0 END, 6) AS tps FROM r"""
+
+
+def _clean_gen(x):
+    for mk in K.TOOL_MARKERS:
+        x = f"string_split({x}, '{mk}')[1]"
+    tag = K.ASSISTANT_TAG
+    seg = f"string_split(string_split({x}, '{tag}')[-1], '<|im_end|>')[1]"
+    return f"CASE WHEN contains({x}, '{tag}') THEN {lstrip(seg)} ELSE {x} END"
+
+
+GEN = f"""{EX1}, g AS (
+  SELECT conv_id, coalesce({first_content('user')}, '') AS u, coalesce({first_content('assistant')}, '') AS a FROM ex
+), g2 AS (
+  SELECT conv_id,
+    '<|im_start|>user' || chr(10) || u || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || a || '<|im_end|>' AS ga,
+    '<|im_start|>user' || chr(10) || u || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || '  ' ||
+      translate(a, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') || '<tool_call>{{"name": "grep"}}<|im_end|>' AS gb
+  FROM g
+)"""
+
+SQL["generation_compare"] = f"""WITH {GEN}
+SELECT conv_id, md5({_clean_gen('ga')}) AS baseline_md5, md5({_clean_gen('gb')}) AS tuned_md5 FROM g2"""
+
+SQL["eval_metrics"] = """
+SELECT event_type AS task, strftime(ts, '%Y-%m-%d') AS step, round(avg(value), 6) AS eval_loss,
+  round(avg(CASE WHEN value >= 10 THEN 1.0 ELSE 0.0 END), 6) AS pass_at_1, count(*) AS n
+FROM events GROUP BY ALL"""
+
+SQL["canary_gate"] = """
+SELECT strftime(ts, '%Y-%m-%d') AS version, bool_and(value > 1.0) AS promote, count(*) AS n
+FROM events WHERE event_type = 'signup' GROUP BY ALL"""

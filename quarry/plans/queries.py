@@ -425,3 +425,247 @@ def iso_parse(spark, sf_dir):
     raw = F.when(F.col("event_type") == "error", F.lit("not-a-time")).otherwise(
         F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
     return ev.select("event_id", F.date_format(T.parse_ts(raw), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+
+
+# ======================================================================
+# Commits and diffs (documents stand-in; orders/lineitem for F3)
+# ======================================================================
+from ..operators import diffs as DF  # noqa: E402
+from ..operators import prefs as PR  # noqa: E402
+
+
+def _commits(spark, sf_dir):
+    return S.document_commits(spark, sf_dir)
+
+
+@query("diff_lines")
+def diff_lines(spark, sf_dir):
+    """G1: unified diff text -> line rows with hunk number and kind."""
+    c = _commits(spark, sf_dir).select("doc_id", "sha", "diff")
+    ln = DF.diff_lines(c)
+    return ln.select("doc_id", "file_no", "hunk_no", "pos", "kind",
+                     F.length("value").cast("bigint").alias("value_len"))
+
+
+@query("diff_before_after")
+def diff_before_after(spark, sf_dir):
+    """G2 + F7: before/after text per file."""
+    c = _commits(spark, sf_dir).select("doc_id", "sha", "diff")
+    f = DF.before_after(DF.diff_files(c))
+    return f.select("doc_id", "path", F.md5("before").alias("before_md5"), F.md5("after").alias("after_md5"))
+
+
+@query("patch_block")
+def patch_block(spark, sf_dir):
+    """Per-file patch block, right-stripped."""
+    c = _commits(spark, sf_dir).select("doc_id", "sha", "diff")
+    f = DF.before_after(DF.diff_files(c))
+    return f.select("doc_id", F.md5("patch_block").alias("block_md5"),
+                    F.length("patch_block").cast("bigint").alias("block_len"))
+
+
+def _patch_examples(spark, sf_dir):
+    c = _commits(spark, sf_dir)
+    return DF.patch_examples(c.drop("diff"), c.select("sha", "diff"), max_files=20, max_lines=1200,
+                             before_budget=8000, reason_from_subject=True, branch="main")
+
+
+@query("patch_examples")
+def patch_examples(spark, sf_dir):
+    """Commit -> patch examples."""
+    p = _patch_examples(spark, sf_dir)
+    return p.select("sha", "path", transcript_md5().alias("msg_md5"), F.md5("assistant").alias("assistant_md5"))
+
+
+@query("fold_assistant")
+def fold_assistant(spark, sf_dir):
+    """Top-level assistant folded into messages."""
+    p = DF.fold_assistant(_patch_examples(spark, sf_dir))
+    return p.select("sha", F.size("messages").cast("bigint").alias("n_msgs"), transcript_md5().alias("msg_md5"))
+
+
+@query("diff_metrics")
+def diff_metrics(spark, sf_dir):
+    """Diff length, files touched, added and removed lines."""
+    c = _commits(spark, sf_dir).select("sha", "diff")
+    return DF.diff_metrics(c)
+
+
+@query("commit_dedupe")
+def commit_dedupe(spark, sf_dir):
+    """D3: all local branches plus remotes (symbolic HEAD skipped), one row
+    per commit."""
+    c = _commits(spark, sf_dir).drop("diff")
+    return DF.unique_commits(c, all_branches=True, include_remotes=True).select("repo", "sha")
+
+
+@query("commit_cap")
+def commit_cap(spark, sf_dir):
+    """Newest 100 non-merge commits per ref."""
+    c = _commits(spark, sf_dir).drop("diff")
+    w = DF.walk_refs(c, all_branches=True, include_remotes=True)
+    return DF.cap_commits(w, 100).select("ref", "sha")
+
+
+@query("commit_parents")
+def commit_parents(spark, sf_dir):
+    """non-merge commits with a first parent."""
+    return DF.single_parent(_commits(spark, sf_dir).drop("diff")).select("sha")
+
+
+@query("commit_size")
+def commit_size(spark, sf_dir):
+    """F3 on orders (commits) with lineitem (changed files): at most 3
+    files and 400 lines; lineitem is aggregated before the join."""
+    li = S.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("l_quantity").cast("bigint").alias("n_lines"))
+    o = S.table(spark, sf_dir, "orders").select("o_orderkey")
+    c = o.join(li, o.o_orderkey == li.l_orderkey).select("o_orderkey", "n_files", "n_lines")
+    return DF.small_commits(c, max_files=3, max_lines=400)
+
+
+@query("message_intent")
+def message_intent(spark, sf_dir):
+    """intent-like commit messages (boring words veto)."""
+    d = S.table(spark, sf_dir, "documents")
+    return d.select("doc_id", T.intentful("text").alias("intent"))
+
+
+@query("path_skip")
+def path_skip(spark, sf_dir):
+    """skip paths under vendored/build directories, with binary or lock
+    extensions, or lock-file names (paths derived from documents)."""
+    d = S.document_paths(spark, sf_dir)
+    return d.select("doc_id", "path", T.skip_path("path").alias("skip"))
+
+
+@query("harvest_report")
+def harvest_report(spark, sf_dir):
+    """Examples written per kind."""
+    return ST.harvest_report(("patch", _patch_examples(spark, sf_dir)),
+                             ("fim", FM.fim_dedupe(_spans(spark, sf_dir))))
+
+
+# ======================================================================
+# Preferences and evaluation (documents x labels, events as runs)
+# ======================================================================
+def _cands(spark, sf_dir):
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", "text")
+    lab = S.table(spark, sf_dir, "labels")
+    j = d.join(lab, "doc_id")
+    return j.select("doc_id", F.col("source").alias("prompt"), F.col("doc_id").alias("cand_id"),
+                    (F.col("quality") == 1).alias("tests"), (F.col("toxic") == 0).alias("typecheck"),
+                    (F.col("n_chars") < 20000).alias("lint"), F.lit(1).alias("files_touched"),
+                    F.col("n_chars").alias("patch_len"), T.text_token_estimate("text").alias("n_tok"),
+                    F.col("quality").alias("label"))
+
+
+@query("pref_unary")
+def pref_unary(spark, sf_dir):
+    """Unary preference rows (label from the quality vote)."""
+    d = S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    votes = S.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("vote"))
+    return PR.unary_prefs(d, votes, key="id", vote="vote", good=[1]).select(
+        F.col("id").alias("doc_id"), "label")
+
+
+@query("pref_pairs")
+def pref_pairs(spark, sf_dir):
+    """Per prompt (source) the first good and first bad reply."""
+    c = _cands(spark, sf_dir).withColumn("reply", F.col("doc_id"))
+    return PR.pair_prefs(c, sig="prompt", reply="reply", label="label", order="doc_id")
+
+
+@query("rft_winners")
+def rft_winners(spark, sf_dir):
+    """Shortest passing candidate per prompt."""
+    return PR.rft_winners(_cands(spark, sf_dir))
+
+
+@query("reward")
+def reward(spark, sf_dir):
+    """Programmatic reward per candidate."""
+    r = PR.reward(_cands(spark, sf_dir))
+    return r.select("doc_id", F.round("reward", 6).alias("reward"))
+
+
+def _runs(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("double")
+    return ev.select(
+        "event_id", "user_id", F.col("event_id").alias("ord"),
+        (F.col("event_type") != "error").alias("success"),
+        F.col("value").alias("short_tps"), (k / 10.0).alias("model_memory"),
+        (k / 10.0 + F.col("value") / 100.0).alias("peak_cpu_memory"), k.alias("new_tokens"))
+
+
+@query("run_top_speed")
+def run_top_speed(spark, sf_dir):
+    """E5: top 3 successful runs by tokens/s."""
+    return PR.top_runs(_runs(spark, sf_dir), "short_tps", 3).select("event_id", "short_tps")
+
+
+@query("run_top_memory")
+def run_top_memory(spark, sf_dir):
+    """E5: top 3 successful runs by lowest non-zero memory."""
+    return PR.top_runs(_runs(spark, sf_dir), "model_memory", 3, ascending=True).select("event_id", "model_memory")
+
+
+@query("run_vs_baseline")
+def run_vs_baseline(spark, sf_dir):
+    """Extra memory and slowdown against each user's first run."""
+    r = _runs(spark, sf_dir)
+    first = r.groupBy("user_id").agg(F.min(F.struct("ord", "peak_cpu_memory", "short_tps")).alias("_b"))
+    base = first.select("user_id", F.col("_b.peak_cpu_memory").alias("peak_cpu_memory"),
+                        F.col("_b.short_tps").alias("short_tps"))
+    v = PR.vs_baseline(r, base, ["user_id"])
+    return v.select("event_id", F.round("extra_memory", 6).alias("extra_memory"),
+                    F.round("slowdown_pct", 6).alias("slowdown_pct"))
+
+
+@query("run_best")
+def run_best(spark, sf_dir):
+    """Best run by composite score, first wins ties."""
+    return PR.best_run(_runs(spark, sf_dir)).select("event_id", F.round("score", 6).alias("score"))
+
+
+@query("run_throughput")
+def run_throughput(spark, sf_dir):
+    """Tokens per second, 0 when seconds is 0."""
+    r = _runs(spark, sf_dir)
+    return r.select("event_id", F.round(PR.throughput("new_tokens", "short_tps"), 6).alias("tps"))
+
+
+@query("generation_compare")
+def generation_compare(spark, sf_dir):
+    """E8 + P23 + P24: two generation sets per prompt, cleaned."""
+    ex = _ex(spark, sf_dir)
+    u = F.coalesce(T.first_content("messages", "user"), F.lit(""))
+    a = F.coalesce(T.first_content("messages", "assistant"), F.lit(""))
+    prompt = F.concat(F.lit("<|im_start|>user\n"), u, F.lit("<|im_end|>\n<|im_start|>assistant\n"))
+    ga = ex.select(F.col("conv_id").alias("prompt_id"), F.concat(prompt, a, F.lit("<|im_end|>")).alias("generated"))
+    gb = ex.select(F.col("conv_id").alias("prompt_id"),
+                   F.concat(prompt, F.lit("  "), F.translate(a, S.LOWER_ASCII, S.UPPER_ASCII),
+                            F.lit("<tool_call>{\"name\": \"grep\"}<|im_end|>")).alias("generated"))
+    c = PR.compare_generations(ga, gb)
+    return c.select(F.col("prompt_id").alias("conv_id"), F.md5("baseline").alias("baseline_md5"),
+                    F.md5("tuned").alias("tuned_md5"))
+
+
+@query("eval_metrics")
+def eval_metrics(spark, sf_dir):
+    """Mean loss and pass@1 per task (event type) and step (day)."""
+    ev = S.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("task"), F.date_format("ts", "yyyy-MM-dd").alias("step"),
+        F.col("value").alias("loss"), (F.col("value") >= 10).alias("passed"))
+    m = PR.eval_metrics(ev, ["task", "step"])
+    return m.select("task", "step", F.round("eval_loss", 6).alias("eval_loss"),
+                    F.round("pass_at_1", 6).alias("pass_at_1"), "n")
+
+
+@query("canary_gate")
+def canary_gate(spark, sf_dir):
+    """A day's version is promoted only if all its canaries pass."""
+    ev = S.table(spark, sf_dir, "events").where(F.col("event_type") == "signup").select(
+        F.date_format("ts", "yyyy-MM-dd").alias("version"), (F.col("value") > 1.0).alias("passed"))
+    return PR.canary_gate(ev)

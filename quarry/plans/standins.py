@@ -173,3 +173,17 @@ def document_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("repo0").alias("repo"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(mins=F.col("doc_id"))).alias("committed_at"),
         diff.alias("diff"))
+
+
+def document_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repository paths derived from documents: directory from the source
+    (two sources sit under ``node_modules``/``build``), file name from the
+    id, extension from the language."""
+    d = table(spark, sf_dir, "documents")
+    ext = (F.when(F.col("lang") == "en", F.lit(".ts")).when(F.col("lang") == "fr", F.lit(".min.js"))
+           .when(F.col("lang") == "de", F.lit(".PNG")).otherwise(F.lit(".json")))
+    top = (F.when(F.col("source") == "src3", F.lit("node_modules/"))
+           .when(F.col("source") == "src7", F.lit("build/")).otherwise(F.lit("")))
+    name = F.when(F.col("source") == "src5", F.lit("package-lock")).otherwise(
+        F.concat(F.lit("doc"), F.col("doc_id").cast("string")))
+    return d.select("doc_id", F.concat(top, F.col("source"), F.lit("/"), name, ext).alias("path"))
