@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,9 +46,13 @@ def running_sums(df: DataFrame, key: Sequence[str], order: Sequence[str],
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The range partitioner samples its input in a separate job; persisting
+    # the input keeps the upstream work (e.g. VARIANT parsing) to one pass.
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
     ranged = (base.repartitionByRange(n_parts, *_cols(key), *_cols(order))
               .withColumn("_pid", F.spark_partition_id()))
     ranged = ranged.checkpoint(eager=True)
+    base.unpersist()
 
     wl = (Window.partitionBy("_pid", *key).orderBy(*_cols(order))
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -21,7 +21,7 @@ def read_code(spark: SparkSession, path, exts=K.CODE_EXTENSIONS,
     giant files by their size before reading them.
     """
     df = (spark.read.option("recursiveFileLookup", "true")
-          .option("wholetext", "true").text(path)
+          .text(path, wholetext=True)
           .select(F.col("_metadata.file_path").alias("path"),
                   F.col("_metadata.file_size").alias("size"), "value"))
     df = df.where(F.lower(path_suffix(F.col("path"))).isin(list(exts)))

@@ -120,7 +120,7 @@ def load_dataset(spark: SparkSession, train: str, eval: str | None = None):
         try:
             ev = spark.read.json(eval)
         except AnalysisException as e:  # only a missing path is tolerated
-            if "PATH_NOT_FOUND" not in str(getattr(e, "getErrorClass", lambda: "")() or e):
+            if "PATH_NOT_FOUND" not in str(e.getCondition() or e):
                 raise
             import warnings
             warnings.warn(f"no eval set: {eval}")
