@@ -4,8 +4,8 @@ L5, P18-P20, P22, G1-G6).
 A diff is parsed inside its own row: the text is split into file chunks
 at ``diff --git`` headers and each file into hunks at ``@@`` headers
 (regex look-aheads, so the header stays with its chunk).  Before/after
-excerpts and patch blocks are higher-order functions over the hunk
-arrays.  Line rows (G1) are produced only when asked for, by exploding.
+excerpts are regex passes over each hunk's text; patch blocks are the
+raw file chunks.  Line rows (G1) are produced only when asked for, by exploding.
 No step shuffles diff text.
 """
 
@@ -124,10 +124,14 @@ def diff_lines(diffs: DataFrame, diff: str = "diff") -> DataFrame:
 
 
 # ------------------------------------------------------------------- G2
-def _hunk_side(hunk: Column, keep: Sequence[str]) -> Column:
-    lines = F.slice(F.split(hunk, "\n"), 2, 1 << 30)
-    kept = F.filter(lines, lambda l: F.substring(l, 1, 1).isin(list(keep)) | (l == F.lit("")))
-    return F.array_join(F.transform(kept, lambda l: F.concat(F.substring(l, 2, 1 << 30), F.lit("\n"))), "")
+def _hunk_side(hunk: Column, keep: str) -> Column:
+    """Context plus one side of a hunk, each line without its marker and
+    with its newline.  Regex passes over the hunk text (JVM-side): drop the
+    header line, drop lines of the other side / markers / anything else,
+    then cut the marker character."""
+    body = F.when(F.instr(hunk, "\n") > 0, F.concat(F.regexp_replace(hunk, r"\A[^\n]*\n", ""), F.lit("\n")))
+    kept = F.regexp_replace(body, r"(?m)^[^ " + keep + r"\n][^\n]*\n", "")
+    return F.coalesce(F.regexp_replace(kept, r"(?m)^[ \-+]", ""), F.lit(""))
 
 
 def before_after(files: DataFrame) -> DataFrame:
@@ -137,7 +141,7 @@ def before_after(files: DataFrame) -> DataFrame:
     with a blank patch block, are dropped.  Adds ``before``, ``after``,
     ``patch_block`` (G3, the raw file chunk right-stripped)."""
     sides = F.transform("hunks", lambda h: F.struct(
-        _hunk_side(h, [" ", "-"]).alias("b"), _hunk_side(h, [" ", "+"]).alias("a")))
+        _hunk_side(h, "\\-").alias("b"), _hunk_side(h, "+").alias("a")))
     kept = F.filter(sides, lambda s: ~T.is_blank(s["b"]) | ~T.is_blank(s["a"]))
     out = files.withColumn("_kept", kept)
     out = out.where(F.size("_kept") > 0)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.text import lf
-from .quality import dedupe_first
+from .quality import keep_first
 
 TWO52 = float(2 ** 52)
 
@@ -84,7 +84,7 @@ def fim_dedupe(spans: DataFrame, order: Column | None = None) -> DataFrame:
     o = order if order is not None else F.struct(
         *( [F.col("repo")] if "repo" in spans.columns else []), F.col("path"), F.col("sample_no"))
     s = spans.withColumn("_h", span_hash()).withColumn("_o", o)
-    return dedupe_first(s, "_h", "_o", "_dup").where(~F.col("_dup")).drop("_h", "_o", "_dup")
+    return keep_first(s, "_h", "_o").drop("_h", "_o")
 
 
 # ------------------------------------------------------------------- P21

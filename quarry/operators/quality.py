@@ -43,14 +43,12 @@ def dedupe_first(df: DataFrame, key: str, order: str = "ord",
 
 
 def keep_first(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
-    """Only the first row per key (semi-join form of ``dedupe_first``)."""
-    firsts = df.groupBy(F.col(key).alias("_k")).agg(F.min(order).alias("_first"))
-    left = df.alias("_l")
-    return left.join(
-        firsts,
-        (F.col(f"_l.{key}") == F.col("_k")) & (F.col(f"_l.{order}") == F.col("_first")),
-        "left_semi",
-    ).select(*[F.col(f"_l.`{c}`") for c in df.columns])
+    """Only the first row per key: one ``min_by`` aggregate (partial, so a
+    hot key is reduced map-side), one shuffle, no join back and no second
+    pass over the input."""
+    cols = [c for c in df.columns if c != key]
+    first = df.groupBy(key).agg(F.min_by(F.struct(*cols), F.col(order)).alias("_r"))
+    return first.select(key, *[F.col("_r").getField(c).alias(c) for c in cols])
 
 
 # ------------------------------------------------------------------- F2
@@ -185,17 +183,17 @@ REDACT_PATTERNS = [
 
 def redact(df: DataFrame, c: str = "text", classes: Sequence[str] | None = None) -> DataFrame:
     """Replace personal data and secrets; add ``n_<class>`` counts and
-    ``n_redacted``.  Counts are taken on the text as it enters each step."""
-    cur = F.col(c)
-    counts = []
+    ``n_redacted``.  Counts are taken on the text as it enters each step.
+    One projection per class keeps every regex to a single pass."""
+    out = df
+    names = []
     for name, pat, rep in REDACT_PATTERNS:
         if classes is not None and name not in classes:
             continue
-        counts.append(F.regexp_count(cur, F.lit(pat)).cast("bigint").alias(f"n_{name}"))
-        cur = F.regexp_replace(cur, pat, rep)
-    out = df.select("*", *counts, cur.alias("_redacted"))
-    names = [f"n_{n}" for n, _, _ in REDACT_PATTERNS if classes is None or n in classes]
+        out = out.select("*", F.regexp_count(F.col(c), F.lit(pat)).cast("bigint").alias(f"n_{name}"))
+        out = out.withColumn(c, F.regexp_replace(F.col(c), pat, rep))
+        names.append(f"n_{name}")
     total = F.lit(0).cast("bigint")
     for n in names:
         total = total + F.col(n)
-    return out.withColumn("n_redacted", total).drop(c).withColumnRenamed("_redacted", c)
+    return out.withColumn("n_redacted", total)

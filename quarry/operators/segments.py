@@ -21,10 +21,31 @@ from ..functions import text as T
 HUMAN_TYPES = [t for t in K.USER_SEGMENT_TYPES if t != "tool_result"]
 
 
+def _as_array(v) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>")
+
+
+def _as_map(v) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>")
+
+
+def is_array(v) -> Column:
+    return _as_array(v).isNotNull()
+
+
+def is_object(v) -> Column:
+    return _as_map(v).isNotNull()
+
+
 def kind(v) -> Column:
-    """Upper-case type name of a VARIANT (STRING, ARRAY<..>, OBJECT<..>,
-    BIGINT, ...), 'MISSING' for SQL null."""
-    return F.coalesce(F.schema_of_variant(v), F.lit("MISSING"))
+    """Upper-case JSON type: ARRAY, OBJECT, STRING, BIGINT, BOOLEAN, VOID
+    (JSON null), ... and MISSING for SQL null.  Containers are recognised
+    by a cast, so ``schema_of_variant`` (which walks the whole value) only
+    ever runs on scalars."""
+    return (F.when(v.isNull(), F.lit("MISSING"))
+            .when(is_array(v), F.lit("ARRAY"))
+            .when(is_object(v), F.lit("OBJECT"))
+            .otherwise(F.schema_of_variant(v)))
 
 
 def as_string(v) -> Column:
@@ -39,14 +60,14 @@ def truthy(v) -> Column:
         F.when(k.isin("MISSING", "VOID"), F.lit(False))
         .when(k == "STRING", F.length(F.try_variant_get(v, "$", "string")) > 0)
         .when(k == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
-        .when(k.startswith("ARRAY"), F.size(F.try_variant_get(v, "$", "array<variant>")) > 0)
-        .when(k.startswith("OBJECT"), k != F.lit("OBJECT<>"))
+        .when(k == "ARRAY", F.size(_as_array(v)) > 0)
+        .when(k == "OBJECT", F.size(_as_map(v)) > 0)
         .otherwise(F.coalesce(F.try_variant_get(v, "$", "double") != F.lit(0.0), F.lit(True)))
     )
 
 
-def _field(seg, name: str) -> Column:
-    return F.try_variant_get(seg, f"$.{name}", "variant")
+def _field(v, name: str) -> Column:
+    return F.try_variant_get(v, f"$.{name}", "variant")
 
 
 def _seg_value(seg) -> Column:
@@ -57,73 +78,67 @@ def _seg_value(seg) -> Column:
     return F.when(~T.is_blank(v), v)
 
 
-def _seg_type(seg) -> Column:
-    return F.when(kind(seg).startswith("OBJECT"), F.try_variant_get(seg, "$.type", "string"))
+def decode_segments(content) -> Column:
+    """Each array item decoded once: ``bare`` (a string item), ``typ``
+    (object type), ``val`` (non-blank text-or-content), ``tool`` (string
+    content).  Null when the content is not an array."""
+    def dec(seg):
+        obj = is_object(seg)
+        return F.struct(
+            F.when(~obj, as_string(seg)).alias("bare"),
+            F.when(obj, F.try_variant_get(seg, "$.type", "string")).alias("typ"),
+            F.when(obj, _seg_value(seg)).alias("val"),
+            F.when(obj, as_string(_field(seg, "content"))).alias("tool"),
+        )
+    return F.transform(_as_array(content), dec)
 
 
 def _join_parts(parts) -> Column:
     return T.strip(F.array_join(parts, "\n"))
 
 
-def _segments(content) -> Column:
-    return F.when(kind(content).startswith("ARRAY"),
-                  F.try_variant_get(content, "$", "array<variant>"))
-
+def _string_content(s) -> Column:
+    """A non-empty string content (``content or []`` turns '' into [])."""
+    return s.isNotNull() & (F.length(s) > 0)
 
-def user_text(content, max_tool_chars: int) -> Column:
-    """User-visible text of a user record (tool results rendered)."""
-    s = as_string(content)
 
-    def part(seg):
-        typ = _seg_type(seg)
-        tool = as_string(_field(seg, "content"))
+def user_text(segs, s, max_tool_chars: int) -> Column:
+    """User-visible text of a user record (tool results rendered).
+    ``segs`` = ``decode_segments(content)``, ``s`` = string content."""
+    def part(d):
+        tool = d["tool"]
         return (
-            F.when(kind(seg) == F.lit("STRING"), as_string(seg))
-            .when(typ == F.lit("tool_result"),
+            F.when(d["bare"].isNotNull(), d["bare"])
+            .when(d["typ"] == F.lit("tool_result"),
                   F.when(~T.is_blank(tool), T.tool_block(tool, max_tool_chars)))
-            .when(typ.isin(HUMAN_TYPES), _seg_value(seg))
+            .when(d["typ"].isin(HUMAN_TYPES), d["val"])
         )
+    return F.coalesce(F.when(_string_content(s), T.strip(s)),
+                      _join_parts(F.transform(segs, part)), F.lit(""))
 
-    from_array = _join_parts(F.transform(_segments(content), part))
-    from_string = F.when(~T.is_blank(s), T.strip(s))
-    return F.coalesce(F.when(s.isNotNull() & (F.length(s) > 0), F.coalesce(from_string, F.lit(""))),
-                      from_array, F.lit(""))
 
-
-def assistant_text(content) -> Column:
+def assistant_text(segs, s) -> Column:
     """Text segments of an assistant record."""
-    s = as_string(content)
-
-    def part(seg):
-        return (F.when(kind(seg) == F.lit("STRING"), as_string(seg))
-                .when(_seg_type(seg) == F.lit("text"), _seg_value(seg)))
-
-    from_array = _join_parts(F.transform(_segments(content), part))
-    return F.coalesce(F.when(s.isNotNull() & (F.length(s) > 0), T.strip(s)), from_array, F.lit(""))
+    def part(d):
+        return F.when(d["bare"].isNotNull(), d["bare"]).when(d["typ"] == F.lit("text"), d["val"])
+    return F.coalesce(F.when(_string_content(s), T.strip(s)),
+                      _join_parts(F.transform(segs, part)), F.lit(""))
 
 
-def human_text(content) -> Column:
+def human_text(segs, s) -> Column:
     """User text without tool results."""
-    s = as_string(content)
-
-    def part(seg):
-        return (F.when(kind(seg) == F.lit("STRING"), as_string(seg))
-                .when(_seg_type(seg).isin(HUMAN_TYPES), _seg_value(seg)))
-
-    from_array = _join_parts(F.transform(_segments(content), part))
-    return F.coalesce(F.when(s.isNotNull() & (F.length(s) > 0), T.strip(s)), from_array, F.lit(""))
+    def part(d):
+        return F.when(d["bare"].isNotNull(), d["bare"]).when(d["typ"].isin(HUMAN_TYPES), d["val"])
+    return F.coalesce(F.when(_string_content(s), T.strip(s)),
+                      _join_parts(F.transform(segs, part)), F.lit(""))
 
 
-def has_human(content) -> Column:
+def has_human(segs, s) -> Column:
     """A non-empty string content, any bare string item, or a kept
     non-tool item with non-blank text."""
-    s = as_string(content)
-    hit = F.exists(
-        _segments(content),
-        lambda seg: (kind(seg) == F.lit("STRING"))
-        | (F.coalesce(_seg_type(seg).isin(HUMAN_TYPES), F.lit(False)) & _seg_value(seg).isNotNull()),
-    )
-    return F.coalesce(F.when(s.isNotNull() & (F.length(s) > 0), F.lit(True)), hit, F.lit(False))
+    hit = F.exists(segs, lambda d: d["bare"].isNotNull()
+                   | (F.coalesce(d["typ"].isin(HUMAN_TYPES), F.lit(False)) & d["val"].isNotNull()))
+    return F.coalesce(F.when(_string_content(s), F.lit(True)), hit, F.lit(False))
 
 
 def tool_use_fallback(rec) -> Column:
@@ -135,8 +150,8 @@ def tool_use_fallback(rec) -> Column:
     fc = as_string(_field(file, "content"))
     tx = as_string(_field(tur, "text"))
     return F.when(
-        kind(tur).startswith("OBJECT"),
-        F.when(kind(file).startswith("OBJECT"),
+        is_object(tur),
+        F.when(is_object(file),
                F.when(~T.is_blank(fc), F.concat(F.lit(K.TOOL_FALLBACK_PREFIX), fc)))
         .otherwise(F.when(tx.isNotNull(), F.concat(F.lit(K.TOOL_FALLBACK_PREFIX), tx))),
     )
@@ -152,30 +167,41 @@ def session_id(rec) -> Column:
 def record_role(rec) -> Column:
     """Message.role, else the record type."""
     msg = _field(rec, "message")
-    role = F.when(kind(msg).startswith("OBJECT"), F.try_variant_get(msg, "$.role", "string"))
+    role = F.when(is_object(msg), F.try_variant_get(msg, "$.role", "string"))
     return T.first_nonempty(role, F.try_variant_get(rec, "$.type", "string"))
 
 
 def normalise(recs: DataFrame, max_tool_chars: int = K.DEFAULT_PAIR_TOOL_CHARS,
               tool_fallback: bool = True) -> DataFrame:
-    """``(ord, rec)`` -> one normalised turn per record."""
+    """``(ord, rec)`` -> one normalised turn per record.
+
+    Two projections: the first decodes the record once (role, string
+    content, decoded segment array); the second derives every text from
+    those columns, so no VARIANT value is walked twice.
+    """
     rec = F.col("rec")
     msg = _field(rec, "message")
-    content = F.when(kind(msg).startswith("OBJECT"), _field(msg, "content"))
-    role = record_role(rec)
-    ut = user_text(content, max_tool_chars)
-    if tool_fallback:
-        ut = F.when(ut == F.lit(""), F.coalesce(tool_use_fallback(rec), F.lit(""))).otherwise(ut)
+    content = F.when(is_object(msg), _field(msg, "content"))
     ts_raw = as_string(_field(rec, "timestamp"))
-    return recs.select(
+    stage = recs.select(
         "ord",
         session_id(rec).alias("session_id"),
         ts_raw.alias("ts_raw"),
-        T.parse_ts(ts_raw).alias("ts"),
         F.coalesce(as_string(_field(rec, "cwd")), F.lit("")).alias("cwd"),
-        role.alias("role"),
-        F.when(role == F.lit("user"), ut).otherwise(F.lit("")).alias("user_text"),
-        F.when(role == F.lit("assistant"), assistant_text(content)).otherwise(F.lit("")).alias("assistant_text"),
-        F.when(role == F.lit("user"), has_human(content)).otherwise(F.lit(False)).alias("has_human"),
-        F.when(role == F.lit("user"), human_text(content)).otherwise(F.lit("")).alias("human_text"),
+        record_role(rec).alias("role"),
+        as_string(content).alias("_s"),
+        decode_segments(content).alias("_segs"),
+        (tool_use_fallback(rec) if tool_fallback else F.lit(None).cast("string")).alias("_fb"),
+    )
+    segs, s, role = F.col("_segs"), F.col("_s"), F.col("role")
+    ut = user_text(segs, s, max_tool_chars)
+    if tool_fallback:
+        ut = F.when(ut == F.lit(""), F.coalesce(F.col("_fb"), F.lit(""))).otherwise(ut)
+    is_user, is_asst = role == F.lit("user"), role == F.lit("assistant")
+    return stage.select(
+        "ord", "session_id", "ts_raw", T.parse_ts("ts_raw").alias("ts"), "cwd", "role",
+        F.when(is_user, ut).otherwise(F.lit("")).alias("user_text"),
+        F.when(is_asst, assistant_text(segs, s)).otherwise(F.lit("")).alias("assistant_text"),
+        F.coalesce(F.when(is_user, has_human(segs, s)), F.lit(False)).alias("has_human"),
+        F.when(is_user, human_text(segs, s)).otherwise(F.lit("")).alias("human_text"),
     )

@@ -51,7 +51,10 @@ def build_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT,
     """
     is_user = (F.col("role") == "user") & (F.col("user_text") != "")
     is_asst = (F.col("role") == "assistant") & (F.col("assistant_text") != "")
-    rows = _with_order(turns).where(is_user | is_asst).select(
+    # Only the cheap role test runs before the shuffle: a predicate on the
+    # texts would be pushed below the normaliser and re-derive them.  Rows
+    # with empty text carry nulls and drop out of the island aggregate.
+    rows = _with_order(turns).where(F.col("role").isin("user", "assistant")).select(
         "session_id", "_tkey", "ord", is_asst.alias("_asst"),
         F.when(is_user, F.col("user_text")).alias("_u"),
         F.when(is_asst, F.col("assistant_text")).alias("_a"))
