@@ -149,15 +149,16 @@ def keep_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id",
 # ------------------------------------------------------------------- F14
 # fixed values: license classes recognised in text, checked in this order.
 LICENSE_PATTERNS = [
-    ("apache-2.0", r"(?i)apache license,? version 2\.0"),
-    ("gpl-3.0", r"(?i)gnu general public license,? version 3"),
-    ("cc-by-nc-4.0", r"(?i)cc by-nc 4\.0"),
-    ("mit", r"(?i)mit license"),
+    ("apache-2.0", r"apache license,? version 2\.0"),
+    ("gpl-3.0", r"gnu general public license,? version 3"),
+    ("cc-by-nc-4.0", r"cc by-nc 4\.0"),
+    ("mit", r"mit license"),
 ]
 DEFAULT_ALLOWED_LICENSES = ["apache-2.0", "mit", "none"]
 
 
 def license_class(c) -> Column:
+    """First matching license class of an already lower-cased text."""
     expr = F.lit("none")
     for name, pat in reversed(LICENSE_PATTERNS):
         expr = F.when(T.col(c).rlike(pat), F.lit(name)).otherwise(expr)
@@ -166,7 +167,9 @@ def license_class(c) -> Column:
 
 def license_gate(df: DataFrame, text: str = "text",
                  allowed: Sequence[str] = DEFAULT_ALLOWED_LICENSES) -> DataFrame:
-    return (df.withColumn("license", license_class(text))
+    """Lower-case once, then plain (case-sensitive) pattern scans."""
+    low = df.select("*", F.lower(F.col(text)).alias("_low"))
+    return (low.withColumn("license", license_class("_low")).drop("_low")
             .where(F.col("license").isin(list(allowed))))
 
 
