@@ -692,3 +692,15 @@ FROM events GROUP BY ALL"""
 SQL["canary_gate"] = """
 SELECT strftime(ts, '%Y-%m-%d') AS version, bool_and(value > 1.0) AS promote, count(*) AS n
 FROM events WHERE event_type = 'signup' GROUP BY ALL"""
+
+
+SQL["pair_limit"] = SQL["build_pairs"].rstrip() + "\nORDER BY conv_id, island LIMIT 50"
+
+SQL["cwd_filter"] = """
+SELECT conv_id, turn, '/work/repo' || CAST(conv_id AS VARCHAR) AS cwd FROM conversations
+WHERE contains('/work/repo' || CAST(conv_id AS VARCHAR), 'repo1')"""
+
+SQL["export_jsonl"] = f"""WITH {EX1}
+SELECT conv_id, CAST(len(messages) AS BIGINT) AS n_msgs,
+  md5(array_to_string(list_transform(messages, lambda m: m.role || ':' || m.content), chr(10))) AS msg_md5
+FROM ex"""

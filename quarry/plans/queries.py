@@ -669,3 +669,40 @@ def canary_gate(spark, sf_dir):
     ev = S.table(spark, sf_dir, "events").where(F.col("event_type") == "signup").select(
         F.date_format("ts", "yyyy-MM-dd").alias("version"), (F.col("value") > 1.0).alias("passed"))
     return PR.canary_gate(ev)
+
+
+# ======================================================================
+# Remaining inventory rows: L4 cap, F1 filter, K1/K4 round trip
+# ======================================================================
+PAIR_LIMIT = 50
+
+
+@query("pair_limit")
+def pair_limit(spark, sf_dir):
+    """L4: the first 50 pairs, sessions in first-seen input order."""
+    turns = S.conversation_turns(spark, sf_dir)
+    p = W.build_pairs(turns, limit=PAIR_LIMIT)
+    return p.select("session_id", "island", transcript_md5().alias("msg_md5"))
+
+
+@query("cwd_filter")
+def cwd_filter(spark, sf_dir):
+    """raw-log records whose working directory contains 'repo1'."""
+    t = W.cwd_contains(_log_turns(spark, sf_dir), "repo1")
+    return t.select(F.col("ord.conv_id").alias("conv_id"), F.col("ord.turn").alias("turn"), "cwd")
+
+
+@query("export_jsonl")
+def export_jsonl(spark, sf_dir):
+    """K1/K4 + S2: examples written as JSONL into the shared checkpoint
+    folder and read back; the parsed content must equal the source."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    from ..sources import sinks as KS
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/export-{uuid.uuid4().hex}"
+    KS.write_examples(_ex(spark, sf_dir).select("conv_id", "messages"), path)
+    back = J.parse_records(J.read_lines(spark, path, recursive=False)).where(~F.col("bad_json"))
+    return back.select(F.try_variant_get("rec", "$.conv_id", "bigint").alias("conv_id"),
+                       J.messages_of(F.col("rec")).alias("messages")).select(
+        "conv_id", F.size("messages").cast("bigint").alias("n_msgs"), transcript_md5().alias("msg_md5"))
