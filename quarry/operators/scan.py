@@ -33,15 +33,30 @@ def _cols(xs):
 
 def running_sums(df: DataFrame, key: Sequence[str], order: Sequence[str],
                  flags: dict[str, Column], skew_safe: bool = True,
-                 partitions: int | None = None) -> DataFrame:
-    """Add one inclusive running-sum column per entry of ``flags``
-    (name -> integer Column), per ``key`` in ``order`` (a total order)."""
-    base = df.select("*", *[c.cast("bigint").alias(f"_f_{n}") for n, c in flags.items()])
+                 partitions: int | None = None,
+                 maxes: dict[str, Column] | None = None) -> DataFrame:
+    """Add inclusive running aggregates per ``key`` in ``order`` (a total
+    order): one running sum per entry of ``flags`` (name -> integer
+    Column) and one running max per entry of ``maxes`` (name -> orderable
+    Column, nulls ignored).  Key columns must be non-null."""
+    maxes = maxes or {}
+    base = df.select("*", *[c.cast("bigint").alias(f"_f_{n}") for n, c in flags.items()],
+                     *[c.alias(f"_m_{n}") for n, c in maxes.items()])
+
+    def local_aggs(w):
+        return ([F.sum(f"_f_{n}").over(w).alias(f"_l_{n}") for n in flags]
+                + [F.max(f"_m_{n}").over(w).alias(f"_lm_{n}") for n in maxes])
+
+    helpers = [f"_f_{n}" for n in flags] + [f"_m_{n}" for n in maxes]
     if not skew_safe:
         w = (Window.partitionBy(*key).orderBy(*_cols(order))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        out = base.select("*", *[F.sum(f"_f_{n}").over(w).alias(n) for n in flags])
-        return out.drop(*[f"_f_{n}" for n in flags])
+        out = base.select("*", *local_aggs(w))
+        for n in flags:
+            out = out.withColumnRenamed(f"_l_{n}", n)
+        for n in maxes:
+            out = out.withColumnRenamed(f"_lm_{n}", n)
+        return out.drop(*helpers)
 
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -56,19 +71,22 @@ def running_sums(df: DataFrame, key: Sequence[str], order: Sequence[str],
 
     wl = (Window.partitionBy("_pid", *key).orderBy(*_cols(order))
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.select("*", *[F.sum(f"_f_{n}").over(wl).alias(f"_l_{n}") for n in flags])
+    local = ranged.select("*", *local_aggs(wl))
 
-    totals = ranged.groupBy("_pid", *key).agg(*[F.sum(f"_f_{n}").alias(f"_t_{n}") for n in flags])
+    totals = ranged.groupBy("_pid", *key).agg(
+        *[F.sum(f"_f_{n}").alias(f"_t_{n}") for n in flags],
+        *[F.max(f"_m_{n}").alias(f"_tm_{n}") for n in maxes])
     wo = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         F.col("_pid").alias("_opid"), *[F.col(k).alias(f"_ok_{k}") for k in key],
-        *[F.coalesce(F.sum(f"_t_{n}").over(wo), F.lit(0)).alias(f"_o_{n}") for n in flags])
+        *[F.coalesce(F.sum(f"_t_{n}").over(wo), F.lit(0)).alias(f"_o_{n}") for n in flags],
+        *[F.max(f"_tm_{n}").over(wo).alias(f"_om_{n}") for n in maxes])
 
     cond = F.col("_pid") == F.col("_opid")
     for k in key:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_ok_{k}"))
+        cond = cond & (F.col(k) == F.col(f"_ok_{k}"))
     joined = local.join(offsets, cond, "inner")
-    out = joined.select(
+    return joined.select(
         *[F.col(c) for c in df.columns],
-        *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in flags])
-    return out
+        *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in flags],
+        *[F.greatest(F.col(f"_lm_{n}"), F.col(f"_om_{n}")).alias(n) for n in maxes])

@@ -109,52 +109,46 @@ def follow_windows(turns: DataFrame, follow_k: int = K.DEFAULT_FOLLOW_K,
     """
     t = _with_order(turns)
     human = (F.col("role") == "user") & F.col("has_human")
-    scanned = running_sums(t, ["session_id"], ORDER, {"island": human.cast("int")},
-                           skew_safe=skew_safe)
-    scanned = scanned.withColumn("_human", human)
-
-    anchors = scanned.where(
-        F.col("_human") & (F.length("human_text") >= F.lit(min_user_chars))
-    ).select(
-        F.col("session_id").alias("_asid"), F.col("island").alias("_aisl"),
-        F.col("human_text").alias("anchor_text"), F.col("ts").alias("anchor_ts"),
-        F.col("_tkey").alias("_akey"), F.col("ord").alias("_aord"))
+    anchor = human & (F.length("human_text") >= F.lit(min_user_chars))
+    # One segmented scan gives each row its island (running count of human
+    # turns) and the latest human turn at or before it (running max of its
+    # order key), i.e. the island's first row: its time and whether it is an
+    # anchor travel with every row, so no join back to the anchors.
+    scanned = running_sums(
+        t, ["session_id"], ORDER, {"island": human.cast("int")}, skew_safe=skew_safe,
+        maxes={"_lh": F.when(human, F.struct(F.col("_tkey"), F.col("ord"),
+                                             F.col("ts").alias("ats"), anchor.alias("anc")))})
     if follow_minutes:
-        end = F.col("anchor_ts") + F.make_dt_interval(mins=F.lit(follow_minutes))
+        end = F.col("_lh.ats") + F.make_dt_interval(mins=F.lit(follow_minutes))
     else:
         end = F.lit(None).cast("timestamp")
-
-    body = scanned.where(~F.col("_human")).join(
-        anchors,
-        (F.col("session_id") == F.col("_asid")) & (F.col("island") == F.col("_aisl")),
-        "inner")
-    body = body.withColumn("_end", end)
-    violates = F.col("_end").isNotNull() & (F.col("ts").isNull() | (F.col("ts") > F.col("_end")))
-    body = body.withColumn("_viol", violates)
-
-    # first violating row per island: partial aggregate, joined back
-    first_viol = body.where("_viol").groupBy("_asid", "_aisl").agg(
-        F.min(F.struct("_tkey", "ord")).alias("_vkey"))
-    body = body.join(first_viol, ["_asid", "_aisl"], "left")
-    before_viol = F.col("_vkey").isNull() | (F.struct("_tkey", "ord") < F.col("_vkey"))
-
+    violates = end.isNotNull() & (F.col("ts").isNull() | (F.col("ts") > end))
     is_asst = (F.col("role") == "assistant") & (F.col("assistant_text") != "")
     is_tool = (F.col("role") == "user") & (F.col("user_text") != "")
-    eligible = body.where(before_viol & (is_asst | is_tool)).select(
-        "_asid", "_aisl", "anchor_text", "_tkey", "ord", is_asst.alias("_is_asst"),
+    in_anchor_island = F.coalesce(F.col("_lh.anc"), F.lit(False))
+    # Anchor rows plus, in anchor islands, rows that are taken or that stop
+    # the window.  The window takes eligible rows until the first violating
+    # row or k of them; that is decided by the first k candidates after the
+    # anchor, so row_number <= k + 1 (planned as a partial per-partition
+    # group limit before the shuffle) is exact.
+    x = scanned.where(anchor | (~human & in_anchor_island & (is_asst | is_tool | violates))).select(
+        F.col("session_id").alias("_asid"), F.col("island").alias("_aisl"), "_tkey", "ord",
+        anchor.alias("_anc"), violates.alias("_viol"), is_asst.alias("_is_asst"),
+        F.when(anchor, F.col("human_text")).alias("_atext"),
         F.when(is_asst, _msg("assistant", F.col("assistant_text")))
         .otherwise(_msg("user", F.col("user_text"))).alias("_m"))
-    # first follow_k eligible rows per island (row_number <= k is planned as
-    # a partial per-partition group limit before the shuffle)
     wk = Window.partitionBy("_asid", "_aisl").orderBy("_tkey", "ord")
-    taken = eligible.withColumn("_rn", F.row_number().over(wk)).where(F.col("_rn") <= F.lit(follow_k))
-
-    win = taken.groupBy("_asid", "_aisl").agg(
-        F.first("anchor_text").alias("anchor_text"),
-        F.max(F.col("_is_asst").cast("int")).alias("_saw"),
-        F.count(F.lit(1)).alias("n_follow"),
-        F.array_sort(F.collect_list(F.struct("_rn", "_m"))).alias("_ms"),
-    ).where(F.col("_saw") == 1)
+    top = x.withColumn("_rn", F.row_number().over(wk)).where(F.col("_rn") <= F.lit(follow_k + 1))
+    grouped = top.groupBy("_asid", "_aisl").agg(
+        F.max(F.when(F.col("_anc"), F.col("_atext"))).alias("anchor_text"),
+        F.array_sort(F.collect_list(F.when(~F.col("_anc"), F.struct("_rn", "_viol", "_is_asst", "_m"))))
+        .alias("_cands"))
+    first_viol = F.array_position(F.transform("_cands", lambda c: c["_viol"]), True)
+    taken = F.when(first_viol > 0, F.slice("_cands", 1, (first_viol - 1).cast("int"))).otherwise(F.col("_cands"))
+    win = (grouped.where(F.col("anchor_text").isNotNull())
+           .withColumn("_ms", taken)
+           .where(F.exists("_ms", lambda c: c["_is_asst"]))
+           .withColumn("n_follow", F.size("_ms").cast("bigint")))
     return win.select(
         F.col("_asid").alias("session_id"), F.col("_aisl").alias("island"), "n_follow",
         F.concat(F.array(_msg("system", F.lit(system)), _msg("user", F.col("anchor_text"))),
