@@ -51,11 +51,12 @@ def fim_spans(df: DataFrame, path: str = "path", text: str = "text",
     start uniform in ``[20, L - mid_len - 20]``; prefix/middle/suffix.
     Draws whose window has no newline or whose middle is too long are
     skipped.  Returns ``path, sample_no, prefix, middle, suffix``."""
-    g = fim_gates(df, text).select(F.col(path).cast("string").alias("path"), "code")
+    g = fim_gates(df, text).select(F.col(path).cast("string").alias("path"), "code",
+                                   F.length("code").cast("bigint").alias("_n"))
     g = g.withColumn("sample_no", F.explode(F.sequence(F.lit(0), F.lit(per_file - 1))))
     h1 = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("path"), F.col("sample_no").cast("string")))
     g = g.withColumn("_h1", h1).withColumn("_h2", F.md5("_h1"))
-    n = F.length("code").cast("bigint")
+    n = F.col("_n")
     start = F.when(n > F.lit(max_len), _randint(_u(F.col("_h1"), 1), F.lit(0), n - F.lit(max_len))).otherwise(F.lit(0))
     g = g.withColumn("_win", F.substring(F.col("code"), start + F.lit(1), max_len))
     g = g.where(F.instr("_win", "\n") > 0)

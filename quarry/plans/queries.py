@@ -281,7 +281,6 @@ def eval_size(spark, sf_dir):
 def train_eval_split(spark, sf_dir):
     """L2: seeded exact-size split of the unique examples."""
     d = SP.merge_dedupe(_merge_inputs(spark, sf_dir)).where(~F.col("is_dup"))
-    d = d.cache()
     k = SP.eval_size(d.count())
     out = SP.split_label(d, "sig", k, seed=42)
     return out.select("src", "conv_id", "split")
