@@ -24,7 +24,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 
 def _cols(xs):
@@ -64,9 +64,8 @@ def running_sums(df: DataFrame, key: Sequence[str], order: Sequence[str],
     # The range partitioner samples its input in a separate job; persisting
     # the input keeps the upstream work (e.g. VARIANT parsing) to one pass.
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = (base.repartitionByRange(n_parts, *_cols(key), *_cols(order))
-              .withColumn("_pid", F.spark_partition_id()))
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialize(base.repartitionByRange(n_parts, *_cols(key), *_cols(order))
+                         .withColumn("_pid", F.spark_partition_id()))
     base.unpersist()
 
     wl = (Window.partitionBy("_pid", *key).orderBy(*_cols(order))

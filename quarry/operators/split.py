@@ -99,24 +99,36 @@ def kth_smallest(df: DataFrame, h: str, k: int, level_chars: int = 4,
             return last
 
 
-def split(df: DataFrame, key: str, n_eval: int, seed: int = K.DEFAULT_SEED) -> tuple[DataFrame, DataFrame]:
-    """Seeded exact-size split: eval = the ``n_eval`` rows with the
-    smallest ``md5(seed:key)``, train = the rest.  Keys must be unique.
-    Independent of partitioning and of input order."""
-    hashed = df.withColumn("_h", _hash(F.col(key), seed))
-    thr = kth_smallest(hashed, "_h", n_eval)
-    is_eval = (F.col("_h") <= F.lit(thr)) if thr is not None else F.lit(False)
-    marked = hashed.withColumn("_eval", is_eval)
-    return (marked.where(~F.col("_eval")).drop("_h", "_eval"),
-            marked.where(F.col("_eval")).drop("_h", "_eval"))
-
-
-def split_label(df: DataFrame, key: str, n_eval: int, seed: int = K.DEFAULT_SEED) -> DataFrame:
+def _threshold(df: DataFrame, key: str, n_eval: int | None, seed: int):
+    """Hash threshold for an exact-size eval set.  The search runs on a
+    narrow ``(key, hash)`` projection checkpointed once into the shared
+    checkpoint folder, so the count and the histogram passes never
+    recompute the upstream plan."""
+    from ..session import materialize
+    narrow = materialize(df.select(F.col(key), _hash(F.col(key), seed).alias("_h")))
+    k = eval_size(narrow.count()) if n_eval is None else n_eval
+    return kth_smallest(narrow, "_h", k), k
+
+
+def split(df: DataFrame, key: str, n_eval: int | None = None,
+          seed: int = K.DEFAULT_SEED) -> tuple[DataFrame, DataFrame]:
+    """Seeded exact-size split: eval = the ``n_eval`` rows (default: the
+    eval-size rule on the row count) with the smallest ``md5(seed:key)``,
+    train = the rest.  Keys must be unique.  Independent of partitioning
+    and of input order."""
+    thr, _ = _threshold(df, key, n_eval, seed)
+    h = _hash(F.col(key), seed)
+    is_eval = (h <= F.lit(thr)) if thr is not None else F.lit(False)
+    return df.where(~is_eval), df.where(is_eval)
+
+
+def split_label(df: DataFrame, key: str, n_eval: int | None = None,
+                seed: int = K.DEFAULT_SEED) -> DataFrame:
     """``split`` as one frame with a ``split`` column ('train' / 'eval')."""
-    hashed = df.withColumn("_h", _hash(F.col(key), seed))
-    thr = kth_smallest(hashed, "_h", n_eval)
-    lab = F.when(F.col("_h") <= F.lit(thr), F.lit("eval")) if thr is not None else F.lit(None)
-    return hashed.withColumn("split", F.coalesce(lab, F.lit("train"))).drop("_h")
+    thr, _ = _threshold(df, key, n_eval, seed)
+    h = _hash(F.col(key), seed)
+    lab = F.when(h <= F.lit(thr), F.lit("eval")) if thr is not None else F.lit(None)
+    return df.withColumn("split", F.coalesce(lab, F.lit("train")))
 
 
 # ------------------------------------------------------------------- L3

@@ -281,8 +281,7 @@ def eval_size(spark, sf_dir):
 def train_eval_split(spark, sf_dir):
     """L2: seeded exact-size split of the unique examples."""
     d = SP.merge_dedupe(_merge_inputs(spark, sf_dir)).where(~F.col("is_dup"))
-    k = SP.eval_size(d.count())
-    out = SP.split_label(d, "sig", k, seed=42)
+    out = SP.split_label(d, "sig", seed=42)   # eval size from the unique count
     return out.select("src", "conv_id", "split")
 
 

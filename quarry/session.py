@@ -56,3 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared checkpoint folder (cuts lineage;
+    survives executor loss).  The input is persisted for the duration so
+    the checkpoint write does not recompute it after the counting job."""
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out
