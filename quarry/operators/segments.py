@@ -173,7 +173,8 @@ def record_role(rec) -> Column:
 
 def normalise(recs: DataFrame, max_tool_chars: int = K.DEFAULT_PAIR_TOOL_CHARS,
               tool_fallback: bool = True) -> DataFrame:
-    """``(ord, rec)`` -> one normalised turn per record.
+    """``(ord, rec)`` -> one normalised turn per record (other input
+    columns pass through).
 
     Two projections: the first decodes the record once (role, string
     content, decoded segment array); the second derives every text from
@@ -183,8 +184,9 @@ def normalise(recs: DataFrame, max_tool_chars: int = K.DEFAULT_PAIR_TOOL_CHARS,
     msg = _field(rec, "message")
     content = F.when(is_object(msg), _field(msg, "content"))
     ts_raw = as_string(_field(rec, "timestamp"))
+    extra = [c for c in recs.columns if c not in ("ord", "rec", "bad_json")]
     stage = recs.select(
-        "ord",
+        "ord", *extra,
         session_id(rec).alias("session_id"),
         ts_raw.alias("ts_raw"),
         F.coalesce(as_string(_field(rec, "cwd")), F.lit("")).alias("cwd"),
@@ -199,7 +201,7 @@ def normalise(recs: DataFrame, max_tool_chars: int = K.DEFAULT_PAIR_TOOL_CHARS,
         ut = F.when(ut == F.lit(""), F.coalesce(F.col("_fb"), F.lit(""))).otherwise(ut)
     is_user, is_asst = role == F.lit("user"), role == F.lit("assistant")
     return stage.select(
-        "ord", "session_id", "ts_raw", T.parse_ts("ts_raw").alias("ts"), "cwd", "role",
+        "ord", *extra, "session_id", "ts_raw", T.parse_ts("ts_raw").alias("ts"), "cwd", "role",
         F.when(is_user, ut).otherwise(F.lit("")).alias("user_text"),
         F.when(is_asst, assistant_text(segs, s)).otherwise(F.lit("")).alias("assistant_text"),
         F.coalesce(F.when(is_user, has_human(segs, s)), F.lit(False)).alias("has_human"),

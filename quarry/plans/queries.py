@@ -388,7 +388,12 @@ LOG_TOOL_CHARS = 500
 
 
 def _log_turns(spark, sf_dir):
-    recs = J.parse_records(S.log_lines(spark, sf_dir)).where(~F.col("bad_json"))
+    """S1 -> P2-P8: raw log files (derived from conversations) read back
+    with the recursive log scan, then normalised; the record's own
+    ``conv_id``/``turn`` fields identify it."""
+    recs = J.read_logs(spark, S.log_files(spark, sf_dir), glob="*.txt")
+    recs = recs.select("ord", "rec", F.try_variant_get("rec", "$.conv_id", "bigint").alias("conv_id"),
+                       F.try_variant_get("rec", "$.turn", "bigint").alias("turn"))
     return SG.normalise(recs, max_tool_chars=LOG_TOOL_CHARS, tool_fallback=True)
 
 
@@ -396,15 +401,15 @@ def _log_turns(spark, sf_dir):
 def session_keys(spark, sf_dir):
     """P7 + P8: session id, role and parsed timestamp of every record."""
     t = _log_turns(spark, sf_dir)
-    return t.select(F.col("ord.conv_id").alias("conv_id"), F.col("ord.turn").alias("turn"),
-                    "session_id", "role", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "cwd")
+    return t.select("conv_id", "turn", "session_id", "role",
+                    F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "cwd")
 
 
 @query("log_texts")
 def log_texts(spark, sf_dir):
     """User, assistant and human text of every record."""
     t = _log_turns(spark, sf_dir)
-    return t.select(F.col("ord.conv_id").alias("conv_id"), F.col("ord.turn").alias("turn"),
+    return t.select("conv_id", "turn",
                     F.md5("user_text").alias("user_md5"), F.md5("assistant_text").alias("assistant_md5"),
                     F.md5("human_text").alias("human_md5"), "has_human")
 
@@ -687,7 +692,7 @@ def pair_limit(spark, sf_dir):
 def cwd_filter(spark, sf_dir):
     """raw-log records whose working directory contains 'repo1'."""
     t = W.cwd_contains(_log_turns(spark, sf_dir), "repo1")
-    return t.select(F.col("ord.conv_id").alias("conv_id"), F.col("ord.turn").alias("turn"), "cwd")
+    return t.select("conv_id", "turn", "cwd")
 
 
 @query("export_jsonl")

@@ -132,7 +132,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(j(F.col("text"))))
     key = F.when(role == "system", F.lit("session_id")).otherwise(F.lit("sessionId"))
     value = F.concat(
-        F.lit('{"'), key, F.lit('":'), j(F.col("conv_id").cast("string")),
+        F.lit('{"conv_id":'), F.col("conv_id").cast("string"), F.lit(',"turn":'), F.col("turn").cast("string"),
+        F.lit(',"'), key, F.lit('":'), j(F.col("conv_id").cast("string")),
         F.lit(',"type":'), j(role), F.lit(',"timestamp":'), j(ts),
         F.lit(',"cwd":"/work/repo'), F.col("conv_id").cast("string"), F.lit('"'),
         F.lit(',"message":{"role":'), j(role), F.lit(',"content":'), content, F.lit("}}"))
@@ -187,3 +188,18 @@ def document_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(F.col("source") == "src5", F.lit("package-lock")).otherwise(
         F.concat(F.lit("doc"), F.col("doc_id").cast("string")))
     return d.select("doc_id", F.concat(top, F.col("source"), F.lit("/"), name, ext).alias("path"))
+
+
+def log_files(spark: SparkSession, sf_dir: str) -> str:
+    """``log_lines`` written once as text files under the shared checkpoint
+    folder (raw logs are files); returns the folder.  Later calls in the
+    same session reuse it."""
+    import hashlib
+    from ..session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/logs-{hashlib.md5(sf_dir.encode()).hexdigest()}"
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    if not hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath):
+        log_lines(spark, sf_dir).select("value").write.mode("overwrite").text(path)
+    return path

@@ -62,10 +62,13 @@ def parse_records(lines: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------- S1
-def read_logs(spark: SparkSession, path, keep_bad: bool = False) -> DataFrame:
+JSONL_GLOB = "*.[jJ][sS][oO][nN][lL]"
+
+
+def read_logs(spark: SparkSession, path, keep_bad: bool = False, glob: str = JSONL_GLOB) -> DataFrame:
     """Recursive scan of ``*.jsonl`` logs (extension case-insensitive);
     blank and unparsable lines are skipped unless ``keep_bad``."""
-    lines = read_lines(spark, path, glob="*.[jJ][sS][oO][nN][lL]")
+    lines = read_lines(spark, path, glob=glob)
     recs = parse_records(lines)
     return recs if keep_bad else recs.where(~F.col("bad_json"))
 
