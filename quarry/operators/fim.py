@@ -58,7 +58,11 @@ def fim_spans(df: DataFrame, path: str = "path", text: str = "text",
     g = g.withColumn("_h1", h1).withColumn("_h2", F.md5("_h1"))
     n = F.col("_n")
     start = F.when(n > F.lit(max_len), _randint(_u(F.col("_h1"), 1), F.lit(0), n - F.lit(max_len))).otherwise(F.lit(0))
-    g = g.withColumn("_win", F.substring(F.col("code"), start + F.lit(1), max_len))
+    # The window is produced by a one-row Generate: the filters below refer
+    # to it, and a predicate cannot be pushed below its Generate, so the
+    # substring of the file is taken once per draw, not once per reference.
+    g = g.select("path", "sample_no", "_h1", "_h2",
+                 F.explode(F.array(F.substring(F.col("code"), start + F.lit(1), max_len))).alias("_win"))
     g = g.where(F.instr("_win", "\n") > 0)
     L = F.length("_win").cast("bigint")
     mid_len = F.greatest(F.lit(80).cast("bigint"),

@@ -52,10 +52,16 @@ def is_object(v) -> Column:
 
 
 def parse_records(lines: DataFrame) -> DataFrame:
-    """``value`` -> ``rec`` VARIANT (objects only) + ``bad_json`` flag."""
-    v = strict_json(F.col("value"))
-    return lines.select(
-        "ord",
+    """``value`` -> ``rec`` VARIANT (objects only) + ``bad_json`` flag.
+
+    The parsed value is produced by a one-row ``explode`` (a Generate):
+    predicates on it cannot be pushed below the Generate, so every line is
+    parsed exactly once instead of once per pushed-down reference."""
+    keep = [c for c in lines.columns if c != "value"]
+    parsed = lines.select(*keep, F.explode(F.array(strict_json(F.col("value")))).alias("_v"))
+    v = F.col("_v")
+    return parsed.select(
+        *keep,
         F.when(is_object(v), v).alias("rec"),
         (~is_object(v)).alias("bad_json"),
     )
