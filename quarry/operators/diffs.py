@@ -88,9 +88,12 @@ def diff_files(diffs: DataFrame, diff: str = "diff") -> DataFrame:
     """
     files = diffs.select("*", F.posexplode(F.split(F.col(diff), FILE_SPLIT)).alias("file_no", "file_text"))
     files = files.where(F.col("file_text").startswith("diff --git "))
-    parts = F.split("file_text", HUNK_SPLIT)
+    # one-row Generate: the hunk split runs once per file however often the
+    # parts are referenced (projections and pushed-down filters alike)
+    files = files.select("*", F.explode(F.array(F.split("file_text", HUNK_SPLIT))).alias("_parts"))
+    parts = F.col("_parts")
     files = files.withColumn("header", F.get(parts, 0)).withColumn(
-        "hunks", F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))))
+        "hunks", F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))).drop("_parts")
     plus = F.regexp_extract("header", r"(?m)^\+\+\+ (.*)$", 1)
     minus = F.regexp_extract("header", r"(?m)^--- (.*)$", 1)
     git_b = F.regexp_extract("header", r"(?m)^diff --git a/.* b/(.*)$", 1)
@@ -143,12 +146,16 @@ def before_after(files: DataFrame) -> DataFrame:
     sides = F.transform("hunks", lambda h: F.struct(
         _hunk_side(h, "\\-").alias("b"), _hunk_side(h, "+").alias("a")))
     kept = F.filter(sides, lambda s: ~T.is_blank(s["b"]) | ~T.is_blank(s["a"]))
-    out = files.withColumn("_kept", kept)
-    out = out.where(F.size("_kept") > 0)
-    out = out.withColumn("before", F.array_join(F.transform("_kept", lambda s: s["b"]), ""))
-    out = out.withColumn("after", F.array_join(F.transform("_kept", lambda s: s["a"]), ""))
-    out = out.withColumn("patch_block", rstrip("file_text"))
-    return out.where(~T.is_blank("patch_block")).drop("_kept")
+    # kept hunks and the patch block come out of one-row Generates, so the
+    # filters on them do not re-run the hunk regexes below the projection
+    out = files.select("*", F.explode(F.array(F.struct(kept.alias("k"), rstrip("file_text").alias("p"))))
+                       .alias("_g"))
+    out = out.where((F.size("_g.k") > 0) & ~T.is_blank(F.col("_g.p")))
+    return out.select(
+        *[c for c in files.columns],
+        F.array_join(F.transform("_g.k", lambda s: s["b"]), "").alias("before"),
+        F.array_join(F.transform("_g.k", lambda s: s["a"]), "").alias("after"),
+        F.col("_g.p").alias("patch_block"))
 
 
 # ------------------------------------------------------------------- G4
