@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.text import lf
+from .frames import once
 from .quality import keep_first
 
 TWO52 = float(2 ** 52)
@@ -36,10 +37,8 @@ def fim_gates(df: DataFrame, text: str = "text") -> DataFrame:
     characters after newline normalisation.  Adds ``code``."""
     t = F.col(text)
     minified = (F.length(t) > 20000) & (F.instr(F.substring(t, 1, 2000), "\n") == 0)
-    return (df.where(F.coalesce(F.length(t), F.lit(0)) > 0)
-            .where(~minified)
-            .withColumn("code", lf(t))
-            .where(F.length("code") >= 200))
+    kept = df.where(F.coalesce(F.length(t), F.lit(0)) > 0).where(~minified)
+    return once(kept, "code", lf(t)).where(F.length("code") >= 200)
 
 
 # ------------------------------------------------------------------- L6

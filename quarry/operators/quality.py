@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import text as T
+from .frames import once
 
 Counter = Callable[[Column], Column]
 
@@ -27,9 +28,8 @@ def dedupe_first(df: DataFrame, key: str, order: str = "ord",
     """Add ``flag``: true for every row that is not the first (by
     ``order``) of its ``key``.  Rows with a null key are never duplicates.
     ``order`` must be unique per row."""
-    firsts = (df.where(F.col(key).isNotNull())
-              .groupBy(F.col(key).alias("_k"))
-              .agg(F.min(order).alias("_first")))
+    # null keys form one harmless group: ``null = null`` never joins back
+    firsts = df.groupBy(F.col(key).alias("_k")).agg(F.min(order).alias("_first"))
     left = df.alias("_l")
     joined = left.join(
         firsts,
@@ -169,7 +169,7 @@ def license_gate(df: DataFrame, text: str = "text",
                  allowed: Sequence[str] = DEFAULT_ALLOWED_LICENSES) -> DataFrame:
     """Lower-case once, then plain (case-sensitive) pattern scans."""
     low = df.select("*", F.lower(F.col(text)).alias("_low"))
-    return (low.withColumn("license", license_class("_low")).drop("_low")
+    return (once(low, "license", license_class("_low")).drop("_low")
             .where(F.col("license").isin(list(allowed))))
 
 
