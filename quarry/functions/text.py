@@ -178,8 +178,11 @@ _LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
 def subject(c) -> Column:
-    """First line (Python ``splitlines`` breaks), stripped."""
-    return strip(F.get(F.split(strip(col(c)), _LINE_BREAKS, 2), 0))
+    """First line of the stripped message (Python ``splitlines`` breaks),
+    stripped.  Only leading whitespace has to go before the split: trailing
+    whitespace is either past the first break or removed by the final strip,
+    so the whole message is never rewritten."""
+    return strip(F.get(F.split(lstrip(col(c)), _LINE_BREAKS, 2), 0))
 
 
 # ---------------------------------------------------------- P23 / P24
