@@ -95,7 +95,7 @@ def follow_windows(turns: DataFrame, follow_k: int = K.DEFAULT_FOLLOW_K,
                    follow_minutes: int = 0,
                    min_user_chars: int = K.DEFAULT_MIN_USER_CHARS,
                    system: str = K.PAIR_SYSTEM_PROMPT,
-                   skew_safe: bool = True) -> DataFrame:
+                   skew_safe: bool = True, limit: int | None = None) -> DataFrame:
     """Anchor on user turns with human text >= ``min_user_chars``; take the
     following rows until the next human turn, or (minutes > 0 and a valid
     anchor time) the first row of any type with a missing time or a time
@@ -149,7 +149,10 @@ def follow_windows(turns: DataFrame, follow_k: int = K.DEFAULT_FOLLOW_K,
            .withColumn("_ms", taken)
            .where(F.exists("_ms", lambda c: c["_is_asst"]))
            .withColumn("n_follow", F.size("_ms").cast("bigint")))
-    return win.select(
+    out = win.select(
         F.col("_asid").alias("session_id"), F.col("_aisl").alias("island"), "n_follow",
         F.concat(F.array(_msg("system", F.lit(system)), _msg("user", F.col("anchor_text"))),
                  F.transform("_ms", lambda x: x["_m"])).alias("messages"))
+    if limit is not None:
+        out = limit_ordered(out, turns, limit)
+    return out

@@ -123,3 +123,15 @@ def test_limit_first_seen_order(spark):
     lim = W.build_pairs(df, limit=5).collect()
     full = W.build_pairs(df).collect()
     assert len(lim) == min(5, len(full))
+
+
+def test_follow_limit_in_session_order(spark):
+    rows = make_turns(6, n_sessions=12, hot=40)
+    df = spark.createDataFrame(rows, SCHEMA)
+    full = W.follow_windows(df, follow_k=5, follow_minutes=0, min_user_chars=80)
+    first_seen = {}
+    for r in rows:
+        first_seen.setdefault(r[0], r[3])
+    exp = sorted(((first_seen[r["session_id"]], r["island"]) for r in full.collect()))[:7]
+    got = W.follow_windows(df, follow_k=5, follow_minutes=0, min_user_chars=80, limit=7).collect()
+    assert sorted((first_seen[r["session_id"]], r["island"]) for r in got) == exp
