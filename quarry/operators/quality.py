@@ -67,13 +67,7 @@ def qc(df: DataFrame, min_user_chars: int = K.DEFAULT_MIN_USER_CHARS,
     """
     if "bad_json" not in df.columns:
         df = df.withColumn("bad_json", F.lit(False))
-    user = T.first_content("messages", "user")
-    stage1 = (
-        F.when(F.col("bad_json"), F.lit("bad_json"))
-        .when(~T.has_role("messages", "assistant"), F.lit("no_assistant"))
-        .when(T.is_blank(user), F.lit("no_user"))
-        .when(F.length(T.strip(user)) < F.lit(min_user_chars), F.lit("short_user"))
-    )
+    stage1 = _stage1(min_user_chars)
     staged = df.withColumn("_stage1", stage1).withColumn(
         "_sig", F.when(F.col("_stage1").isNull(), T.qc_signature("messages")))
     deduped = dedupe_first(staged, "_sig", "ord", "_dup")
@@ -92,6 +86,62 @@ def qc(df: DataFrame, min_user_chars: int = K.DEFAULT_MIN_USER_CHARS,
     return out.withColumn("drop_reason", reason).drop("_stage1", "_sig", "_dup")
 
 
+def _stage1(min_user_chars: int) -> Column:
+    user = T.first_content("messages", "user")
+    return (
+        F.when(F.col("bad_json"), F.lit("bad_json"))
+        .when(~T.has_role("messages", "assistant"), F.lit("no_assistant"))
+        .when(T.is_blank(user), F.lit("no_user"))
+        .when(F.length(T.strip(user)) < F.lit(min_user_chars), F.lit("short_user"))
+    )
+
+
+def qc_groups(df: DataFrame, min_user_chars: int = K.DEFAULT_MIN_USER_CHARS) -> DataFrame:
+    """Single-pass form of the cascade for the clean output and the report.
+
+    One aggregate keyed by the QC signature for rows that pass the first
+    four rules, and by the drop reason for rows that do not: ``n`` rows per
+    group and ``first``, the first row in input order (``min_by``, partial,
+    so hot signatures and hot reasons are reduced map-side).  One scan and
+    one shuffle; the per-row ``qc`` needs a second pass for its join."""
+    if "bad_json" not in df.columns:
+        df = df.withColumn("bad_json", F.lit(False))
+    cols = [c for c in df.columns]
+    staged = once(df, "_stage1", _stage1(min_user_chars))
+    key = F.coalesce(F.concat(F.lit("reason:"), F.col("_stage1")),
+                     F.concat(F.lit("sig:"), T.qc_signature("messages")))
+    return staged.groupBy(key.alias("_key")).agg(
+        F.max("_stage1").alias("reason"),
+        F.count(F.lit(1)).alias("n"),
+        F.min_by(F.struct(*cols), F.col("ord")).alias("first"))
+
+
+def qc_clean(groups: DataFrame, max_tokens: int = K.DEFAULT_MAX_TOKENS,
+             counter: str | Counter = "char4") -> DataFrame:
+    """Kept rows from ``qc_groups``: first copy of each signature within the
+    length cap (the counter runs once per signature)."""
+    firsts = groups.where(F.col("reason").isNull()).select("first.*")
+    n_tok = T.token_estimate("messages") if counter == "char4" else counter(F.col("messages"))
+    return firsts.withColumn("n_tok", n_tok).where(F.col("n_tok") <= F.lit(max_tokens))
+
+
+def qc_report(groups: DataFrame, max_tokens: int = K.DEFAULT_MAX_TOKENS,
+              counter: str | Counter = "char4", include_kept: bool = False) -> DataFrame:
+    """Drop report (A1) from ``qc_groups``: every count is an aggregate of
+    the group table, which has one row per signature or reason."""
+    n_tok = T.token_estimate("first.messages") if counter == "char4" else counter(F.col("first.messages"))
+    sig = groups.where(F.col("reason").isNull()).withColumn("_long", n_tok > F.lit(max_tokens))
+    parts = groups.where(F.col("reason").isNotNull()).select(F.col("reason").alias("drop_reason"), "n")
+    parts = parts.unionByName(sig.select(F.lit("duplicate").alias("drop_reason"), (F.col("n") - 1).alias("n")))
+    parts = parts.unionByName(sig.select(
+        F.when(F.col("_long"), F.lit("too_long")).otherwise(F.lit("kept")).alias("drop_reason"),
+        F.lit(1).cast("bigint").alias("n")))
+    counts = parts.groupBy("drop_reason").agg(F.sum("n").alias("n")).where(F.col("n") > 0)
+    total = F.sum("n").over(_whole())
+    out = counts.select("drop_reason", "n", F.round(F.lit(100.0) * F.col("n") / total, 1).alias("pct"))
+    return out if include_kept else out.where(F.col("drop_reason") != F.lit("kept"))
+
+
 def clean(df: DataFrame) -> DataFrame:
     """Rows the cascade kept."""
     return df.where(F.col("drop_reason") == F.lit("kept"))

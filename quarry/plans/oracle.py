@@ -63,6 +63,8 @@ SQL: dict[str, str] = {}
 
 SQL["qc_cascade"] = f"WITH {QC} SELECT src, conv_id, drop_reason, n_tok FROM qcr"
 
+SQL["qc_clean"] = f"WITH {QC} SELECT src, conv_id, n_tok FROM qcr WHERE drop_reason = 'kept'"
+
 SQL["qc_drop_report"] = f"""WITH {QC}
 SELECT * FROM (
   SELECT drop_reason, n, round(100.0 * n / sum(n) OVER (), 1) AS pct FROM (

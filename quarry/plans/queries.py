@@ -41,8 +41,17 @@ def qc_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("qc_drop_report")
 def qc_drop_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1: drop-reason counts with percent of all rows read."""
-    return Q.drop_report(_qc(spark, sf_dir))
+    """A1: drop-reason counts with percent of all rows read (single pass)."""
+    ex = S.chat_examples(spark, sf_dir, upper_copy=True)
+    return Q.qc_report(Q.qc_groups(ex), max_tokens=QC_MAX_TOKENS)
+
+
+@query("qc_clean")
+def qc_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 + D1: the examples the cascade keeps (single pass)."""
+    ex = S.chat_examples(spark, sf_dir, upper_copy=True)
+    c = Q.qc_clean(Q.qc_groups(ex), max_tokens=QC_MAX_TOKENS)
+    return c.select(F.col("ord.src").alias("src"), F.col("ord.conv_id").alias("conv_id"), "n_tok")
 
 
 def transcript_md5(messages="messages"):

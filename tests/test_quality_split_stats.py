@@ -115,3 +115,22 @@ def test_top_n_large_path_matches_window(spark):
         rs = sorted([r for r in rows if r[0] == ref], key=lambda r: (-r[2], r[1]))[:500]
         exp += [(r[0], r[1]) for r in rs]
     assert got == sorted(exp)
+
+
+def test_single_pass_qc_equals_per_row(spark):
+    rng = random.Random(3)
+    users = [LONG_USER, LONG_USER.upper(), "short", "  ", "v" * 100]
+    rows = []
+    for i in range(300):
+        msgs = [("user", rng.choice(users))]
+        if rng.random() < 0.9:
+            msgs.append(("assistant", rng.choice(["a", "b" * 3000, "A"])))
+        rows.append((i, msgs, rng.random() < 0.05))
+    df = ex(spark, rows)
+    per_row = Q.qc(df, max_tokens=500)
+    a = {r["drop_reason"]: (r["n"], r["pct"]) for r in Q.drop_report(per_row, include_kept=True).collect()}
+    g = Q.qc_groups(df)
+    b = {r["drop_reason"]: (r["n"], r["pct"]) for r in Q.qc_report(g, 500, include_kept=True).collect()}
+    assert a == b
+    kept = sorted(r["ord"] for r in per_row.where(F.col("drop_reason") == "kept").collect())
+    assert sorted(r["ord"] for r in Q.qc_clean(g, 500).collect()) == kept
