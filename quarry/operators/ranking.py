@@ -22,7 +22,9 @@ BROADCAST_GROUP_ROWS = 1_000_000
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Column, n: int,
                     tiebreak: Column, descending: bool = True,
-                    bucket_width: float = 3600.0) -> DataFrame:
+                    bucket_width: float = 3600.0, bucket: Column | None = None) -> DataFrame:
+    """``bucket`` must be a long that never decreases along ``order``
+    (default: hour buckets of a timestamp ``order``)."""
     spark = df.sparkSession
     limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     o = order.desc() if descending else order.asc()
@@ -30,7 +32,10 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Column, n: int,
         w = Window.partitionBy(*group).orderBy(o, tiebreak.asc())
         return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
-    b = F.floor(F.unix_micros(order.cast("timestamp")) / F.lit(bucket_width * 1e6)).cast("bigint")
+    if bucket is None:
+        b = F.floor(F.unix_micros(order.cast("timestamp")) / F.lit(bucket_width * 1e6)).cast("bigint")
+    else:
+        b = bucket.cast("bigint")
     if descending:
         b = -b  # ascending bucket id = newest first
     x = df.withColumn("_b", b)

@@ -4,7 +4,8 @@ Quantiles by index rule (floor, scan) are answered from a histogram:
 ``groupBy(value).count()`` is a partial aggregate whose size is the
 number of distinct lengths (bounded by the longest example, not by the
 row count); a cumulative sum over that small table locates each rank.
-Linear interpolation uses Spark's exact ``percentile``.
+Linear interpolation reads the two neighbouring order statistics from the
+same histogram.
 """
 
 from __future__ import annotations
@@ -22,29 +23,47 @@ def _pname(p: float) -> str:
 
 def length_stats(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.75, 0.9, 0.95),
                  rule: str = "floor") -> DataFrame:
-    """One row of length statistics.
+    """One row of length statistics, all from one histogram of the values.
 
     floor  (A2): ``sorted[int(p*(n-1))]``, plus n, max and truncated mean.
     scan   (A3): ``sorted[min(n-1, int(p/100*n))]`` with p in percent,
                  plus n, min and max; empty input gives nulls.
-    linear (A4): numpy-style interpolation, plus min, max, mean, median.
+    linear (A4): numpy-style interpolation between the order statistics
+                 at ``floor(p*(n-1))`` and the next one, plus n, min, max,
+                 mean and median.
+
+    ``groupBy(value).count()`` is a partial aggregate whose size is the
+    number of distinct lengths (bounded by the longest example, not by the
+    row count); a cumulative sum over that small table locates each rank.
+    Spark's exact ``percentile`` is not used: it buffers every value.
     """
     v = F.col(c)
-    if rule == "linear":
-        aggs = [F.count(v).alias("n"), F.min(v).cast("double").alias("min"),
-                F.max(v).cast("double").alias("max"), F.avg(v).alias("mean"),
-                F.percentile(v, F.lit(0.5)).alias("median")]
-        aggs += [F.percentile(v, F.lit(float(p))).alias(_pname(p)) for p in probs]
-        return df.agg(*aggs)
-
     hist = df.where(v.isNotNull()).groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
-    # The histogram has one row per distinct length: a small table.
     w_all = Window.partitionBy(F.lit(1))
     w_cum = w_all.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     h = hist.select("v", "cnt", F.sum("cnt").over(w_cum).alias("cum"),
                     F.sum("cnt").over(w_all).alias("n"),
                     F.sum(F.col("v") * F.col("cnt")).over(w_all).alias("total"))
 
+    def at(i: Column) -> Column:
+        """The order statistic with 0-based index ``i``."""
+        return F.min(F.when(F.col("cum") > i, F.col("v")))
+
+    if rule == "linear":
+        def interp(p: float) -> Column:
+            idx = F.lit(float(p)) * (F.col("n") - 1)
+            lo = F.floor(idx)
+            frac = F.max(idx - lo)
+            v_lo = at(lo).cast("double")
+            v_hi = at(F.least(lo + 1, F.col("n") - 1)).cast("double")
+            return v_lo + frac * (v_hi - v_lo)
+        aggs = [F.coalesce(F.max("n"), F.lit(0)).cast("bigint").alias("n"),
+                F.min("v").cast("double").alias("min"), F.max("v").cast("double").alias("max"),
+                (F.max("total") / F.max("n")).cast("double").alias("mean"),
+                interp(0.5).alias("median")]
+        aggs += [interp(p).alias(_pname(p)) for p in probs]
+        return h.agg(*aggs)
+
     def idx(p: float) -> Column:
         if rule == "floor":
             return F.floor(F.lit(float(p)) * (F.col("n") - 1))
@@ -53,7 +72,7 @@ def length_stats(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.75, 0.9
     aggs = [F.coalesce(F.max("n"), F.lit(0)).cast("bigint").alias("n")]
     if rule == "scan":
         aggs.append(F.min("v").alias("min"))
-    aggs += [F.min(F.when(F.col("cum") > idx(p), F.col("v"))).alias(_pname(p)) for p in probs]
+    aggs += [at(idx(p)).alias(_pname(p)) for p in probs]
     aggs.append(F.max("v").alias("max"))
     if rule == "floor":
         aggs.append(F.floor(F.max("total") / F.max("n")).cast("bigint").alias("mean"))
@@ -111,13 +130,17 @@ def dataset_stats(df: DataFrame, by: str = "source", length: str = "n_tok") -> D
 
 # ------------------------------------------------------------------- A9
 def balance(df: DataFrame, by: str, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Cap every group to ``n`` rows in seeded hash order.  For
-    ``n <= spark.sql.optimizer.windowGroupLimitThreshold`` Spark plans a
-    partial per-partition limit before the shuffle, so a hot group ships
-    at most ``n`` rows per map task."""
+    """Cap every group to ``n`` rows in seeded hash order.  Small ``n``:
+    ``row_number() <= n`` with Spark's partial per-partition group limit
+    (a hot group ships at most ``n`` rows per map task).  Large ``n``: a
+    per-group histogram over 16-bit hash prefixes ranks only the boundary
+    bucket (``ranking.top_n_per_group``)."""
+    from .ranking import top_n_per_group
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    w = Window.partitionBy(by).orderBy(h, F.col(key))
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(n)).drop("_rn")
+    x = df.withColumn("_h", h)
+    prefix = F.conv(F.substring("_h", 1, 4), 16, 10).cast("bigint")
+    out = top_n_per_group(x, [by], F.col("_h"), n, tiebreak=F.col(key), descending=False, bucket=prefix)
+    return out.drop("_h")
 
 
 # ------------------------------------------------------------------- L7

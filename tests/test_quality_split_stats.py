@@ -134,3 +134,16 @@ def test_single_pass_qc_equals_per_row(spark):
     assert a == b
     kept = sorted(r["ord"] for r in per_row.where(F.col("drop_reason") == "kept").collect())
     assert sorted(r["ord"] for r in Q.qc_clean(g, 500).collect()) == kept
+
+
+def test_balance_large_n_path(spark):
+    from quarry.operators import stats as STS
+    rows = [(i, "en" if i % 4 else "de") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string")
+    small = sorted(r["doc_id"] for r in STS.balance(df, "lang", 700, "doc_id").collect())
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        big = sorted(r["doc_id"] for r in STS.balance(df, "lang", 700, "doc_id").collect())
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert big == small and len(big) == 1400
