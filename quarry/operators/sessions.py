@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from .joins import broadcast_if_small
 from .scan import running_sums
 
 ORDER = ["_tkey", "ord"]
@@ -86,7 +87,9 @@ def limit_ordered(examples: DataFrame, turns: DataFrame, n: int) -> DataFrame:
     aggregate; the cap is a TakeOrderedAndProject (top-n per partition,
     then a merge of n rows per partition)."""
     first = turns.groupBy("session_id").agg(F.min("ord").alias("session_first_ord"))
-    ranked = examples.join(first, "session_id")
+    # one row per session: broadcast behind a size check, so a hot session
+    # does not meet a skewed shuffle join
+    ranked = examples.join(broadcast_if_small(first), "session_id")
     return ranked.orderBy("session_first_ord", "session_id", "island").limit(n)
 
 
