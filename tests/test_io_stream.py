@@ -117,3 +117,18 @@ def test_stream_follow_closes_windows(spark, tmp_path):
     # the first window is closed by the next human turn, the second by the
     # late row and emitted when the watermark passes its end
     assert sorted(r["n_follow"] for r in got) == [1, 1, 1, 3, 3, 3]
+
+
+def test_stream_qc_with_horizon(spark, tmp_path):
+    d = tmp_path / "chat"
+    msgs = [("user", "question " + "q" * 90), ("assistant", "a")]
+    other = [("user", "other " + "o" * 90), ("assistant", "b")]
+    rows = [(msgs, "2024-01-01 00:00:00"), (msgs, "2024-01-01 00:10:00"), (other, "2024-01-01 00:20:00")]
+    df = spark.createDataFrame(rows, f"messages {MSG}, t string").withColumn("ts", F.to_timestamp("t")).drop("t")
+    df.write.json(str(d))
+    sdf = spark.readStream.schema(df.schema).json(str(d))
+    q = (ST.stream_qc(sdf, horizon="1 hour", event_time="ts").select("sig").writeStream
+         .format("memory").queryName("qc_t2").outputMode("append")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.sql("select * from qc_t2").count() == 2
