@@ -147,3 +147,18 @@ def test_balance_large_n_path(spark):
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     assert big == small and len(big) == 1400
+
+
+def test_results_unchanged_under_repartition(spark):
+    rng = random.Random(9)
+    users = [LONG_USER, LONG_USER.upper(), "short", "w" * 120]
+    rows = [(i, [("user", rng.choice(users)), ("assistant", rng.choice(["a", "b"]))], False) for i in range(400)]
+    df = ex(spark, rows)
+    base = sorted((r["ord"], r["drop_reason"]) for r in Q.qc(df, max_tokens=500).collect())
+    keys = spark.range(0, 3000).withColumn("key", F.col("id").cast("string"))
+    split0 = sorted(r["key"] for r in SP.split_label(keys, "key", 300).where("split = 'eval'").collect())
+    for n in (1, 7, 64):
+        again = sorted((r["ord"], r["drop_reason"]) for r in Q.qc(df.repartition(n), max_tokens=500).collect())
+        assert again == base
+        s = sorted(r["key"] for r in SP.split_label(keys.repartition(n), "key", 300).where("split = 'eval'").collect())
+        assert s == split0 and len(s) == 300
