@@ -34,12 +34,27 @@ def _cols(xs):
 def running_sums(df: DataFrame, key: Sequence[str], order: Sequence[str],
                  flags: dict[str, Column], skew_safe: bool = True,
                  partitions: int | None = None,
-                 maxes: dict[str, Column] | None = None) -> DataFrame:
+                 maxes: dict[str, Column] | None = None,
+                 row_id: str | None = None) -> DataFrame:
     """Add inclusive running aggregates per ``key`` in ``order`` (a total
     order): one running sum per entry of ``flags`` (name -> integer
     Column) and one running max per entry of ``maxes`` (name -> orderable
-    Column, nulls ignored).  Key columns must be non-null."""
+    Column, nulls ignored).  Key columns must be non-null.
+
+    With ``row_id`` (a unique column) the skew-safe scan runs on a narrow
+    projection - key, order, flags - and the results are joined back on
+    the row id: the payload (texts) is shuffled once for that join instead
+    of being range-partitioned, checkpointed and shuffled again."""
     maxes = maxes or {}
+    if skew_safe and row_id is not None:
+        narrow = df.select(row_id, *key, *[c for c in order if c != row_id],
+                           *[c.alias(f"_nf_{n}") for n, c in flags.items()],
+                           *[c.alias(f"_nm_{n}") for n, c in maxes.items()])
+        res = running_sums(narrow, key, order, {n: F.col(f"_nf_{n}") for n in flags},
+                           skew_safe=True, partitions=partitions,
+                           maxes={n: F.col(f"_nm_{n}") for n in maxes})
+        back = res.select(F.col(row_id).alias("_rid"), *list(flags), *list(maxes))
+        return df.join(back, df[row_id] == back["_rid"], "inner").drop("_rid")
     base = df.select("*", *[c.cast("bigint").alias(f"_f_{n}") for n, c in flags.items()],
                      *[c.alias(f"_m_{n}") for n, c in maxes.items()])
 

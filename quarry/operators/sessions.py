@@ -60,7 +60,7 @@ def build_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT,
         F.when(is_user, F.col("user_text")).alias("_u"),
         F.when(is_asst, F.col("assistant_text")).alias("_a"))
     scanned = running_sums(rows, ["session_id"], ORDER,
-                           {"_n_asst": F.col("_asst").cast("int")}, skew_safe=skew_safe)
+                           {"_n_asst": F.col("_asst").cast("int")}, skew_safe=skew_safe, row_id="ord")
     # island = assistants strictly before this row
     scanned = scanned.withColumn("island", F.col("_n_asst") - F.col("_asst").cast("bigint"))
     grouped = scanned.groupBy("session_id", "island").agg(
@@ -120,7 +120,8 @@ def follow_windows(turns: DataFrame, follow_k: int = K.DEFAULT_FOLLOW_K,
     scanned = running_sums(
         t, ["session_id"], ORDER, {"island": human.cast("int")}, skew_safe=skew_safe,
         maxes={"_lh": F.when(human, F.struct(F.col("_tkey"), F.col("ord"),
-                                             F.col("ts").alias("ats"), anchor.alias("anc")))})
+                                             F.col("ts").alias("ats"), anchor.alias("anc")))},
+        row_id="ord")
     if follow_minutes:
         end = F.col("_lh.ats") + F.make_dt_interval(mins=F.lit(follow_minutes))
     else:
