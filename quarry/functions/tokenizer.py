@@ -15,7 +15,6 @@ from typing import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 
@@ -62,4 +61,4 @@ def messages_counter(tokenizer_path: str, render=None):
     return counter
 
 
-__all__ = ["token_count", "token_clip", "messages_counter", "F"]
+__all__ = ["token_count", "token_clip", "messages_counter"]

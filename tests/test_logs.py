@@ -2,7 +2,6 @@
 checked against a plain-Python statement of the same rules."""
 
 import json
-import os
 import random
 
 from pyspark.sql import functions as F

@@ -4,7 +4,6 @@ original record-at-a-time semantics) on random sessions."""
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
 from quarry.operators import sessions as W
 

@@ -1,8 +1,6 @@
 """Column functions against Python semantics on literal edge cases."""
 
-import re
 
-from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 

@@ -2,7 +2,6 @@
 counter hook, and bug -> patch pairs (G5)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from quarry.functions import tokenizer as TK
 from quarry.operators import diffs as DF
