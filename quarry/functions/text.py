@@ -243,9 +243,18 @@ def path_suffix(c) -> Column:
 
 
 def skip_path(c, skip_dirs=K.SKIP_DIRS, skip_ext=K.SKIP_EXTENSIONS,
-              vendor=K.VENDOR_FILE_PATTERN) -> Column:
+              vendor=K.VENDOR_FILE_PATTERN, full_suffix: bool = False) -> Column:
+    """Path gate: a skipped directory among the parts, a skipped last
+    extension, or a lock-file name.  By default only the last suffix is
+    compared (so ``.min.js`` in the list never matches, as originally);
+    ``full_suffix=True`` also compares every multi-dot ending."""
     parts = F.split(col(c), "/")
     in_dir = F.arrays_overlap(parts, F.array(*[F.lit(d) for d in skip_dirs]))
     bad_ext = F.lower(path_suffix(c)).isin(list(skip_ext))
+    if full_suffix:
+        name = F.lower(F.regexp_extract(F.regexp_replace(col(c), "/+$", ""), r"([^/]*)$", 1))
+        multi = [e for e in skip_ext if e.count(".") > 1]
+        for e in multi:
+            bad_ext = bad_ext | (name.endswith(e) & (F.length(name) > F.lit(len(e))))
     vendor_hit = col(c).rlike("(?i)" + vendor)
     return F.coalesce(in_dir, F.lit(False)) | bad_ext | vendor_hit

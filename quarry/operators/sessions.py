@@ -26,8 +26,15 @@ from .scan import running_sums
 ORDER = ["_tkey", "ord"]
 
 
-def _with_order(df: DataFrame) -> DataFrame:
-    return df.withColumn("_tkey", F.coalesce(F.col("ts_raw"), F.lit("")))
+def _with_order(df: DataFrame, order_by: str = "raw") -> DataFrame:
+    """Session order key.  ``raw`` (the original): the timestamp string,
+    missing = '' first, so mixed offsets are not chronological.
+    ``parsed``: the UTC instant (missing first), as a sortable string."""
+    if order_by == "parsed":
+        key = F.coalesce(F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(""))
+    else:
+        key = F.coalesce(F.col("ts_raw"), F.lit(""))
+    return df.withColumn("_tkey", key)
 
 
 def _msg(role, content):
@@ -42,7 +49,8 @@ def cwd_contains(df: DataFrame, s: str) -> DataFrame:
 
 # ------------------------------------------------------------------- W2
 def build_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT,
-                limit: int | None = None, skew_safe: bool = True) -> DataFrame:
+                limit: int | None = None, skew_safe: bool = True,
+                order_by: str = "raw") -> DataFrame:
     """User texts accumulate (joined by a blank line) until the next
     non-empty assistant text; each such assistant closes a pair.  An
     assistant with nothing pending is ignored; trailing users are lost.
@@ -55,7 +63,7 @@ def build_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT,
     # Only the cheap role test runs before the shuffle: a predicate on the
     # texts would be pushed below the normaliser and re-derive them.  Rows
     # with empty text carry nulls and drop out of the island aggregate.
-    rows = _with_order(turns).where(F.col("role").isin("user", "assistant")).select(
+    rows = _with_order(turns, order_by).where(F.col("role").isin("user", "assistant")).select(
         "session_id", "_tkey", "ord", is_asst.alias("_asst"),
         F.when(is_user, F.col("user_text")).alias("_u"),
         F.when(is_asst, F.col("assistant_text")).alias("_a"))
@@ -98,7 +106,8 @@ def follow_windows(turns: DataFrame, follow_k: int = K.DEFAULT_FOLLOW_K,
                    follow_minutes: int = 0,
                    min_user_chars: int = K.DEFAULT_MIN_USER_CHARS,
                    system: str = K.PAIR_SYSTEM_PROMPT,
-                   skew_safe: bool = True, limit: int | None = None) -> DataFrame:
+                   skew_safe: bool = True, limit: int | None = None,
+                   order_by: str = "raw") -> DataFrame:
     """Anchor on user turns with human text >= ``min_user_chars``; take the
     following rows until the next human turn, or (minutes > 0 and a valid
     anchor time) the first row of any type with a missing time or a time
@@ -110,7 +119,7 @@ def follow_windows(turns: DataFrame, follow_k: int = K.DEFAULT_FOLLOW_K,
     running count of human turns and windows never overlap.  Returns
     ``session_id, island, n_follow, messages``.
     """
-    t = _with_order(turns)
+    t = _with_order(turns, order_by)
     human = (F.col("role") == "user") & F.col("has_human")
     anchor = human & (F.length("human_text") >= F.lit(min_user_chars))
     # One segmented scan gives each row its island (running count of human

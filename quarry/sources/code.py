@@ -12,13 +12,16 @@ from ..functions.text import lf, path_suffix
 # ------------------------------------------------------------------- S5
 def read_code(spark: SparkSession, path, exts=K.CODE_EXTENSIONS,
               max_chars: int = K.MAX_SOURCE_CHARS,
-              max_file_bytes: int | None = None) -> DataFrame:
+              max_file_bytes: int | None = None,
+              skip_dirs: bool = False) -> DataFrame:
     """Whole source files whose last suffix (lower-cased) is allowed.
 
     Text is read whole, newlines normalised (universal newlines) and cut
     to ``max_chars`` characters.  Undecodable bytes are dropped (Spark
     decodes them to U+FFFD, which is removed).  ``max_file_bytes`` skips
-    giant files by their size before reading them.
+    giant files by their size before reading them.  The original FIM walk
+    does not apply the directory skip list (it reads ``node_modules`` and
+    hidden folders); ``skip_dirs=True`` applies it.
     """
     df = (spark.read.option("recursiveFileLookup", "true")
           .text(path, wholetext=True)
@@ -27,6 +30,8 @@ def read_code(spark: SparkSession, path, exts=K.CODE_EXTENSIONS,
     df = df.where(F.lower(path_suffix(F.col("path"))).isin(list(exts)))
     if max_file_bytes is not None:
         df = df.where(F.col("size") <= F.lit(max_file_bytes))
+    if skip_dirs:
+        df = df.where(~F.arrays_overlap(F.split("path", "/"), F.array(*[F.lit(d) for d in K.SKIP_DIRS])))
     text = F.substring(lf(F.regexp_replace("value", "�", "")), 1, max_chars)
     return df.select("path", text.alias("text"))
 

@@ -95,3 +95,14 @@ def test_render_chat(spark):
     df = spark.createDataFrame([(msgs,)], "messages array<struct<role:string,content:string>>")
     r = df.select(T.render_chat("messages", generation_prompt=True).alias("r")).collect()[0]["r"]
     assert r == "<|im_start|>system\ns<|im_end|>\n<|im_start|>user\nu<|im_end|>\n<|im_start|>assistant\n"
+
+
+def test_skip_path_full_suffix_option(spark):
+    df = spark.createDataFrame([("a.min.js",), ("x/lib.min.js",), ("b.js",)], "s string")
+    got = [r["r"] for r in df.select(T.skip_path("s", full_suffix=True).alias("r")).collect()]
+    assert got == [True, True, False]
+
+
+def test_eval_size_cap_after_min():
+    from quarry.operators.split import eval_size
+    assert eval_size(100) == 99 and eval_size(100, cap_after_min=True) == 50
