@@ -37,3 +37,28 @@ def test_pairs_qc_merge_peek(spark, tmp_path, capsys):
 
     cli.main(["peek", "--path", str(part), "--n", "1", "--max_chars", "30"])
     assert "USER" in capsys.readouterr().out
+
+
+def test_follow_fim_len(spark, tmp_path, capsys):
+    _logs(tmp_path / "logs")
+    cli.main(["follow", "--src", str(tmp_path / "logs"), "--out", str(tmp_path / "fw"),
+              "--follow_minutes", "3", "--cwd_contains", ""])
+    fw = spark.read.json(str(tmp_path / "fw")).collect()
+    assert len(fw) == 1 and [m["role"] for m in fw[0]["messages"]] == ["system", "user", "assistant"]
+
+    repo = tmp_path / "repo" / "src"
+    repo.mkdir(parents=True)
+    (repo / "a.ts").write_text("".join(f"export const v{i} = {i};\n" for i in range(200)))
+    (repo / "b.bin").write_text("x\n" * 300)
+    cli.main(["fim", "--repo", str(tmp_path / "repo"), "--out", str(tmp_path / "fim")])
+    fim = spark.read.json(str(tmp_path / "fim")).collect()
+    assert 1 <= len(fim) <= 6 and all(r["messages"][1]["content"].startswith("[FILE] ") for r in fim)
+
+    ex = tmp_path / "ex.jsonl"
+    ex.write_text(json.dumps({"text": "y" * 100}) + "\n" + json.dumps({"text": "z" * 10}) + "\n")
+    cli.main(["len-clip", str(ex), str(tmp_path / "clip"), "10"])
+    rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert rep == {"kept": 2, "clipped": 1, "dropped": 0}
+    cli.main(["len-scan", str(ex)])
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert stats["n"] == 2 and stats["max"] == 25
