@@ -33,7 +33,7 @@ from .operators import segments as SG
 from .operators import sessions as W
 from .operators import split as SP
 from .operators import stats as ST
-from .session import ensure_checkpoint_dir
+from .session import ensure_checkpoint_dir, materialize
 from .sources import code as C
 from .sources import jsonl as J
 from .sources import sinks as KS
@@ -82,7 +82,9 @@ def cmd_qc(spark, a):
 
 def cmd_merge(spark, a):
     df = SP.merge_dedupe(J.read_chat_many(spark, a.inputs))
-    uniq = df.where(~F.col("is_dup"))
+    # the unique set feeds the count, the split threshold and two writes:
+    # materialise it once in the shared checkpoint folder
+    uniq = materialize(df.where(~F.col("is_dup")))
     n = uniq.count()
     k = SP.eval_size(n, a.eval_frac, a.eval_size, a.min_eval)
     train, ev = SP.split(uniq, "sig", k, seed=a.seed)
