@@ -42,6 +42,32 @@ def _msg(role, content):
                     content.alias("content"))
 
 
+# ------------------------------------------------------------- hot sessions
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
+
+
+def _by_hotness(df: DataFrame, key: str, skew_safe, hot_rows: int, fn) -> DataFrame:
+    """Run ``fn(part, safe)`` with the skew-safe scan only where needed.
+
+    ``skew_safe=True``/``False`` forces one path.  ``"auto"``: one partial
+    aggregate finds the sessions with more than ``hot_rows`` rows (at most
+    total/hot_rows of them, and their count is checked before they are
+    broadcast).  Those sessions take the segmented scan; all others take
+    the plain session window (one shuffle).  The two results are unioned.
+    """
+    if skew_safe != "auto":
+        return fn(df, bool(skew_safe))
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > F.lit(hot_rows)).select(key)
+    n_hot = hot.limit(MAX_HOT_KEYS + 1).count()
+    if n_hot == 0:
+        return fn(df, False)
+    if n_hot > MAX_HOT_KEYS:
+        return fn(df, True)
+    hot = F.broadcast(hot)
+    return fn(df.join(hot, key, "left_anti"), False).unionByName(fn(df.join(hot, key, "left_semi"), True))
+
+
 # ------------------------------------------------------------------- F1
 def cwd_contains(df: DataFrame, s: str) -> DataFrame:
     return df.where(F.contains(F.coalesce(F.col("cwd"), F.lit("")), F.lit(s)))
@@ -49,14 +75,14 @@ def cwd_contains(df: DataFrame, s: str) -> DataFrame:
 
 # ------------------------------------------------------------------- W2
 def build_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT,
-                limit: int | None = None, skew_safe: bool = True,
-                order_by: str = "raw") -> DataFrame:
+                limit: int | None = None, skew_safe="auto",
+                order_by: str = "raw", hot_rows: int = HOT_ROWS) -> DataFrame:
     """User texts accumulate (joined by a blank line) until the next
     non-empty assistant text; each such assistant closes a pair.  An
     assistant with nothing pending is ignored; trailing users are lost.
 
-    Returns ``session_id, island, first_ord, session_first_ord, user,
-    assistant, messages``.
+    Returns ``session_id, island, first_ord, user, assistant, messages``.
+    ``skew_safe``: ``"auto"`` (hot sessions only), ``True`` or ``False``.
     """
     is_user = (F.col("role") == "user") & (F.col("user_text") != "")
     is_asst = (F.col("role") == "assistant") & (F.col("assistant_text") != "")
@@ -67,15 +93,19 @@ def build_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT,
         "session_id", "_tkey", "ord", is_asst.alias("_asst"),
         F.when(is_user, F.col("user_text")).alias("_u"),
         F.when(is_asst, F.col("assistant_text")).alias("_a"))
-    scanned = running_sums(rows, ["session_id"], ORDER,
-                           {"_n_asst": F.col("_asst").cast("int")}, skew_safe=skew_safe, row_id="ord")
-    # island = assistants strictly before this row
-    scanned = scanned.withColumn("island", F.col("_n_asst") - F.col("_asst").cast("bigint"))
-    grouped = scanned.groupBy("session_id", "island").agg(
-        F.expr("listagg(_u, '\\n\\n') WITHIN GROUP (ORDER BY _tkey, ord)").alias("_users"),
-        F.max("_a").alias("assistant"),
-        F.min("ord").alias("first_ord"),
-    )
+
+    def core(part: DataFrame, safe: bool) -> DataFrame:
+        scanned = running_sums(part, ["session_id"], ORDER,
+                               {"_n_asst": F.col("_asst").cast("int")}, skew_safe=safe, row_id="ord")
+        # island = assistants strictly before this row
+        scanned = scanned.withColumn("island", F.col("_n_asst") - F.col("_asst").cast("bigint"))
+        return scanned.groupBy("session_id", "island").agg(
+            F.expr("listagg(_u, '\\n\\n') WITHIN GROUP (ORDER BY _tkey, ord)").alias("_users"),
+            F.max("_a").alias("assistant"),
+            F.min("ord").alias("first_ord"),
+        )
+
+    grouped = _by_hotness(rows, "session_id", skew_safe, hot_rows, core)
     pairs = grouped.where(F.col("assistant").isNotNull() & F.col("_users").isNotNull())
     from ..functions.text import strip
     pairs = pairs.select(
@@ -106,8 +136,8 @@ def follow_windows(turns: DataFrame, follow_k: int = K.DEFAULT_FOLLOW_K,
                    follow_minutes: int = 0,
                    min_user_chars: int = K.DEFAULT_MIN_USER_CHARS,
                    system: str = K.PAIR_SYSTEM_PROMPT,
-                   skew_safe: bool = True, limit: int | None = None,
-                   order_by: str = "raw") -> DataFrame:
+                   skew_safe="auto", limit: int | None = None,
+                   order_by: str = "raw", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Anchor on user turns with human text >= ``min_user_chars``; take the
     following rows until the next human turn, or (minutes > 0 and a valid
     anchor time) the first row of any type with a missing time or a time
@@ -120,42 +150,47 @@ def follow_windows(turns: DataFrame, follow_k: int = K.DEFAULT_FOLLOW_K,
     ``session_id, island, n_follow, messages``.
     """
     t = _with_order(turns, order_by)
-    human = (F.col("role") == "user") & F.col("has_human")
-    anchor = human & (F.length("human_text") >= F.lit(min_user_chars))
-    # One segmented scan gives each row its island (running count of human
-    # turns) and the latest human turn at or before it (running max of its
-    # order key), i.e. the island's first row: its time and whether it is an
-    # anchor travel with every row, so no join back to the anchors.
-    scanned = running_sums(
-        t, ["session_id"], ORDER, {"island": human.cast("int")}, skew_safe=skew_safe,
-        maxes={"_lh": F.when(human, F.struct(F.col("_tkey"), F.col("ord"),
-                                             F.col("ts").alias("ats"), anchor.alias("anc")))},
-        row_id="ord")
-    if follow_minutes:
-        end = F.col("_lh.ats") + F.make_dt_interval(mins=F.lit(follow_minutes))
-    else:
-        end = F.lit(None).cast("timestamp")
-    violates = end.isNotNull() & (F.col("ts").isNull() | (F.col("ts") > end))
-    is_asst = (F.col("role") == "assistant") & (F.col("assistant_text") != "")
-    is_tool = (F.col("role") == "user") & (F.col("user_text") != "")
-    in_anchor_island = F.coalesce(F.col("_lh.anc"), F.lit(False))
-    # Anchor rows plus, in anchor islands, rows that are taken or that stop
-    # the window.  The window takes eligible rows until the first violating
-    # row or k of them; that is decided by the first k candidates after the
-    # anchor, so row_number <= k + 1 (planned as a partial per-partition
-    # group limit before the shuffle) is exact.
-    x = scanned.where(anchor | (~human & in_anchor_island & (is_asst | is_tool | violates))).select(
-        F.col("session_id").alias("_asid"), F.col("island").alias("_aisl"), "_tkey", "ord",
-        anchor.alias("_anc"), violates.alias("_viol"), is_asst.alias("_is_asst"),
-        F.when(anchor, F.col("human_text")).alias("_atext"),
-        F.when(is_asst, _msg("assistant", F.col("assistant_text")))
-        .otherwise(_msg("user", F.col("user_text"))).alias("_m"))
-    wk = Window.partitionBy("_asid", "_aisl").orderBy("_tkey", "ord")
-    top = x.withColumn("_rn", F.row_number().over(wk)).where(F.col("_rn") <= F.lit(follow_k + 1))
-    grouped = top.groupBy("_asid", "_aisl").agg(
-        F.max(F.when(F.col("_anc"), F.col("_atext"))).alias("anchor_text"),
-        F.array_sort(F.collect_list(F.when(~F.col("_anc"), F.struct("_rn", "_viol", "_is_asst", "_m"))))
-        .alias("_cands"))
+
+    def core(t: DataFrame, safe: bool) -> DataFrame:
+        human = (F.col("role") == "user") & F.col("has_human")
+        anchor = human & (F.length("human_text") >= F.lit(min_user_chars))
+        # One segmented scan gives each row its island (running count of human
+        # turns) and the latest human turn at or before it (running max of its
+        # order key), i.e. the island's first row: its time and whether it is an
+        # anchor travel with every row, so no join back to the anchors.
+        scanned = running_sums(
+            t, ["session_id"], ORDER, {"island": human.cast("int")}, skew_safe=safe,
+            maxes={"_lh": F.when(human, F.struct(F.col("_tkey"), F.col("ord"),
+                                                 F.col("ts").alias("ats"), anchor.alias("anc")))},
+            row_id="ord")
+        if follow_minutes:
+            end = F.col("_lh.ats") + F.make_dt_interval(mins=F.lit(follow_minutes))
+        else:
+            end = F.lit(None).cast("timestamp")
+        violates = end.isNotNull() & (F.col("ts").isNull() | (F.col("ts") > end))
+        is_asst = (F.col("role") == "assistant") & (F.col("assistant_text") != "")
+        is_tool = (F.col("role") == "user") & (F.col("user_text") != "")
+        in_anchor_island = F.coalesce(F.col("_lh.anc"), F.lit(False))
+        # Anchor rows plus, in anchor islands, rows that are taken or that stop
+        # the window.  The window takes eligible rows until the first violating
+        # row or k of them; that is decided by the first k candidates after the
+        # anchor, so row_number <= k + 1 (planned as a partial per-partition
+        # group limit before the shuffle) is exact.
+        x = scanned.where(anchor | (~human & in_anchor_island & (is_asst | is_tool | violates))).select(
+            F.col("session_id").alias("_asid"), F.col("island").alias("_aisl"), "_tkey", "ord",
+            anchor.alias("_anc"), violates.alias("_viol"), is_asst.alias("_is_asst"),
+            F.when(anchor, F.col("human_text")).alias("_atext"),
+            F.when(is_asst, _msg("assistant", F.col("assistant_text")))
+            .otherwise(_msg("user", F.col("user_text"))).alias("_m"))
+        wk = Window.partitionBy("_asid", "_aisl").orderBy("_tkey", "ord")
+        top = x.withColumn("_rn", F.row_number().over(wk)).where(F.col("_rn") <= F.lit(follow_k + 1))
+        grouped = top.groupBy("_asid", "_aisl").agg(
+            F.max(F.when(F.col("_anc"), F.col("_atext"))).alias("anchor_text"),
+            F.array_sort(F.collect_list(F.when(~F.col("_anc"), F.struct("_rn", "_viol", "_is_asst", "_m"))))
+            .alias("_cands"))
+        return grouped
+
+    grouped = _by_hotness(t, "session_id", skew_safe, hot_rows, core)
     first_viol = F.array_position(F.transform("_cands", lambda c: c["_viol"]), True)
     taken = F.when(first_viol > 0, F.slice("_cands", 1, (first_viol - 1).cast("int"))).otherwise(F.col("_cands"))
     win = (grouped.where(F.col("anchor_text").isNotNull())

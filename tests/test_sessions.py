@@ -89,21 +89,22 @@ def seq_follow(rows, k, minutes, min_chars):
 def test_pairs_match_loop(spark):
     rows = make_turns(1)
     df = spark.createDataFrame(rows, SCHEMA)
-    for skew_safe in (True, False):
+    for skew_safe in (True, False, "auto"):
         got = sorted((r["session_id"], r["user"], r["assistant"])
-                     for r in W.build_pairs(df, skew_safe=skew_safe).collect())
+                     for r in W.build_pairs(df, skew_safe=skew_safe, hot_rows=100).collect())
         assert got == seq_pairs(rows)
 
 
 def test_follow_match_loop(spark):
     rows = make_turns(2)
     df = spark.createDataFrame(rows, SCHEMA)
-    for k, minutes in ((3, 60), (50, 0), (2, 5)):
+    for k, minutes, mode in ((3, 60, "auto"), (50, 0, True), (2, 5, False), (4, 30, True)):
         exp = seq_follow(rows, k, minutes, 80)
-        res = W.follow_windows(df, follow_k=k, follow_minutes=minutes, min_user_chars=80)
+        res = W.follow_windows(df, follow_k=k, follow_minutes=minutes, min_user_chars=80,
+                               skew_safe=mode, hot_rows=100)
         got = sorted((r["session_id"], r["messages"][1]["content"],
                       tuple((m["role"], m["content"]) for m in r["messages"][2:])) for r in res.collect())
-        assert got == exp, (k, minutes)
+        assert got == exp, (k, minutes, mode)
 
 
 def test_partitioning_invariance(spark):
