@@ -182,9 +182,17 @@ def patch_examples(commits: DataFrame, diffs: DataFrame, max_commits: int | None
     """Commits -> per-file patch examples.  Ref walk, cap and dedupe,
     then the cheap gates (size, intent, single parent) before the equi-join
     with the diff text on ``sha``; then path skip, hunk gates, templating."""
-    c = unique_commits(commits, max_commits=max_commits, **walk) if ("refs" in commits.columns) else commits
-    c = single_parent(intentful_commits(small_commits(c, max_files, max_lines)))
-    c = c.select("repo", "sha", "message")
+    c = commits
+    if "refs" in c.columns:
+        c = walk_refs(c, **walk)
+        if max_commits is not None:
+            c = cap_commits(c, max_commits)   # the walk's cap counts every commit
+    # the gates depend on the commit alone, so they run before the cross-ref
+    # dedupe and only surviving commits are shuffled
+    # cheap gates first: combined filters evaluate in this order, so the
+    # message regexes only see commits that passed the parent and size tests
+    c = intentful_commits(small_commits(single_parent(c), max_files, max_lines))
+    c = c.select("repo", "sha", "message").dropDuplicates(["repo", "sha"])
     joined = c.join(diffs.select("sha", "diff"), "sha", "inner").where(~T.is_blank("diff"))
     files = diff_files(joined).where(~T.skip_path("path"))
     files = before_after(files)
