@@ -28,3 +28,16 @@ def test_running_sums_and_maxes_match_window(spark):
     parts = (df.repartitionByRange(16, "k", "t", "ord").withColumn("p", F.spark_partition_id())
              .where(F.col("k") == "hot").select("p").distinct().count())
     assert parts > 1
+
+
+def test_hot_key_is_split_evenly(spark):
+    # 40% of 20,000 rows under one key: after the range partitioning used by
+    # the scan, no partition holds much more than its fair share
+    from quarry.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 5 < 2, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k"),
+        F.col("id").alias("ord"))
+    sizes = [r["n"] for r in df.repartitionByRange(16, "k", "ord").withColumn("p", F.spark_partition_id())
+             .groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) < 0.15 * 20000     # fair share is 1/16 = 6.25 %; the hot key alone is 40 %
