@@ -71,11 +71,14 @@ def qc(df: DataFrame, min_user_chars: int = K.DEFAULT_MIN_USER_CHARS,
     staged = df.withColumn("_stage1", stage1).withColumn(
         "_sig", F.when(F.col("_stage1").isNull(), T.qc_signature("messages")))
     deduped = dedupe_first(staged, "_sig", "ord", "_dup")
+    survivor = F.col("_stage1").isNull() & ~F.col("_dup")
     if counter == "char4":
         n_tok = T.token_estimate("messages")
     else:
-        n_tok = counter(F.col("messages"))
-    survivor = F.col("_stage1").isNull() & ~F.col("_dup")
+        # Python UDFs are evaluated in their own step for every input row,
+        # whatever ``when`` surrounds them: hand them null messages for rows
+        # that did not survive, which tokenise as empty at no cost
+        n_tok = counter(F.when(survivor, F.col("messages")))
     out = deduped.withColumn("n_tok", F.when(survivor, n_tok))
     reason = F.coalesce(
         F.col("_stage1"),
