@@ -135,3 +135,47 @@ def test_follow_limit_in_session_order(spark):
     exp = sorted(((first_seen[r["session_id"]], r["island"]) for r in full.collect()))[:7]
     got = W.follow_windows(df, follow_k=5, follow_minutes=0, min_user_chars=80, limit=7).collect()
     assert sorted((first_seen[r["session_id"]], r["island"]) for r in got) == exp
+
+
+def _rows(spec):
+    """spec: (role, text, human, minute or None).  Rows are ordered by their
+    position (``ts_raw``); ``ts`` is the event time used by the bound."""
+    base = dt.datetime(2024, 1, 1)
+    out = []
+    for i, (role, text, human, minute) in enumerate(spec):
+        ts = None if minute is None else base + dt.timedelta(minutes=minute)
+        out.append(("s", f"2024-01-01T00:{i:02d}:00", ts, i, role,
+                    text if role == "user" else "", text if role == "assistant" else "",
+                    human, text if human else ""))
+    return out
+
+
+def test_pair_literals(spark):
+    spec = [("assistant", "first, nothing pending", False, 0),
+            ("user", "u1", True, 1), ("user", "u2", True, 2),
+            ("assistant", "", False, 3),             # empty assistant keeps pending
+            ("system", "other record", False, 4),
+            ("assistant", "a1", False, 5),
+            ("user", "trailing", True, 6)]
+    df = spark.createDataFrame(_rows(spec), SCHEMA)
+    got = [(r["user"], r["assistant"]) for r in W.build_pairs(df).collect()]
+    assert got == [("u1\n\nu2", "a1")]
+
+
+def test_follow_literals(spark):
+    a = "x" * 90
+    spec = [("user", a, True, 0),
+            ("assistant", "at the bound", False, 3),     # ts == anchor + 3 min: kept
+            ("user", "tool out", False, 3),
+            ("error", "other type past the bound", False, 4),   # stops the window
+            ("assistant", "too late", False, 4),
+            ("user", "short", True, 5),                 # human turn, not an anchor
+            ("assistant", "ignored", False, 5),
+            ("user", a + "2", True, 6),
+            ("assistant", "b1", False, 6), ("assistant", "b2", False, 6), ("assistant", "b3", False, 6),
+            ("user", a + "3", True, 7)]                 # anchor with no assistant: no window
+    df = spark.createDataFrame(_rows(spec), SCHEMA)
+    res = W.follow_windows(df, follow_k=2, follow_minutes=3, min_user_chars=80).orderBy("island").collect()
+    got = [[(m["role"], m["content"]) for m in r["messages"][1:]] for r in res]
+    assert got == [[("user", a), ("assistant", "at the bound"), ("user", "tool out")],
+                   [("user", a + "2"), ("assistant", "b1"), ("assistant", "b2")]]
