@@ -52,16 +52,19 @@ def fim_spans(df: DataFrame, path: str = "path", text: str = "text",
     skipped.  Returns ``path, sample_no, prefix, middle, suffix``."""
     g = fim_gates(df, text).select(F.col(path).cast("string").alias("path"), "code",
                                    F.length("code").cast("bigint").alias("_n"))
-    g = g.withColumn("sample_no", F.explode(F.sequence(F.lit(0), F.lit(per_file - 1))))
-    h1 = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("path"), F.col("sample_no").cast("string")))
-    g = g.withColumn("_h1", h1).withColumn("_h2", F.md5("_h1"))
     n = F.col("_n")
-    start = F.when(n > F.lit(max_len), _randint(_u(F.col("_h1"), 1), F.lit(0), n - F.lit(max_len))).otherwise(F.lit(0))
-    # The window is produced by a one-row Generate: the filters below refer
-    # to it, and a predicate cannot be pushed below its Generate, so the
-    # substring of the file is taken once per draw, not once per reference.
-    g = g.select("path", "sample_no", "_h1", "_h2",
-                 F.explode(F.array(F.substring(F.col("code"), start + F.lit(1), max_len))).alias("_win"))
+
+    def draw(k):
+        h1 = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("path"), k.cast("string")))
+        start = F.when(n > F.lit(max_len), _randint(_u(h1, 1), F.lit(0), n - F.lit(max_len))).otherwise(F.lit(0))
+        return F.struct(k.alias("sample_no"), h1.alias("_h1"),
+                        F.substring(F.col("code"), start + F.lit(1), max_len).alias("_win"))
+
+    # the windows (at most max_len characters each) are cut inside the row,
+    # then exploded: a large file is not copied once per draw
+    g = g.select("path", F.explode(F.transform(F.sequence(F.lit(0), F.lit(per_file - 1)), draw)).alias("_d"))
+    g = g.select("path", F.col("_d.sample_no").alias("sample_no"), F.col("_d._h1").alias("_h1"),
+                 F.md5(F.col("_d._h1")).alias("_h2"), F.col("_d._win").alias("_win"))
     g = g.where(F.instr("_win", "\n") > 0)
     L = F.length("_win").cast("bigint")
     mid_len = F.greatest(F.lit(80).cast("bigint"),
