@@ -52,20 +52,29 @@ def merge_dedupe(df: DataFrame) -> DataFrame:
     return dedupe_first(df.withColumn("sig", merge_signature("messages")), "sig", "ord", "is_dup")
 
 
-def merge_report(deduped: DataFrame, k_eval: int | None = None) -> DataFrame:
+def merge_report(merged: DataFrame, k_eval: int | None = None) -> DataFrame:
     """Rows per input, unique, duplicates, train and eval sizes as
-    ``(item, n)`` rows.  Only the per-input counts are aggregated; the rest
-    is arithmetic on those counts."""
-    per = deduped.groupBy("src").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(~F.col("is_dup")).alias("u"))
-    rows = [(int(r["src"]), int(r["n"]), int(r["u"])) for r in per.collect()]  # one row per input
+    ``(item, n)`` rows, in one scan of the merged inputs (``src``,
+    ``messages``).
+
+    Input order starts with the input index, so a signature's first copy
+    lives in its smallest input.  Counting per ``(signature, input)`` (a
+    partial aggregate), taking the smallest input per signature (at most
+    one row per input and signature), and summing per input gives every
+    figure; only one row per input reaches the driver."""
+    sig = merge_signature("messages") if "sig" not in merged.columns else F.col("sig")
+    per = merged.groupBy(sig.alias("_sig"), F.col("src")).agg(F.count(F.lit(1)).alias("n"))
+    from pyspark.sql import Window
+    first = per.withColumn("_first", F.min("src").over(Window.partitionBy("_sig")))
+    by_src = first.groupBy("src").agg(
+        F.sum("n").alias("n"), F.count_if(F.col("src") == F.col("_first")).alias("u"))
+    rows = [(int(r["src"]), int(r["n"]), int(r["u"])) for r in by_src.collect()]  # one row per input
     total = sum(u for _, _, u in rows)
     dups = sum(n for _, n, _ in rows) - total
     k = eval_size(total) if k_eval is None else k_eval
     items = [(f"input_{s}", n) for s, n, _ in sorted(rows)]
     items += [("unique", total), ("duplicates", dups), ("train", total - k), ("eval", k)]
-    return deduped.sparkSession.createDataFrame(items, "item string, n bigint")
+    return merged.sparkSession.createDataFrame(items, "item string, n bigint")
 
 
 # ------------------------------------------------------------------- L2

@@ -273,8 +273,8 @@ def merge_dedupe(spark, sf_dir):
 
 @query("merge_report")
 def merge_report(spark, sf_dir):
-    """Rows per input, unique, duplicates, train and eval sizes."""
-    return SP.merge_report(SP.merge_dedupe(_merge_inputs(spark, sf_dir)))
+    """Rows per input, unique, duplicates, train and eval sizes (one scan)."""
+    return SP.merge_report(_merge_inputs(spark, sf_dir))
 
 
 @query("eval_size")

@@ -162,3 +162,17 @@ def test_results_unchanged_under_repartition(spark):
         assert again == base
         s = sorted(r["key"] for r in SP.split_label(keys.repartition(n), "key", 300).where("split = 'eval'").collect())
         assert s == split0 and len(s) == 300
+
+
+def test_merge_report_single_scan(spark):
+    rng = random.Random(4)
+    texts = ["a", "b", "c", "d", "A", "e"]
+    rows = [((s, i), s, [("user", rng.choice(texts)), ("assistant", rng.choice(texts))])
+            for s in range(3) for i in range(60)]
+    df = spark.createDataFrame(rows, f"ord struct<s:int,i:int>, src int, messages {MSG}")
+    d = SP.merge_dedupe(df).collect()
+    uniq = sum(not r["is_dup"] for r in d)
+    rep = {r["item"]: r["n"] for r in SP.merge_report(df).collect()}
+    assert rep["unique"] == uniq and rep["duplicates"] == 180 - uniq
+    assert [rep[f"input_{s}"] for s in range(3)] == [60, 60, 60]
+    assert rep["eval"] == SP.eval_size(uniq) and rep["train"] == uniq - rep["eval"]
