@@ -434,7 +434,7 @@ LOG_USER = strip(f"text || chr(10) || {TOOL.format(x=UP, n=500)}")
 
 SQL["session_keys"] = """
 SELECT conv_id, turn, CAST(conv_id AS VARCHAR) AS session_id, role,
-  strftime(TIMESTAMP '2024-01-01 00:00:00' + turn * INTERVAL 60 SECOND, '%Y-%m-%d %H:%M:%S') AS ts,
+  epoch_us(TIMESTAMP '2024-01-01 00:00:00' + turn * INTERVAL 60 SECOND) AS ts_us,
   '/work/repo' || CAST(conv_id AS VARCHAR) AS cwd
 FROM conversations"""
 
@@ -467,7 +467,7 @@ SELECT CAST(conv_id AS VARCHAR) AS session_id, CAST(island AS BIGINT) AS island,
 FROM g WHERE users IS NOT NULL AND assistant IS NOT NULL"""
 
 SQL["iso_parse"] = """
-SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts FROM events"""
+SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE epoch_us(ts) END AS ts_us FROM events"""
 
 
 # ======================================================================

@@ -411,7 +411,7 @@ def session_keys(spark, sf_dir):
     """P7 + P8: session id, role and parsed timestamp of every record."""
     t = _log_turns(spark, sf_dir)
     return t.select("conv_id", "turn", "session_id", "role",
-                    F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "cwd")
+                    F.unix_micros("ts").alias("ts_us"), "cwd")
 
 
 @query("log_texts")
@@ -436,7 +436,7 @@ def iso_parse(spark, sf_dir):
     ev = S.table(spark, sf_dir, "events")
     raw = F.when(F.col("event_type") == "error", F.lit("not-a-time")).otherwise(
         F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
-    return ev.select("event_id", F.date_format(T.parse_ts(raw), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+    return ev.select("event_id", F.unix_micros(T.parse_ts(raw)).alias("ts_us"))
 
 
 # ======================================================================

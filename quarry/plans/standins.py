@@ -73,7 +73,7 @@ def event_turns(spark: SparkSession, sf_dir: str, max_tool_chars: int = 4000,
     return ev.select(
         F.col("user_id").cast("string").alias("session_id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts_raw"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("ts").alias("ts"),   # TIMESTAMP_NTZ: window bounds do not depend on the zone
         F.struct(F.lit(0).alias("src"), F.col("event_id")).alias("ord"),
         F.col("event_id"),
         role.alias("role"),
@@ -119,7 +119,9 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = table(spark, sf_dir, "conversations")
     j = _json_str
     role = F.col("role")
-    ts = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("turn") * 60),
+    # wall-clock arithmetic on TIMESTAMP_NTZ: independent of the session zone
+    ts = F.date_format(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+                       + F.make_dt_interval(secs=F.col("turn") * 60),
                        "yyyy-MM-dd'T'HH:mm:ss'Z'")
     up = F.translate("text", LOWER_ASCII, UPPER_ASCII)
     content = (
