@@ -8,10 +8,13 @@ are ordered by the raw timestamp string (missing = '' first), ties in
 input order (W1).
 
 Both operators are island problems.  A sequential loop over a session
-becomes: (1) an island id from a running count (skew-safe segmented scan,
-see ``scan.py``); (2) per-island facts from partial aggregates joined back
-on ``(session, island)``; (3) bounded per-island collections.  No step
-holds a whole session in one task.
+becomes: (1) an island id from a running count, plus for follow windows
+the island's first row carried by a running max; (2) per-island work that
+is either an aggregate (pairs) or a top-(k+1) cut planned as a partial
+group limit (follow windows).  Sessions above ``hot_rows`` rows get the
+running values from the segmented scan in ``scan.py`` (no session in one
+task); smaller sessions use one plain session window, which holds at most
+``hot_rows`` rows per group.
 """
 
 from __future__ import annotations
@@ -29,9 +32,11 @@ ORDER = ["_tkey", "ord"]
 def _with_order(df: DataFrame, order_by: str = "raw") -> DataFrame:
     """Session order key.  ``raw`` (the original): the timestamp string,
     missing = '' first, so mixed offsets are not chronological.
-    ``parsed``: the UTC instant (missing first), as a sortable string."""
+    ``parsed``: the instant (missing first), as zero-padded epoch
+    microseconds, so neither the session zone nor DST changes the order."""
     if order_by == "parsed":
-        key = F.coalesce(F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(""))
+        micros = F.unix_micros(F.col("ts").cast("timestamp"))
+        key = F.coalesce(F.lpad(micros.cast("string"), 20, "0"), F.lit(""))
     else:
         key = F.coalesce(F.col("ts_raw"), F.lit(""))
     return df.withColumn("_tkey", key)

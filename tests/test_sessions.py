@@ -179,3 +179,12 @@ def test_follow_literals(spark):
     got = [[(m["role"], m["content"]) for m in r["messages"][1:]] for r in res]
     assert got == [[("user", a), ("assistant", "at the bound"), ("user", "tool out")],
                    [("user", a + "2"), ("assistant", "b1"), ("assistant", "b2")]]
+
+
+def test_order_by_parsed_time(spark):
+    # raw strings with mixed offsets: string order differs from time order
+    rows = [("s", "2024-01-01T10:00:00+02:00", dt.datetime(2024, 1, 1, 8), 0, "user", "q1", "", True, "q1"),
+            ("s", "2024-01-01T09:30:00+00:00", dt.datetime(2024, 1, 1, 9, 30), 1, "assistant", "", "a", False, "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert W.build_pairs(df).count() == 0                      # raw order: assistant first
+    assert W.build_pairs(df, order_by="parsed").count() == 1   # time order: question first
