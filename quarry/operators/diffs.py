@@ -6,7 +6,9 @@ at ``diff --git`` headers and each file into hunks at ``@@`` headers
 (regex look-aheads, so the header stays with its chunk).  Before/after
 excerpts are regex passes over each hunk's text; patch blocks are the
 raw file chunks.  Line rows (G1) are produced only when asked for, by exploding.
-No step shuffles diff text.
+Parsing never shuffles diff text.  The one join that meets it (gated
+commits with diffs, on ``sha``) broadcasts the commit side when a count
+shows it small, so the diffs stay where they are read.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import text as T
+from .joins import broadcast_if_small
 from .ranking import top_n_per_group
 
 FILE_SPLIT = r"\n(?=diff --git )"
@@ -163,7 +166,7 @@ def patch_example(df: DataFrame, budget: int = 8000, reason: bool = False,
                   system: str = K.PATCH_SYSTEM_PROMPT) -> DataFrame:
     """user = intent + file + last ``budget`` characters of the
     before text; top-level ``assistant`` = fenced patch block (+ reason)."""
-    subj = T.subject("message")
+    subj = F.col("subject") if "subject" in df.columns else T.subject("message")
     user = F.concat(F.lit("Commit intent: "), subj, F.lit("\nFile: "), F.col("path"),
                     F.lit("\n<BEFORE>\n"), T.last_n("before", budget))
     answer = F.concat(F.lit("```diff\n"), F.col("patch_block"), F.lit("\n```"))
@@ -192,8 +195,10 @@ def patch_examples(commits: DataFrame, diffs: DataFrame, max_commits: int | None
     # cheap gates first: combined filters evaluate in this order, so the
     # message regexes only see commits that passed the parent and size tests
     c = intentful_commits(small_commits(single_parent(c), max_files, max_lines))
-    c = c.select("repo", "sha", "message").dropDuplicates(["repo", "sha"])
-    joined = c.join(diffs.select("sha", "diff"), "sha", "inner").where(~T.is_blank("diff"))
+    # only the subject line is used by the template: carry that, not the
+    # whole message, so the broadcast side stays small per row
+    c = c.select("repo", "sha", T.subject("message").alias("subject")).dropDuplicates(["repo", "sha"])
+    joined = diffs.select("sha", "diff").join(broadcast_if_small(c), "sha", "inner").where(~T.is_blank("diff"))
     files = diff_files(joined).where(~T.skip_path("path"))
     files = before_after(files)
     return patch_example(files, before_budget, reason_from_subject)
