@@ -1,0 +1,2 @@
+"""Driver tables read as dataset entities, the registered queries and their
+DuckDB SQL twins."""
