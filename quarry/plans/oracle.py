@@ -706,3 +706,43 @@ SQL["export_jsonl"] = f"""WITH {EX1}
 SELECT conv_id, CAST(len(messages) AS BIGINT) AS n_msgs,
   md5(array_to_string(list_transform(messages, lambda m: m.role || ':' || m.content), chr(10))) AS msg_md5
 FROM ex"""
+
+
+SQL["user_text"] = f"""
+SELECT conv_id, turn, md5(CASE WHEN role = 'user' THEN {LOG_USER} ELSE '' END) AS user_md5 FROM conversations"""
+SQL["assistant_text"] = f"""
+SELECT conv_id, turn, md5(CASE WHEN role = 'assistant' THEN {strip('text')} ELSE '' END) AS assistant_md5 FROM conversations"""
+SQL["human_text"] = f"""
+SELECT conv_id, turn, md5(CASE WHEN role = 'user' THEN {strip('text')} ELSE '' END) AS human_md5 FROM conversations"""
+SQL["human_turn"] = "SELECT conv_id, turn, role = 'user' AS has_human FROM conversations"
+
+SQL["extract_assistant"] = f"""WITH {GEN}
+SELECT conv_id, md5(CASE WHEN contains(gb, '<|im_start|>assistant')
+  THEN {lstrip("string_split(string_split(gb, '<|im_start|>assistant')[-1], '<|im_end|>')[1]")} ELSE gb END) AS out_md5
+FROM g2"""
+
+def _strip_markers_sql(x):
+    for mk in K.TOOL_MARKERS:
+        x = f"string_split({x}, '{mk}')[1]"
+    return x
+
+
+SQL["strip_tool_markers"] = f"""WITH {GEN}
+SELECT conv_id, md5({_strip_markers_sql('gb')}) AS out_md5 FROM g2"""
+
+SQL["qc_dedupe"] = f"""WITH {QC}
+SELECT src, conv_id, drop_reason = 'duplicate' AS is_dup FROM qcr
+WHERE drop_reason NOT IN ('bad_json', 'no_assistant', 'no_user', 'short_user')"""
+
+SQL["merge_counts"] = f"""WITH {MERGE} SELECT src, count(*) AS n FROM m GROUP BY src"""
+
+SQL["length_scan"] = f"""WITH {EX1}, t AS (
+  SELECT CAST(floor(length(coalesce(nullif({first_content('system')}, ''), {render()})) / 4) AS BIGINT) AS v FROM ex
+), s AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i, count(*) OVER () AS n FROM t)
+SELECT max(n) AS n, min(v) AS min,
+  max(CASE WHEN i = {_scan_idx(50)} THEN v END) AS p50,
+  max(CASE WHEN i = {_scan_idx(90)} THEN v END) AS p90,
+  max(CASE WHEN i = {_scan_idx(95)} THEN v END) AS p95,
+  max(CASE WHEN i = {_scan_idx(99)} THEN v END) AS p99,
+  max(v) AS max
+FROM s"""

@@ -718,3 +718,86 @@ def export_jsonl(spark, sf_dir):
     return back.select(F.try_variant_get("rec", "$.conv_id", "bigint").alias("conv_id"),
                        J.messages_of(F.col("rec")).alias("messages")).select(
         "conv_id", F.size("messages").cast("bigint").alias("n_msgs"), transcript_md5().alias("msg_md5"))
+
+
+# ======================================================================
+# Inventory rows under their own keys
+# ======================================================================
+@query("user_text")
+def user_text(spark, sf_dir):
+    """P2 + P5 + P6: user text of every raw log record."""
+    return _log_turns(spark, sf_dir).select("conv_id", "turn", F.md5("user_text").alias("user_md5"))
+
+
+@query("assistant_text")
+def assistant_text(spark, sf_dir):
+    """Assistant text of every raw log record."""
+    return _log_turns(spark, sf_dir).select("conv_id", "turn", F.md5("assistant_text").alias("assistant_md5"))
+
+
+@query("human_text")
+def human_text(spark, sf_dir):
+    """Human-only text of every raw log record."""
+    return _log_turns(spark, sf_dir).select("conv_id", "turn", F.md5("human_text").alias("human_md5"))
+
+
+@query("human_turn")
+def human_turn(spark, sf_dir):
+    """Human-turn predicate of every raw log record."""
+    return _log_turns(spark, sf_dir).select("conv_id", "turn", "has_human")
+
+
+def _generations(spark, sf_dir):
+    ex = _ex(spark, sf_dir)
+    u = F.coalesce(T.first_content("messages", "user"), F.lit(""))
+    a = F.coalesce(T.first_content("messages", "assistant"), F.lit(""))
+    prompt = F.concat(F.lit("<|im_start|>user\n"), u, F.lit("<|im_end|>\n<|im_start|>assistant\n"))
+    return ex.select("conv_id", F.concat(
+        prompt, F.lit("  "), F.translate(a, S.LOWER_ASCII, S.UPPER_ASCII),
+        F.lit("<tool_call>{\"name\": \"grep\"}<|im_end|>")).alias("generated"))
+
+
+@query("extract_assistant")
+def extract_assistant(spark, sf_dir):
+    """Last assistant turn of a generated text."""
+    g = _generations(spark, sf_dir)
+    return g.select("conv_id", F.md5(T.extract_assistant("generated")).alias("out_md5"))
+
+
+@query("strip_tool_markers")
+def strip_tool_markers(spark, sf_dir):
+    """Generated text cut at the first tool-call marker."""
+    g = _generations(spark, sf_dir)
+    return g.select("conv_id", F.md5(T.strip_tool_markers("generated")).alias("out_md5"))
+
+
+@query("qc_dedupe")
+def qc_dedupe(spark, sf_dir):
+    """Duplicate flag of the examples that passed the first four rules."""
+    out = _qc(spark, sf_dir).where(~F.col("drop_reason").isin("bad_json", "no_assistant", "no_user", "short_user"))
+    return out.select(F.col("ord.src").alias("src"), F.col("ord.conv_id").alias("conv_id"),
+                      (F.col("drop_reason") == "duplicate").alias("is_dup"))
+
+
+@query("merge_counts")
+def merge_counts(spark, sf_dir):
+    """S3: rows yielded per input, in argument order."""
+    return _merge_inputs(spark, sf_dir).groupBy("src").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("length_scan")
+def length_scan(spark, sf_dir):
+    """S4 + K4 + A3: examples written as JSONL (``text`` on the ones with a
+    system turn), read back preferring ``text`` over rendered messages, and
+    length statistics by the scan rule."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    from ..sources import sinks as KS
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/examples-{uuid.uuid4().hex}"
+    ex = _ex(spark, sf_dir).select("conv_id", "messages",
+                                   T.first_content("messages", "system").alias("text"))
+    KS.write_examples(ex, path)
+    back = J.read_examples(spark, path)
+    back = back.withColumn("n_tok", T.text_token_estimate("text"))
+    return ST.length_stats(back, "n_tok", (50, 90, 95, 99), "scan")
