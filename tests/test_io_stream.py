@@ -132,3 +132,21 @@ def test_stream_qc_with_horizon(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.sql("select * from qc_t2").count() == 2
+
+
+def test_incremental_pairs_carry_pending_user(spark, tmp_path):
+    src, out, ck = tmp_path / "logs", str(tmp_path / "out"), str(tmp_path / "ck")
+    src.mkdir()
+
+    def rec(role, text, minute):
+        return json.dumps({"sessionId": "s", "type": role, "timestamp": f"2024-01-01T00:{minute:02d}:00Z",
+                           "message": {"role": role, "content": [{"type": "text", "text": text}]}})
+    (src / "a.jsonl").write_text("\n".join([rec("user", "q1", 0), rec("assistant", "a1", 1),
+                                            rec("user", "q2", 2)]) + "\n")
+    ST.incremental_pairs(spark, str(src), out, ck)
+    first = [json.loads(r["value"]) for r in spark.read.text(out).collect()]
+    assert [p["messages"][1]["content"] for p in first] == ["q1"]
+    (src / "b.jsonl").write_text(rec("assistant", "a2", 3) + "\n")
+    ST.incremental_pairs(spark, str(src), out, ck)
+    allp = sorted(json.loads(r["value"])["messages"][1]["content"] for r in spark.read.text(out).collect())
+    assert allp == ["q1", "q2"]          # q2 was pending across runs
