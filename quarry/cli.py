@@ -1,6 +1,6 @@
 """Command line: the original dataset steps as Spark jobs.
 
-    python -m quarry.cli pairs   --src LOGS --out OUT [--limit N] [--max_tool_chars 6000]
+    python -m quarry.cli pairs   --src LOGS --out OUT [--limit N] [--max_tool_chars 6000] [--checkpoint CK]
     python -m quarry.cli follow  --src LOGS --out OUT [--follow_k 50] [--follow_minutes 0] ...
     python -m quarry.cli qc      --in IN --out OUT [--min_user_chars 80] [--max_tokens 4096]
     python -m quarry.cli merge   IN [IN ...] [--out_dir data] [--name N] [--eval_frac F] ...
@@ -53,6 +53,13 @@ def _counter(tokenizer: str | None, special: bool):
 
 
 def cmd_pairs(spark, a):
+    if a.checkpoint:
+        # nightly loop: only logs not seen by earlier runs, pending user text
+        # kept in the stream's state between runs
+        from .streaming.incremental import incremental_pairs
+        n = incremental_pairs(spark, a.src, a.out, a.checkpoint, max_tool_chars=a.max_tool_chars)
+        print(json.dumps({"input_lines": n}))
+        return
     turns = SG.normalise(J.read_logs(spark, a.src), max_tool_chars=a.max_tool_chars, tool_fallback=True)
     pairs = W.build_pairs(turns, limit=a.limit)
     KS.write_chat(pairs, a.out, mode="overwrite")
@@ -164,6 +171,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True)
     p.add_argument("--limit", type=int, default=None)
     p.add_argument("--max_tool_chars", type=int, default=K.DEFAULT_PAIR_TOOL_CHARS)
+    p.add_argument("--checkpoint", default=None,
+                   help="run incrementally (Structured Streaming, availableNow) with this checkpoint")
     p.set_defaults(fn=cmd_pairs)
 
     p = sub.add_parser("follow")

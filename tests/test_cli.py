@@ -62,3 +62,12 @@ def test_follow_fim_len(spark, tmp_path, capsys):
     cli.main(["len-scan", str(ex)])
     stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert stats["n"] == 2 and stats["max"] == 25
+
+
+def test_pairs_incremental(spark, tmp_path, capsys):
+    _logs(tmp_path / "logs")
+    args = ["pairs", "--src", str(tmp_path / "logs"), "--out", str(tmp_path / "inc"),
+            "--checkpoint", str(tmp_path / "ck")]
+    cli.main(args)
+    cli.main(args)                      # nothing new: no repeats
+    assert spark.read.text(str(tmp_path / "inc")).count() == 1
