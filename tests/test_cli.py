@@ -71,3 +71,19 @@ def test_pairs_incremental(spark, tmp_path, capsys):
     cli.main(args)
     cli.main(args)                      # nothing new: no repeats
     assert spark.read.text(str(tmp_path / "inc")).count() == 1
+
+
+def test_git_patch_examples(spark, tmp_path):
+    diff = "diff --git a/x.py b/x.py\n--- a/x.py\n+++ b/x.py\n@@ -1 +1 @@\n-a = 1\n+a = 2"
+    commits = spark.createDataFrame(
+        [("r", "s1", ["p"], "fix value\n\nbody", 1, 2, ["main"]),
+         ("r", "s2", ["p"], "chore: bump", 1, 2, ["main"])],
+        "repo string, sha string, parents array<string>, message string, n_files int, n_lines int, refs array<string>")
+    diffs = spark.createDataFrame([("s1", diff), ("s2", diff)], "sha string, diff string")
+    commits.write.parquet(str(tmp_path / "c"))
+    diffs.write.parquet(str(tmp_path / "d"))
+    cli.main(["git", "--commits", str(tmp_path / "c"), "--diffs", str(tmp_path / "d"),
+              "--out", str(tmp_path / "g"), "--reason-from-subject"])
+    rows = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "g")).collect()]
+    assert len(rows) == 1 and rows[0]["assistant"].endswith("Reason: fix value")
+    assert rows[0]["messages"][1]["content"].startswith("Commit intent: fix value\nFile: x.py\n<BEFORE>\na = 1")
