@@ -22,7 +22,7 @@ def _pname(p: float) -> str:
 
 
 def length_stats(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.75, 0.9, 0.95),
-                 rule: str = "floor") -> DataFrame:
+                 rule: str = "floor", approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """One row of length statistics, all from one histogram of the values.
 
     floor  (A2): ``sorted[int(p*(n-1))]``, plus n, max and truncated mean.
@@ -36,8 +36,24 @@ def length_stats(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.75, 0.9
     number of distinct lengths (bounded by the longest example, not by the
     row count); a cumulative sum over that small table locates each rank.
     Spark's exact ``percentile`` is not used: it buffers every value.
+
+    The histogram is bounded only for integral values (lengths).  A
+    fractional column could have as many distinct values as rows, so it is
+    refused unless ``approx=True``, which answers every rule with
+    ``percentile_approx`` (bounded memory, rank error about 1/accuracy).
     """
+    from pyspark.sql.types import DecimalType, DoubleType, FloatType
     v = F.col(c)
+    fractional = isinstance(df.schema[c].dataType, (DoubleType, FloatType, DecimalType))
+    if approx:
+        ps = [float(p) / 100.0 if (rule == "scan" and p > 1) else float(p) for p in probs]
+        q = F.percentile_approx(v, ps, accuracy)
+        aggs = [F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean")]
+        aggs += [F.get(q, i).alias(_pname(p)) for i, p in enumerate(probs)]
+        return df.agg(*aggs)
+    if fractional:
+        raise ValueError(f"length_stats: '{c}' is fractional; the exact rules need integral "
+                         "lengths (bounded histogram) - pass approx=True")
     hist = df.where(v.isNotNull()).groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
     w_all = Window.partitionBy(F.lit(1))
     w_cum = w_all.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)

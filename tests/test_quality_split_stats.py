@@ -176,3 +176,12 @@ def test_merge_report_single_scan(spark):
     assert rep["unique"] == uniq and rep["duplicates"] == 180 - uniq
     assert [rep[f"input_{s}"] for s in range(3)] == [60, 60, 60]
     assert rep["eval"] == SP.eval_size(uniq) and rep["train"] == uniq - rep["eval"]
+
+
+def test_length_stats_fractional_guard(spark):
+    import pytest
+    df = spark.createDataFrame([(float(i) / 3,) for i in range(100)], "v double")
+    with pytest.raises(ValueError):
+        ST.length_stats(df, "v", (0.5,), "linear")
+    r = ST.length_stats(df, "v", (0.5, 0.9), "linear", approx=True).collect()[0]
+    assert r["n"] == 100 and abs(r["p50"] - 49 / 3) < 1.0
