@@ -26,12 +26,19 @@ _STRIP_RE = r"\A" + K.JAVA_SPACE_CLASS + r"+|" + K.JAVA_SPACE_CLASS + r"+\z"
 _LSTRIP_RE = r"\A" + K.JAVA_SPACE_CLASS + r"+"
 
 
+_END_SPACE = "(?U)" + K.JAVA_SPACE_CLASS
+
+
 def strip(c) -> Column:
     """Python ``str.strip()``: Unicode White_Space plus U+001C..U+001F.
 
-    ``F.trim`` only removes ASCII space, so it is not used.
+    ``F.trim`` only removes ASCII space, so it is not used.  The regex runs
+    only when the first or last character is whitespace; otherwise strip is
+    the identity, which is the usual case for log lines and message text.
     """
-    return F.regexp_replace(col(c), "(?U)" + _STRIP_RE, "")
+    x = col(c)
+    ends = F.substring(x, 1, 1).rlike(_END_SPACE) | F.substring(x, -1, 1).rlike(_END_SPACE)
+    return F.when(ends, F.regexp_replace(x, "(?U)" + _STRIP_RE, "")).otherwise(x)
 
 
 def lstrip(c) -> Column:
