@@ -24,8 +24,6 @@ def col(c) -> Column:
 # --------------------------------------------------------------------- P1
 _STRIP_RE = r"\A" + K.JAVA_SPACE_CLASS + r"+|" + K.JAVA_SPACE_CLASS + r"+\z"
 _LSTRIP_RE = r"\A" + K.JAVA_SPACE_CLASS + r"+"
-
-
 _END_SPACE = "(?U)" + K.JAVA_SPACE_CLASS
 
 
@@ -42,7 +40,11 @@ def strip(c) -> Column:
 
 
 def lstrip(c) -> Column:
-    return F.regexp_replace(col(c), "(?U)" + _LSTRIP_RE, "")
+    """Python ``str.lstrip()``; the regex runs only when the first
+    character is whitespace."""
+    x = col(c)
+    return F.when(F.substring(x, 1, 1).rlike(_END_SPACE),
+                  F.regexp_replace(x, "(?U)" + _LSTRIP_RE, "")).otherwise(x)
 
 
 def is_blank(c) -> Column:

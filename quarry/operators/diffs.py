@@ -29,7 +29,11 @@ _RSTRIP = "(?U)" + K.JAVA_SPACE_CLASS + r"+\z"
 
 
 def rstrip(c) -> Column:
-    return F.regexp_replace(T.col(c), _RSTRIP, "")
+    """Python ``str.rstrip()``; the regex runs only when the last character
+    is whitespace."""
+    x = T.col(c)
+    return F.when(F.substring(x, -1, 1).rlike("(?U)" + K.JAVA_SPACE_CLASS),
+                  F.regexp_replace(x, _RSTRIP, "")).otherwise(x)
 
 
 # ------------------------------------------------------------- F3 / F4 / F5
