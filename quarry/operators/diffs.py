@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import text as T
+from ..session import materialize
 from .joins import broadcast_if_small
 from .ranking import top_n_per_group
 
@@ -202,6 +203,9 @@ def patch_examples(commits: DataFrame, diffs: DataFrame, max_commits: int | None
     # only the subject line is used by the template: carry that, not the
     # whole message, so the broadcast side stays small per row
     c = c.select("repo", "sha", T.subject("message").alias("subject")).dropDuplicates(["repo", "sha"])
+    # the gated set is narrow; materialise it once so the size check and the
+    # broadcast do not both re-run the gates (the message regexes)
+    c = materialize(c)
     joined = diffs.select("sha", "diff").join(broadcast_if_small(c), "sha", "inner").where(~T.is_blank("diff"))
     files = diff_files(joined).where(~T.skip_path("path"))
     files = before_after(files)
