@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import materialize
 from .joins import broadcast_if_small
 
 
@@ -101,7 +102,7 @@ def vs_baseline(runs: DataFrame, baseline: DataFrame, on: Sequence[str]) -> Data
     b = baseline.select(*on, F.col("peak_cpu_memory").alias("_bmem"), F.col("short_tps").alias("_btps"))
     # one baseline row per group: broadcast behind a size check, so a group
     # owning most runs does not meet a skewed shuffle join
-    j = runs.join(broadcast_if_small(b), list(on), "inner")
+    j = runs.join(broadcast_if_small(materialize(b)), list(on), "inner")
     slow = F.when((F.col("short_tps") > 0) & (F.col("_btps") > 0) & (F.col("short_tps") != F.col("_btps")),
                   (F.col("_btps") - F.col("short_tps")) / F.col("_btps") * 100.0)
     return j.withColumn("extra_memory", F.greatest(F.lit(0.0), F.col("peak_cpu_memory") - F.col("_bmem"))) \

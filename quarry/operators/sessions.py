@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..session import materialize
 from .joins import broadcast_if_small
 from .scan import running_sums
 
@@ -132,7 +133,9 @@ def limit_ordered(examples: DataFrame, turns: DataFrame, n: int) -> DataFrame:
     first = turns.groupBy("session_id").agg(F.min("ord").alias("session_first_ord"))
     # one row per session: broadcast behind a size check, so a hot session
     # does not meet a skewed shuffle join
-    ranked = examples.join(broadcast_if_small(first), "session_id")
+    # narrow (one row per session): materialised once, so the size check
+    # and the join do not both recompute the turns
+    ranked = examples.join(broadcast_if_small(materialize(first)), "session_id")
     return ranked.orderBy("session_first_ord", "session_id", "island").limit(n)
 
 
