@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
-from .common import keyed
+from . import block_naming, mixing, simhash
+from .common import KEY, keyed
 
 REGISTRY: dict = {}
 
@@ -26,3 +26,15 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document at 3-word shingles and 2 bits."""
     found = simhash.near_duplicates(keyed(documents(spark, sf_dir)))
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id", "kept")
+
+
+@query
+def op5_block_naming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact-duplicate group of every document."""
+    return block_naming.exact_duplicates(keyed(documents(spark, sf_dir))).drop(KEY)
+
+
+@query
+def op9_fair_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    return mixing.mix(keyed(documents(spark, sf_dir))).select("doc_id", "size", "source_size", "target", "taken")
