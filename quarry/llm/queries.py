@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_naming, mixing, simhash
+from . import block_naming, mixing, quality, simhash
 from .common import KEY, keyed
 
 REGISTRY: dict = {}
@@ -38,3 +38,9 @@ def op5_block_naming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_fair_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     return mixing.mix(keyed(documents(spark, sf_dir))).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    return quality.judged(documents(spark, sf_dir)).drop("n_lines")
