@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_naming, mixing, quality, simhash
+from . import block_naming, licenses, mixing, quality, secrets, simhash
 from .common import KEY, keyed
 
 REGISTRY: dict = {}
@@ -44,3 +44,25 @@ def op9_fair_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality.judged(documents(spark, sf_dir)).drop("n_lines")
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, each blob scanned once."""
+    found = secrets.scan_documents(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+
+    def line(x):
+        return F.array_join(F.transform(x, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in secrets.BASE], F.sha2(line(base), 256).alias("base_sha256"),
+                        line(F.col("spans")).alias("spans"), "blob")
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document."""
+    found = licenses.license_scan(documents(spark, sf_dir))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
