@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_naming, licenses, mixing, quality, secrets, simhash
+from . import block_naming, html_text, licenses, mixing, quality, secrets, simhash
 from .common import KEY, keyed
 
 REGISTRY: dict = {}
@@ -66,3 +66,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document."""
     found = licenses.license_scan(documents(spark, sf_dir))
     return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
