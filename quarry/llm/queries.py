@@ -3,13 +3,15 @@ production parameters; digest columns are derived here."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_naming, html_text, licenses, mixing, quality, secrets, simhash
+from . import block_naming, html_text, licenses, mixing, packing, quality, secrets, sharding, simhash
 from .common import KEY, keyed
 
 REGISTRY: dict = {}
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(fn):
@@ -73,3 +75,17 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     found = html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+@query
+def op3_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in windows of 2048 tokens."""
+    pieces = packing.pack(documents(spark, sf_dir), TOKENIZER)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op4_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, sizes near equal."""
+    rows = sharding.shard_rows(keyed(documents(spark, sf_dir)))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
