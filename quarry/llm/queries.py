@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_naming, html_text, licenses, mixing, packing, quality, secrets, sharding, simhash
+from . import block_naming, html_text, licenses, mixing, packing, quality, secrets, sharding, simhash, substrings
 from .common import KEY, keyed
 
 REGISTRY: dict = {}
@@ -89,3 +89,9 @@ def op4_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, sizes near equal."""
     rows = sharding.shard_rows(keyed(documents(spark, sf_dir)))
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op6_cdc_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages of every document."""
+    return substrings.passages(keyed(documents(spark, sf_dir))).drop(KEY)
