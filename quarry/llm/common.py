@@ -20,6 +20,7 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Name of the row-key column that :func:`keyed` adds.
 KEY = "_row_key"
+_OWN = f"{KEY}_own"
 
 
 def stash(df: DataFrame, label: str) -> DataFrame:
@@ -53,14 +54,19 @@ def word_count(column: str = "text") -> Column:
     return F.regexp_count(text_of(column), F.lit(WORD)).cast("bigint")
 
 
+def columns_of(docs: DataFrame) -> list[Column]:
+    """The columns of ``docs``, of itself or of a frame keyed from it."""
+    return [F.col(f"`{_OWN if c == KEY else c}`").alias(c) for c in docs.columns]
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with a column KEY that tells its rows apart, repeated rows
     and null ids included, and is the same in every later read.
 
     A plain file read is keyed by file and row number, so nothing is
-    written; any other frame is stored once with generated numbers."""
-    if KEY in docs.columns:
-        raise ValueError(f"the name {KEY} is taken")
+    written; any other frame is stored once with generated numbers.  A
+    column of docs by that name is set aside for :func:`columns_of`."""
+    docs = docs.withColumnRenamed(KEY, _OWN) if KEY in docs.columns else docs
     relation = docs._jdf.queryExecution().analyzed().getClass().getSimpleName()
     if relation == "LogicalRelation" and "_metadata" not in docs.columns:
         key = F.struct(F.xxhash64(F.col("_metadata.file_path")).alias("f"),

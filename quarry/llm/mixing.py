@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, keyed, prefix_sums, stash, word_count
+from .common import KEY, columns_of, keyed, prefix_sums, stash, word_count
 
 MAX_REPEATS = 3
 SEED = "mix-1"
@@ -80,7 +80,7 @@ def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS, seed: str = SEED) -> Da
 def mixed(docs: DataFrame, max_repeats: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
     """``docs`` as the mix takes them: a row drawn n times stands n times."""
     rows = keyed(docs)
-    n = stash(mix(rows, max_repeats, seed).where("copies > 0").select(F.col(KEY).alias("_mix_key"), F.col("copies").alias("_mix_copies")), "copies")
-    both = rows.join(n, F.col(KEY) == F.col("_mix_key"))
-    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_mix_copies"))).alias("_mix_turn")
-    return both.select(*docs.columns, again).drop("_mix_turn")
+    times = f"{KEY}_times"
+    n = stash(mix(rows, max_repeats, seed).where("copies > 0").select(F.col(KEY).alias(f"{KEY}_of"), F.col("copies").alias(times)), "copies")
+    drawn = rows.join(n, F.col(KEY) == F.col(f"{KEY}_of"))
+    return drawn.withColumn(times, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times)))).select(*columns_of(docs))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, text_of
+from .common import text_of
 
 MIN_WORDS = 50
 #: Rows of the first files that the order of the rules is estimated on.
@@ -115,9 +115,6 @@ class Rule:
     rejects: Callable[[dict, Column], Column]
 
 
-#: Words with at most one row in fifty of letters are not prose.
-_LETTERS = r"\p{L}"
-
 RULES = (
     Rule("few_words", lambda m, t: m["n_words"] < MIN_WORDS),
     Rule("repeated_words", lambda m, t: 100 * m["n_repeat_words"] > 50 * m["n_words"]),
@@ -187,8 +184,6 @@ def judged(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> Data
 
 def quality_filter(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, all columns as they are."""
-    name = "_quality_ok"
     t = text_of()
     ordered = order_rules(docs, rules, sample_rows)
-    ok = let(words(t), lambda w: ~rejected(ordered, measures(t, w), t))
-    return docs.select("*", F.explode(F.array(ok)).alias(name)).where(name).select(*docs.columns)
+    return docs.where(let(words(t), lambda w: ~rejected(ordered, measures(t, w), t)))

@@ -77,21 +77,18 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules=RU
     Texts move once, combined by blob before the shuffle.  Blobs without
     findings are in the ledger too, with no spans.  Null content counts as
     empty; repeated versions and paths share one scan; an empty table gives
-    no rows and no additions."""
-    if {"blob", "spans"} & set(versions.columns):
-        raise ValueError("the names blob and spans are taken")
+    no rows and no additions; columns named blob or spans are replaced."""
+    versions = versions.drop("blob", "spans")
     spark = versions.sparkSession
     ledger = (ledger if ledger is not None else spark.createDataFrame([], LEDGER)).where(F.col("rule_version") == rule_version)
     blobs = versions.select(F.sha2(text_of(text), 256).alias("blob"), text_of(text).alias("content"))
     unseen = blobs.groupBy("blob").agg(F.first("content").alias("content")).join(ledger, "blob", "left_anti")
     new = stash(unseen.mapInArrow(_scan(rules, rule_version), LEDGER), "ledger")
     known = new.unionByName(ledger.select(*new.columns)).where(F.size("spans") > 0) \
-        .select(F.col("blob").alias("_blob"), "spans")
+        .select("blob", "spans")
     paths = versions.withColumn("blob", F.sha2(text_of(text), 256))
     none = F.array().cast(T.ArrayType(SPAN))
-    out = paths.join(known, F.col("blob") == F.col("_blob"), "left") \
-        .withColumn("spans", F.coalesce("spans", none)).drop("_blob")
-    return out, new
+    return paths.join(known, "blob", "left").withColumn("spans", F.coalesce("spans", none)), new
 
 
 def scan_documents(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:

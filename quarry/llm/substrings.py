@@ -1,7 +1,8 @@
 """Repeated passages by content-defined chunking.
 
 A gear rolling hash over the UTF-8 bytes cuts each text where the hash of
-the last 32 bytes is small, so cuts depend on content alone and a passage
+the last 32 bytes is small and no such place lies just before; where they
+lie in a row, every so often.  Cuts depend on nearby content alone and a passage
 gets the same inner chunks wherever it stands.  Chunks are deduplicated by
 a 128-bit digest; neighbouring repeated chunks join to passages.
 """
@@ -15,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KEY, keyed, stash
+from .common import KEY, columns_of, keyed, stash
 
 #: One byte in RATE is a candidate cut; a candidate counts if none lies in the MIN_CHUNK bytes before it.
-RATE, MIN_CHUNK, MAX_CHUNK = 24, 16, 1024
+RATE, MIN_CHUNK, MAX_CHUNK = 16, 12, 1024
 #: Code points that a passage of repeated chunks must have.
-MIN_PASSAGE = 100
+MIN_PASSAGE = 80
 _WINDOW = 32
 #: The gear table, from a rule.
 GEAR = np.array([int.from_bytes(hashlib.sha256(bytes([c])).digest()[:4], "little") for c in range(256)], np.uint32)
@@ -44,7 +45,19 @@ def cuts(data: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     starts = (data & 0xC0) != 0x80
     at = np.flatnonzero((gear_hash(data)[:-1] < np.uint32(2**32 // RATE)) & starts[1:]) + 1
-    at = at[np.diff(at, prepend=-MIN_CHUNK) >= MIN_CHUNK]
+    lead = np.flatnonzero(np.diff(at, prepend=-MIN_CHUNK) >= MIN_CHUNK)
+    tail = np.append(lead[1:], len(at))[:len(lead)] - 1
+    dense = np.flatnonzero(at[tail] - at[lead] >= 2 * MIN_CHUNK)
+    more = []
+    for a, z in zip(lead[dense].tolist(), tail[dense].tolist(), strict=True):  # repetitive text: candidates in a row
+        last = at[a]
+        for c in at[a + 1:z + 1].tolist():
+            if c - last >= MIN_CHUNK:
+                more.append(c)
+                last = c
+    at = at[lead]
+    if more:
+        at = np.union1d(at, more)
     ends = np.append(at, n)
     if (np.diff(ends, prepend=0) > MAX_CHUNK).any():
         more = []
@@ -142,12 +155,12 @@ def passages(docs: DataFrame, min_passage: int = MIN_PASSAGE) -> DataFrame:
 
 def strip_repeats(docs: DataFrame, min_passage: int = MIN_PASSAGE) -> DataFrame:
     """``docs`` with the passages that are not kept cut out of ``text``."""
-    rows = keyed(docs)
+    rows, cut = keyed(docs), f"{KEY}_cut"
     gone = stash(passages(rows, min_passage).where("not kept").groupBy(KEY).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_gone")), "gone")  # one text's own passages
-    end = F.char_length("text").cast("bigint")
-    keep = F.transform(F.sequence(F.lit(0), F.size("_gone")), lambda i: F.struct(
-        F.coalesce(F.get("_gone", i - 1)["end"], F.lit(0).cast("bigint")).alias("a"), F.coalesce(F.get("_gone", i)["start"], end).alias("z")))
+        F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cut)), "gone")  # one text's own passages
+    none, end = F.lit(0).cast("bigint"), F.char_length("text").cast("bigint")
+    keep = F.transform(F.sequence(F.lit(0), F.size(cut)), lambda i: F.struct(
+        F.coalesce(F.get(cut, i - 1)["end"], none).alias("a"), F.coalesce(F.get(cut, i)["start"], end).alias("z")))
     left = F.array_join(F.transform(keep, lambda x: F.substring("text", (x["a"] + 1).cast("int"), (x["z"] - x["a"]).cast("int"))), "")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
-    return rows.join(gone, KEY, "left").select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    text = F.when(F.col(cut).isNull(), F.col("text")).otherwise(left)
+    return rows.join(gone, KEY, "left").withColumn("text", text).select(*columns_of(docs))
