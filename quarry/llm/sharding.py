@@ -24,12 +24,15 @@ LARGE = 32
 #: Small groups that one task places.
 TASK_GROUPS = 50_000
 DIMENSIONS = ("bytes", "tokens", "rows")
+#: Bytes must come out near equal; words and rows as far as that allows.
+WEIGHTS = np.array([10.0, 1.0, 1.0])
 
 
 def place(items: np.ndarray, residual: np.ndarray, scale: np.ndarray) -> np.ndarray:
     """Shard of each item (n x dimensions), largest first; ``residual``
     (shards x dimensions) is used up.  ``scale`` makes dimensions alike."""
     out = np.zeros(len(items), np.int64)
+    scale = scale / WEIGHTS
     unit, left = items / scale, residual / scale
     for i in np.argsort(-unit.max(axis=1), kind="stable") if len(items) else ():
         s = int(np.argmax(left @ unit[i]))
@@ -61,7 +64,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     Shards are near equal in bytes (UTF-8 length plus 1), words and rows.
     Rows with equal texts (null: empty) share a shard, unless the group
     alone is more than one shard's capacity: then it is dealt by row into
-    chunks of half a capacity or less.  Groups are told by a 64-bit hash; a
+    as many even chunks as there are shards.  Groups are told by a 64-bit hash; a
     collision would only keep two texts together.  Repeated rows are rows of
     one group; empty input gives an empty result."""
     spark = docs.sparkSession
@@ -74,7 +77,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     over = F.greatest(*[F.col(d) / F.lit(float(c)) for d, c in zip(DIMENSIONS, capacity, strict=True)])
     whole = stash(rows.groupBy("grp").agg(*sums).withColumn("over", over), "groups")
     # at most 3 * shards groups exceed a capacity
-    hot = whole.where("over > 1").select(F.col("grp").alias("hgrp"), F.ceil(2 * F.col("over")).alias("chunks"))
+    hot = whole.where("over > 1").select(F.col("grp").alias("hgrp"), F.lit(shards).alias("chunks"))
     rows = stash(rows.join(F.broadcast(hot), F.col("grp") == F.col("hgrp"), "left").withColumn(
         "chunk", F.coalesce(F.pmod(F.xxhash64(KEY), F.col("chunks")), F.lit(0)).cast("bigint")).drop("hgrp", "chunks"), "chunks")
     units = stash(rows.groupBy("grp", "chunk").agg(*sums).withColumn("over", over), "units")

@@ -61,7 +61,8 @@ def test_stages_take_odd_tables(spark, odd, empty, clashing):
             if docs is empty:
                 assert out.count() == 0
             else:
-                assert 0 < out.count() <= 3 * len(odd_rows())
+                n = out.count()
+                assert n and (name == "packing" or n <= 3 * len(odd_rows()))
 
 
 def test_run(spark):
