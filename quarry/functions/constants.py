@@ -15,16 +15,20 @@ FIM_SYSTEM_PROMPT = (
     "You are a precise coding assistant that completes code given a prefix and suffix."
 )
 FIM_MARKER_SYSTEM_PROMPT = "Fill the missing code exactly; minimal changes."
-STEER_SYSTEM_PROMPT = (
-    "You are a precise coding assistant. "
-    "You cannot call tools or browse. "
-    "Answer in plain text. Provide exact file paths, function names, and code snippets where possible. "
-    "Give a complete, self-contained answer."
-)
+
+# --- fixed values: patch and FIM templates ----------------------------------
+PATCH_INTENT = "Commit intent: "
+PATCH_FILE = "\nFile: "
+PATCH_BEFORE = "\n<BEFORE>\n"
+PATCH_OPEN = "```diff\n"
+PATCH_CLOSE = "\n```"
+PATCH_REASON = "\nReason: "
+FIM_FILE = "[FILE] "
+FIM_PREFIX = "PREFIX:\n"
+FIM_FILL = "\n<FILL>\n...\n</FILL>\nSUFFIX:\n"
 
 # --- fixed values: log segment types ----------------------------------------
 USER_SEGMENT_TYPES = ["text", "input_text", "message", "input", "tool_result"]
-ASSISTANT_SEGMENT_TYPES = ["text"]
 
 # --- fixed values: tool output rendering ------------------------------------
 TOOL_RESULT_PREFIX = "\n[TOOL RESULT]\n"

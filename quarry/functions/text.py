@@ -180,7 +180,7 @@ def last_n(c, n: int) -> Column:
         return F.when(F.length(col(c)) <= F.lit(n), col(c)).otherwise(F.right(col(c), F.lit(n)))
     if n == 0:
         return col(c)
-    return F.when(F.length(col(c)) <= F.lit(n), col(c)).otherwise(F.substring(col(c), -n + 1, 1 << 30))
+    return F.when(F.length(col(c)) <= F.lit(n), col(c)).otherwise(F.substr(col(c), F.lit(-n + 1)))
 
 
 _LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"

@@ -7,8 +7,9 @@ at ``diff --git`` headers and each file into hunks at ``@@`` headers
 excerpts are regex passes over each hunk's text; patch blocks are the
 raw file chunks.  Line rows (G1) are produced only when asked for, by exploding.
 Parsing never shuffles diff text.  The one join that meets it (gated
-commits with diffs, on ``sha``) broadcasts the commit side when a count
-shows it small, so the diffs stay where they are read.
+commits with diffs, on repository and ``sha``) carries no hint: the planner
+measures the narrow commit side in bytes and broadcasts it only below its
+threshold.
 """
 
 from __future__ import annotations
@@ -20,8 +21,6 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import text as T
-from ..session import materialize
-from .joins import broadcast_if_small
 from .ranking import top_n_per_group
 
 FILE_SPLIT = r"\n(?=diff --git )"
@@ -73,6 +72,8 @@ def cap_commits(walked: DataFrame, n: int, newest: str = "committed_at") -> Data
     """Newest ``n`` non-merge commits per ref (the walk's max_count,
     applied before dedupe and the other gates)."""
     nm = walked.where(F.size("parents") <= 1)
+    if newest not in nm.columns:  # exports without times: any n, by sha
+        return top_n_per_group(nm, ["repo", "ref"], F.lit(None).cast("timestamp"), n, tiebreak=F.col("sha"))
     return top_n_per_group(nm, ["repo", "ref"], F.col(newest), n, tiebreak=F.col("sha"), descending=True)
 
 
@@ -94,7 +95,9 @@ def diff_files(diffs: DataFrame, diff: str = "diff") -> DataFrame:
     without ``a/`` when the target is ``/dev/null``; else the ``b/`` side
     of the ``diff --git`` line (renames and binary files without hunks).
     """
-    files = diffs.select("*", F.posexplode(F.split(F.col(diff), FILE_SPLIT)).alias("file_no", "file_text"))
+    # a final newline ends the last line, it does not begin another one
+    body = F.regexp_replace(F.col(diff), r"\n\z", "")
+    files = diffs.select("*", F.posexplode(F.split(body, FILE_SPLIT)).alias("file_no", "file_text"))
     files = files.where(F.col("file_text").startswith("diff --git "))
     # one-row Generate: the hunk split runs once per file however often the
     # parts are referenced (projections and pushed-down filters alike)
@@ -102,9 +105,9 @@ def diff_files(diffs: DataFrame, diff: str = "diff") -> DataFrame:
     parts = F.col("_parts")
     files = files.withColumn("header", F.get(parts, 0)).withColumn(
         "hunks", F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))).drop("_parts")
-    plus = F.regexp_extract("header", r"(?m)^\+\+\+ (.*)$", 1)
-    minus = F.regexp_extract("header", r"(?m)^--- (.*)$", 1)
-    git_b = F.regexp_extract("header", r"(?m)^diff --git a/.* b/(.*)$", 1)
+    plus = F.regexp_extract("header", r"(?dm)^\+\+\+ (.*)$", 1)
+    minus = F.regexp_extract("header", r"(?dm)^--- (.*)$", 1)
+    git_b = F.regexp_extract("header", r"(?dm)^diff --git a/.* b/(.*)$", 1)
     path = (F.when(plus == "/dev/null", F.regexp_replace(minus, "^a/", ""))
             .when(plus != "", F.regexp_replace(plus, "^b/", ""))
             .otherwise(git_b))
@@ -130,7 +133,7 @@ def diff_lines(diffs: DataFrame, diff: str = "diff") -> DataFrame:
             .when(first == "\\", F.lit("marker"))
             .when(F.col("line") == "", F.lit("context"))
             .otherwise(F.lit("other")))
-    value = F.when(kind.isin("context", "added", "removed"), F.substring("line", 2, 1 << 30))
+    value = F.when(kind.isin("context", "added", "removed"), F.substr("line", F.lit(2)))
     return ln.withColumn("kind", kind).withColumn("value", value)
 
 
@@ -141,8 +144,8 @@ def _hunk_side(hunk: Column, keep: str) -> Column:
     header line, drop lines of the other side / markers / anything else,
     then cut the marker character."""
     body = F.when(F.instr(hunk, "\n") > 0, F.concat(F.regexp_replace(hunk, r"\A[^\n]*\n", ""), F.lit("\n")))
-    kept = F.regexp_replace(body, r"(?m)^[^ " + keep + r"\n][^\n]*\n", "")
-    return F.coalesce(F.regexp_replace(kept, r"(?m)^[ \-+]", ""), F.lit(""))
+    kept = F.regexp_replace(body, r"(?dm)^[^ " + keep + r"\n][^\n]*\n", "")
+    return F.coalesce(F.regexp_replace(kept, r"(?dm)^[ \-+]", ""), F.lit(""))
 
 
 def before_after(files: DataFrame) -> DataFrame:
@@ -172,11 +175,11 @@ def patch_example(df: DataFrame, budget: int = 8000, reason: bool = False,
     """user = intent + file + last ``budget`` characters of the
     before text; top-level ``assistant`` = fenced patch block (+ reason)."""
     subj = F.col("subject") if "subject" in df.columns else T.subject("message")
-    user = F.concat(F.lit("Commit intent: "), subj, F.lit("\nFile: "), F.col("path"),
-                    F.lit("\n<BEFORE>\n"), T.last_n("before", budget))
-    answer = F.concat(F.lit("```diff\n"), F.col("patch_block"), F.lit("\n```"))
+    user = F.concat(F.lit(K.PATCH_INTENT), subj, F.lit(K.PATCH_FILE), F.col("path"),
+                    F.lit(K.PATCH_BEFORE), T.last_n("before", budget))
+    answer = F.concat(F.lit(K.PATCH_OPEN), F.col("patch_block"), F.lit(K.PATCH_CLOSE))
     if reason:
-        answer = F.when(subj != "", F.concat(answer, F.lit("\nReason: "), subj)).otherwise(answer)
+        answer = F.when(subj != "", F.concat(answer, F.lit(K.PATCH_REASON), subj)).otherwise(answer)
 
     def m(role, c):
         return F.struct(F.lit(role).alias("role"), c.alias("content"))
@@ -184,12 +187,21 @@ def patch_example(df: DataFrame, budget: int = 8000, reason: bool = False,
              .withColumn("assistant", answer)
 
 
+def one_diff_per_sha(diffs: DataFrame) -> DataFrame:
+    """``sha, diff`` with one row per sha.  Only shas that repeat take part
+    in the choice (the smallest text), so other diffs are not aggregated."""
+    d = diffs.select("sha", "diff")
+    many = d.groupBy("sha").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("sha")
+    return d.join(many, "sha", "left_anti").unionByName(
+        d.join(many, "sha", "left_semi").groupBy("sha").agg(F.min("diff").alias("diff")))
+
+
 def patch_examples(commits: DataFrame, diffs: DataFrame, max_commits: int | None = None,
                    max_files: int = 20, max_lines: int = 1200, before_budget: int = 8000,
                    reason_from_subject: bool = False, **walk) -> DataFrame:
     """Commits -> per-file patch examples.  Ref walk, cap and dedupe,
     then the cheap gates (size, intent, single parent) before the equi-join
-    with the diff text on ``sha``; then path skip, hunk gates, templating."""
+    with the diff text on (``repo``,) ``sha``; then path skip, hunk gates, templating."""
     c = commits
     if "refs" in c.columns:
         c = walk_refs(c, **walk)
@@ -201,12 +213,15 @@ def patch_examples(commits: DataFrame, diffs: DataFrame, max_commits: int | None
     # message regexes only see commits that passed the parent and size tests
     c = intentful_commits(small_commits(single_parent(c), max_files, max_lines))
     # only the subject line is used by the template: carry that, not the
-    # whole message, so the broadcast side stays small per row
+    # whole message, so the commit side stays narrow
     c = c.select("repo", "sha", T.subject("message").alias("subject")).dropDuplicates(["repo", "sha"])
-    # the gated set is narrow; materialise it once so the size check and the
-    # broadcast do not both re-run the gates (the message regexes)
-    c = materialize(c)
-    joined = diffs.select("sha", "diff").join(broadcast_if_small(c), "sha", "inner").where(~T.is_blank("diff"))
+    # a fork holds the same sha: diffs that name their repository meet that
+    # one alone, others serve every repository with the commit once
+    if "repo" in diffs.columns:
+        joined = diffs.select("repo", "sha", "diff").join(c, ["repo", "sha"])
+    else:
+        joined = one_diff_per_sha(diffs).join(c, "sha")
+    joined = joined.where(~T.is_blank("diff"))
     files = diff_files(joined).where(~T.skip_path("path"))
     files = before_after(files)
     return patch_example(files, before_budget, reason_from_subject)
@@ -223,11 +238,16 @@ def fold_assistant(df: DataFrame) -> DataFrame:
 def bug_patch_pairs(failures: DataFrame, patches: DataFrame,
                     system: str = K.PATCH_SYSTEM_PROMPT) -> DataFrame:
     """Failing-test output + file excerpt -> minimal diff + one-line
-    reason.  ``failures(sha, path, trace)`` joins patch rows on sha/path."""
-    j = failures.join(patches, ["sha", "path"], "inner")
-    user = F.concat(F.lit("Failure:\n"), F.col("trace"), F.lit("\nFile: "), F.col("path"),
-                    F.lit("\n<BEFORE>\n"), F.col("before"))
-    answer = F.concat(F.lit("```diff\n"), F.col("patch_block"), F.lit("\n```\nReason: "), T.subject("message"))
+    reason.  ``failures([repo,] sha, path, trace)`` joins the rows of
+    :func:`patch_examples` (their ``subject`` gives the reason), by
+    repository too when both sides name it."""
+    drop = [c for c in ("messages", "assistant") if c in patches.columns]
+    on = ["sha", "path"] + (["repo"] if "repo" in failures.columns and "repo" in patches.columns else [])
+    j = failures.join(patches.drop(*drop), on, "inner")
+    user = F.concat(F.lit("Failure:\n"), F.col("trace"), F.lit(K.PATCH_FILE), F.col("path"),
+                    F.lit(K.PATCH_BEFORE), F.col("before"))
+    subj = F.col("subject") if "subject" in j.columns else T.subject("message")
+    answer = F.concat(F.lit(K.PATCH_OPEN), F.col("patch_block"), F.lit(K.PATCH_CLOSE), F.lit(K.PATCH_REASON), subj)
 
     def m(role, c):
         return F.struct(F.lit(role).alias("role"), c.alias("content"))
@@ -236,10 +256,21 @@ def bug_patch_pairs(failures: DataFrame, patches: DataFrame,
 
 # ------------------------------------------------------------------- G6
 def diff_metrics(diffs: DataFrame, diff: str = "diff") -> DataFrame:
-    """Per commit: diff length, files touched, added and removed lines."""
-    ln = diff_lines(diffs, diff)
-    return ln.groupBy("sha").agg(
-        F.countDistinct("path").alias("files_touched"),
-        F.count_if(F.col("kind") == "added").cast("bigint").alias("added"),
-        F.count_if(F.col("kind") == "removed").cast("bigint").alias("removed"),
-    ).join(diffs.select("sha", F.length(diff).cast("bigint").alias("diff_chars")), "sha")
+    """Per row of ``diffs``: diff length, files touched, added and removed
+    lines.  All counts come from patterns over the row's own text, so
+    repeated shas stay rows of their own, empty diffs count zero and
+    nothing is exploded, shuffled or joined.
+
+    Header lines (``+++``, ``---``) stand before the first hunk of a file:
+    the text from each file header to its first ``@@`` is taken out before
+    lines are counted."""
+    text = F.concat(F.lit("\n"), F.coalesce(F.col(diff), F.lit("")))
+    # file header up to its first hunk, or whole when the file has none
+    bare = F.regexp_replace(text, r"\ndiff --git [^\n]*(?:\n(?!@@|diff --git )[^\n]*+)*+", "\n")
+    return diffs.select(
+        "*",
+        F.regexp_count(text, F.lit(r"\ndiff --git ")).cast("bigint").alias("files_touched"),
+        F.regexp_count(bare, F.lit(r"\n\+")).cast("bigint").alias("added"),
+        F.regexp_count(bare, F.lit(r"\n-")).cast("bigint").alias("removed"),
+        F.coalesce(F.length(diff), F.lit(0)).cast("bigint").alias("diff_chars"),
+    ).drop(diff)

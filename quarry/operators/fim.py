@@ -44,26 +44,29 @@ def fim_gates(df: DataFrame, text: str = "text") -> DataFrame:
 # ------------------------------------------------------------------- L6
 def fim_spans(df: DataFrame, path: str = "path", text: str = "text",
               per_file: int = K.DEFAULT_FIM_PER_FILE, max_len: int = K.DEFAULT_FIM_MAX_LEN,
-              seed: int = K.DEFAULT_SEED) -> DataFrame:
+              seed: int | Column = K.DEFAULT_SEED) -> DataFrame:
     """``per_file`` draws per file: a random window of ``max_len`` when the
     file is longer; middle length ``max(80, int(L * U(.2, .4)))``; middle
     start uniform in ``[20, L - mid_len - 20]``; prefix/middle/suffix.
     Draws whose window has no newline or whose middle is too long are
-    skipped.  Returns ``path, sample_no, prefix, middle, suffix``."""
-    g = fim_gates(df, text).select(F.col(path).cast("string").alias("path"), "code",
+    skipped.  Returns ``path, sample_no, prefix, middle, suffix``,
+    and ``repo`` where the input has it."""
+    carry = ["repo"] if "repo" in df.columns else []
+    seeds = seed if isinstance(seed, Column) else F.lit(seed)
+    g = fim_gates(df, text).select(*carry, seeds.cast("string").alias("_seed"), F.col(path).cast("string").alias("path"), "code",
                                    F.length("code").cast("bigint").alias("_n"))
     n = F.col("_n")
 
     def draw(k):
-        h1 = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("path"), k.cast("string")))
+        h1 = F.md5(F.concat_ws(":", "_seed", F.col("path"), k.cast("string")))
         start = F.when(n > F.lit(max_len), _randint(_u(h1, 1), F.lit(0), n - F.lit(max_len))).otherwise(F.lit(0))
         return F.struct(k.alias("sample_no"), h1.alias("_h1"),
                         F.substring(F.col("code"), start + F.lit(1), max_len).alias("_win"))
 
     # the windows (at most max_len characters each) are cut inside the row,
     # then exploded: a large file is not copied once per draw
-    g = g.select("path", F.explode(F.transform(F.sequence(F.lit(0), F.lit(per_file - 1)), draw)).alias("_d"))
-    g = g.select("path", F.col("_d.sample_no").alias("sample_no"), F.col("_d._h1").alias("_h1"),
+    g = g.select(*carry, "path", F.explode(F.transform(F.sequence(F.lit(0), F.lit(per_file - 1)), draw)).alias("_d"))
+    g = g.select(*carry, "path", F.col("_d.sample_no").alias("sample_no"), F.col("_d._h1").alias("_h1"),
                  F.md5(F.col("_d._h1")).alias("_h2"), F.col("_d._win").alias("_win"))
     g = g.where(F.instr("_win", "\n") > 0)
     L = F.length("_win").cast("bigint")
@@ -73,10 +76,10 @@ def fim_spans(df: DataFrame, path: str = "path", text: str = "text",
     ms = _randint(_u(F.col("_h2"), 1), F.lit(20).cast("bigint"), F.col("_L") - F.col("_ml") - 20)
     g = g.withColumn("_ms", ms)
     return g.select(
-        "path", "sample_no",
+        *carry, "path", "sample_no",
         F.substring("_win", F.lit(1), F.col("_ms").cast("int")).alias("prefix"),
         F.substring("_win", (F.col("_ms") + 1).cast("int"), F.col("_ml").cast("int")).alias("middle"),
-        F.substring("_win", (F.col("_ms") + F.col("_ml") + 1).cast("int"), F.lit(1 << 30)).alias("suffix"),
+        F.substr("_win", (F.col("_ms") + F.col("_ml") + 1).cast("int")).alias("suffix"),
     )
 
 
@@ -99,8 +102,8 @@ def fim_user(path: Column, prefix: Column, suffix: Column, style: str = "chat")
     if style == "markers":
         return F.concat(F.lit("<PREFIX>"), prefix, F.lit("\n<MASK/>\n<SUFFIX>"), suffix)
     return F.concat(
-        F.lit("[FILE] "), path, F.lit("\n"), F.lit(K.FIM_INSTRUCTION),
-        F.lit("PREFIX:\n"), prefix, F.lit("\n<FILL>\n...\n</FILL>\nSUFFIX:\n"), suffix)
+        F.lit(K.FIM_FILE), path, F.lit("\n"), F.lit(K.FIM_INSTRUCTION),
+        F.lit(K.FIM_PREFIX), prefix, F.lit(K.FIM_FILL), suffix)
 
 
 def fim_example(spans: DataFrame, style: str = "chat") -> DataFrame:

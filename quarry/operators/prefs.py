@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import materialize
-from .joins import broadcast_if_small
 
 
 # ------------------------------------------------------------------- E1
@@ -98,11 +96,10 @@ def best_run(runs: DataFrame, order: str = "ord") -> DataFrame:
 def vs_baseline(runs: DataFrame, baseline: DataFrame, on: Sequence[str]) -> DataFrame:
     """Extra memory over the baseline (never negative) and slowdown percent
     (null when either speed is 0 or they are equal).  ``baseline`` has one
-    row per ``on`` key: an equi-join, not a cross join."""
+    row per ``on`` key; a run without one keeps its row against zeros."""
     b = baseline.select(*on, F.col("peak_cpu_memory").alias("_bmem"), F.col("short_tps").alias("_btps"))
-    # one baseline row per group: broadcast behind a size check, so a group
-    # owning most runs does not meet a skewed shuffle join
-    j = runs.join(broadcast_if_small(materialize(b)), list(on), "inner")
+    j = runs.join(b, list(on), "left").withColumns({
+        "_bmem": F.coalesce("_bmem", F.lit(0.0)), "_btps": F.coalesce("_btps", F.lit(0.0))})
     slow = F.when((F.col("short_tps") > 0) & (F.col("_btps") > 0) & (F.col("short_tps") != F.col("_btps")),
                   (F.col("_btps") - F.col("short_tps")) / F.col("_btps") * 100.0)
     return j.withColumn("extra_memory", F.greatest(F.lit(0.0), F.col("peak_cpu_memory") - F.col("_bmem"))) \

@@ -1,13 +1,12 @@
 """Top-n per group without funnelling a hot group through one task.
 
-Small ``n`` (within ``spark.sql.optimizer.windowGroupLimitThreshold``):
-``row_number() <= n`` is planned with a partial WindowGroupLimit before
-the shuffle, so each map task ships at most ``n`` rows per group.
-
-Large ``n``: a histogram of the order key in fixed-width buckets (a
-partial aggregate) locates, per group, the boundary bucket where the
-running count reaches ``n``.  Rows in newer buckets are kept outright,
-only the boundary bucket is ranked exactly.
+A histogram of the order key in fixed-width buckets (a partial aggregate)
+locates, per group, the boundary bucket where the running count reaches
+``n``; null order keys form the last bucket.  Rows in better buckets are
+kept outright.  The boundary buckets are numbered by the segmented scan
+(``scan.running_sums``), so one bucket with very many rows - imported
+history with one timestamp - is still spread over tasks.  There is one
+path for every ``n``.
 """
 
 from __future__ import annotations
@@ -16,41 +15,46 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
-BROADCAST_GROUP_ROWS = 1_000_000
+from .scan import running_sums
+
+_LAST = (1 << 63) - 1
+
+
+def _bucket(df: DataFrame, order: Column, width: float) -> Column:
+    """Bucket number of a time or number that never decreases along it."""
+    kind = df.select(order).schema[0].dataType
+    if isinstance(kind, TimestampType):
+        return F.floor(F.unix_micros(order) / F.lit(width * 1e6)).cast("bigint")
+    if isinstance(kind, TimestampNTZType):  # by day: no session zone takes part
+        return F.datediff(order.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return F.floor(order.cast("double") / F.lit(width)).cast("bigint")
 
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Column, n: int,
                     tiebreak: Column, descending: bool = True,
                     bucket_width: float = 3600.0, bucket: Column | None = None) -> DataFrame:
-    """``bucket`` must be a long that never decreases along ``order``
-    (default: hour buckets of a timestamp ``order``)."""
-    spark = df.sparkSession
-    limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    o = order.desc() if descending else order.asc()
-    if n <= limit:
-        w = Window.partitionBy(*group).orderBy(o, tiebreak.asc())
-        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
-
-    if bucket is None:
-        b = F.floor(F.unix_micros(order.cast("timestamp")) / F.lit(bucket_width * 1e6)).cast("bigint")
-    else:
-        b = bucket.cast("bigint")
-    if descending:
-        b = -b  # ascending bucket id = newest first
-    x = df.withColumn("_b", b)
+    """The first ``n`` rows of each group by ``order`` (null last either
+    way), then ``tiebreak``.  ``bucket`` must be a long that never decreases
+    along ``order`` (default: hours of a timestamp, days of one without a
+    zone, ``bucket_width`` steps of a number).  Null groups are a group."""
+    b = _bucket(df, order, bucket_width) if bucket is None else bucket.cast("bigint")
+    b = F.when(order.isNull(), F.lit(_LAST)).otherwise(F.coalesce(-b if descending else b, F.lit(_LAST)))
+    x = df.select("*", b.alias("_b"))
     hist = x.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_c"))
     wc = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_c").over(wc))
-    bound = (hist.where(F.col("_cum") >= n)
-             .groupBy(*group).agg(F.min(F.struct("_b", "_cum", "_c")).alias("_s"))
-             .select(*group, F.col("_s._b").alias("_bb"),
-                     (F.lit(n) - (F.col("_s._cum") - F.col("_s._c"))).alias("_r")))
-    if bound.count() <= BROADCAST_GROUP_ROWS:  # size checked before broadcasting
-        bound = F.broadcast(bound)
-    j = x.join(bound, list(group), "left")
-    head = j.where(F.col("_bb").isNull() | (F.col("_b") < F.col("_bb")))
-    edge = j.where(F.col("_b") == F.col("_bb"))
-    we = Window.partitionBy(*group, "_b").orderBy(o, tiebreak.asc())
-    edge = edge.withColumn("_rn", F.row_number().over(we)).where(F.col("_rn") <= F.col("_r")).drop("_rn")
-    return head.unionByName(edge).drop("_b", "_bb", "_r")
+    # the boundary is the first bucket whose running count reaches n; its row
+    # also says how many rows the better buckets hold
+    bound = (hist.withColumn("_before", F.sum("_c").over(wc) - F.col("_c"))
+             .where((F.col("_before") < n) & (F.col("_before") + F.col("_c") >= n))
+             .select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_b").alias("_bb"), "_before"))
+    on = F.lit(True)
+    for i, g in enumerate(group):
+        on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    j = x.join(bound, on, "left")
+    head = j.where(F.col("_bb").isNull() | (F.col("_b") < F.col("_bb"))).select(*df.columns)
+    edge = j.where(F.col("_b") == F.col("_bb")).select(*df.columns, "_before")
+    o = order.desc_nulls_last() if descending else order.asc_nulls_last()
+    numbered = running_sums(edge, list(group), [o, tiebreak.asc_nulls_last()], {"_rn": F.lit(1)})
+    return head.unionByName(numbered.where(F.col("_before") + F.col("_rn") <= n).select(*df.columns))

@@ -39,7 +39,7 @@ def running_sums(df: DataFrame, key: Sequence[str], order: Sequence[str],
     """Add inclusive running aggregates per ``key`` in ``order`` (a total
     order): one running sum per entry of ``flags`` (name -> integer
     Column) and one running max per entry of ``maxes`` (name -> orderable
-    Column, nulls ignored).  Key columns must be non-null.
+    Column, nulls ignored).  Null keys are a key of their own.
 
     With ``row_id`` (a unique column) the skew-safe scan runs on a narrow
     projection - key, order, flags - and the results are joined back on
@@ -98,7 +98,7 @@ def running_sums(df: DataFrame, key: Sequence[str], order: Sequence[str],
 
     cond = F.col("_pid") == F.col("_opid")
     for k in key:
-        cond = cond & (F.col(k) == F.col(f"_ok_{k}"))
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_ok_{k}"))
     joined = local.join(offsets, cond, "inner")
     return joined.select(
         *[F.col(c) for c in df.columns],
