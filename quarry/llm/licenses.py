@@ -2,7 +2,8 @@
 
 The index holds, for every word of the license templates, the templates and
 positions where it stands.  Of each file the license words that are rarest
-in the corpus are looked up; postings vote for (template, file position
+in the corpus are looked up, for the templates whose words it can hold;
+postings vote for (template, file position
 minus template position), and what enough votes agree on is aligned and
 verified by the template's mandatory key phrases.
 """
@@ -50,7 +51,7 @@ TEMPLATES = (
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license",
      ("creative commons attribution 4 0",)),
 )
-#: Rarest license words of a file that are looked up, counted by distinct word.
+#: Rarest license words of a file that are looked up per template that its words allow.
 RARE_WORDS = 12
 #: Share of a template's words that must stand aligned.
 MIN_SCORE = 0.75
@@ -73,13 +74,29 @@ class Index:
         split = lambda s: s.encode().split()
         self.templates = [(label, split(t), [split(k) for k in keys]) for label, t, keys in templates]
         self.phrases = [(split(p), label) for p, label in phrases]
-        self.postings = defaultdict(list)
+        self.postings = {}
         for t, (_, body, _) in enumerate(self.templates):
             for at, w in enumerate(body):
-                self.postings[w].append((t, at))
+                self.postings.setdefault(w, {}).setdefault(t, []).append(at)
+        self.parts = [Counter(body) for _, body, _ in self.templates]
         self.idf = {w: math.log(1 + documents / (1 + frequency.get(w.decode(), 0))) for w in self.postings}
 
 
+    def possible(self, have: set, least: float) -> list[int]:
+        """Templates of whose words a file that has ``have`` can hold the
+        share ``least``."""
+        return [t for t, part in enumerate(self.parts) if sum(n for w, n in part.items() if w in have) >= least * part.total()]
+
+
+def spots(line: list[bytes], wanted: set) -> dict[bytes, list[int]]:
+    """Places of the wanted words."""
+    where = defaultdict(list)
+    for i, w in enumerate(line):
+        if w in wanted:
+            where[w].append(i)
+    return where
+
+
 def places(line: list[bytes], phrase: list[bytes], where: dict[bytes, list[int]]) -> list[int]:
     """Starts of ``phrase`` in ``line``, tried from its rarest word on."""
     if any(w not in where for w in phrase):
@@ -92,34 +109,29 @@ def places(line: list[bytes], phrase: list[bytes], where: dict[bytes, list[int]]
 def examine(line: list[bytes], index: Index, vocabulary: set, rare: int, least: float):
     """(n_base, first, last, base labels, all labels, score) of a file."""
     have = vocabulary.intersection(line)
-    if not have:
+    phrases = [(p, label) for p, label in index.phrases if have.issuperset(p)]
+    chosen = index.possible(have, least)
+    if not phrases and not chosen:
         return 0, None, None, [], [], 0.0
-    where = defaultdict(list)
-    for i, w in enumerate(line):
-        if w in have:
-            where[w].append(i)
+    looked = {t: sorted(have.intersection(index.parts[t]), key=lambda w: (-index.idf[w], w))[:rare] for t in chosen}
+    where = spots(line, {w for ws in (*looked.values(), *(p for p, _ in phrases)) for w in ws})
     starts, base = [], set()
-    for phrase, label in index.phrases:
+    for phrase, label in phrases:
         if at := places(line, phrase, where):
             starts += at
             base.add(label)
     labels, score = set(base), 1.0 if base else 0.0
-    looked = sorted((w for w in have if w in index.idf), key=lambda w: (-index.idf[w], w))[:rare]
-    votes = Counter((t, i - at) for w in looked for t, at in index.postings[w] for i in where[w])
+    votes = Counter((t, i - at) for t in chosen for w in looked[t] for at in index.postings[w][t] for i in where[w])
     for (t, start), n in votes.items():
         label, body, keys = index.templates[t]
-        asked = sum(w in looked for w in body)
-        if 2 * n < asked:
+        if 2 * n < sum(w in looked[t] for w in body):
             continue
         window = line[max(0, start):max(0, start + len(body))]
         shift = max(0, -start)
         hit = sum(a == b for a, b in zip(window, body[shift:], strict=False)) / len(body)
         # key phrases may stand anywhere in the aligned window or just behind it
         near = line[max(0, start):max(0, start + len(body) + 8)]
-        at = defaultdict(list)
-        for i, w in enumerate(near):
-            at[w].append(i)
-        if hit >= least and all(places(near, k, at) for k in keys):
+        if hit >= least and all(places(near, k, spots(near, set(k))) for k in keys):
             labels.add(label)
             score = max(score, hit)
     return len(starts), min(starts, default=None), max(starts, default=None), sorted(base), sorted(labels), score
