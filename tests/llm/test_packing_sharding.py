@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from odd import SF, odd_rows
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -55,28 +56,22 @@ def test_words_equal_the_tokenizer_on_whole_texts():
     words = packing.Words(TOKENIZER)
     for text in ["a<|endoftext|>b c,<|startoftext|>.", "İstanbul ΣΑΣ. don't we'll 'S", "x　y \x00 a\x1cb", "ﬁ ½. 中文字, 한국어!", "é. ≠ ≮.",
                  "….. ….", "𝒜 😀😀!!", "²,", "a_b-c ... (q)", "'s 's,", "́'s."]:
-        line = text.encode().lower().split()
-        table = words.learn([line])
-        assert b"".join(table[w][0] for w in line) + np.array([1], "<u4").tobytes() == ids(text), text
+        texts = ["x", None, text, "", " y\t", text + "."]
+        got, end, _, words_end = words.encode(pa.array(texts))
+        assert [got[a:z].tobytes() for a, z in zip([0, *end], end, strict=False)] == [ids(t)[:-4] for t in texts], text
+        assert words_end[0] == 1 and words_end[1] == 1
 
 
 def test_neighbours_come_first(spark):
     tail = " and some more of the usual words"
     texts = [f"zebra{i % 3} quagga{i % 3} okapi{i % 3}" + tail for i in range(9)]
-    shard = packing.Shard([(i, b"\0" * 40, packing_terms(t)) for i, t in enumerate(texts)])
+    shard = packing.Shard(list(range(9)), pa.array(texts), packing.Words(TOKENIZER))
     assert list(shard.neighbours(0, np.array([i != 0 for i in range(9)])))[:2] == [3, 6]
     got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1), TOKENIZER, window=64).collect()
     first = [r.doc_id for r in sorted(got, key=lambda r: (r.sequence_id, r.offset))]
     assert list(dict.fromkeys(first))[:3] == [0, 3, 6]
 
 
-def packing_terms(text):
-    words = packing.Words(TOKENIZER)
-    line = text.encode().split()
-    table = words.learn([line])
-    return np.array([table[w][1] for w in line], np.int64)
-
-
 def test_packing_odd_tables(spark, odd, empty, clashing):
     for shard_docs in (8192, 2):
         got = packing.pack(clashing, TOKENIZER, window=256, shard_docs=shard_docs).collect()
