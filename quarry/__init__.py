@@ -17,7 +17,8 @@ from .functions.text import (  # noqa: E402,F401
 from .operators.diffs import diff_lines, patch_examples  # noqa: E402,F401
 from .operators.fim import fim_dedupe, fim_example, fim_spans  # noqa: E402,F401
 from .operators.quality import (  # noqa: E402,F401
-    dedupe_first, drop_report, keep_first, license_gate, qc, qc_clean, qc_groups, qc_report, redact,
+    dedupe_first, drop_report, keep_first, license_gate, qc, qc_clean, qc_groups, qc_reasons,
+    qc_report, redact,
 )
 from .operators.segments import normalise  # noqa: E402,F401
 from .operators.sessions import build_pairs, follow_windows  # noqa: E402,F401

@@ -28,6 +28,7 @@ from .functions import constants as K
 from .functions import text as T
 from .operators import diffs as DF
 from .operators import fim as FM
+from .operators import harvest as H
 from .operators import quality as Q
 from .operators import segments as SG
 from .operators import sessions as W
@@ -58,7 +59,7 @@ def cmd_pairs(spark, a):
         # kept in the stream's state between runs
         from .streaming.incremental import incremental_pairs
         n = incremental_pairs(spark, a.src, a.out, a.checkpoint, max_tool_chars=a.max_tool_chars)
-        print(json.dumps({"input_lines": n}))
+        print(json.dumps({"pairs": n}))
         return
     turns = SG.normalise(J.read_logs(spark, a.src), max_tool_chars=a.max_tool_chars, tool_fallback=True)
     pairs = W.build_pairs(turns, limit=a.limit)
@@ -75,28 +76,34 @@ def cmd_follow(spark, a):
 
 
 def cmd_qc(spark, a):
-    groups = Q.qc_groups(J.read_chat(spark, getattr(a, "in")), a.min_user_chars)
-    groups = groups.persist()
+    rows = J.read_chat(spark, getattr(a, "in"))
     counter = "char4"
     if a.tokenizer:
         from .functions.tokenizer import messages_counter
         counter = messages_counter(a.tokenizer)
-    KS.write_chat(Q.qc_clean(groups, a.max_tokens, counter), a.out, mode="overwrite")
-    report = Q.qc_report(groups, a.max_tokens, counter, include_kept=True).orderBy(F.desc("n")).collect()
-    groups.unpersist()
-    print(json.dumps({r["drop_reason"]: {"n": r["n"], "pct": r["pct"]} for r in report}))
+    groups = materialize(Q.with_counter(rows, Q.qc_groups(rows, a.min_user_chars), counter), "qc")
+    KS.write_chat(Q.qc_clean(rows, groups, a.max_tokens), a.out, mode="overwrite")
+    report = Q.qc_report(groups, a.max_tokens, include_kept=True).orderBy(F.desc("n")).collect()
+    kept = Q.qc_reasons(groups, a.max_tokens).where(F.col("drop_reason") == "kept")
+    tokens = ST.length_stats(kept, "n_tok", (0.5, 0.75, 0.9, 0.95), "floor").first().asDict()
+    print(json.dumps({**{r["drop_reason"]: {"n": r["n"], "pct": r["pct"]} for r in report}, "kept_tokens": tokens}))
 
 
 def cmd_merge(spark, a):
-    df = SP.merge_dedupe(J.read_chat_many(spark, a.inputs))
+    df = J.read_chat_many(spark, a.inputs)
+    flags = SP.merge_flags(df)
     # the unique set feeds the count, the split threshold and two writes:
     # materialise it once in the shared checkpoint folder
-    uniq = materialize(df.where(~F.col("is_dup")))
+    uniq = materialize(df.join(flags.where(~F.col("is_dup")).select(F.col("ord").alias("_ord"), "sig"),
+                               F.col("ord") == F.col("_ord")).drop("_ord"))
     n = uniq.count()
     k = SP.eval_size(n, a.eval_frac, a.eval_size, a.min_eval)
     train, ev = SP.split(uniq, "sig", k, seed=a.seed)
     tp, ep = KS.write_split(train, ev, a.out_dir, a.name, a.force)
-    print(json.dumps({"unique": n, "train": n - k, "eval": k, "train_path": tp, "eval_path": ep}))
+    per = flags.groupBy(F.col("ord.src").alias("src")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per input
+    rows = {a.inputs[r.src]: r.n for r in per}
+    print(json.dumps({"inputs": rows, "unique": n, "duplicates": sum(rows.values()) - n, "train": n - k, "eval": k,
+                      "train_path": tp, "eval_path": ep}))
 
 
 def cmd_fim(spark, a):
@@ -118,6 +125,19 @@ def cmd_git(spark, a):
     out.write.mode("overwrite").text(a.out)
 
 
+def cmd_harvest(spark, a):
+    names = [r.partition("=")[0] for r in a.repo]
+    files = None
+    for name, path in (r.split("=", 1) for r in a.repo):
+        part = C.read_code(spark, path).withColumn("repo", F.lit(name))
+        files = part if files is None else files.unionByName(part)
+    report = H.harvest(C.read_commits(spark, a.commits, a.format), C.read_diffs(spark, a.diffs, a.format), files, names,
+                       a.out_sft, a.out_fim, seed=a.seed, reason_from_subject=a.reason_from_subject, max_commits=a.max_commits,
+                       max_files=a.max_files, max_lines=a.max_lines, before_budget=a.before_budget, branch=a.branch,
+                       all_branches=a.all_branches, include_remotes=a.include_remotes)
+    print(json.dumps([r.asDict() for r in report.collect()]))  # one row per kind and repository
+
+
 def cmd_len_scan(spark, a):
     ex = J.read_examples(spark, a.path)
     udf = _counter(a.tokenizer, special=False)
@@ -127,7 +147,7 @@ def cmd_len_scan(spark, a):
 
 
 def cmd_len_clip(spark, a):
-    ex = J.read_examples(spark, a.inp)
+    ex = J.read_examples(spark, a.inp, keep_empty=True)
     if a.tokenizer:
         from .functions.tokenizer import token_clip, token_count
         n_tok = token_count(a.tokenizer)(F.col("text"))
@@ -138,11 +158,11 @@ def cmd_len_clip(spark, a):
             .otherwise(F.col("text")))
     else:
         out = ST.clip_tokens(ex, a.cap, "text", mode=a.mode)
-    out = out.persist()
+    # the report needs the status alone: stored narrow instead of holding texts
+    status = materialize(out.select("clip_status"), "clip")
     KS.write_examples(out.where(F.col("clip_status") != "dropped").drop("clip_status", "n_tok"),
                       a.out, mode="overwrite")
-    print(json.dumps(ST.clip_report(out).collect()[0].asDict()))
-    out.unpersist()
+    print(json.dumps(ST.clip_report(status).collect()[0].asDict()))
 
 
 def cmd_peek(spark, a):
@@ -229,6 +249,24 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--fold", action="store_true", help="append the assistant turn to messages")
     p.set_defaults(fn=cmd_git)
 
+    p = sub.add_parser("harvest", help="patch and FIM examples of several repositories as one job")
+    p.add_argument("--repo", action="append", required=True, metavar="NAME=PATH", help="source tree; repeat in seed order")
+    p.add_argument("--commits", required=True)
+    p.add_argument("--diffs", required=True)
+    p.add_argument("--format", default="parquet")
+    p.add_argument("--out-sft", dest="out_sft", required=True)
+    p.add_argument("--out-fim", dest="out_fim", required=True)
+    p.add_argument("--branch", default="main")
+    p.add_argument("--all-branches", dest="all_branches", action="store_true")
+    p.add_argument("--include-remotes", dest="include_remotes", action="store_true")
+    p.add_argument("--max-commits", dest="max_commits", type=int, default=50000)
+    p.add_argument("--max-files", dest="max_files", type=int, default=8)
+    p.add_argument("--max-lines", dest="max_lines", type=int, default=600)
+    p.add_argument("--before-budget", dest="before_budget", type=int, default=6000)
+    p.add_argument("--reason-from-subject", dest="reason_from_subject", action="store_true")
+    p.add_argument("--seed", type=int, default=K.DEFAULT_SEED)
+    p.set_defaults(fn=cmd_harvest)
+
     p = sub.add_parser("len-scan")
     p.add_argument("path")
     p.add_argument("--tokenizer", default=None)

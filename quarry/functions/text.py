@@ -76,9 +76,26 @@ def first_nonempty(*cols) -> Column:
 
 
 # --------------------------------------------------------------------- P8
+_COMMON_TS = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T(?:[01][0-9]|2[0-3]):[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?(?:Z|[+-][0-9]{2}:[0-9]{2})$"
+_ANY_TS = (r"(?s)^([0-9]{4})(-?)([0-9]{2})\2([0-9]{2})"
+           r"(?:.([01][0-9]|2[0-3])(?:(:?)([0-9]{2})(?:\6([0-9]{2})(?:[.,]([0-9]+))?)?)?(Z|[+-][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2})?)?)?)?$")
+
+
 def parse_ts(c) -> Column:
-    """ISO-8601 to TIMESTAMP (UTC session), ``Z`` accepted, bad -> null."""
-    return F.try_to_timestamp(col(c))
+    """ISO-8601 date, or date and time, to TIMESTAMP; anything else is null
+    (no bare years, months or times, no padding).  Extended and compact
+    forms, any one character between date and time, ``Z`` and offsets are
+    accepted; a value without an offset counts as UTC whatever the session
+    zone.  Week dates are not."""
+    x = col(c)
+
+    def part(i, default):
+        return F.coalesce(F.nullif(F.regexp_extract(x, _ANY_TS, i), F.lit("")), F.lit(default))
+    offset = F.regexp_replace(F.regexp_replace(part(10, "Z"), ":", ""), r"^([+-][0-9]{2})([0-9]{2})?([0-9]{2})?$", "$1:$2:$3")
+    offset = F.regexp_replace(F.regexp_replace(offset, r"^([+-][0-9]{2})::$", "$1:00"), ":$", "")
+    full = F.concat(part(1, ""), F.lit("-"), part(3, ""), F.lit("-"), part(4, ""), F.lit("T"), part(5, "00"), F.lit(":"), part(7, "00"),
+                    F.lit(":"), part(8, "00"), F.lit("."), part(9, "0"), offset)
+    return F.when(x.rlike(_COMMON_TS), F.try_to_timestamp(x)).when(x.rlike(_ANY_TS), F.try_to_timestamp(full))
 
 
 # --------------------------------------------------------------------- P9
@@ -214,11 +231,15 @@ def strip_tool_markers(c, markers: Iterable[str] = K.TOOL_MARKERS) -> Column:
 # ---------------------------------------------------------- P25 / P26
 def preview(c, n: int) -> Column:
     """Collapse whitespace; if longer than ``n`` cut at a word boundary and
-    append `` …`` so the total stays within ``n``.  (Words are not split at
-    hyphens; a first word longer than the width yields just ``…``.)"""
+    append `` …`` so the total stays within ``n``.  A word may also be cut
+    after a hyphen that stands between letters; when not even a part of the
+    first word fits, ``…`` is left."""
     collapsed = strip(F.regexp_replace(F.coalesce(col(c), F.lit("")), "(?U)" + K.JAVA_SPACE_CLASS + "+", " "))
     keep = max(n - 2, 0)
-    head = F.regexp_extract(collapsed, r"^(.{0," + str(keep) + r"})(?: |$)", 1)
+    # the longest head that ends before a space, at the end, after a hyphen between
+    # letters, or on either side of a dash of several hyphens
+    brk = (r"(?:(?<=\p{L}{2}-)|(?<=\p{L}-\p{L}-))(?=\p{L}-?\p{L})|(?<=[\w!\"'&.,?])(?=-{2,}\w)|(?<=[\w!\"'&.,?]-{2,9})(?=\w)")
+    head = F.regexp_extract(collapsed, r"(?U)^(.{0," + str(keep) + r"})(?:(?= |$)|" + brk + ")", 1)
     cut = F.when(head == F.lit(""), F.lit("…")).otherwise(F.concat(head, F.lit(" …")))
     return F.when(F.length(collapsed) <= F.lit(n), collapsed).otherwise(cut)
 

@@ -4,8 +4,8 @@ De-duplication never uses a window over the key: a single signature may
 hold a third of all rows (the same boilerplate example copied
 everywhere), and a window partition cannot be split.  Instead the first
 occurrence per key is found with a partial (map-side) ``min``
-aggregation, then joined back on ``(key, order)`` - a composite key that
-spreads even the hottest signature over all partitions.
+aggregation over stored ``(key, order)`` rows, then joined back on the
+unique order, which spreads even the hottest signature over all partitions.
 """
 
 from __future__ import annotations
@@ -14,44 +14,123 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StructType
 
 from ..functions import constants as K
 from ..functions import text as T
+from ..session import materialize
 from .frames import once
 
 Counter = Callable[[Column], Column]
 
 
 # ------------------------------------------------------------- D1 / D2 / D4
+def packed_order(df: DataFrame, order: str = "ord") -> Column:
+    """The input order as one fixed-width value (a decimal) where its parts
+    are whole numbers of at most 126 bits together, else as it is.  A
+    minimum over a fixed-width value is a hash aggregate; one over a struct
+    or a string sorts."""
+    kind = df.schema[order].dataType
+    width = {ByteType: 8, ShortType: 16, IntegerType: 32, LongType: 64}
+    if type(kind) in width:
+        return F.col(order)
+    parts = kind.fields if isinstance(kind, StructType) else []
+    if not parts or any(type(f.dataType) not in width for f in parts) or sum(width[type(f.dataType)] for f in parts) > 120:
+        return F.col(order)
+    out = F.lit(0).cast("decimal(38,0)")
+    for f in parts:
+        bits = width[type(f.dataType)]
+        out = (out * F.lit(str(2 ** bits)).cast("decimal(38,0)")).cast("decimal(38,0)") \
+            + F.col(order)[f.name].cast("decimal(38,0)") + F.lit(str(2 ** (bits - 1))).cast("decimal(38,0)")
+        out = out.cast("decimal(38,0)")
+    return out
+
+
+def _flag_first(slim: DataFrame, key: str, order: str) -> DataFrame:
+    """``slim`` with ``_first``: whether the row is the first of its key; null
+    keys are never first.  The winners join back on the unique order, which
+    spreads even the hottest key over all partitions."""
+    o = slim.withColumn("_o", packed_order(slim, order))
+    firsts = o.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("_o").alias("_f")).select("_f")
+    return o.join(firsts, F.col("_o") == F.col("_f"), "left") \
+        .withColumn("_first", F.col("_f").isNotNull()).drop("_o", "_f")
+
+
+def duplicate_flags(df: DataFrame, key: str, order: str = "ord", flag: str = "is_dup") -> DataFrame:
+    """(order, key, flag): flag is true for every row that is not the first
+    of its key.  One scan of ``df``, for its key and order alone; rows with
+    a null key are never duplicates.  ``order`` must be unique per row."""
+    slim = materialize(df.select(order, key), "keys")
+    out = _flag_first(slim, key, order)
+    return out.select(order, key, (~F.col("_first") & F.col(key).isNotNull()).alias(flag))
+
+
 def dedupe_first(df: DataFrame, key: str, order: str = "ord",
                  flag: str = "is_dup") -> DataFrame:
-    """Add ``flag``: true for every row that is not the first (by
-    ``order``) of its ``key``.  Rows with a null key are never duplicates.
-    ``order`` must be unique per row."""
-    # null keys form one harmless group: ``null = null`` never joins back
-    firsts = df.groupBy(F.col(key).alias("_k")).agg(F.min(order).alias("_first"))
-    left = df.alias("_l")
-    joined = left.join(
-        firsts,
-        (F.col(f"_l.{key}") == F.col("_k")) & (F.col(f"_l.{order}") == F.col("_first")),
-        "left",
-    )
-    return joined.select(
-        *[F.col(f"_l.`{c}`") for c in df.columns],
-        (F.col("_first").isNull() & F.col(f"_l.{key}").isNotNull()).alias(flag),
-    )
+    """``df`` with the flag of :func:`duplicate_flags`; the payload is read
+    once more and only meets the flags."""
+    flags = duplicate_flags(df, key, order, flag).select(F.col(order).alias("_ord"), flag)
+    return df.join(flags, F.col(order) == F.col("_ord")).select(*[F.col(f"`{c}`") for c in df.columns], flag)
 
 
 def keep_first(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
-    """Only the first row per key: one ``min_by`` aggregate (partial, so a
-    hot key is reduced map-side), one shuffle, no join back and no second
-    pass over the input."""
-    cols = [c for c in df.columns if c != key]
-    first = df.groupBy(key).agg(F.min_by(F.struct(*cols), F.col(order)).alias("_r"))
-    return first.select(key, *[F.col("_r").getField(c).alias(c) for c in cols])
+    """Only the first row per key (null keys are one key).  Keys and orders
+    are aggregated alone; the payload of the winners is fetched afterwards,
+    so it is never sorted."""
+    slim = materialize(df.select(F.coalesce(key, F.lit("")).alias("_k"), F.col(order).alias("_ord")), "keys")
+    first = slim.withColumn("_o", packed_order(slim, "_ord")).groupBy("_k").agg(F.min("_o").alias("_f"))
+    return df.join(first.select("_f"), packed_order(df, order) == F.col("_f"), "left_semi")
 
 
 # ------------------------------------------------------------------- F2
+def _stage1(min_user_chars: int) -> Column:
+    user = T.first_content("messages", "user")
+    return (
+        F.when(F.col("bad_json"), F.lit("bad_json"))
+        .when(~T.has_role("messages", "assistant"), F.lit("no_assistant"))
+        .when(T.is_blank(user), F.lit("no_user"))
+        .when(F.length(T.strip(user)) < F.lit(min_user_chars), F.lit("short_user"))
+    )
+
+
+def qc_groups(df: DataFrame, min_user_chars: int = K.DEFAULT_MIN_USER_CHARS) -> DataFrame:
+    """(ord, reason, n_tok): the cascade without its length rule, from one
+    scan.  Only order, reason, signature and estimate of a row are stored;
+    no payload is sorted or carried for rows that fall."""
+    if "bad_json" not in df.columns:
+        df = df.withColumn("bad_json", F.lit(False))
+    staged = once(df, "_stage1", _stage1(min_user_chars))
+    passed = F.col("_stage1").isNull()
+    slim = materialize(staged.select(
+        "ord", F.col("_stage1").alias("reason"),
+        F.when(passed, T.qc_signature("messages")).alias("_sig"),
+        F.when(passed, T.token_estimate("messages")).alias("n_tok")), "qc")
+    out = _flag_first(slim, "_sig", "ord")
+    dup = F.when(~F.col("_first") & F.col("_sig").isNotNull(), F.lit("duplicate"))
+    reason = F.coalesce("reason", dup)
+    return out.select("ord", reason.alias("reason"), F.when(reason.isNull(), F.col("n_tok")).alias("n_tok"))
+
+
+def _reason(max_tokens: int) -> Column:
+    return F.coalesce("reason", F.when(F.col("n_tok") > F.lit(max_tokens), F.lit("too_long")), F.lit("kept"))
+
+
+def qc_reasons(groups: DataFrame, max_tokens: int = K.DEFAULT_MAX_TOKENS) -> DataFrame:
+    """(ord, n_tok, drop_reason) of every row, from :func:`qc_groups`."""
+    return groups.select("ord", "n_tok", _reason(max_tokens).alias("drop_reason"))
+
+
+def with_counter(df: DataFrame, groups: DataFrame, counter: str | Counter) -> DataFrame:
+    """``groups`` with the token count of a tokenizer in place of the
+    estimate; it runs only on rows that survive the dedupe."""
+    if counter == "char4":
+        return groups
+    live = df.select(F.col("ord").alias("_ord"), "messages").join(
+        groups.where(F.col("reason").isNull()).select("ord"), F.col("_ord") == F.col("ord"), "left_semi")
+    n = materialize(live.select("_ord", counter(F.col("messages")).alias("_n")), "tokens")
+    return groups.join(n, F.col("ord") == F.col("_ord"), "left").select("ord", "reason", F.col("_n").alias("n_tok"))
+
+
 def qc(df: DataFrame, min_user_chars: int = K.DEFAULT_MIN_USER_CHARS,
        max_tokens: int = K.DEFAULT_MAX_TOKENS,
        counter: str | Counter = "char4") -> DataFrame:
@@ -65,84 +144,21 @@ def qc(df: DataFrame, min_user_chars: int = K.DEFAULT_MIN_USER_CHARS,
     signature.  A tokenizer counter runs only on rows that survive the
     dedupe.
     """
-    if "bad_json" not in df.columns:
-        df = df.withColumn("bad_json", F.lit(False))
-    stage1 = _stage1(min_user_chars)
-    staged = df.withColumn("_stage1", stage1).withColumn(
-        "_sig", F.when(F.col("_stage1").isNull(), T.qc_signature("messages")))
-    deduped = dedupe_first(staged, "_sig", "ord", "_dup")
-    survivor = F.col("_stage1").isNull() & ~F.col("_dup")
-    if counter == "char4":
-        n_tok = T.token_estimate("messages")
-    else:
-        # Python UDFs are evaluated in their own step for every input row,
-        # whatever ``when`` surrounds them: hand them null messages for rows
-        # that did not survive, which tokenise as empty at no cost
-        n_tok = counter(F.when(survivor, F.col("messages")))
-    out = deduped.withColumn("n_tok", F.when(survivor, n_tok))
-    reason = F.coalesce(
-        F.col("_stage1"),
-        F.when(F.col("_dup"), F.lit("duplicate")),
-        F.when(F.col("n_tok") > F.lit(max_tokens), F.lit("too_long")),
-        F.lit("kept"),
-    )
-    return out.withColumn("drop_reason", reason).drop("_stage1", "_sig", "_dup")
+    groups = with_counter(df, qc_groups(df, min_user_chars), counter)
+    r = qc_reasons(groups, max_tokens).withColumnRenamed("ord", "_ord")
+    return df.join(r, F.col("ord") == F.col("_ord")).drop("_ord")
 
 
-def _stage1(min_user_chars: int) -> Column:
-    user = T.first_content("messages", "user")
-    return (
-        F.when(F.col("bad_json"), F.lit("bad_json"))
-        .when(~T.has_role("messages", "assistant"), F.lit("no_assistant"))
-        .when(T.is_blank(user), F.lit("no_user"))
-        .when(F.length(T.strip(user)) < F.lit(min_user_chars), F.lit("short_user"))
-    )
-
+def qc_clean(df: DataFrame, groups: DataFrame, max_tokens: int = K.DEFAULT_MAX_TOKENS) -> DataFrame:
+    """The kept rows of ``df`` with ``n_tok``; the payload is read once for
+    them and never sorted."""
+    kept = groups.where(F.col("reason").isNull() & (F.col("n_tok") <= F.lit(max_tokens)))
+    return df.join(kept.select(F.col("ord").alias("_ord"), "n_tok"), F.col("ord") == F.col("_ord")).drop("_ord")
 
-def qc_groups(df: DataFrame, min_user_chars: int = K.DEFAULT_MIN_USER_CHARS) -> DataFrame:
-    """Single-pass form of the cascade for the clean output and the report.
 
-    One aggregate keyed by the QC signature for rows that pass the first
-    four rules, and by the drop reason for rows that do not: ``n`` rows per
-    group and ``first``, the first row in input order (``min_by``, partial,
-    so hot signatures and hot reasons are reduced map-side).  One scan and
-    one shuffle; the per-row ``qc`` needs a second pass for its join."""
-    if "bad_json" not in df.columns:
-        df = df.withColumn("bad_json", F.lit(False))
-    cols = [c for c in df.columns]
-    staged = once(df, "_stage1", _stage1(min_user_chars))
-    key = F.coalesce(F.concat(F.lit("reason:"), F.col("_stage1")),
-                     F.concat(F.lit("sig:"), T.qc_signature("messages")))
-    return staged.groupBy(key.alias("_key")).agg(
-        F.max("_stage1").alias("reason"),
-        F.count(F.lit(1)).alias("n"),
-        F.min_by(F.struct(*cols), F.col("ord")).alias("first"))
-
-
-def qc_clean(groups: DataFrame, max_tokens: int = K.DEFAULT_MAX_TOKENS,
-             counter: str | Counter = "char4") -> DataFrame:
-    """Kept rows from ``qc_groups``: first copy of each signature within the
-    length cap (the counter runs once per signature)."""
-    firsts = groups.where(F.col("reason").isNull()).select("first.*")
-    n_tok = T.token_estimate("messages") if counter == "char4" else counter(F.col("messages"))
-    return firsts.withColumn("n_tok", n_tok).where(F.col("n_tok") <= F.lit(max_tokens))
-
-
-def qc_report(groups: DataFrame, max_tokens: int = K.DEFAULT_MAX_TOKENS,
-              counter: str | Counter = "char4", include_kept: bool = False) -> DataFrame:
-    """Drop report (A1) from ``qc_groups``: every count is an aggregate of
-    the group table, which has one row per signature or reason."""
-    n_tok = T.token_estimate("first.messages") if counter == "char4" else counter(F.col("first.messages"))
-    sig = groups.where(F.col("reason").isNull()).withColumn("_long", n_tok > F.lit(max_tokens))
-    parts = groups.where(F.col("reason").isNotNull()).select(F.col("reason").alias("drop_reason"), "n")
-    parts = parts.unionByName(sig.select(F.lit("duplicate").alias("drop_reason"), (F.col("n") - 1).alias("n")))
-    parts = parts.unionByName(sig.select(
-        F.when(F.col("_long"), F.lit("too_long")).otherwise(F.lit("kept")).alias("drop_reason"),
-        F.lit(1).cast("bigint").alias("n")))
-    counts = parts.groupBy("drop_reason").agg(F.sum("n").alias("n")).where(F.col("n") > 0)
-    total = F.sum("n").over(_whole())
-    out = counts.select("drop_reason", "n", F.round(F.lit(100.0) * F.col("n") / total, 1).alias("pct"))
-    return out if include_kept else out.where(F.col("drop_reason") != F.lit("kept"))
+def qc_report(groups: DataFrame, max_tokens: int = K.DEFAULT_MAX_TOKENS, include_kept: bool = False) -> DataFrame:
+    """Drop report (A1) from ``qc_groups``."""
+    return drop_report(qc_reasons(groups, max_tokens), include_kept)
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -165,7 +181,7 @@ def drop_report(df: DataFrame, include_kept: bool = False) -> DataFrame:
 
 def _whole():
     from pyspark.sql import Window
-    # Only ever applied to an aggregate with a handful of rows.
+    # un-partitioned: only ever applied to an aggregate with a handful of rows
     return Window.partitionBy(F.lit(1))
 
 
@@ -176,17 +192,11 @@ def anchor_contains(df: DataFrame, s: str, messages: str = "messages") -> DataFr
     return df.where(F.coalesce(F.contains(F.lower(F.coalesce(u, F.lit(""))), F.lower(F.lit(s))), F.lit(False)))
 
 
-# ------------------------------------------------------------------- F10
-def drop_long(df: DataFrame, cap: int, n_tok: str = "n_tok", text: str = "text") -> DataFrame:
-    """Drop rows over the cap; rows with empty text are dropped too."""
-    return df.where((F.col(n_tok) <= F.lit(cap)) & (F.coalesce(F.col(text), F.lit("")) != F.lit("")))
-
-
 # ------------------------------------------------------------------- F12
 def assert_no_empty(df: DataFrame, text: str = "text") -> None:
     bad = df.where(F.coalesce(F.length(text), F.lit(0)) == 0).limit(1).count()
     if bad:
-        raise AssertionError("Found empty text rows")
+        raise AssertionError(f"column {text} has empty rows")
 
 
 # ------------------------------------------------------------------- F13
@@ -200,19 +210,29 @@ def keep_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id",
 
 
 # ------------------------------------------------------------------- F14
-# fixed values: license classes recognised in text, checked in this order.
+# License classes recognised in lower-cased text, checked in this order; the
+# stricter licenses come first, so a text under two is judged by those.
 LICENSE_PATTERNS = [
-    ("apache-2.0", r"apache license,? version 2\.0"),
-    ("gpl-3.0", r"gnu general public license,? version 3"),
+    ("proprietary", r"\b(?:all rights reserved|proprietary (?:license|software|and confidential)|unauthori[sz]ed (?:copying|use))\b"),
+    ("agpl", r"\bagpl\b|gnu affero general public license"),
+    ("lgpl", r"\blgpl\b|gnu (?:lesser|library) general public license"),
     ("cc-by-nc-4.0", r"cc by-nc 4\.0"),
-    ("mit", r"mit license"),
+    ("cc-by-nc", r"\bcc[ -]by-nc\b|attribution-noncommercial"),
+    ("gpl-3.0", r"gnu general public license,? version 3"),
+    ("gpl", r"\bgpl(?:v[123])?\b|gnu general public license"),
+    ("apache-2.0", r"apache license,? version 2\.0"),
+    ("mit", r"\bmit license"),
+    ("bsd", r"\bbsd (?:[0-9]-clause )?license"),
 ]
-DEFAULT_ALLOWED_LICENSES = ["apache-2.0", "mit", "none"]
+# Words that speak of a license at all; with none of the classes above the text is "unknown".
+LICENSE_WORDS = r"licen[sc]e|copyright|\(c\) [0-9]{4}"
+DEFAULT_ALLOWED_LICENSES = ["apache-2.0", "mit", "bsd", "none"]
 
 
 def license_class(c) -> Column:
-    """First matching license class of an already lower-cased text."""
-    expr = F.lit("none")
+    """First matching license class of an already lower-cased text;
+    ``unknown`` for license words of no known class, ``none`` without any."""
+    expr = F.when(T.col(c).rlike(LICENSE_WORDS), F.lit("unknown")).otherwise(F.lit("none"))
     for name, pat in reversed(LICENSE_PATTERNS):
         expr = F.when(T.col(c).rlike(pat), F.lit(name)).otherwise(expr)
     return expr
@@ -227,17 +247,19 @@ def license_gate(df: DataFrame, text: str = "text",
 
 
 # ------------------------------------------------------------------- P27
-# fixed values: personal-data and secret classes, applied in this order.
+# Personal-data and secret classes, applied in this order.
 REDACT_PATTERNS = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]"),
     ("secret", r'(token|api_key|secret|password) ?= ?"[^"]*"', "[SECRET]"),
+    ("key", r"\b(?:AKIA[A-Z0-9]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|xox[bp]-[A-Za-z0-9-]{10,})\b", "[KEY]"),
     ("card", r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}", "[CARD]"),
     ("ip", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", "[IP]"),
-    ("phone", r"\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}", "[PHONE]"),
+    ("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "[SSN]"),
+    ("phone", r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|\b[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}\b", "[PHONE]"),
 ]
 # A character every match of the class contains: texts without it skip
 # the regex (an exact test, not a sample).
-REDACT_REQUIRES = {"email": "@", "secret": '"', "ip": ".", "phone": "("}
+REDACT_REQUIRES = {"email": "@", "secret": '"', "ip": ".", "ssn": "-"}
 
 
 def redact(df: DataFrame, c: str = "text", classes: Sequence[str] | None = None) -> DataFrame:

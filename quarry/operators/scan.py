@@ -7,8 +7,8 @@ is computed as a segmented prefix sum instead:
 
 1. range-partition on ``(key, order)`` - the sampled bounds include the
    order columns, so one hot key is split over many partitions;
-2. pin each row's partition number with a reliable ``checkpoint()`` (in
-   the shared ``spark.checkpoint.dir``), which also cuts lineage;
+2. pin each row's partition number by storing the rows below the shared
+   ``spark.checkpoint.dir``, which also cuts lineage;
 3. running sum within ``(partition, key)`` (bounded by one partition);
 4. per ``(partition, key)`` totals - a partial aggregate with at most
    ``#keys + #partitions`` rows - turned into offsets by a prefix sum over
@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,12 +75,11 @@ def running_sums(df: DataFrame, key: Sequence[str], order: Sequence[str],
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The range partitioner samples its input in a separate job; persisting
-    # the input keeps the upstream work (e.g. VARIANT parsing) to one pass.
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    # The range partitioner samples its input in a separate job; storing the
+    # input keeps the upstream work (e.g. VARIANT parsing) to one pass.
+    base = materialize(base, "scan")
     ranged = materialize(base.repartitionByRange(n_parts, *_cols(key), *_cols(order))
                          .withColumn("_pid", F.spark_partition_id()))
-    base.unpersist()
 
     wl = (Window.partitionBy("_pid", *key).orderBy(*_cols(order))
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..session import materialize
-from .joins import broadcast_if_small
 from .scan import running_sums
 
 ORDER = ["_tkey", "ord"]
@@ -50,27 +49,22 @@ def _msg(role, content):
 
 # ------------------------------------------------------------- hot sessions
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 100_000
 
 
 def _by_hotness(df: DataFrame, key: str, skew_safe, hot_rows: int, fn) -> DataFrame:
     """Run ``fn(part, safe)`` with the skew-safe scan only where needed.
 
     ``skew_safe=True``/``False`` forces one path.  ``"auto"``: one partial
-    aggregate finds the sessions with more than ``hot_rows`` rows (at most
-    total/hot_rows of them, and their count is checked before they are
-    broadcast).  Those sessions take the segmented scan; all others take
-    the plain session window (one shuffle).  The two results are unioned.
+    aggregate over the stored rows finds the sessions with more than
+    ``hot_rows`` rows (at most total/hot_rows of them).  Those take the
+    segmented scan; all others take the plain session window (one shuffle).
+    The joins that divide them carry no hint; both paths give the same rows.
     """
     if skew_safe != "auto":
         return fn(df, bool(skew_safe))
-    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > F.lit(hot_rows)).select(key)
-    n_hot = hot.limit(MAX_HOT_KEYS + 1).count()
-    if n_hot == 0:
+    hot = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > F.lit(hot_rows)).select(key), "hot")
+    if hot.isEmpty():
         return fn(df, False)
-    if n_hot > MAX_HOT_KEYS:
-        return fn(df, True)
-    hot = F.broadcast(hot)
     return fn(df.join(hot, key, "left_anti"), False).unionByName(fn(df.join(hot, key, "left_semi"), True))
 
 
@@ -92,27 +86,36 @@ def build_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT,
     """
     is_user = (F.col("role") == "user") & (F.col("user_text") != "")
     is_asst = (F.col("role") == "assistant") & (F.col("assistant_text") != "")
-    # Only the cheap role test runs before the shuffle: a predicate on the
-    # texts would be pushed below the normaliser and re-derive them.  Rows
-    # with empty text carry nulls and drop out of the island aggregate.
+    # Only the cheap role test runs before the turns are stored: a predicate
+    # on the texts would be pushed below the normaliser and re-derive them.
+    # Stored once, the turns feed the count of hot sessions, the totals, the
+    # scan (narrow columns) and the island aggregate (texts).
     rows = _with_order(turns, order_by).where(F.col("role").isin("user", "assistant")).select(
         "session_id", "_tkey", "ord", is_asst.alias("_asst"),
         F.when(is_user, F.col("user_text")).alias("_u"),
         F.when(is_asst, F.col("assistant_text")).alias("_a"))
+    rows = materialize(rows, "turns").where("_asst or _u is not null")
 
     def core(part: DataFrame, safe: bool) -> DataFrame:
+        # a session's last island has no assistant: its users are left out
+        # before any text is gathered
+        if safe:
+            total = materialize(part.groupBy("session_id").agg(F.sum(F.col("_asst").cast("bigint")).alias("_total")), "totals")
+            part = part.join(total, "session_id")
+        else:
+            part = part.withColumn("_total", F.sum(F.col("_asst").cast("bigint")).over(Window.partitionBy("session_id")))
         scanned = running_sums(part, ["session_id"], ORDER,
                                {"_n_asst": F.col("_asst").cast("int")}, skew_safe=safe, row_id="ord")
         # island = assistants strictly before this row
         scanned = scanned.withColumn("island", F.col("_n_asst") - F.col("_asst").cast("bigint"))
-        return scanned.groupBy("session_id", "island").agg(
+        return scanned.where(F.col("island") < F.col("_total")).groupBy("session_id", "island").agg(
             F.expr("listagg(_u, '\\n\\n') WITHIN GROUP (ORDER BY _tkey, ord)").alias("_users"),
             F.max("_a").alias("assistant"),
             F.min("ord").alias("first_ord"),
         )
 
     grouped = _by_hotness(rows, "session_id", skew_safe, hot_rows, core)
-    pairs = grouped.where(F.col("assistant").isNotNull() & F.col("_users").isNotNull())
+    pairs = grouped.where(F.col("_users").isNotNull())
     from ..functions.text import strip
     pairs = pairs.select(
         "session_id", "island", "first_ord",
@@ -127,16 +130,28 @@ def build_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT,
 # ------------------------------------------------------------------- L4
 def limit_ordered(examples: DataFrame, turns: DataFrame, n: int) -> DataFrame:
     """Global cap on emitted examples: sessions in first-seen input order,
-    examples in session order.  The per-session first ``ord`` is a partial
-    aggregate; the cap is a TakeOrderedAndProject (top-n per partition,
-    then a merge of n rows per partition)."""
+    examples in session order.
+
+    The cut is found from the number of examples per session: a prefix sum
+    over sessions in input order says which are whole below ``n`` and which
+    one is cut.  Of that one only the island numbers are ordered; the
+    examples themselves are filtered where they are."""
+    examples = materialize(examples, "examples")
+    counts = examples.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
     first = turns.groupBy("session_id").agg(F.min("ord").alias("session_first_ord"))
-    # one row per session: broadcast behind a size check, so a hot session
-    # does not meet a skewed shuffle join
-    # narrow (one row per session): materialised once, so the size check
-    # and the join do not both recompute the turns
-    ranked = examples.join(broadcast_if_small(materialize(first)), "session_id")
-    return ranked.orderBy("session_first_ord", "session_id", "island").limit(n)
+    sizes = counts.join(first, "session_id")
+    placed = materialize(running_sums(sizes, [], ["session_first_ord", "session_id"], {"_cum": F.col("_n")})
+                         .select("session_id", "session_first_ord", "_n", "_cum"), "sessions")
+    part = placed.where((F.col("_cum") > n) & (F.col("_cum") - F.col("_n") < n)).first()  # at most one
+    whole = examples.join(placed.where(F.col("_cum") <= n).select("session_id", "session_first_ord"), "session_id")
+    if part is None:
+        return whole
+    cut = examples.where(F.col("session_id") == part.session_id)
+    room = n - (part._cum - part._n)
+    last = cut.select("island").orderBy("island").limit(room).agg(F.max("island")).first()[0]
+    cut = cut.where(F.col("island") <= last).join(
+        placed.where(F.col("session_id") == part.session_id).select("session_id", "session_first_ord"), "session_id")
+    return whole.unionByName(cut)
 
 
 # ------------------------------------------------------------------- W3 / W5
@@ -157,7 +172,7 @@ def follow_windows(turns: DataFrame, follow_k: int = K.DEFAULT_FOLLOW_K,
     running count of human turns and windows never overlap.  Returns
     ``session_id, island, n_follow, messages``.
     """
-    t = _with_order(turns, order_by)
+    t = materialize(_with_order(turns, order_by), "turns")
 
     def core(t: DataFrame, safe: bool) -> DataFrame:
         human = (F.col("role") == "user") & F.col("has_human")

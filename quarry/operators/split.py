@@ -13,36 +13,43 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.text import merge_signature
-from .quality import dedupe_first
+from .quality import dedupe_first, duplicate_flags
 
 
 # ------------------------------------------------------------------- L1
+def _eval_bounds(n, rounded, min_eval, least, most):
+    """Eval-set size: the rounded share, at most half the rows, but at least
+    ``min_eval`` once there are that many rows (then the minimum beats the
+    half, n=100 gives 99) and at least one below; one row stays for training.
+    ``least`` and ``most`` compare numbers or Columns alike."""
+    share = most(least(rounded, n // 2 if isinstance(n, int) else F.floor(n / 2).cast("bigint")), 0)
+    floor = least(min_eval, most(n - 1, 0))
+    return share, floor
+
+
 def eval_size(n: int, frac: float | None = K.DEFAULT_EVAL_FRAC, size: int | None = None,
               min_eval: int = K.DEFAULT_MIN_EVAL, cap_after_min: bool = False) -> int:
-    """Eval-set size rule of the original merge step (banker's rounding,
-    cap at half, raised to ``min(min_eval, n-1)`` once n >= min_eval,
-    at least 1 otherwise; never all rows).  As in the original, the
-    minimum overrides the half cap (n=100 gives 99 eval rows);
-    ``cap_after_min=True`` applies the half cap last instead."""
+    """Eval-set size for ``n`` rows: ``size`` if given, else the rule of
+    :func:`_eval_bounds` on the half-even rounded share ``frac``; never all
+    rows, and none of a single one.  ``cap_after_min=True`` lets the half
+    beat the minimum instead."""
+    if n < 2:
+        return 0
     if size is not None:
-        k = min(size, max(0, n - 1))
-    else:
-        f = frac if frac is not None else K.DEFAULT_EVAL_FRAC
-        k = int(round(n * f))
-        k = max(min(k, n // 2), 0)
-        k = max(k, min(min_eval, max(0, n - 1))) if n >= min_eval else max(1, k)
-        if cap_after_min:
-            k = min(k, n // 2)
-    return min(k, n - 1) if n > 1 else 0
+        return min(size, n - 1)
+    share, floor = _eval_bounds(n, round(n * (K.DEFAULT_EVAL_FRAC if frac is None else frac)), min_eval, min, max)
+    low = floor if n >= min_eval else 1
+    high = n // 2 if cap_after_min else n - 1
+    return min(max(share, low), high, n - 1)
 
 
 def eval_size_col(n: Column, frac: float = K.DEFAULT_EVAL_FRAC, min_eval: int = K.DEFAULT_MIN_EVAL) -> Column:
-    """The same rule as a Column (``rint`` is round-half-even)."""
-    k = F.rint(n * F.lit(float(frac))).cast("bigint")
-    k = F.greatest(F.least(k, F.floor(n / 2).cast("bigint")), F.lit(0))
-    k = F.when(n >= F.lit(min_eval), F.greatest(k, F.least(F.lit(min_eval), F.greatest(F.lit(0), n - 1))))\
-        .otherwise(F.greatest(F.lit(1), k))
-    return F.when(n > 1, F.least(k, n - 1)).otherwise(F.lit(0)).cast("bigint")
+    """The same rule as a Column."""
+    def pick(fn):
+        return lambda *xs: fn(*[x if isinstance(x, Column) else F.lit(x) for x in xs])
+    share, floor = _eval_bounds(n, F.rint(n * F.lit(float(frac))).cast("bigint"), min_eval, pick(F.least), pick(F.greatest))
+    low = F.when(n >= F.lit(min_eval), floor).otherwise(F.lit(1))
+    return F.when(n < 2, F.lit(0)).otherwise(F.least(F.greatest(share, low), n - 1)).cast("bigint")
 
 
 # ------------------------------------------------------------------- D2
@@ -52,6 +59,12 @@ def merge_dedupe(df: DataFrame) -> DataFrame:
     return dedupe_first(df.withColumn("sig", merge_signature("messages")), "sig", "ord", "is_dup")
 
 
+def merge_flags(df: DataFrame) -> DataFrame:
+    """(ord, sig, is_dup) of :func:`merge_dedupe` without the payload: one
+    scan per input."""
+    return duplicate_flags(df.select("ord", merge_signature("messages").alias("sig")), "sig", "ord", "is_dup")
+
+
 def merge_report(merged: DataFrame, k_eval: int | None = None) -> DataFrame:
     """Rows per input, unique, duplicates, train and eval sizes as
     ``(item, n)`` rows, in one scan of the merged inputs (``src``,

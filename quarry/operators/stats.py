@@ -55,7 +55,7 @@ def length_stats(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.75, 0.9
         raise ValueError(f"length_stats: '{c}' is fractional; the exact rules need integral "
                          "lengths (bounded histogram) - pass approx=True")
     hist = df.where(v.isNotNull()).groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
-    w_all = Window.partitionBy(F.lit(1))
+    w_all = Window.partitionBy(F.lit(1))  # un-partitioned: one row per distinct length
     w_cum = w_all.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     h = hist.select("v", "cnt", F.sum("cnt").over(w_cum).alias("cum"),
                     F.sum("cnt").over(w_all).alias("n"),
@@ -146,11 +146,9 @@ def dataset_stats(df: DataFrame, by: str = "source", length: str = "n_tok") -> D
 
 # ------------------------------------------------------------------- A9
 def balance(df: DataFrame, by: str, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Cap every group to ``n`` rows in seeded hash order.  Small ``n``:
-    ``row_number() <= n`` with Spark's partial per-partition group limit
-    (a hot group ships at most ``n`` rows per map task).  Large ``n``: a
-    per-group histogram over 16-bit hash prefixes ranks only the boundary
-    bucket (``ranking.top_n_per_group``)."""
+    """Cap every group to ``n`` rows in seeded hash order: a per-group
+    histogram over 16-bit hash prefixes, then only the boundary buckets are
+    ranked (``ranking.top_n_per_group``)."""
     from .ranking import top_n_per_group
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     x = df.withColumn("_h", h)
@@ -162,7 +160,10 @@ def balance(df: DataFrame, by: str, n: int, key: str, seed: int = 42) -> DataFra
 # ------------------------------------------------------------------- L7
 def length_buckets(df: DataFrame, length: str, width: int, partitions: int | None = None) -> DataFrame:
     """Bucket id ``floor(len/width)``; rows of similar length are laid out
-    together (range partition + local sort) for padding-friendly batches."""
+    together (range partition + local sort) for padding-friendly batches.
+    A hash of the row breaks ties, so rows of one very frequent length - the
+    normal shape after clipping to a cap - spread over several partitions."""
     out = df.withColumn("bucket", F.floor(F.col(length) / F.lit(width)).cast("bigint"))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartitionByRange(n, "bucket", length).sortWithinPartitions("bucket", length)
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return out.repartitionByRange(n, "bucket", length, tie).sortWithinPartitions("bucket", length)

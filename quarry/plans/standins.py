@@ -113,8 +113,9 @@ def _json_str(c):
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conversations`` re-emitted as raw agent-log JSON lines (M1/M2):
     system turns carry ``session_id`` and string content; user turns a
-    text segment plus a tool result (the ASCII upper-cased text);
-    assistant turns a text segment plus a non-text tool-use segment.
+    text segment plus a tool result (the ASCII upper-cased text), but every
+    third one is string content, and every third other holds no segments
+    and a ``toolUseResult`` instead; assistant turns a text segment plus a non-text tool-use segment.
     Columns ``ord, value`` like ``sources.jsonl.read_lines``."""
     conv = table(spark, sf_dir, "conversations")
     j = _json_str
@@ -125,7 +126,9 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "yyyy-MM-dd'T'HH:mm:ss'Z'")
     up = F.translate("text", LOWER_ASCII, UPPER_ASCII)
     content = (
-        F.when(role == "user", F.concat(
+        F.when((role == "user") & (F.col("conv_id") % 3 == 1), j(F.col("text")))
+        .when((role == "user") & (F.col("conv_id") % 3 == 2), F.lit("[]"))
+        .when(role == "user", F.concat(
             F.lit('[{"type":"text","text":'), j(F.col("text")),
             F.lit('},{"type":"tool_result","content":'), j(up), F.lit("}]")))
         .when(role == "assistant", F.concat(
@@ -138,6 +141,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"'), key, F.lit('":'), j(F.col("conv_id").cast("string")),
         F.lit(',"type":'), j(role), F.lit(',"timestamp":'), j(ts),
         F.lit(',"cwd":"/work/repo'), F.col("conv_id").cast("string"), F.lit('"'),
+        F.when((role == "user") & (F.col("conv_id") % 3 == 2), F.concat(F.lit(',"toolUseResult":{"file":{"content":'), j(up), F.lit("}}")))
+        .otherwise(F.lit("")),
         F.lit(',"message":{"role":'), j(role), F.lit(',"content":'), content, F.lit("}}"))
     return conv.select(F.struct(F.lit(0).alias("src"), "conv_id", "turn").alias("ord"),
                        value.alias("value"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,13 +59,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df):
-    """Reliable checkpoint into the shared checkpoint folder (cuts lineage;
-    survives executor loss).  The input is persisted for the duration so
-    the checkpoint write does not recompute it after the counting job."""
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = held.checkpoint(eager=True)
-    held.unpersist()
-    return out
+def materialize(df, label: str = "table"):
+    """Write ``df`` once as Parquet into the shared checkpoint folder and read
+    it back: cuts lineage, survives executor loss, nothing is kept on
+    executor disks, and later readers prune its columns."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete this application's own folder below the checkpoint folder; call
+    it when no frame of the session is needed any more."""
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        path = spark._jvm.org.apache.hadoop.fs.Path(current)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -16,24 +16,29 @@ def read_code(spark: SparkSession, path, exts=K.CODE_EXTENSIONS,
               skip_dirs: bool = False) -> DataFrame:
     """Whole source files whose last suffix (lower-cased) is allowed.
 
-    Text is read whole, newlines normalised (universal newlines) and cut
-    to ``max_chars`` characters.  Undecodable bytes are dropped (Spark
-    decodes them to U+FFFD, which is removed).  ``max_file_bytes`` skips
+    The suffixes are a glob of the scan, so other files are never opened.
+    ``path`` is the plain path (URI scheme and escapes undone).  Text is read
+    whole, undecodable bytes dropped, newlines normalised (universal
+    newlines) and cut to ``max_chars`` characters.  ``max_file_bytes`` skips
     giant files by their size before reading them.  The original FIM walk
     does not apply the directory skip list (it reads ``node_modules`` and
     hidden folders); ``skip_dirs=True`` applies it.
     """
-    df = (spark.read.option("recursiveFileLookup", "true")
+    either = ",".join("*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e) for e in exts)
+    uri = F.col("_metadata.file_path")
+    path_col = F.regexp_replace(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
+    df = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "{" + either + "}")
           .text(path, wholetext=True)
-          .select(F.col("_metadata.file_path").alias("path"),
-                  F.col("_metadata.file_size").alias("size"), "value"))
+          .select(path_col.alias("path"), F.col("_metadata.file_size").alias("size"), "value"))
     df = df.where(F.lower(path_suffix(F.col("path"))).isin(list(exts)))
     if max_file_bytes is not None:
         df = df.where(F.col("size") <= F.lit(max_file_bytes))
     if skip_dirs:
         df = df.where(~F.arrays_overlap(F.split("path", "/"), F.array(*[F.lit(d) for d in K.SKIP_DIRS])))
-    text = F.substring(lf(F.regexp_replace("value", "�", "")), 1, max_chars)
-    return df.select("path", text.alias("text"))
+    # invalid bytes become U+FFFD and go; a genuine U+FFFD is set aside meanwhile
+    aside = F.replace(F.col("value"), F.lit("\ufffd"), F.lit("\ufdd0\ufdd1"))
+    valid = F.replace(F.replace(F.make_valid_utf8(aside), F.lit("\ufffd"), F.lit("")), F.lit("\ufdd0\ufdd1"), F.lit("\ufffd"))
+    return df.select("path", F.substring(lf(valid), 1, max_chars).alias("text"))
 
 
 # ------------------------------------------------------------------- S6

@@ -87,29 +87,33 @@ def messages_of(rec) -> Column:
 
 # ------------------------------------------------------------------- S2
 def read_chat(spark: SparkSession, path) -> DataFrame:
-    """Chat JSONL; bad lines are kept and flagged (the QC counts them)."""
+    """Chat JSONL; bad lines are kept and flagged (the QC counts them).
+    ``messages`` is the typed view that the operators read; ``rec`` is the
+    whole record, so the writers put out every key of its messages."""
     recs = parse_records(read_lines(spark, path, recursive=False))
-    return recs.select("ord", messages_of(F.col("rec")).alias("messages"), "bad_json")
+    return recs.select("ord", messages_of(F.col("rec")).alias("messages"), "rec", "bad_json")
 
 
 # ------------------------------------------------------------------- S3
 def read_chat_many(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Several inputs in argument order; bad lines and rows with empty
-    ``messages`` are skipped."""
+    ``messages`` are skipped.  ``rec`` as in :func:`read_chat`."""
     out = None
     for i, p in enumerate(paths):
         recs = parse_records(read_lines(spark, p, src=i, recursive=False))
         df = recs.where(~F.col("bad_json")).select(
-            "ord", F.lit(i).alias("src"), messages_of(F.col("rec")).alias("messages"))
+            "ord", F.lit(i).alias("src"), messages_of(F.col("rec")).alias("messages"), "rec")
         df = df.where(F.size("messages") > 0)
         out = df if out is None else out.unionByName(df)
     return out
 
 
 # ------------------------------------------------------------------- S4
-def read_examples(spark: SparkSession, path, **render_kw) -> DataFrame:
+def read_examples(spark: SparkSession, path, keep_empty: bool = False, **render_kw) -> DataFrame:
     """Rows with ``text`` (preferred) or ``messages``; rows with neither are
-    skipped.  ``text`` here is the training text of the row."""
+    skipped, or stay with an empty ``text`` when ``keep_empty`` (so that a
+    report can count them).  ``text`` here is the training text of the row;
+    ``rec`` is the whole record."""
     recs = parse_records(read_lines(spark, path, recursive=False)).where(~F.col("bad_json"))
     raw_text = F.try_variant_get(F.col("rec"), "$.text", "string")
     msgs = F.try_variant_get(F.col("rec"), "$.messages", MESSAGES_TYPE)
@@ -117,18 +121,24 @@ def read_examples(spark: SparkSession, path, **render_kw) -> DataFrame:
         F.nullif(raw_text, F.lit("")),
         F.when(F.size(msgs) > 0, render_chat(msgs, **render_kw)),
     )
-    return recs.select("ord", text.alias("text"), msgs.alias("messages"), "rec").where(F.col("text").isNotNull())
+    out = recs.select("ord", F.coalesce(text, F.lit("")).alias("text"), msgs.alias("messages"), "rec")
+    return out if keep_empty else out.where(F.col("text") != F.lit(""))
 
 
 # ------------------------------------------------------------------- S7
-def load_dataset(spark: SparkSession, train: str, eval: str | None = None):
+DATASET_SCHEMA = f"messages {MESSAGES_TYPE}, text string, assistant string"
+
+
+def load_dataset(spark: SparkSession, train: str, eval: str | None = None, schema: str = DATASET_SCHEMA):
     """Training set plus optional eval set; a missing eval path gives
-    ``None`` (a warning), any other error propagates."""
-    tr = spark.read.json(train)
+    ``None`` (a warning), any other error propagates.  The schema is given,
+    so no pass over the data infers it."""
+    reader = spark.read.schema(schema)
+    tr = reader.json(train)
     ev = None
     if eval is not None:
         try:
-            ev = spark.read.json(eval)
+            ev = reader.json(eval)
         except AnalysisException as e:  # only a missing path is tolerated
             if "PATH_NOT_FOUND" not in str(e.getCondition() or e):
                 raise

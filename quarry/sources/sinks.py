@@ -17,17 +17,34 @@ def _exists(df: DataFrame, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def _in_order(df: DataFrame, ordered: bool | None) -> DataFrame:
+    """Rows laid out by ``ord`` over consecutive part files, so that a later
+    scan sees them in input order."""
+    if not (("ord" in df.columns) if ordered is None else ordered):
+        return df
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, "ord").sortWithinPartitions("ord")
+
+
 # ------------------------------------------------------------------- K1 / K3
-def write_chat(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One ``{"messages": [...]}`` object per line, UTF-8 unescaped.
+def write_chat(df: DataFrame, path: str, mode: str = "errorifexists", ordered: bool | None = None) -> None:
+    """One ``{"messages": [...]}`` object per line, UTF-8 unescaped.  Rows
+    that still hold their record (``rec``) keep every key of its messages;
+    others are written from the typed ``messages``.  Rows with ``ord`` are
+    written in input order (``ordered=False`` skips that shuffle).
     ``mode="append"`` gives the several-repositories-into-one-output sink."""
-    out = df.select(F.to_json(F.struct("messages"), _JSON_OPTS).alias("value"))
-    out.write.mode(mode).text(path)
+    value = F.to_json(F.struct("messages"), _JSON_OPTS)
+    if "rec" in df.columns:
+        raw = F.to_json(F.try_variant_get("rec", "$.messages", "variant"))
+        value = F.coalesce(F.concat(F.lit('{"messages":'), raw, F.lit("}")), value)
+    cols = [value.alias("value")] + (["ord"] if "ord" in df.columns else [])
+    _in_order(df.select(*cols), ordered).select("value").write.mode(mode).text(path)
 
 
 # ------------------------------------------------------------------- K2
 def write_split(train: DataFrame, eval: DataFrame, out_dir: str,
-                name: str | None = None, force: bool = False) -> tuple[str, str]:
+                name: str | None = None, force: bool = False,
+                ordered: bool | None = None) -> tuple[str, str]:
     """Write ``train.<suffix>`` and ``eval.<suffix>``; both targets are
     checked before either is written and refused unless ``force``."""
     suffix = name or _dt.datetime.now().strftime("%Y%m%d-%H%M%S")
@@ -38,13 +55,23 @@ def write_split(train: DataFrame, eval: DataFrame, out_dir: str,
             if _exists(train, p):
                 raise FileExistsError(f"Refusing to overwrite {p} (use force=True).")
     mode = "overwrite" if force else "errorifexists"
-    write_chat(train, tp, mode)
-    write_chat(eval, ep, mode)
+    write_chat(train, tp, mode, ordered)
+    write_chat(eval, ep, mode, ordered)
     return tp, ep
 
 
 # ------------------------------------------------------------------- K4
-def write_examples(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Rows with an added/overridden ``text``; other fields pass through."""
-    cols = [c for c in df.columns if c not in ("ord", "rec")]
-    df.select(F.to_json(F.struct(*cols), _JSON_OPTS).alias("value")).write.mode(mode).text(path)
+def write_examples(df: DataFrame, path: str, mode: str = "errorifexists", ordered: bool | None = None) -> None:
+    """Rows with an added/overridden ``text``; all other fields pass through.
+    With ``rec`` the record's own keys are written, ``text`` replaced; else
+    the columns are the fields.  Order as in :func:`write_chat`."""
+    if "rec" in df.columns:
+        own = F.map_filter(F.try_variant_get("rec", "$", "map<string,variant>"), lambda k, v: k != F.lit("text"))
+        text = F.create_map(F.lit("text"), F.to_variant_object(F.array("text")))
+        # an array is the way a string becomes a variant; its one element is the text
+        text = F.transform_values(text, lambda k, v: F.try_variant_get(v, "$[0]", "variant"))
+        value = F.to_json(F.map_concat(own, text), _JSON_OPTS)
+    else:
+        value = F.to_json(F.struct(*[c for c in df.columns if c != "ord"]), _JSON_OPTS)
+    cols = [value.alias("value")] + (["ord"] if "ord" in df.columns else [])
+    _in_order(df.select(*cols), ordered).select("value").write.mode(mode).text(path)

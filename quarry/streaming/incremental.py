@@ -11,8 +11,8 @@
   (``applyInPandasWithState``); rows are ordered only within a
   micro-batch, so out-of-order rows across batches differ from batch W2.
 * T4 ``stream_follow``: follow windows with an event-time timeout that
-  closes a window once the watermark passes anchor + minutes; rows later
-  than the watermark are dropped.
+  closes a window once the watermark passes anchor + minutes, or the
+  session has been idle; rows later than the watermark are dropped.
 """
 
 from __future__ import annotations
@@ -61,19 +61,33 @@ def read_chat_stream(spark: SparkSession, src: str, max_files: int | None = None
 
 
 # ------------------------------------------------------------------- T1
+#: New files that one micro-batch takes; bounds what a session has in memory.
+MAX_FILES = 1000
+_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+def _run(df: DataFrame, out: str, checkpoint: str) -> int:
+    """Append ``df`` (one ``value`` column) as text files until all available
+    input is taken; the number of rows written, observed by the batches."""
+    conf = df.sparkSession.conf
+    before = conf.get(_PROGRESS, "100")
+    conf.set(_PROGRESS, "1000000")  # the count is the sum over all batches of the run
+    try:
+        q = (df.observe("written", F.count(F.lit(1)).alias("n")).writeStream.format("text").option("path", out)
+             .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+        return sum(int(p["observedMetrics"]["written"]["n"]) for p in q.recentProgress if "written" in (p.get("observedMetrics") or {}))
+    finally:
+        conf.set(_PROGRESS, before)
+
+
 def incremental(spark: SparkSession, src: str, out: str, checkpoint: str,
                 min_user_chars: int = K.DEFAULT_MIN_USER_CHARS,
-                max_tokens: int = K.DEFAULT_MAX_TOKENS) -> int:
-    """Run one incremental export (``availableNow``) and return the number
-    of rows written in this run."""
-    kept = stream_qc(read_chat_stream(spark, src), min_user_chars, max_tokens)
-    q = (kept.select(F.to_json(F.struct("messages"), {"ignoreNullFields": "false"}).alias("value"))
-         .writeStream.format("text").option("path", out)
-         .option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    prog = q.recentProgress
-    return int(sum(p.get("numInputRows", 0) for p in prog)) if prog else 0
+                max_tokens: int = K.DEFAULT_MAX_TOKENS, max_files: int = MAX_FILES) -> int:
+    """Run one incremental export (``availableNow``, at most ``max_files``
+    new files a batch) and return the number of rows written in this run."""
+    kept = stream_qc(read_chat_stream(spark, src, max_files), min_user_chars, max_tokens)
+    return _run(kept.select(F.to_json(F.struct("messages"), {"ignoreNullFields": "false"}).alias("value")), out, checkpoint)
 
 
 # ------------------------------------------------------------------- T3
@@ -82,37 +96,61 @@ PAIR_OUT = "session_id string, user string, assistant string, tkey string"
 PAIR_STATE = "pending string"
 
 
-def _pair_fn(system: str):
+def _sorted(pdfs) -> pd.DataFrame:
+    """A session's rows of this batch in order."""
+    frames = list(pdfs)
+    return pd.concat(frames).sort_values(["tkey", "seq"], kind="stable") if frames else pd.DataFrame()
+
+
+def _pair_fn(ttl_ms: int | None):
     def fn(key, pdfs, state):
-        pending = state.get[0] if state.exists else None
-        frames = [p for p in pdfs]
-        rows = pd.concat(frames) if frames else pd.DataFrame()
-        out = []
-        if len(rows):
-            rows = rows.sort_values(["tkey", "seq"], kind="stable")
-            for role, ut, at, tk in zip(rows["role"], rows["user_text"], rows["assistant_text"], rows["tkey"]):
-                if role == "user" and ut:
-                    pending = pending + "\n\n" + ut if pending else ut
-                elif role == "assistant" and at and pending:
-                    out.append((key[0], pending.strip(), at, tk))
-                    pending = None
+        columns = ["session_id", "user", "assistant", "tkey"]
         if state.hasTimedOut:
             state.remove()
-        elif pending is None:
+            yield pd.DataFrame([], columns=columns)
+            return
+        waiting = [state.get[0]] if state.exists else []
+        rows, out = _sorted(pdfs), []
+        if len(rows):
+            asks = ((rows["role"] == "user") & (rows["user_text"] != "")).to_numpy()
+            replies = ((rows["role"] == "assistant") & (rows["assistant_text"] != "")).to_numpy()
+            island = replies.cumsum() - replies  # answers before the row
+            texts = rows["user_text"][asks].groupby(island[asks]).agg("\n\n".join)
+            closing = rows[replies]
+            for n, (answer, tkey) in enumerate(zip(closing["assistant_text"], closing["tkey"], strict=True)):
+                users = waiting + [texts[n]] if n in texts.index else waiting
+                if users:
+                    out.append((key[0], "\n\n".join(users).strip(), answer, tkey))
+                waiting = []
+            if len(closing) in texts.index:
+                waiting = waiting + [texts[len(closing)]]
+        if not waiting:
             state.remove()
         else:
-            state.update((pending,))
-        yield pd.DataFrame(out, columns=["session_id", "user", "assistant", "tkey"])
+            state.update(("\n\n".join(waiting),))
+            if ttl_ms:
+                arrived = pd.to_datetime(rows["arrival"], utc=True).max().timestamp() * 1000 if len(rows) else 0
+                state.setTimeoutTimestamp(max(int(arrived), state.getCurrentWatermarkMs()) + ttl_ms)
+        yield pd.DataFrame(out, columns=columns)
     return fn
 
 
-def stream_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT) -> DataFrame:
+def stream_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT, ttl: str | None = None) -> DataFrame:
     """Stateful W2 over a stream of normalised turns (``seq`` orders ties
-    within a batch).  Emits ``session_id, user, assistant, messages``."""
-    t = turns.withColumn("tkey", F.coalesce("ts_raw", F.lit(""))).select(
-        "session_id", "tkey", "seq", "role", "user_text", "assistant_text")
+    within a batch).  Emits ``session_id, user, assistant, messages``.  With
+    ``ttl`` (an interval such as ``"7 days"``) user text that no answer
+    followed for so long after it arrived is forgotten: the watermark runs
+    on the arrival time, so a run over what is available still ends."""
+    t = turns.withColumn("tkey", F.coalesce("ts_raw", F.lit("")))
+    cols = ["session_id", "tkey", "seq", "role", "user_text", "assistant_text"]
+    if ttl:
+        t = t.withColumn("arrival", F.current_timestamp()).withWatermark("arrival", "0 seconds")
+        cols.append("arrival")
+    t = t.select(*cols)
+    ttl_ms = int(pd.Timedelta(ttl).total_seconds() * 1000) if ttl else None
     out = t.groupBy("session_id").applyInPandasWithState(
-        _pair_fn(system), PAIR_OUT, PAIR_STATE, "append", GroupStateTimeout.NoTimeout)
+        _pair_fn(ttl_ms), PAIR_OUT, PAIR_STATE, "append",
+        GroupStateTimeout.EventTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout)
     msg = F.array(
         F.struct(F.lit("system").alias("role"), F.lit(system).alias("content")),
         F.struct(F.lit("user").alias("role"), F.col("user").alias("content")),
@@ -121,77 +159,90 @@ def stream_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT) -> DataFr
 
 
 # ------------------------------------------------------------------- T4
-FOLLOW_OUT = "session_id string, anchor string, n_follow long, transcript string"
-FOLLOW_STATE = "anchor string, end_us long, n long, saw boolean, lines string, closed boolean"
+FOLLOW_OUT = "session_id string, anchor string, n_follow long, roles array<string>, texts array<string>"
+FOLLOW_STATE = "anchor string, end_us long, roles array<string>, texts array<string>, closed boolean, last_us long"
 
 
-def _follow_fn(follow_k: int, minutes: int, min_chars: int):
-    def emit(sid, st, out):
-        if st and st["saw"]:
-            out.append((sid, st["anchor"], st["n"], st["lines"]))
+def _follow_fn(follow_k: int, minutes: int, min_chars: int, idle_us: int):
+    columns = ["session_id", "anchor", "n_follow", "roles", "texts"]
+
+    def emitted(sid, win):
+        """The window's row, if it took an answer."""
+        return [(sid, win["anchor"], len(win["roles"]), win["roles"], win["texts"])] if win and "assistant" in win["roles"] else []
+
+    def extend(win, part):
+        """Take the rows of an island into its window, up to the first one
+        past its end."""
+        if win is None or win["closed"] or not len(part):
+            return
+        if win["end"] is not None:
+            late = (part["ts"].isna() | (part["us"] > win["end"])).to_numpy()
+            if late.any():
+                part, win["closed"] = part[:late.argmax()], True
+        answers = (part["role"] == "assistant") & (part["assistant_text"] != "")
+        taken = part[answers | ((part["role"] == "user") & (part["user_text"] != ""))][:follow_k - len(win["roles"])]
+        win["roles"] += list(taken["role"])
+        win["texts"] += list(taken["assistant_text"].where(taken["role"] == "assistant", taken["user_text"]))
+
+    def opened(row):
+        if len(row["human_text"]) < min_chars:
+            return None
+        end = int(row["us"]) + minutes * 60_000_000 if minutes and not pd.isna(row["ts"]) else None
+        return {"anchor": row["human_text"], "end": end, "roles": [], "texts": [], "closed": False}
 
     def fn(key, pdfs, state):
-        sid = key[0]
-        out = []
-        st = None
+        sid, win, last = key[0], None, None
         if state.exists:
-            a, e, n, saw, lines, closed = state.get
-            st = {"anchor": a, "end": None if pd.isna(e) else int(e), "n": int(n), "saw": bool(saw),
-                  "lines": lines, "closed": bool(closed)}
+            a, e, roles, texts, closed, last = state.get
+            win = {"anchor": a, "end": None if pd.isna(e) else int(e), "roles": list(roles), "texts": list(texts), "closed": bool(closed)}
         if state.hasTimedOut:
-            emit(sid, st, out)
             state.remove()
-            yield pd.DataFrame(out, columns=["session_id", "anchor", "n_follow", "transcript"])
+            yield pd.DataFrame(emitted(sid, win), columns=columns)
             return
-        frames = [p for p in pdfs]
-        rows = pd.concat(frames) if frames else pd.DataFrame()
+        rows, out = _sorted(pdfs), []
         if len(rows):
-            rows = rows.sort_values(["tkey", "seq"], kind="stable")
-            for r in rows.itertuples(index=False):
-                ts_us = None if pd.isna(r.ts) else int(pd.Timestamp(r.ts).value // 1000)
-                if st is not None and not st.get("closed"):
-                    if st["end"] is not None and (ts_us is None or ts_us > st["end"]):
-                        st["closed"] = True
-                if r.role == "user" and r.has_human:
-                    emit(sid, st, out)
-                    st = None
-                    if len(r.human_text) >= min_chars:
-                        end = ts_us + minutes * 60_000_000 if (minutes and ts_us is not None) else None
-                        st = {"anchor": r.human_text, "end": end, "n": 0, "saw": False, "lines": ""}
-                    continue
-                if st is None or st.get("closed") or st["n"] >= follow_k:
-                    continue
-                if r.role == "assistant" and r.assistant_text:
-                    st["lines"] += "\nassistant:" + r.assistant_text
-                    st["n"] += 1
-                    st["saw"] = True
-                elif r.role == "user" and r.user_text:
-                    st["lines"] += "\nuser:" + r.user_text
-                    st["n"] += 1
-        if st is None:
+            rows = rows.assign(us=pd.to_datetime(rows["ts"], utc=True).astype("datetime64[us, UTC]").astype("int64")).reset_index(drop=True)
+            known = rows["us"][rows["ts"].notna()]
+            last = max([int(known.max())] if len(known) else [], default=last)
+            human = ((rows["role"] == "user") & rows["has_human"]).to_numpy()
+            starts = [*human.nonzero()[0].tolist(), len(rows)]
+            extend(win, rows[:starts[0]])
+            for a, z in zip(starts, starts[1:]):  # one island per human turn
+                out += emitted(sid, win)
+                win = opened(rows.loc[a])
+                extend(win, rows[a + 1:z])
+        if win is None:
             state.remove()
         else:
-            state.update((st["anchor"], st["end"], st["n"], st["saw"], st["lines"], bool(st.get("closed"))))
-            if st["end"] is not None:
-                state.setTimeoutTimestamp(max(st["end"] // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["session_id", "anchor", "n_follow", "transcript"])
+            state.update((win["anchor"], win["end"], win["roles"], win["texts"], win["closed"], last))
+            # a window without a bound ends when its session has been idle
+            until = win["end"] if win["end"] is not None else None if last is None or pd.isna(last) else int(last) + idle_us
+            if until is not None:
+                state.setTimeoutTimestamp(max(until // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=columns)
     return fn
 
 
 def stream_follow(turns: DataFrame, follow_k: int = K.DEFAULT_FOLLOW_K, follow_minutes: int = 0,
-                  min_user_chars: int = K.DEFAULT_MIN_USER_CHARS, lateness: str = "10 minutes") -> DataFrame:
-    """Follow windows over a stream of normalised turns.  ``ts`` must be a
-    TIMESTAMP (``withWatermark`` rejects TIMESTAMP_NTZ, so it is cast).
-    A window is emitted when the next human turn arrives or, with a
-    minute bound, when the watermark passes its end."""
+                  min_user_chars: int = K.DEFAULT_MIN_USER_CHARS, lateness: str = "10 minutes",
+                  system: str = K.PAIR_SYSTEM_PROMPT, idle: str = "1 day") -> DataFrame:
+    """Follow windows over a stream of normalised turns: ``session_id,
+    n_follow, messages`` as in the batch form.  ``ts`` must be a TIMESTAMP
+    (``withWatermark`` rejects TIMESTAMP_NTZ, so it is cast).  A window is
+    emitted when the next human turn arrives, when the watermark passes its
+    minute bound, or, without one, ``idle`` after its session's last row."""
     t = (turns.withColumn("ts", F.col("ts").cast("timestamp"))
          .withColumn("tkey", F.coalesce("ts_raw", F.lit("")))
          .withWatermark("ts", lateness)
          .select("session_id", "tkey", "seq", "ts", "role", "user_text", "assistant_text",
                  "has_human", "human_text"))
-    return t.groupBy("session_id").applyInPandasWithState(
-        _follow_fn(follow_k, follow_minutes, min_user_chars), FOLLOW_OUT, FOLLOW_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    out = t.groupBy("session_id").applyInPandasWithState(
+        _follow_fn(follow_k, follow_minutes, min_user_chars, int(pd.Timedelta(idle).total_seconds() * 1_000_000)), FOLLOW_OUT,
+        FOLLOW_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    taken = F.transform(F.arrays_zip("roles", "texts"), lambda x: F.struct(x["roles"].alias("role"), x["texts"].alias("content")))
+    head = F.array(F.struct(F.lit("system").alias("role"), F.lit(system).alias("content")),
+                   F.struct(F.lit("user").alias("role"), F.col("anchor").alias("content")))
+    return out.select("session_id", "n_follow", F.concat(head, taken).alias("messages"))
 
 
 def normalise_stream(lines: DataFrame, max_tool_chars: int = K.DEFAULT_PAIR_TOOL_CHARS,
@@ -206,24 +257,20 @@ def normalise_stream(lines: DataFrame, max_tool_chars: int = K.DEFAULT_PAIR_TOOL
 # ------------------------------------------------------------------- T1 + T3
 def incremental_pairs(spark: SparkSession, src: str, out: str, checkpoint: str,
                       max_tool_chars: int = K.DEFAULT_PAIR_TOOL_CHARS,
-                      system: str = K.PAIR_SYSTEM_PROMPT) -> int:
+                      system: str = K.PAIR_SYSTEM_PROMPT, ttl: str | None = None, max_files: int = MAX_FILES) -> int:
     """Raw agent logs -> pairs, incrementally: new ``*.jsonl`` files under
-    ``src`` are parsed, normalised and fed to the stateful pair builder;
-    a user turn still pending at the end of a run is completed by a later
-    run.  Returns the number of input lines processed in this run."""
+    ``src`` (at most ``max_files`` a batch) are parsed, normalised and fed to
+    the stateful pair builder; a user turn still pending at the end of a run
+    is completed by a later run, or forgotten after ``ttl``.  Returns the
+    number of pairs written in this run."""
     lines = (spark.readStream.format("text")
              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[jJ][sS][oO][nN][lL]")
+             .option("maxFilesPerTrigger", str(max_files))
              .load(src)
              .where(~T.is_blank("value"))
              # streams have no row ids: ties on the timestamp are broken by
              # file path, then arrival order (a stable sort in the state fn)
              .select("value", F.col("_metadata.file_path").alias("seq")))
     turns = normalise_stream(lines, max_tool_chars=max_tool_chars, tool_fallback=True)
-    pairs = stream_pairs(turns, system)
-    q = (pairs.select(F.to_json(F.struct("messages"), {"ignoreNullFields": "false"}).alias("value"))
-         .writeStream.format("text").option("path", out)
-         .option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    prog = q.recentProgress
-    return int(sum(p.get("numInputRows", 0) for p in prog)) if prog else 0
+    pairs = stream_pairs(turns, system, ttl)
+    return _run(pairs.select(F.to_json(F.struct("messages"), {"ignoreNullFields": "false"}).alias("value")), out, checkpoint)

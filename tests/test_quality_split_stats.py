@@ -133,20 +133,39 @@ def test_single_pass_qc_equals_per_row(spark):
     b = {r["drop_reason"]: (r["n"], r["pct"]) for r in Q.qc_report(g, 500, include_kept=True).collect()}
     assert a == b
     kept = sorted(r["ord"] for r in per_row.where(F.col("drop_reason") == "kept").collect())
-    assert sorted(r["ord"] for r in Q.qc_clean(g, 500).collect()) == kept
+    assert sorted(r["ord"] for r in Q.qc_clean(df, g, 500).collect()) == kept
 
 
-def test_balance_large_n_path(spark):
+def test_top_n_has_one_answer_for_every_n(spark):
+    """Null times come last, ties follow the sha, on both sides of 1,000."""
+    from quarry.operators.ranking import top_n_per_group
+    rng = random.Random(5)
+    rows = [(rng.choice(["r", None]), None if rng.random() < 0.1 else rng.randrange(40) * 900, f"{i:05d}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "repo string, at long, sha string").withColumn("at", F.timestamp_seconds("at"))
+    for n in (1, 7, 1000, 1001, 1900, 5000):
+        got = top_n_per_group(df, ["repo"], F.col("at"), n, F.col("sha"))
+        want = []
+        for g in ("r", None):
+            own = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
+            want += [r[2] for r in own[:n]]
+        assert sorted(r["sha"] for r in got.collect()) == sorted(want)
+
+
+def test_length_buckets_spread_one_length(spark):
     from quarry.operators import stats as STS
-    rows = [(i, "en" if i % 4 else "de") for i in range(6000)]
-    df = spark.createDataFrame(rows, "doc_id long, lang string")
-    small = sorted(r["doc_id"] for r in STS.balance(df, "lang", 700, "doc_id").collect())
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
-    try:
-        big = sorted(r["doc_id"] for r in STS.balance(df, "lang", 700, "doc_id").collect())
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
-    assert big == small and len(big) == 1400
+    df = spark.range(40000).select("id", F.when(F.col("id") % 2 == 0, F.lit(300)).otherwise(F.col("id") % 900).alias("n"))
+    out = STS.length_buckets(df, "n", 100, 8).withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    assert max(r["count"] for r in out) < 40000 / 8 * 1.6
+
+
+def test_first_of_a_key_is_a_hash_aggregate(spark):
+    df = spark.range(5000).select(F.struct(F.lit(0).alias("src"), F.col("id").alias("n")).alias("ord"), F.md5((F.col("id") % 700).cast("string")).alias("k"),
+                                  F.repeat(F.lit("x"), 50).alias("payload"))
+    flags = Q.duplicate_flags(df, "k")
+    flags.collect()
+    assert "SortAggregate" not in flags._jdf.queryExecution().executedPlan().toString()
+    assert flags.where("not is_dup").count() == 700 == Q.keep_first(df, "k").count()
+    assert {r["ord"]["n"] for r in Q.keep_first(df, "k").collect()} == set(range(700))
 
 
 def test_results_unchanged_under_repartition(spark):

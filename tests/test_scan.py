@@ -41,14 +41,3 @@ def test_hot_key_is_split_evenly(spark):
     sizes = [r["n"] for r in df.repartitionByRange(16, "k", "ord").withColumn("p", F.spark_partition_id())
              .groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()]
     assert max(sizes) < 0.15 * 20000     # fair share is 1/16 = 6.25 %; the hot key alone is 40 %
-
-
-def test_broadcast_only_below_limit(spark):
-    from quarry.operators.joins import broadcast_if_small
-    small = spark.range(10)
-    big = spark.range(1000)
-    probe = spark.range(5000).withColumnRenamed("id", "k")
-    plan_small = probe.join(broadcast_if_small(small, 100), probe.k == small.id)._jdf.queryExecution().optimizedPlan().toString()
-    plan_big = probe.join(broadcast_if_small(big, 100), probe.k == big.id)._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan_small.lower()
-    assert "broadcast" not in plan_big.lower()

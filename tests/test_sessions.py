@@ -1,9 +1,10 @@
-"""Pair builder and follow windows against sequential loops (the
-original record-at-a-time semantics) on random sessions."""
+"""Pair builder and follow windows against a statement by positions, on
+random sessions, and on literal ones."""
 
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
 
 from quarry.operators import sessions as W
 
@@ -33,73 +34,60 @@ def make_turns(seed, n_sessions=30, hot=400, null_ts=0.05):
     return rows
 
 
-def seq_pairs(rows):
+def ordered_sessions(rows):
+    """Rows of each session in session order."""
+    return [(sid, sorted((r for r in rows if r[0] == sid), key=lambda r: (r[1] or "", r[3]))) for sid in sorted({r[0] for r in rows})]
+
+
+def islands(rs, starts):
+    """Stretches of ``rs`` from each start to the next."""
+    return [(a, rs[a:z]) for a, z in zip(starts, [*starts[1:], len(rs)])]
+
+
+def expected_pairs(rows):
+    """An answer takes the user texts since the previous answer, if any."""
     out = []
-    by = {}
-    for r in rows:
-        by.setdefault(r[0], []).append(r)
-    for sid, rs in by.items():
-        rs.sort(key=lambda r: (r[1] or "", r[3]))
-        pending = None
-        for r in rs:
-            if r[4] == "user" and r[5]:
-                pending = pending + "\n\n" + r[5] if pending else r[5]
-            elif r[4] == "assistant" and r[6] and pending:
-                out.append((sid, pending.strip(), r[6]))
-                pending = None
+    for sid, rs in ordered_sessions(rows):
+        answers = [i for i, r in enumerate(rs) if r[4] == "assistant" and r[6]]
+        for previous, at in zip([-1, *answers], answers):
+            users = [r[5] for r in rs[previous + 1:at] if r[4] == "user" and r[5]]
+            out += [(sid, "\n\n".join(users).strip(), rs[at][6])] if users else []
     return sorted(out)
 
 
-def seq_follow(rows, k, minutes, min_chars):
+def expected_follow(rows, k, minutes, min_chars):
+    """A human turn begins an island.  Its window: of the rows before the
+    first late one, the first k that carry text."""
     out = []
-    by = {}
-    for r in rows:
-        by.setdefault(r[0], []).append(r)
-    for sid, rs in by.items():
-        rs.sort(key=lambda r: (r[1] or "", r[3]))
-        i = 0
-        while i < len(rs):
-            r = rs[i]
-            if r[4] == "user" and r[7] and len(r[8]) >= min_chars:
-                end = r[2] + dt.timedelta(minutes=minutes) if (minutes and r[2]) else None
-                msgs, j, taken, saw = [], i + 1, 0, False
-                while j < len(rs) and taken < k:
-                    n = rs[j]
-                    if end and (n[2] is None or n[2] > end):
-                        break
-                    if n[4] == "assistant":
-                        if n[6]:
-                            msgs.append(("assistant", n[6]))
-                            saw, taken = True, taken + 1
-                    elif n[4] == "user":
-                        if n[7]:
-                            break
-                        if n[5]:
-                            msgs.append(("user", n[5]))
-                            taken += 1
-                    j += 1
-                if saw:
-                    out.append((sid, r[8], tuple(msgs)))
-                i = j
+    for sid, rs in ordered_sessions(rows):
+        for _, island in islands(rs, [i for i, r in enumerate(rs) if r[4] == "user" and r[7]]):
+            anchor, rest = island[0], island[1:]
+            if len(anchor[8]) < min_chars:
                 continue
-            i += 1
+            if minutes and anchor[2]:
+                end = anchor[2] + dt.timedelta(minutes=minutes)
+                late = [i for i, r in enumerate(rest) if r[2] is None or r[2] > end]
+                rest = rest[:late[0]] if late else rest
+            taken = [(r[4], r[6] if r[4] == "assistant" else r[5]) for r in rest if r[4] in ("user", "assistant")]
+            taken = [t for t in taken if t[1]][:k]
+            out += [(sid, anchor[8], tuple(taken))] if any(role == "assistant" for role, _ in taken) else []
     return sorted(out)
 
 
-def test_pairs_match_loop(spark):
+def test_pairs_match_islands(spark):
     rows = make_turns(1)
     df = spark.createDataFrame(rows, SCHEMA)
     for skew_safe in (True, False, "auto"):
         got = sorted((r["session_id"], r["user"], r["assistant"])
                      for r in W.build_pairs(df, skew_safe=skew_safe, hot_rows=100).collect())
-        assert got == seq_pairs(rows)
+        assert got == expected_pairs(rows)
 
 
-def test_follow_match_loop(spark):
+def test_follow_match_islands(spark):
     rows = make_turns(2)
     df = spark.createDataFrame(rows, SCHEMA)
     for k, minutes, mode in ((3, 60, "auto"), (50, 0, True), (2, 5, False), (4, 30, True)):
-        exp = seq_follow(rows, k, minutes, 80)
+        exp = expected_follow(rows, k, minutes, 80)
         res = W.follow_windows(df, follow_k=k, follow_minutes=minutes, min_user_chars=80,
                                skew_safe=mode, hot_rows=100)
         got = sorted((r["session_id"], r["messages"][1]["content"],
@@ -120,9 +108,36 @@ def test_partitioning_invariance(spark):
 def test_limit_first_seen_order(spark):
     rows = make_turns(4, n_sessions=10, hot=20)
     df = spark.createDataFrame(rows, SCHEMA)
-    lim = W.build_pairs(df, limit=5).collect()
-    full = W.build_pairs(df).collect()
-    assert len(lim) == min(5, len(full))
+    seen = {}
+    for r in rows:
+        seen.setdefault(r[0], r[3])
+    full = sorted((seen[r["session_id"]], r["island"]) for r in W.build_pairs(df).collect())
+    for n in (1, 5, len(full) - 1, len(full), len(full) + 3):
+        got = W.build_pairs(df, limit=n).collect()
+        assert sorted((seen[r["session_id"]], r["island"]) for r in got) == full[:n]
+
+
+def test_trailing_users_are_not_gathered(spark):
+    """Users after the last answer leave before the texts are joined."""
+    rows = [("s", f"{i:06d}", None, i, "user", f"u{i}", "", True, f"u{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for mode in (True, False):
+        assert W.build_pairs(df, skew_safe=mode).count() == 0
+
+
+def test_naive_times_do_not_depend_on_the_zone(spark):
+    from quarry.functions import text as T
+    raw = ["2024-03-10T01:30:00", "2024-03-10T02:40:00", "20240310T024000", "2024-03-10 02:40", "2024", "12:00:00", " 2024-01-01 ", "2024-1-1"]
+    df = spark.createDataFrame([(x,) for x in raw], "s string")
+    got = []
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got.append([r[0] for r in df.select(F.unix_micros(T.parse_ts("s"))).collect()])
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got[0] == got[1] and got[0][1] - got[0][0] == 70 * 60_000_000
+    assert got[0][2] == got[0][3] == got[0][1] and got[0][4:] == [None] * 4
 
 
 def test_follow_limit_in_session_order(spark):
