@@ -1,3 +1,62 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 SQL: dict[str, str] = {}
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+SQL["op5_block_naming_dedup"] = r"""WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS body FROM documents
+), g AS (
+  SELECT doc_id, body, first_value(doc_id) OVER (PARTITION BY body ORDER BY chars DESC, doc_id) AS keep_id,
+    count(*) OVER (PARTITION BY body) AS group_size FROM n
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM g"""
+
+SQL["op8_quality_cascade"] = rf"""WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), win AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS three
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) > 2) x
+), twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, three) AS n FROM win) y WHERE n > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) z GROUP BY doc_id
+), m AS (
+  SELECT t.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+    len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+    length(regexp_replace(text, '\P{{L}}+', '', 'g')) AS letters
+  FROM t LEFT JOIN covered c ON t.doc_id = c.doc_id
+), f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT (base_failed OR word_chars > 40 * n_words OR word_chars < 2 * n_words OR 2 * n_symbols > 3 * n_words
+    OR (n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines) OR 2 * letters < word_chars) AS kept
+FROM f"""
+
+SQL["op9_fair_source_mixing"] = rf"""WITH d AS (
+  SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, md5('mix-1:' || CAST(doc_id AS VARCHAR)) AS draw FROM documents
+), s AS (
+  SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, sum(source_size) OVER () AS total
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source) a
+), r AS (  -- sources in the order in which a rising share stops them
+  SELECT *, 3.0 * source_size / weight AS stop,
+    coalesce(sum(3 * source_size) OVER (ORDER BY 3.0 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+    sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY 3.0 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open
+  FROM s
+), share AS (
+  SELECT arg_min(CAST(total - held AS DOUBLE) / CAST(open AS DOUBLE), stop) AS share FROM r WHERE CAST(total - held AS DOUBLE) / CAST(open AS DOUBLE) < stop
+), g AS (
+  SELECT source, source_size, total, CASE WHEN 3 * source_size <= weight * share THEN CAST(3 * source_size AS DOUBLE) ELSE weight * share END AS target
+  FROM s, share
+), q AS (
+  SELECT d.*, g.source_size, g.target, g.total, sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id ROWS UNBOUNDED PRECEDING) AS cum
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+), c AS (
+  SELECT *, CAST(turn * source_size + cum AS DOUBLE) / target AS finish FROM q, (SELECT unnest([0, 1, 2]) AS turn) t
+  WHERE size > 0 AND turn * source_size + cum - size < target
+), a AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, draw, doc_id, size ROWS UNBOUNDED PRECEDING) AS all_words FROM c
+), k AS (SELECT doc_id, count(*) AS copies FROM a WHERE all_words <= total GROUP BY doc_id)
+SELECT q.doc_id, size, source_size, target, CAST(coalesce(copies, 0) * size AS BIGINT) AS taken FROM q LEFT JOIN k ON q.doc_id = k.doc_id"""
