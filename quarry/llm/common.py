@@ -3,6 +3,7 @@ sums and integer names that no task, group or driver holds whole."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
@@ -42,6 +43,20 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def meet(rows: DataFrame, other: DataFrame, on, how: str) -> DataFrame:
+    """Whole rows joined to a narrow table by a shuffle, at every size alike:
+    the plan that is tested on little data is the one that runs on much."""
+    return rows.join(other.hint("shuffle_hash"), on, how)
+
+
+def give_back_memory() -> None:
+    """Return freed memory to the system; a Python worker is used again."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # a GNU function
+    if trim:
+        trim(0)
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
