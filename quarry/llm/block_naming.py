@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.frames import once
-from .common import KEY, SPACES, columns_of, keyed, sorted_names, stash, text_of
+from .common import KEY, SPACES, columns_of, keyed, meet, sorted_names, stash, text_of
 
 BLOCK_BYTES = 4096
 
@@ -99,4 +99,4 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with one row of each group, see :func:`exact_duplicates`."""
     rows = keyed(docs)
     stay = stash(exact_duplicates(rows, block_bytes).where("kept").select(KEY), "kept")
-    return rows.join(stay, KEY, "left_semi").select(*columns_of(docs))
+    return meet(rows, stay, KEY, "left_semi").select(*columns_of(docs))

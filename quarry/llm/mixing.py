@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, columns_of, keyed, prefix_sums, stash, word_count
+from .common import KEY, columns_of, keyed, meet, prefix_sums, stash, word_count
 
 MAX_REPEATS = 3
 SEED = "mix-1"
@@ -82,5 +82,5 @@ def mixed(docs: DataFrame, max_repeats: int = MAX_REPEATS, seed: str = SEED) ->
     rows = keyed(docs)
     times = f"{KEY}_times"
     n = stash(mix(rows, max_repeats, seed).where("copies > 0").select(F.col(KEY).alias(f"{KEY}_of"), F.col("copies").alias(times)), "copies")
-    drawn = rows.join(n, F.col(KEY) == F.col(f"{KEY}_of"))
+    drawn = meet(rows, n, F.col(KEY) == F.col(f"{KEY}_of"), "inner")
     return drawn.withColumn(times, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times)))).select(*columns_of(docs))

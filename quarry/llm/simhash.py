@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KEY, columns_of, keyed, stash
+from .common import KEY, columns_of, keyed, meet, stash
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -118,7 +118,7 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MA
     """``docs`` with one row of each component, see :func:`near_duplicates`."""
     rows = keyed(docs)
     stay = stash(near_duplicates(rows, shingle, max_bits).where("kept").select(KEY), "kept")
-    return rows.join(stay, KEY, "left_semi").select(*columns_of(docs))
+    return meet(rows, stay, KEY, "left_semi").select(*columns_of(docs))
 
 
 def fingerprint_hex(column: str = "fp"):

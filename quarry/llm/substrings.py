@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KEY, columns_of, keyed, stash
+from .common import KEY, columns_of, keyed, meet, stash
 
 #: One byte in RATE is a candidate cut; a candidate counts if none lies in the MIN_CHUNK bytes before it.
 RATE, MIN_CHUNK, MAX_CHUNK = 16, 12, 1024
@@ -163,4 +163,4 @@ def strip_repeats(docs: DataFrame, min_passage: int = MIN_PASSAGE) -> DataFrame:
         F.coalesce(F.get(cut, i - 1)["end"], none).alias("a"), F.coalesce(F.get(cut, i)["start"], end).alias("z")))
     left = F.array_join(F.transform(keep, lambda x: F.substring("text", (x["a"] + 1).cast("int"), (x["z"] - x["a"]).cast("int"))), "")
     text = F.when(F.col(cut).isNull(), F.col("text")).otherwise(left)
-    return rows.join(gone, KEY, "left").withColumn("text", text).select(*columns_of(docs))
+    return meet(rows, gone, KEY, "left").withColumn("text", text).select(*columns_of(docs))
