@@ -36,7 +36,7 @@ comments commentlist complementary consent contentinfo cookie cookies copyright
 login masthead menu modal nav navbar navigation newsletter notice notification pager pagination popup promo promotion recommended related
 replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription taboola tagcloud tags teaser toolbar
 toc widget widgets""".split())
-_TALK = frozenset("comment comments commentlist disqus replies reply respond".split())
+_TALK = frozenset("comment comments commentlist usercomments disqus feedback replies reply respond responses".split())
 
 #: Frequent function words of some languages (short lists; only their share matters).
 STOP_WORDS = frozenset("""
