@@ -196,7 +196,7 @@ def main_text(html: str) -> str:
     if any(b.region and label != "bad" for b, _, label in found):  # the page names its article
         stretches = {}
         for b, text, label in found:
-            if b.region:
+            if b.region and not b.furniture:  # an advert in the article says nothing of its neighbours
                 stretches.setdefault(b.region, []).append((text, label))
         kept = [(t, x) for s in stretches.values() for t, x in zip((t for t, _ in s), _second_pass([x for _, x in s]), strict=True)]
     else:
