@@ -4,7 +4,8 @@ A gear rolling hash over the UTF-8 bytes cuts each text where the hash of
 the last 32 bytes is small and no such place lies just before; where they
 lie in a row, every so often.  Cuts depend on nearby content alone and a passage
 gets the same inner chunks wherever it stands.  Chunks are deduplicated by
-a 128-bit digest; neighbouring repeated chunks join to passages.
+a 128-bit digest; neighbouring repeated chunks join to passages, and what
+stands before is found by the digests of short sequences of them.
 """
 
 from __future__ import annotations
@@ -73,8 +74,7 @@ def cuts(data: np.ndarray) -> np.ndarray:
 
 
 def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start and length in code points, two halves of the digest) of the
-    chunks; the length's sign is minus where the text has the chunk before."""
+    """(start and length in code points, two halves of the digest) of the chunks."""
     from xxhash import xxh3_128_digest
 
     data = np.frombuffer(text, np.uint8)
@@ -88,9 +88,7 @@ def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     starts = np.append(0, stops[:-1])
     digests = list(map(xxh3_128_digest, map(text.__getitem__, map(slice, begins.tolist(), ends.tolist()))))
     halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-    first = np.zeros(len(ends), bool)
-    first[np.unique(halves, axis=0, return_index=True)[1]] = True
-    return starts, np.where(first, stops - starts, starts - stops), halves[:, 0], halves[:, 1]
+    return starts, stops - starts, halves[:, 0], halves[:, 1]
 
 
 def _rows(batches):
@@ -104,60 +102,88 @@ def _rows(batches):
             got = [chunks(t or b"") for t in part.column("text").cast(pa.binary()).to_pylist()]
             row = np.repeat(part.column("row").to_numpy(), [len(g[0]) for g in got])
             start, length, d1, d2 = (np.concatenate([g[j] for g in got]) for j in range(4))
-            place = (start << 12) | (np.abs(length) << 1) | (length < 0)
+            place = (start << 11) | length
             rest = [pa.nulls(len(row), b.schema.field(x).type) for x in ("doc_id", KEY)]
             yield pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int64)) for x in (row, place, d1, d2)), *rest], names=names)
 
 
 def _start():
-    return F.shiftright("place", 12)
+    return F.shiftright("place", 11)
 
 
 def _length():
-    return F.shiftright("place", 1).bitwiseAND(2047)
+    return F.col("place").bitwiseAND(2047)
+
+
+def _digest(frame) -> list:
+    """Two halves of the digest of the chunks that a window frame holds."""
+    d = F.collect_list(F.struct("d1", "d2")).over(frame)
+    return [F.xxhash64(F.lit(i), d).alias(f"h{i}") for i in (1, 2)]
 
 
 def passages(docs: DataFrame, min_passage: int = MIN_PASSAGE) -> DataFrame:
     """Repeated passages of a :func:`keyed` frame: KEY, doc_id, start, end
-    (code points, end exclusive), first_doc_id and kept.
+    (code points, end exclusive), first_doc_id, kept and cuts.
 
     A chunk is repeated if its digest occurs twice or more, also within one
     text; touching repeated chunks of together ``min_passage`` code points or
-    more are a passage.  Of the copies of a chunk the first in row order
-    stays; a passage is kept if most of it is such, and first_doc_id is the
-    document that holds the first copy of its longest chunk.  Null and empty
-    texts have no passages; repeated rows repeat all their text; empty input
-    gives an empty result; other columns are not read.
+    more are a passage, and first_doc_id is the document that holds the first
+    copy of its longest chunk.  The chunks of a passage need not repeat
+    together.  ``cuts`` are the stretches (start, end) that do and stand
+    before, in row order or in the same text: the union of all shortest
+    sequences of chunks of ``min_passage`` code points or more that have an
+    earlier copy.  The first copy of a chunk is in none of them.  ``kept`` is
+    false if they are the whole passage.  Null and empty texts have no
+    passages; repeated rows repeat all their text; empty input gives an empty
+    result; other columns are not read.
 
     The texts are read once and not moved; per chunk one row of four numbers
     is shuffled to be counted and again to meet the repeated digests, where
-    a very common passage is split by the skew join."""
+    a very common passage is split by the skew join.  The sequences of the
+    chunks found are counted and met likewise."""
     rows = docs.select(KEY, "doc_id", "text", F.monotonically_increasing_id().alias("row"))
     kind = dict(rows.dtypes)
     cut = stash(rows.mapInArrow(_rows, f"row bigint, place bigint, d1 bigint, d2 bigint, doc_id {kind['doc_id']}, {KEY} {kind[KEY]}"), "chunks")
     ids = cut.where("place is null").select("row", "doc_id", KEY)
     cut = cut.where("place is not null").select("row", "place", "d1", "d2")
     again = stash(cut.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("row").alias("first_row")).where("n > 1").drop("n"), "repeated")
-    hit = cut.join(again, ["d1", "d2"]).select("row", "place", "first_row")
+    hit = cut.join(again, ["d1", "d2"]).select("row", "place", "first_row", "d1", "d2")
     w = Window.partitionBy("row").orderBy("place")
-    own = (F.col("row") == F.col("first_row")) & (F.col("place").bitwiseAND(1) == 0)
-    runs = hit.select("row", "first_row", _start().alias("s"), _length().alias("l"), own.alias("own"),
+    runs = hit.select("row", "first_row", _start().alias("s"), (_start() + _length()).alias("e"), "d1", "d2",
                       F.coalesce(F.lag(_start() + _length()).over(w) != _start(), F.lit(True)).cast("int").alias("new"), "place") \
         .withColumn("run", F.sum("new").over(w))
-    found = runs.groupBy("row", "run").agg(
-        F.min("s").alias("start"), F.max(F.col("s") + F.col("l")).alias("end"), F.max_by("first_row", "l").alias("first_row"),
-        (2 * F.sum(F.when(F.col("own"), F.col("l")).otherwise(0)) > F.sum("l")).alias("kept")) \
-        .where(F.col("end") - F.col("start") >= min_passage).drop("run")
-    found = stash(found, "passages")
+    run = Window.partitionBy("row", "run")
+    ahead = run.orderBy("s").rangeBetween(0, min_passage - 1)
+    back = run.orderBy("e").rangeBetween(1 - min_passage, 0)
+    far, near = F.max("e").over(ahead), F.min("s").over(back)
+    runs = runs.select("row", "run", "s", "e", "first_row",
+                       F.when(far - F.col("s") >= min_passage, F.struct(F.col("s"), far.alias("e"), *_digest(ahead))).alias("ahead"),
+                       # one that is also the shortest from its start is there already
+                       F.when(F.col("s") - near >= min_passage, F.struct(near.alias("s"), F.col("e"), *_digest(back))).alias("back"),
+                       F.min("s").over(run).alias("start"), F.max("e").over(run).alias("end"))
+    runs = stash(runs.where(F.col("end") - F.col("start") >= min_passage), "runs")
+    found = runs.groupBy("row", "start").agg(F.max("end").alias("end"), F.max_by("first_row", F.col("e") - F.col("s")).alias("first_row"))
+    parts = runs.select("row", "start", F.explode(F.array_compact(F.array("ahead", "back"))).alias("x")).select("row", "start", "x.*")
+    twice = stash(parts.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("row", "s")).alias("first")).where("n > 1").drop("n"), "twice")
+    later = parts.join(twice, ["h1", "h2"]).where((F.col("row") != F.col("first.row")) | (F.col("s") != F.col("first.s")))
+    w = Window.partitionBy("row", "start").orderBy("s", "e")
+    reach = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    later = later.select("row", "start", "s", "e", F.coalesce(reach < F.col("s"), F.lit(True)).cast("int").alias("new")).withColumn("cut", F.sum("new").over(w))
+    later = later.groupBy("row", "start", "cut").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    cuts = later.groupBy("row", "start").agg(F.sort_array(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end")))).alias("cuts"))
+    found = stash(found.join(cuts, ["row", "start"], "left"), "passages")
     first = ids.select(F.col("row").alias("first_row"), F.col("doc_id").alias("first_doc_id"))
-    return found.join(first, "first_row").join(ids, "row").select(KEY, "doc_id", "start", "end", "first_doc_id", "kept")
+    whole = F.array(F.struct("start", "end"))
+    return found.join(first, "first_row").join(ids, "row").select(
+        KEY, "doc_id", "start", "end", "first_doc_id", (~F.coalesce(F.col("cuts") == whole, F.lit(False))).alias("kept"),
+        F.coalesce("cuts", F.filter(whole, lambda x: F.lit(False))).alias("cuts"))
 
 
 def strip_repeats(docs: DataFrame, min_passage: int = MIN_PASSAGE) -> DataFrame:
-    """``docs`` with the passages that are not kept cut out of ``text``."""
+    """``docs`` with the cuts of its passages taken out of ``text``."""
     rows, cut = keyed(docs), f"{KEY}_cut"
-    gone = stash(passages(rows, min_passage).where("not kept").groupBy(KEY).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cut)), "gone")  # one text's own passages
+    gone = stash(passages(rows, min_passage).select(KEY, F.explode("cuts").alias("x")).groupBy(KEY).agg(
+        F.sort_array(F.collect_list("x")).alias(cut)), "gone")  # one text's own cuts
     none, end = F.lit(0).cast("bigint"), F.char_length("text").cast("bigint")
     keep = F.transform(F.sequence(F.lit(0), F.size(cut)), lambda i: F.struct(
         F.coalesce(F.get(cut, i - 1)["end"], none).alias("a"), F.coalesce(F.get(cut, i)["start"], end).alias("z")))

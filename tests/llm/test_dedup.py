@@ -1,6 +1,7 @@
 """SimHash near-duplicates, block naming and repeated passages against brute force."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 from itertools import combinations
@@ -208,3 +209,61 @@ def test_passage_found_after_an_insertion(spark, corpus):
     docs = spark.createDataFrame([(1, long[0] + shared), (2, "An inserted line. " + shared + long[1])], "doc_id bigint, text string")
     got = {r.doc_id: docs.where(F.col("doc_id") == r.doc_id).first().text[r.start:r.end] for r in substrings.passages(keyed(docs)).collect()}
     assert set(got) == {1, 2} and got[1] in got[2] + got[1] and got[2] in shared and len(got[2]) > 200
+
+
+def brute_cuts(texts):
+    """Per text the code points that a sequence of chunks of MIN_PASSAGE
+    code points or more covers which stands whole before."""
+    least, seen, out, chunks = substrings.MIN_PASSAGE, {}, [], []
+    for k, t in enumerate(texts):
+        data, a, at, line = t.encode(), 0, 0, []
+        for z in rolling_cuts(data):
+            n = len(data[a:z].decode())
+            line.append((at, at + n, data[a:z]))
+            a, at = z, at + n
+        chunks.append(line)
+        for i in range(len(line)):
+            for j in range(i, len(line)):
+                if line[j][1] - line[i][0] >= least:
+                    seen.setdefault(tuple(c for _, _, c in line[i:j + 1]), (k, i))
+    for k, line in enumerate(chunks):
+        gone = set()
+        for i in range(len(line)):
+            for j in range(i, len(line)):
+                if line[j][1] - line[i][0] >= least and seen[tuple(c for _, _, c in line[i:j + 1])] != (k, i):
+                    gone.update(range(line[i][0], line[j][1]))
+        out.append(gone)
+    return out
+
+
+def test_cuts_lose_no_text_and_spare_what_repeats_apart(spark, corpus):
+    long = sorted(corpus.values(), key=len)[-2:]
+    some = random.Random(6)
+
+    def fresh(n):
+        return "".join(some.choices("etaoin shrdlu", k=n))
+    x, y = fresh(200), fresh(700)
+    phrases = [fresh(60) for _ in range(6)]
+    alone = [fresh(300) + p + fresh(300) for p in phrases]
+    texts = [y, x + y, x + y, *alone, "".join(phrases), long[0][:900], long[0][500:900] + long[1][:300] + long[0][200:600],
+             "Once more. " * 60, "é中 " * 90, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    got = substrings.passages(keyed(docs)).collect()
+    gone = [set() for _ in texts]
+    for r in got:
+        assert all(r.start <= c.start < c.end <= r.end for c in r.cuts)
+        assert r.kept == ([tuple(c) for c in r.cuts] != [(r.start, r.end)])
+        gone[r.doc_id].update(*[range(c.start, c.end) for c in r.cuts])
+    assert gone == brute_cuts(texts)
+    left = {r.doc_id: r.text for r in substrings.strip_repeats(docs).collect()}
+    assert left == {i: "".join(c for at, c in enumerate(t) if at not in gone[i]) for i, t in enumerate(texts)}
+    assert left[0] == y and left[1].startswith(x) and len(left[1]) < len(x) + 100 and left[2] == ""
+    assert left[9] == texts[9]  # its phrases repeat, each in another text, but no passage does
+    stays = set()
+    for i, t in enumerate(texts):  # the first copy of each chunk stays
+        data, a, at = t.encode(), 0, 0
+        for z in rolling_cuts(data):
+            n = len(data[a:z].decode())
+            assert data[a:z] in stays or not gone[i] & set(range(at, at + n))
+            stays.add(data[a:z])
+            a, at = z, at + n
