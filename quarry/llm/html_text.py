@@ -27,16 +27,17 @@ _BLOCK = frozenset("""address article aside blockquote body caption center dd de
 footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td
 tfoot th thead tr ul""".split())
 #: Elements that never hold article text, and those that do so only inside an article.
-_NEVER = frozenset("""aside audio button canvas datalist dialog embed fieldset footer form head iframe input label map math menu nav
+_NEVER = frozenset("""aside audio button canvas datalist dialog embed fieldset footer head iframe input label map math menu nav
 noembed noframes noscript object option progress script select style svg template textarea title video xmp""".split())
 _REGION = frozenset(("article", "main"))
-#: Words in class, id or role that mark furniture around an article.
+#: Names in class, id or role that mark furniture around an article; also joined with each other or with words of place.
 _FURNITURE = frozenset("""ad ads adbox advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline captcha comment
 comments commentlist complementary consent contentinfo cookie cookies copyright disclaimer disqus dialog footer form gdpr header hidden legal
 login masthead menu modal nav navbar navigation newsletter notice notification pager pagination popup promo promotion recommended related
 replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription taboola tagcloud tags teaser toolbar
 toc widget widgets""".split())
 _TALK = frozenset("comment comments commentlist usercomments disqus feedback replies reply respond responses".split())
+_PLACE = frozenset("area bar block body box button buttons container global icons inner item items link links list main page panel section site wrap wrapper".split())
 
 #: Frequent function words of some languages (short lists; only their share matters).
 STOP_WORDS = frozenset("""
@@ -59,40 +60,53 @@ class Block:
     linked: int = 0
     region: int = 0
     furniture: bool = False
+    talk: bool = False
+    names: int = 0  # elements around it that are named as furniture
 
 
-def _furniture(tag: str, rest: str, inside: bool) -> tuple[bool, bool]:
-    """(is furniture, is reader talk) of an element."""
-    words, hidden = set(), False
+def _named(value: str, words: frozenset) -> bool:
+    """Whether a whole name of the list is one of ``words``, or joins some with words of place."""
+    for name in value.split():
+        parts = [p for p in re.split(r"[^a-z]+", name) if p]
+        if any(p in words for p in parts) and all(p in words or p in _FURNITURE or p in _PLACE for p in parts):
+            return True
+    return False
+
+
+def _furniture(tag: str, rest: str, inside: bool) -> tuple[bool, bool, bool]:
+    """(is furniture, is named as furniture, is named as reader talk) of an
+    element; one that opens a region has no such name."""
+    names, hidden = "", False
     for name, *values in _ATTR.findall(rest):
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if name in ("class", "id", "role"):
-            words.update(re.split(r"[^a-z]+", value))
+            names += " " + value
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             hidden = True
-    talk = bool(words & _TALK)
     if tag in ("html", "body"):
-        return False, False
-    if tag in _NEVER or hidden or talk:
-        return True, talk
-    if tag == "header":
-        return not inside, False
-    return tag not in _REGION and bool(words & _FURNITURE), False
+        return False, False, False
+    if tag in _NEVER or hidden or tag == "header" and not inside:
+        return True, False, False
+    if tag in _REGION and not inside or not names:
+        return False, tag == "form", False
+    talk = _named(names, _TALK)
+    return False, talk or tag == "form" or tag not in _REGION and tag != "header" and _named(names, _FURNITURE), talk
 
 
 def blocks(html: str) -> list[Block]:
     """The page's blocks in order.  Unclosed elements end with their parent;
     a truncated tag at the end is dropped."""
     out, now = [], Block()
-    stack: list[tuple[str, bool, bool, int]] = []  # tag, furniture, talk, region
+    none = ("", False, False, 0, 0)
+    stack: list[tuple[str, bool, bool, int, int]] = []  # tag, furniture, talk, region, names
     links, regions, pos = 0, 0, 0
 
     def cut():
         nonlocal now
         if now.parts:
             out.append(now)
-        _, furniture, _, region = stack[-1] if stack else ("", False, False, 0)
-        now = Block(region=region, furniture=furniture)
+        _, furniture, talk, region, names = stack[-1] if stack else none
+        now = Block(region=region, furniture=furniture, talk=talk, names=names)
 
     while m := _TOKEN.match(html, pos):
         pos = m.end()
@@ -120,21 +134,20 @@ def blocks(html: str) -> list[Block]:
         if tag in _RAW:
             end = _RAW[tag].search(html, pos)
             pos = end.start() if end else len(html)
-            stack.append((tag, True, False, 0))
+            stack.append((tag, True, False, 0, 0))
             continue
         if tag == "p" or tag in ("li", "dt", "dd", "tr", "td", "th", "option"):  # an open one of these ends here
             same = ("p",) if tag == "p" else (tag, "p")
             while stack and (stack[-1][0] in same or stack[-1][0] in ("a", "b", "i", "em", "strong", "span", "u", "font") and any(s[0] in same for s in stack[-8:])):
                 stack.pop()
             links = sum(s[0] == "a" for s in stack)
-        _, held, talk, region = stack[-1] if stack else ("", False, False, 0)
-        own, own_talk = _furniture(tag, m["rest"] or "", region > 0)
-        if tag in _REGION and not own and not talk:
-            held = False
-            if not region:
-                regions += 1
-                region = regions
-        stack.append((tag, held or own, talk or own_talk, region))
+        _, held, talk, region, names = stack[-1] if stack else none
+        own, named, own_talk = _furniture(tag, m["rest"] or "", region > 0)
+        if tag in _REGION and not own and not talk and not region:
+            held, names = False, 0
+            regions += 1
+            region = regions
+        stack.append((tag, held or own, talk or own_talk, region, names + named))
         links += tag == "a"
         if tag in _BLOCK:
             cut()
@@ -186,6 +199,25 @@ def _second_pass(labels: list[str]) -> list[str]:
     return out
 
 
+def _level(found: list) -> tuple[int, bool]:
+    """How many names around it a block may have, and whether reader talk
+    counts: names decide only as far as text is left without them, and talk
+    is text only on a page of nothing else."""
+    for talk in (False, True):
+        for kinds in (("good", "near"), ("short",)) if any(b.region for b, _, _ in found) else (("good",), ("near",), ("short",)):
+            if names := [b.names for b, _, label in found if label in kinds and b.talk <= talk]:
+                return min(names), talk
+    return 0, False
+
+
+def _by_name(found: list) -> list:
+    """``found`` with what its names make furniture labelled bad."""
+    names, talk = _level(found)
+    for b, _, _ in found:
+        b.furniture |= b.names > names or b.talk > talk
+    return [(b, text, "bad" if b.furniture else label) for b, text, label in found]
+
+
 def main_text(html: str) -> str:
     """The article of a page: character references decoded, white space in a
     block made one space, blocks joined by one space.  Nothing found: empty."""
@@ -193,14 +225,16 @@ def main_text(html: str) -> str:
     for b in blocks(html):
         if text := " ".join(unescape("".join(b.parts)).split()):
             found.append((b, text, _first_pass(b, text)))
-    if any(b.region and label != "bad" for b, _, label in found):  # the page names its article
-        stretches = {}
-        for b, text, label in found:
-            if b.region and not b.furniture:  # an advert in the article says nothing of its neighbours
-                stretches.setdefault(b.region, []).append((text, label))
-        kept = [(t, x) for s in stretches.values() for t, x in zip((t for t, _ in s), _second_pass([x for _, x in s]), strict=True)]
+    stretches = {}
+    for x in found:
+        if x[0].region:
+            stretches.setdefault(x[0].region, []).append(x)
+    stretches = [_by_name(x) for x in stretches.values()]
+    if any(label != "bad" for x in stretches for _, _, label in x):  # the page names its article
+        stretches = [[x for x in part if not x[0].furniture] for part in stretches]  # an advert in the article says nothing of its neighbours
     else:
-        kept = zip((t for _, t, _ in found), _second_pass([x for _, _, x in found]), strict=True)
+        stretches = [_by_name(found)]
+    kept = [(t, x) for part in stretches for (_, t, _), x in zip(part, _second_pass([x for _, _, x in part]), strict=True)]
     return " ".join(t for t, x in kept if x == "good")
 
 

@@ -59,3 +59,13 @@ def test_whole_table(spark):
         inner = re.search(r"<article>(.*?)(</article>|\Z)", p.html, re.S)[1]
         want = " ".join(html.unescape(re.sub(r"</?(?:h1|p|b|br)>", " ", inner)).split())
         assert got[p.page_id].text == want and got[p.page_id].n_chars == len(want) and got[p.page_id].url == p.url
+
+
+def test_a_name_drops_no_whole_article():
+    for start in ("<article class='post comments-open'>", "<main class='has-comments'>", "<article id=comments>", "<div class='layout no-sidebar'>",
+                  "<div class='with-nav'>", "<div id='header-fixed'>", "<form action=/>", "<div class='sidebar'>", "<div class='widget'><article>"):
+        body = f"{start}<h1>Headline</h1><p>{PROSE}</p><div class='ad'>{PROSE}</div><div class='comments-area'><p>{PROSE}</p></div><p>{PROSE}</p>"
+        assert main_text(page(body)) == f"Headline {PROSE} {PROSE}", start
+    for name in ("sidebar", "cookie-notice", "nav-wrapper", "ad-2", "social share", "comment-list"):
+        assert main_text(page(f"<div><p>{PROSE}</p></div><div class='{name}'><p>{PROSE}</p></div>")) == PROSE, name
+    assert main_text(page(f"<article><h1>Only a headline</h1><section class='comments'><article class='comment'>{PROSE}</article></section></article>")) == "Only a headline"
