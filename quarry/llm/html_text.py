@@ -4,7 +4,8 @@ A page is cut into blocks at block-level tags.  The first pass marks each
 block good, bad, near-good or short from its stop-word density, length and
 link density, and from the kind of element that holds it.  The second pass
 gives short and near-good blocks the label of their nearest decided
-neighbours.
+neighbours.  The stop words of some languages are listed; on pages of others
+length and link density alone decide.
 """
 
 from __future__ import annotations
@@ -155,19 +156,42 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-def _first_pass(b: Block, text: str) -> str:
+def _link_share(b: Block) -> float:
+    return b.linked / max(1, sum(map(len, b.parts)))
+
+
+def _stop_words(text: str) -> tuple[int, int] | None:
+    """(listed stop words, words) of a text; None where most words are in
+    other letters than Latin, which the lists do not cover."""
+    words = _WORD.findall(text.lower())
+    if not text.isascii() and 2 * sum(w[0] < "\u0250" or "\u1e00" <= w[0] < "\u1f00" for w in words) < len(words):
+        return None
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def _first_pass(b: Block, text: str, stops: tuple[int, int] | None, listed: bool) -> str:
+    """Label of a block; where the stop words of its language are not listed,
+    its length and links decide."""
     if b.furniture:
         return "bad"
-    links = b.linked / max(1, sum(map(len, b.parts)))
-    if links > MAX_LINKS or not b.region and re.search(r"©|\bcopyright\b", text, re.I):
+    links = _link_share(b)
+    if links > MAX_LINKS:
         return "bad"
     if len(text) < MIN_LENGTH:
-        return "bad" if links > 0 and not b.region else "short"
-    words = _WORD.findall(text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if stops >= HIGH_STOPS:
+        return "bad" if not b.region and (links > 0 or re.search(r"©|\bcopyright\b", text, re.I)) else "short"
+    share = stops[0] / max(1, stops[1]) if stops and (listed or not stops[1]) else 1
+    if share >= HIGH_STOPS:
         return "good" if len(text) > GOOD_LENGTH else "near"
-    return "near" if stops >= LOW_STOPS or b.region else "bad"
+    return "near" if share >= LOW_STOPS or b.region else "bad"
+
+
+def _labelled(found: list) -> list:
+    """(block, text, label) of a page's (block, text).  Its language is taken
+    as listed if its long blocks together have enough listed stop words."""
+    stops = [_stop_words(t) if len(t) >= MIN_LENGTH and not b.furniture else (0, 0) for b, t in found]
+    long = [n for (b, _), n in zip(found, stops, strict=True) if n and _link_share(b) <= MAX_LINKS]
+    listed = sum(n for n, _ in long) >= LOW_STOPS * sum(n for _, n in long)
+    return [(b, t, _first_pass(b, t, n, listed)) for (b, t), n in zip(found, stops, strict=True)]
 
 
 def _second_pass(labels: list[str]) -> list[str]:
@@ -224,7 +248,8 @@ def main_text(html: str) -> str:
     found = []
     for b in blocks(html):
         if text := " ".join(unescape("".join(b.parts)).split()):
-            found.append((b, text, _first_pass(b, text)))
+            found.append((b, text))
+    found = _labelled(found)
     stretches = {}
     for x in found:
         if x[0].region:

@@ -69,3 +69,24 @@ def test_a_name_drops_no_whole_article():
     for name in ("sidebar", "cookie-notice", "nav-wrapper", "ad-2", "social share", "comment-list"):
         assert main_text(page(f"<div><p>{PROSE}</p></div><div class='{name}'><p>{PROSE}</p></div>")) == PROSE, name
     assert main_text(page(f"<article><h1>Only a headline</h1><section class='comments'><article class='comment'>{PROSE}</article></section></article>")) == "Only a headline"
+
+
+def test_copyright_as_a_subject():
+    law = PROSE + " The law of copyright is old, and the sign © is not."
+    assert main_text(page(f"<div><p>{PROSE}</p><p>{law}</p><p>Copyright 2020 The site</p></div>")) == f"{PROSE} {law}"
+
+
+def test_languages_without_listed_stop_words():
+    texts = ["Москва является столицей и крупнейшим городом страны, её население превышает тринадцать миллионов человек, а площадь постоянно растёт. ",
+             "Warszawa jest stolicą kraju oraz największym miastem, położonym nad Wisłą; mieszka tutaj prawie dwa miliony ludzi różnych zawodów. ",
+             "القاهرة هي عاصمة البلاد وأكبر مدنها من حيث عدد السكان والمساحة وتقع على ضفاف النهر في شمال البلاد وفيها جامعات كثيرة قديمة. ",
+             "दिल्ली देश की राजधानी है और यहाँ बहुत सारे लोग रहते हैं जो अलग अलग भाषाएँ बोलते हैं और कई तरह के काम करते हैं। ",
+             "北京是中华人民共和国的首都，全国政治中心、文化中心、国际交往中心和科技创新中心，也是历史文化名城和古都之一，城市人口超过两千万，每年有许多游客来到这里参观长城和故宫以及其他名胜古迹。"]
+    for text in texts:
+        long, near = (text * 3).strip(), text.strip()
+        links = "<p>" + "".join(f"<a href={i}>{near}</a> " for i in range(4)) + "</p>"
+        body = f"<div><h2>1957</h2><p>{long}</p><p>{near}</p>{links}<p>© 2020</p></div>"
+        assert main_text(page(body)) == f"1957 {long} {near}"
+    body = f"<div><p>{PROSE}</p><p>{(texts[0] * 3).strip()}</p><p>{'tyre rim spoke hub axle brake ' * 20}</p><p>{PROSE}</p></div>"
+    assert main_text(page(body)) == f"{PROSE} {(texts[0] * 3).strip()} {PROSE}"
+    assert main_text(page(f"<div><p>{PROSE}</p><p>{'- 12 - ' * 60}</p></div>")) == PROSE
