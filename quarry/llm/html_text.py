@@ -63,6 +63,7 @@ class Block:
     furniture: bool = False
     talk: bool = False
     names: int = 0  # elements around it that are named as furniture
+    inline: bool = False  # text of such elements within another block
 
 
 def _named(value: str, words: frozenset) -> bool:
@@ -88,6 +89,8 @@ def _furniture(tag: str, rest: str, inside: bool) -> tuple[bool, bool, bool]:
         return False, False, False
     if tag in _NEVER or hidden or tag == "header" and not inside:
         return True, False, False
+    if "-" in tag:  # a custom element
+        names += " " + tag.removeprefix("amp-")
     if tag in _REGION and not inside or not names:
         return False, tag == "form", False
     talk = _named(names, _TALK)
@@ -97,7 +100,7 @@ def _furniture(tag: str, rest: str, inside: bool) -> tuple[bool, bool, bool]:
 def blocks(html: str) -> list[Block]:
     """The page's blocks in order.  Unclosed elements end with their parent;
     a truncated tag at the end is dropped."""
-    out, now = [], Block()
+    out, now, aside = [], Block(), []
     none = ("", False, False, 0, 0)
     stack: list[tuple[str, bool, bool, int, int]] = []  # tag, furniture, talk, region, names
     links, regions, pos = 0, 0, 0
@@ -106,14 +109,26 @@ def blocks(html: str) -> list[Block]:
         nonlocal now
         if now.parts:
             out.append(now)
+        out.extend(aside)
+        aside.clear()
         _, furniture, talk, region, names = stack[-1] if stack else none
         now = Block(region=region, furniture=furniture, talk=talk, names=names)
 
     while m := _TOKEN.match(html, pos):
         pos = m.end()
         if (text := m["text"] or m["stray"]) is not None:
-            now.parts.append(text)
-            now.linked += len(text) if links else 0
+            _, furniture, talk, region, names = stack[-1] if stack else none
+            if now.furniture > furniture or now.names > names or now.talk > talk:  # an inline element with blocks in it has ended
+                cut()
+            if furniture > now.furniture:  # a button in a paragraph
+                continue
+            to = now
+            if names > now.names:  # an advert in a paragraph
+                if not aside or (aside[-1].names, aside[-1].talk) != (names, talk):
+                    aside.append(Block(region=region, talk=talk, names=names, inline=True))
+                to = aside[-1]
+            to.parts.append(text)
+            to.linked += len(text) if links else 0
             continue
         if not (tag := m["tag"]):
             continue
@@ -258,7 +273,7 @@ def main_text(html: str) -> str:
     if any(label != "bad" for x in stretches for _, _, label in x):  # the page names its article
         stretches = [[x for x in part if not x[0].furniture] for part in stretches]  # an advert in the article says nothing of its neighbours
     else:
-        stretches = [_by_name(found)]
+        stretches = [[x for x in _by_name(found) if not (x[0].inline and x[0].furniture)]]
     kept = [(t, x) for part in stretches for (_, t, _), x in zip(part, _second_pass([x for _, _, x in part]), strict=True)]
     return " ".join(t for t, x in kept if x == "good")
 

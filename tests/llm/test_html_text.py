@@ -90,3 +90,14 @@ def test_languages_without_listed_stop_words():
     body = f"<div><p>{PROSE}</p><p>{(texts[0] * 3).strip()}</p><p>{'tyre rim spoke hub axle brake ' * 20}</p><p>{PROSE}</p></div>"
     assert main_text(page(body)) == f"{PROSE} {(texts[0] * 3).strip()} {PROSE}"
     assert main_text(page(f"<div><p>{PROSE}</p><p>{'- 12 - ' * 60}</p></div>")) == PROSE
+
+
+def test_furniture_within_a_paragraph():
+    for inner in ("<button>Subscribe</button>", "<label>Name <span>x</span></label>", "<noscript>Turn it on</noscript>", "<svg><text>Icon</text></svg>",
+                  "<span class='ad'>Buy <b>now</b></span>", "<a class='share' href=/>Share</a>", "<span hidden>Unseen</span>",
+                  "<i style='display: none'>Unseen</i>", "<amp-ad>Buy</amp-ad>", "<object><p>Old</p> player</object>", "<span class='ad'><div>Buy</div> now</span>",
+                  "<template>None</template>", "<canvas>None</canvas>", "<video>No <a href=/>video</a></video>", "<span class=comments>2 replies</span>"):
+        for start, end in (("<article>", "</article>"), ("<div>", "</div>")):
+            body = f"{start}<p>{PROSE} {inner} {PROSE}</p><p>Short end {inner}</p><p>{PROSE}</p>{end}"
+            assert main_text(page(body)) == f"{PROSE} {PROSE} Short end {PROSE}", (inner, start)
+    assert main_text(page(f"<my-page class='sidebar'>{PROSE}<button>Go</button></my-page>")) == PROSE
