@@ -13,6 +13,7 @@ from ..functions import text as T
 from ..operators import quality as Q
 from ..operators import split as SP
 from ..operators import stats as ST
+from ..operators.scan import running_sums
 from ..session import ensure_checkpoint_dir
 from ..sources import jsonl as J
 from ..sources import sinks as KS
@@ -73,13 +74,13 @@ def export_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 -> QC -> K1: the written lines, with the message keys that no
     operator uses and their place in the file."""
     path = _clean(spark, sf_dir)[0]
-    back = J.parse_records(J.read_lines(spark, path, recursive=False))
+    lines = J.read_lines(spark, path, recursive=False)
+    places = running_sums(lines.select("ord"), [], ["ord"], {"place": F.lit(1)})
+    back = J.parse_records(lines).join(places.withColumnRenamed("ord", "_ord"), F.col("ord") == F.col("_ord"))
     m = F.try_variant_get("rec", "$.messages", "array<struct<role:string,content:string,name:string,tool_calls:array<struct<id:bigint>>>>")
     line = F.array_join(F.transform(m, lambda x: F.concat_ws(":", x["role"], x["name"], F.get(x["tool_calls"], 0)["id"], x["content"])), "\n")
     first = F.get(m, 0)["content"]
-    from pyspark.sql import Window
-    place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("ord"))  # un-partitioned: the file's order is what is shown
-    return back.select(place.cast("bigint").alias("place"), F.md5(line).alias("line_md5"), F.md5(first).alias("first_md5"))
+    return back.select("place", F.md5(line).alias("line_md5"), F.md5(first).alias("first_md5"))
 
 
 @query("merge_counts")

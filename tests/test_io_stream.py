@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,3 +151,12 @@ def test_incremental_pairs_carry_pending_user(spark, tmp_path):
     ST.incremental_pairs(spark, str(src), out, ck)
     allp = sorted(json.loads(r["value"])["messages"][1]["content"] for r in spark.read.text(out).collect())
     assert allp == ["q1", "q2"]          # q2 was pending across runs
+
+
+def test_export_numbers_its_lines_in_many_tasks(spark):
+    from quarry.plans.chatfiles import export_jsonl
+
+    got = export_jsonl(spark, "/root/testdata/sf0.001")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan and not re.search(r"windowspecdefinition\(1, ", plan)
+    assert sorted(r.place for r in got.collect()) == list(range(1, got.count() + 1))
