@@ -60,3 +60,52 @@ SQL["op9_fair_source_mixing"] = rf"""WITH d AS (
   SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, draw, doc_id, size ROWS UNBOUNDED PRECEDING) AS all_words FROM c
 ), k AS (SELECT doc_id, count(*) AS copies FROM a WHERE all_words <= total GROUP BY doc_id)
 SELECT q.doc_id, size, source_size, target, CAST(coalesce(copies, 0) * size AS BIGINT) AS taken FROM q LEFT JOIN k ON q.doc_id = k.doc_id"""
+
+SQL["op12_benchmark_decontamination"] = r"""WITH dw AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), '[^ ]+') AS w
+  FROM documents
+), iw AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), '[^ ]+') AS w
+  FROM benchmark
+), win AS (
+  SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS body
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM iw WHERE len(w) > 0) x
+), sizes AS (SELECT DISTINCT k FROM win), pos AS (
+  SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS body
+  FROM (SELECT r, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM dw, sizes WHERE len(w) >= k) x
+), hit AS (SELECT DISTINCT r, i, k, body FROM pos SEMI JOIN win USING (k, body)), words AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hit) y GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item FROM hit JOIN win USING (k, body) WHERE item IS NOT NULL) z GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM dw LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
+
+SQL["op13_filter_interactions"] = r"""WITH t AS (
+  SELECT d.doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic, min(d.doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents d LEFT JOIN (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id
+), f AS (
+  SELECT part, good, toxic, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+    regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > first_id, false)] AS fails FROM t
+), c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails), x AS (SELECT unnest(range(1, 6)) AS v), p AS (
+  SELECT [a.v, b.v, c.v, d.v, e.v] AS o FROM x a, x b, x c, x d, x e
+  WHERE a.v NOT IN (b.v, c.v, d.v, e.v) AND b.v NOT IN (c.v, d.v, e.v) AND c.v NOT IN (d.v, e.v) AND d.v <> e.v
+), s AS (
+  SELECT array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, v AS step, o[v] AS own, o[1:v - 1] AS earlier FROM p, x
+), m AS (
+  SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS fail, len(list_filter(earlier, lambda i: fails[i])) > 0 AS gone,
+    len(list_filter(fails, lambda b: b)) AS n_fails FROM c, s
+), g AS (
+  SELECT part, filter_order, step, own, sum(CASE WHEN NOT gone AND NOT fail THEN n ELSE 0 END) AS kept, sum(CASE WHEN fail AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN fail AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fail AND n_fails = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN fail AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN fail AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM m GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM g"""

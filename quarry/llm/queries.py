@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_naming, html_text, licenses, mixing, packing, quality, secrets, sharding, simhash, substrings
+from . import audit, block_naming, decontamination, html_text, licenses, mixing, packing, quality, secrets, sharding, simhash, substrings, whitening
 from .common import KEY, keyed
 
 REGISTRY: dict = {}
@@ -95,3 +95,26 @@ def op4_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_cdc_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages of every document."""
     return substrings.passages(keyed(documents(spark, sf_dir))).drop(KEY)
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened embeddings, one row per vector and component."""
+    fit = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    share = F.array(*[F.lit(v / fit.trace) for v in fit.values]).cast("array<double>")
+    rows = fit.rows.select(F.col("key").alias("vec_id"), F.col("deviation").try_cast("bigint").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    return rows.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(fit.n).cast("bigint").alias("n"), "deviation", "whitened",
+                       F.get(share, F.col("at")).alias("explained"), F.lit(fit.identity_error).alias("identity_error"))
+
+
+@query
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a benchmark window."""
+    found = decontamination.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of five filters over every source."""
+    return audit.interactions(audit.masks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")))
