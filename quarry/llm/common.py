@@ -154,6 +154,79 @@ def prefix_sums(df: DataFrame, key: list[str], order: list, value: str | None =
         *df.columns, (F.col("_idx") + F.col("_on")).alias(index), (F.col("_cum") + F.col("_os")).alias(cum))
 
 
+def _neighbours(key: list[str], order: list[str]):
+    """mapInArrow function over a sorted partition: the rows whose key a
+    neighbour shares, with the ``order`` of the one before or, for a key's
+    first row, after (kind 0); the partition's first row, and its last one
+    if it is alone, of which other partitions may know more (kind 1); and
+    both ends of the partition (kind 2)."""
+    names = ["_kind", "first", *(f"near_{o}" for o in order)]
+
+    def rows(t, kind, first, near, known):
+        size = t.num_rows
+        more = [pa.array(np.full(size, kind, np.int32)), pa.array(np.broadcast_to(first, size)), *(pa.array(x, mask=~known) for x in near)]
+        return pa.Table.from_arrays([*t.columns, *more], names=[*t.schema.names, *names]).combine_chunks().to_batches()
+
+    def run(batches):
+        held, before, start = None, None, True  # the last row, the row before it if of its key, whether it is the partition's first
+        for b in (b for b in batches if b.num_rows):
+            t = pa.Table.from_batches([b] if held is None else [*held.to_batches(), b]).combine_chunks()
+            n, places = t.num_rows, [t.column(o).to_numpy() for o in order]
+            if held is None:
+                yield from rows(t.slice(0, 1), 2, False, [p[:1] for p in places], np.ones(1, bool))
+            same = np.zeros(n + 1, bool)  # as the row before
+            same[1:n] = True
+            for k in key:
+                same[1:n] &= ~_changes(t.column(k).chunk(0))
+            same[0] = before is not None
+            prev, after = same[:n], same[1:]
+            near = [np.where(prev, np.append(f, p[:-1]), np.append(p[1:], f)) for p, f in zip(places, before or [p[0] for p in places], strict=True)]
+            lead = (np.arange(n) == 0) & start
+            out = np.arange(n) < n - 1
+            for kind, pick in ((0, out & (prev | after) & ~lead), (1, out & lead)):
+                at = np.flatnonzero(pick)
+                if len(at):
+                    yield from rows(t.take(pa.array(at)), kind, ~prev[at], [x[at] for x in near], (prev | after)[at])
+            if n > 1:
+                before, start = [p[-2] for p in places] if prev[-1] else None, False
+            held = t.slice(n - 1, 1)
+        if held is not None:
+            known = np.full(1, before is not None)
+            near = [np.array([x]) for x in before] if before is not None else [held.column(o).to_numpy() for o in order]
+            yield from rows(held, 0 if before is not None else 1, before is None, near, known)
+            yield from rows(held, 2, False, near, known)
+    return run
+
+
+def repeated(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """The rows of ``df`` whose ``key`` occurs twice or more, with ``first``,
+    whether the row is the key's first in ``order`` (whole numbers, total
+    with the key), and ``near_<o>``, the order of the row of that key before
+    it, for the first one of the row after it.
+
+    One shuffle: the rows are range-sorted by key and order, so a hot key is
+    split over many tasks and what is equal lies side by side.  Two small
+    rows per task tell what its ends share with its neighbours.  ``df`` is
+    read twice and should be narrow and stored.  Null keys are equal."""
+    cols = [F.col(c) for c in (*key, *order)]
+    near = [f"near_{o}" for o in order]
+    fields = [*df.schema.fields, T.StructField("_kind", T.IntegerType()), T.StructField("first", T.BooleanType()),
+              *(T.StructField(f"near_{o}", df.schema[o].dataType) for o in order)]
+    ranged = df.repartitionByRange(partitions(df), *cols).sortWithinPartitions(*cols)
+    local = stash(ranged.mapInArrow(_neighbours(key, order), T.StructType(fields)), "repeated")
+    w = Window.partitionBy(*key).orderBy(*order)  # at most two rows per task of the sort
+    place = F.struct(*[F.col(o).alias(n) for o, n in zip(order, near, strict=True)])
+    ends = local.where("_kind = 2").select(*key, *order).distinct().select(
+        *[F.col(c).alias(f"_e_{c}") for c in (*key, *order)], F.lag(place).over(w).alias("_prev"), F.lead(place).over(w).alias("_next"))
+    on = F.lit(True)
+    for c in (*key, *order):
+        on &= F.col(c).eqNullSafe(F.col(f"_e_{c}"))
+    own = F.when(F.col(near[0]).isNotNull(), F.struct(*near))
+    unsure = local.where("_kind = 1").join(F.broadcast(ends), on).withColumn("_near", F.coalesce("_prev", own, "_next")).where("_near is not null") \
+        .select(*df.columns, F.col("_prev").isNull().alias("first"), *[F.col(f"_near.{n}") for n in near])
+    return local.where("_kind = 0").select(*df.columns, "first", *near).unionAll(unsure)
+
+
 def sorted_names(df: DataFrame, cols: list[str], name: str = "name") -> DataFrame:
     """One row per distinct ``cols`` with its rank in sorted order."""
     distinct = stash(df.select(*cols).distinct(), "names")

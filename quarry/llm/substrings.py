@@ -4,8 +4,8 @@ A gear rolling hash over the UTF-8 bytes cuts each text where the hash of
 the last 32 bytes is small and no such place lies just before; where they
 lie in a row, every so often.  Cuts depend on nearby content alone and a passage
 gets the same inner chunks wherever it stands.  Chunks are deduplicated by
-a 128-bit digest; neighbouring repeated chunks join to passages, and what
-stands before is found by the digests of short sequences of them.
+a 128-bit digest; of neighbouring repeated chunks short sequences are
+digested in turn, and those that repeat join to passages.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KEY, columns_of, keyed, meet, stash
+from .common import KEY, columns_of, discard, keyed, meet, repeated, stash
 
 #: One byte in RATE is a candidate cut; a candidate counts if none lies in the MIN_CHUNK bytes before it.
 RATE, MIN_CHUNK, MAX_CHUNK = 16, 12, 1024
@@ -123,67 +123,65 @@ def _digest(frame) -> list:
 
 def passages(docs: DataFrame, min_passage: int = MIN_PASSAGE) -> DataFrame:
     """Repeated passages of a :func:`keyed` frame: KEY, doc_id, start, end
-    (code points, end exclusive), first_doc_id, kept and cuts.
-
-    A chunk is repeated if its digest occurs twice or more, also within one
-    text; touching repeated chunks of together ``min_passage`` code points or
-    more are a passage, and first_doc_id is the document that holds the first
-    copy of its longest chunk.  The chunks of a passage need not repeat
-    together.  ``cuts`` are the stretches (start, end) that do and stand
-    before, in row order or in the same text: the union of all shortest
-    sequences of chunks of ``min_passage`` code points or more that have an
-    earlier copy.  The first copy of a chunk is in none of them.  ``kept`` is
-    false if they are the whole passage.  Null and empty texts have no
-    passages; repeated rows repeat all their text; empty input gives an empty
-    result; other columns are not read.
-
-    The texts are read once and not moved; per chunk one row of four numbers
-    is shuffled to be counted and again to meet the repeated digests, where
-    a very common passage is split by the skew join.  The sequences of the
-    chunks found are counted and met likewise."""
+    (code points, end exclusive), copy_doc_id, kept and cuts.
+
+    The shortest sequences of whole chunks of together ``min_passage`` code
+    points or more are looked up by digest.  Of those that repeat, each has a
+    nearest copy: the one before it, in row order and then by place, or for
+    the first one the copy after it.  Touching or overlapping sequences whose
+    nearest copies lie in one text at one distance are a passage, so its
+    whole text stands there too, in the document copy_doc_id (it may be the
+    same one); passages may overlap.  ``kept`` is true for passages of first
+    copies.  ``cuts`` is what may go: the passage itself where ``kept`` is
+    false, else nothing; the first copy of a chunk is in no cut.  Null and
+    empty texts have no passages; repeated rows repeat all their text; empty
+    input gives an empty result; other columns are not read.
+
+    The texts are read once and not moved.  Chunks, four numbers each, are
+    shuffled once, range-sorted by digest (:func:`repeated`), so a very
+    common passage is spread; only repeated chunks go back to their texts,
+    and only the sequences of touching ones are sorted in turn."""
     rows = docs.select(KEY, "doc_id", "text", F.monotonically_increasing_id().alias("row"))
     kind = dict(rows.dtypes)
     cut = stash(rows.mapInArrow(_rows, f"row bigint, place bigint, d1 bigint, d2 bigint, doc_id {kind['doc_id']}, {KEY} {kind[KEY]}"), "chunks")
-    ids = cut.where("place is null").select("row", "doc_id", KEY)
-    cut = cut.where("place is not null").select("row", "place", "d1", "d2")
-    again = stash(cut.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("row").alias("first_row")).where("n > 1").drop("n"), "repeated")
-    hit = cut.join(again, ["d1", "d2"]).select("row", "place", "first_row", "d1", "d2")
+    ids = stash(cut.where("place is null").select("row", "doc_id", KEY), "ids")
+    hit = repeated(cut.where("place is not null").select("row", "place", "d1", "d2"), ["d1", "d2"], ["row", "place"])
     w = Window.partitionBy("row").orderBy("place")
-    runs = hit.select("row", "first_row", _start().alias("s"), (_start() + _length()).alias("e"), "d1", "d2",
+    runs = hit.select("row", _start().alias("s"), (_start() + _length()).alias("e"), "d1", "d2",
                       F.coalesce(F.lag(_start() + _length()).over(w) != _start(), F.lit(True)).cast("int").alias("new"), "place") \
         .withColumn("run", F.sum("new").over(w))
     run = Window.partitionBy("row", "run")
     ahead = run.orderBy("s").rangeBetween(0, min_passage - 1)
     back = run.orderBy("e").rangeBetween(1 - min_passage, 0)
     far, near = F.max("e").over(ahead), F.min("s").over(back)
-    runs = runs.select("row", "run", "s", "e", "first_row",
-                       F.when(far - F.col("s") >= min_passage, F.struct(F.col("s"), far.alias("e"), *_digest(ahead))).alias("ahead"),
-                       # one that is also the shortest from its start is there already
-                       F.when(F.col("s") - near >= min_passage, F.struct(near.alias("s"), F.col("e"), *_digest(back))).alias("back"),
-                       F.min("s").over(run).alias("start"), F.max("e").over(run).alias("end"))
-    runs = stash(runs.where(F.col("end") - F.col("start") >= min_passage), "runs")
-    found = runs.groupBy("row", "start").agg(F.max("end").alias("end"), F.max_by("first_row", F.col("e") - F.col("s")).alias("first_row"))
-    parts = runs.select("row", "start", F.explode(F.array_compact(F.array("ahead", "back"))).alias("x")).select("row", "start", "x.*")
-    twice = stash(parts.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("row", "s")).alias("first")).where("n > 1").drop("n"), "twice")
-    later = parts.join(twice, ["h1", "h2"]).where((F.col("row") != F.col("first.row")) | (F.col("s") != F.col("first.s")))
-    w = Window.partitionBy("row", "start").orderBy("s", "e")
+    parts = runs.select("row", "s", "e",
+                        F.when(far - F.col("s") >= min_passage, F.struct(F.col("s"), far.alias("e"), *_digest(ahead))).alias("ahead"),
+                        # one that is also the shortest from its start is there already
+                        F.when(F.col("s") - near >= min_passage, F.struct(near.alias("s"), F.col("e"), *_digest(back))).alias("back"))
+    parts = stash(parts.select("row", F.explode(F.array_compact(F.array("ahead", "back"))).alias("x")).select("row", "x.*"), "parts")
+    again = repeated(parts, ["h1", "h2"], ["row", "s"]).select("row", "s", "e", "first", "near_row", (F.col("s") - F.col("near_s")).alias("shift"))
+    same = ["row", "first", "near_row", "shift"]  # sequences that stand alike at one other place: so does their union
+    w = Window.partitionBy(*same).orderBy("s", "e")
     reach = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    later = later.select("row", "start", "s", "e", F.coalesce(reach < F.col("s"), F.lit(True)).cast("int").alias("new")).withColumn("cut", F.sum("new").over(w))
-    later = later.groupBy("row", "start", "cut").agg(F.min("s").alias("s"), F.max("e").alias("e"))
-    cuts = later.groupBy("row", "start").agg(F.sort_array(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end")))).alias("cuts"))
-    found = stash(found.join(cuts, ["row", "start"], "left"), "passages")
-    first = ids.select(F.col("row").alias("first_row"), F.col("doc_id").alias("first_doc_id"))
+    again = again.withColumn("new", F.coalesce(reach < F.col("s"), F.lit(True)).cast("int")).withColumn("part", F.sum("new").over(w))
+    found = stash(again.groupBy(*same, "part").agg(F.min("s").alias("start"), F.max("e").alias("end")), "passages")
+    for done in (cut, parts):
+        discard(done)
+    copy = ids.select(F.col("row").alias("near_row"), F.col("doc_id").alias("copy_doc_id"))
     whole = F.array(F.struct("start", "end"))
-    return found.join(first, "first_row").join(ids, "row").select(
-        KEY, "doc_id", "start", "end", "first_doc_id", (~F.coalesce(F.col("cuts") == whole, F.lit(False))).alias("kept"),
-        F.coalesce("cuts", F.filter(whole, lambda x: F.lit(False))).alias("cuts"))
+    return found.join(copy, "near_row").join(ids, "row").select(
+        KEY, "doc_id", "start", "end", "copy_doc_id", F.col("first").alias("kept"), F.filter(whole, lambda x: ~F.col("first")).alias("cuts"))
 
 
 def strip_repeats(docs: DataFrame, min_passage: int = MIN_PASSAGE) -> DataFrame:
     """``docs`` with the cuts of its passages taken out of ``text``."""
     rows, cut = keyed(docs), f"{KEY}_cut"
-    gone = stash(passages(rows, min_passage).select(KEY, F.explode("cuts").alias("x")).groupBy(KEY).agg(
-        F.sort_array(F.collect_list("x")).alias(cut)), "gone")  # one text's own cuts
+    w = Window.partitionBy(KEY).orderBy("start", "end")
+    reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    cuts = passages(rows, min_passage).select(KEY, F.explode("cuts").alias("x")).select(KEY, "x.*") \
+        .withColumn("new", F.coalesce(reach < F.col("start"), F.lit(True)).cast("int")).withColumn("n", F.sum("new").over(w))
+    cuts = cuts.groupBy(KEY, "n").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    gone = stash(cuts.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cut)), "gone")  # one text's own cuts
     none, end = F.lit(0).cast("bigint"), F.char_length("text").cast("bigint")
     keep = F.transform(F.sequence(F.lit(0), F.size(cut)), lambda i: F.struct(
         F.coalesce(F.get(cut, i - 1)["end"], none).alias("a"), F.coalesce(F.get(cut, i)["start"], end).alias("z")))

@@ -5,7 +5,7 @@ from itertools import accumulate
 
 from pyspark.sql import functions as F
 
-from quarry.llm.common import keyed, prefix_sums, sorted_names, stash
+from quarry.llm.common import keyed, prefix_sums, repeated, sorted_names, stash
 from quarry.llm.components import components
 
 
@@ -58,3 +58,19 @@ def test_keys_are_unique_and_stable(spark, odd, tmp_path):
         once, again = keys.collect(), keys.where("doc_id = 7").collect()
         assert len({r._row_key for r in once}) == len(once) == 24
         assert {r._row_key for r in again} == {r._row_key for r in once if r.doc_id == 7}
+
+
+def test_repeated_keys_across_tasks(spark):
+    """A hot key over many tasks, keys at their borders, single keys."""
+    rng = random.Random(3)
+    for n, hot, kinds in ((4000, 0.5, 3000), (300, 0.0, 100000), (300, 1.0, 1), (40, 0.3, 10), (1, 0, 1), (0, 0, 1)):
+        rows = [(7 if rng.random() < hot else rng.randrange(kinds), rng.randrange(2), i) for i in range(n)]
+        df = stash(spark.createDataFrame(rows, "a bigint, b bigint, o bigint").repartition(5), "t")
+        for size in (3, 10000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = sorted((r.a, r.b, r.o, r.first, r.near_o) for r in repeated(df, ["a", "b"], ["o"]).collect())
+            of = {}
+            for a, b, o in rows:
+                of.setdefault((a, b), []).append(o)
+            assert got == sorted((*k, o, i == 0, v[i - 1] if i else v[1]) for k, v in of.items() if len(v) > 1 for i, o in enumerate(v))
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -162,26 +162,38 @@ def test_gear_cuts_are_those_of_a_rolling_hash(corpus):
 
 def test_repeated_passages_whole_table(spark, corpus):
     got = REGISTRY["op6_cdc_substring_dedup"](spark, SF).collect()
-    where, of = defaultdict(list), {}
+    least, of, twice = substrings.MIN_PASSAGE, {}, defaultdict(int)
     for i, t in corpus.items():
-        data, a, at = t.encode(), 0, 0
-        of[i] = []
+        data, a, at, of[i] = t.encode(), 0, 0, []
         for z in rolling_cuts(data):
             n = len(data[a:z].decode())
-            where[data[a:z]].append(i)
             of[i].append((at, at + n, data[a:z]))
             a, at = z, at + n
-    want = set()
+
+    def shortest(line):
+        """All sequences of chunks of that length that hold no other."""
+        ends = {}
+        for i in range(len(line)):
+            j = next((j for j in range(i, len(line)) if line[j][1] - line[i][0] >= least), None)
+            if j is not None:
+                ends[j] = i  # the latest start
+        return [(line[i][0], line[j][1], tuple(c for _, _, c in line[i:j + 1])) for j, i in ends.items()]
+    for line in of.values():
+        for _, _, c in shortest(line):
+            twice[c] += 1
+    want, have = {i: set() for i in corpus}, {i: set() for i in corpus}
     for i, line in of.items():
-        run = []
-        for s, e, c in [*line, (-1, -1, None)]:
-            if c is not None and len(where[c]) > 1 and (not run or run[-1] == s):
-                run += [s, e] if not run else [e]
-                continue
-            if run and run[-1] - run[0] >= substrings.MIN_PASSAGE:
-                want.add((i, run[0], run[-1]))
-            run = [s, e] if c is not None and len(where[c]) > 1 else []
-    assert {(r.doc_id, r.start, r.end) for r in got} == want
+        for s, e, c in shortest(line):
+            if twice[c] > 1:
+                want[i].update(range(s, e))
+    for r in got:
+        have[r.doc_id].update(range(r.start, r.end))
+    assert all(want[i] <= have[i] for i in corpus)
+    whole = "\x00".join(corpus.values())
+    for text in {corpus[r.doc_id][r.start:r.end] for r in got}:  # no row claims what stands once
+        at = whole.index(text)
+        assert len(text) >= least and whole.find(text, at + 1) > 0
+    assert all(corpus[r.doc_id][r.start:r.end] in corpus[r.copy_doc_id] for r in got)
     hit, seen = {r.doc_id for r in got}, {}
     for i, t in corpus.items():  # every passage of 50 words in two documents is found
         w = t.split()
