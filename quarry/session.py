@@ -74,5 +74,16 @@ def drop_materialized(spark: SparkSession) -> None:
     it when no frame of the session is needed any more."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
-        path = spark._jvm.org.apache.hadoop.fs.Path(current)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        fs, path = hadoop(spark, current)
+        fs.delete(path, True)
+
+
+def hadoop(spark: SparkSession, path: str):
+    """File system and Hadoop path of ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop(spark, path)
+    return fs.exists(p)

@@ -6,39 +6,41 @@
 * T2 ``stream_qc``: the QC cascade on a stream; the ``seen`` signature set
   is streaming de-duplication state (unbounded, or bounded by a watermark
   horizon with ``dropDuplicatesWithinWatermark``).  "First" means first to
-  arrive.
-* T3 ``stream_pairs``: pending user text per session kept as state
-  (``applyInPandasWithState``); rows are ordered only within a
-  micro-batch, so out-of-order rows across batches differ from batch W2.
-* T4 ``stream_follow``: follow windows with an event-time timeout that
-  closes a window once the watermark passes anchor + minutes, or the
-  session has been idle; rows later than the watermark are dropped.
+  arrive.  ``seen.py`` keeps the set as a bucketed table instead.
+* T3 ``incremental_pairs``: raw logs to pairs; ``sessions.py`` holds the
+  pair builder and the follow windows (T4) over streams.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions import constants as K
 from ..functions import text as T
 from ..operators import segments as SG
+from ..session import exists
 from ..sources.jsonl import messages_of, strict_json, is_object
+from .sessions import pairs_job
 
 
 # ------------------------------------------------------------------- T2
+def passes_qc(df: DataFrame, min_user_chars: int) -> Column:
+    """Whether a row passes the stages of the cascade before de-duplication."""
+    user = T.first_content("messages", "user")
+    bad = F.col("bad_json") if "bad_json" in df.columns else F.lit(False)
+    return (~bad & T.has_role("messages", "assistant") & ~T.is_blank(user)
+            & (F.length(T.strip(user)) >= F.lit(min_user_chars)))
+
+
 def stream_qc(sdf: DataFrame, min_user_chars: int = K.DEFAULT_MIN_USER_CHARS,
               max_tokens: int = K.DEFAULT_MAX_TOKENS, horizon: str | None = None,
               event_time: str | None = None) -> DataFrame:
     """Kept rows of the QC cascade over a stream with ``messages``
-    (and optionally ``bad_json``)."""
-    user = T.first_content("messages", "user")
-    bad = F.col("bad_json") if "bad_json" in sdf.columns else F.lit(False)
-    ok = (~bad & T.has_role("messages", "assistant") & ~T.is_blank(user)
-          & (F.length(T.strip(user)) >= F.lit(min_user_chars)))
-    s = sdf.where(ok).withColumn("sig", T.qc_signature("messages"))
+    (and optionally ``bad_json``).  With ``horizon`` (an interval) and
+    ``event_time`` a signature is held only until the watermark is that far
+    past it, so the state is bounded and a copy beyond is kept again."""
+    s = sdf.where(passes_qc(sdf, min_user_chars)).withColumn("sig", T.qc_signature("messages"))
     if horizon is not None and event_time is not None:
         s = s.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(["sig"])
     else:
@@ -63,22 +65,35 @@ def read_chat_stream(spark: SparkSession, src: str, max_files: int | None = None
 # ------------------------------------------------------------------- T1
 #: New files that one micro-batch takes; bounds what a session has in memory.
 MAX_FILES = 1000
-_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
 
 
 def _run(df: DataFrame, out: str, checkpoint: str) -> int:
     """Append ``df`` (one ``value`` column) as text files until all available
-    input is taken; the number of rows written, observed by the batches."""
-    conf = df.sparkSession.conf
-    before = conf.get(_PROGRESS, "100")
-    conf.set(_PROGRESS, "1000000")  # the count is the sum over all batches of the run
-    try:
-        q = (df.observe("written", F.count(F.lit(1)).alias("n")).writeStream.format("text").option("path", out)
-             .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
-        q.awaitTermination()
-        return sum(int(p["observedMetrics"]["written"]["n"]) for p in q.recentProgress if "written" in (p.get("observedMetrics") or {}))
-    finally:
-        conf.set(_PROGRESS, before)
+    input is taken; the number of rows written and not reported before."""
+    q = (df.writeStream.format("text").option("path", out)
+         .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return unreported(df.sparkSession, out, checkpoint)
+
+
+def unreported(spark: SparkSession, out: str, checkpoint: str) -> int:
+    """Rows that the file sink has committed to ``out`` since the last call.
+
+    The folder is read through the sink's commit log, which lists whole
+    batches only; the time of the newest file counted is kept in the
+    checkpoint, and only newer files are read.  A run that ends between two
+    batches loses no count: the next one reports what it wrote."""
+    if not exists(spark, f"{out}/_spark_metadata"):
+        return 0
+    mark = f"{checkpoint}/reported"
+    changed = F.col("_metadata.file_modification_time")
+    rows = spark.read.text(out)
+    if exists(spark, mark):
+        rows = rows.where(changed > F.timestamp_micros(F.lit(int(spark.read.text(mark).first()[0]))))
+    n, newest = rows.agg(F.count(F.lit(1)), F.max(F.unix_micros(changed))).first()
+    if newest is not None:
+        spark.createDataFrame([(str(newest),)], "value string").coalesce(1).write.mode("overwrite").text(mark)
+    return n
 
 
 def incremental(spark: SparkSession, src: str, out: str, checkpoint: str,
@@ -90,161 +105,6 @@ def incremental(spark: SparkSession, src: str, out: str, checkpoint: str,
     return _run(kept.select(F.to_json(F.struct("messages"), {"ignoreNullFields": "false"}).alias("value")), out, checkpoint)
 
 
-# ------------------------------------------------------------------- T3
-PAIR_OUT = "session_id string, user string, assistant string, tkey string"
-# ``seq`` (tie-break within a batch) may be a number or a string such as the file path
-PAIR_STATE = "pending string"
-
-
-def _sorted(pdfs) -> pd.DataFrame:
-    """A session's rows of this batch in order."""
-    frames = list(pdfs)
-    return pd.concat(frames).sort_values(["tkey", "seq"], kind="stable") if frames else pd.DataFrame()
-
-
-def _pair_fn(ttl_ms: int | None):
-    def fn(key, pdfs, state):
-        columns = ["session_id", "user", "assistant", "tkey"]
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame([], columns=columns)
-            return
-        waiting = [state.get[0]] if state.exists else []
-        rows, out = _sorted(pdfs), []
-        if len(rows):
-            asks = ((rows["role"] == "user") & (rows["user_text"] != "")).to_numpy()
-            replies = ((rows["role"] == "assistant") & (rows["assistant_text"] != "")).to_numpy()
-            island = replies.cumsum() - replies  # answers before the row
-            texts = rows["user_text"][asks].groupby(island[asks]).agg("\n\n".join)
-            closing = rows[replies]
-            for n, (answer, tkey) in enumerate(zip(closing["assistant_text"], closing["tkey"], strict=True)):
-                users = waiting + [texts[n]] if n in texts.index else waiting
-                if users:
-                    out.append((key[0], "\n\n".join(users).strip(), answer, tkey))
-                waiting = []
-            if len(closing) in texts.index:
-                waiting = waiting + [texts[len(closing)]]
-        if not waiting:
-            state.remove()
-        else:
-            state.update(("\n\n".join(waiting),))
-            if ttl_ms:
-                arrived = pd.to_datetime(rows["arrival"], utc=True).max().timestamp() * 1000 if len(rows) else 0
-                state.setTimeoutTimestamp(max(int(arrived), state.getCurrentWatermarkMs()) + ttl_ms)
-        yield pd.DataFrame(out, columns=columns)
-    return fn
-
-
-def stream_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT, ttl: str | None = None) -> DataFrame:
-    """Stateful W2 over a stream of normalised turns (``seq`` orders ties
-    within a batch).  Emits ``session_id, user, assistant, messages``.  With
-    ``ttl`` (an interval such as ``"7 days"``) user text that no answer
-    followed for so long after it arrived is forgotten: the watermark runs
-    on the arrival time, so a run over what is available still ends."""
-    t = turns.withColumn("tkey", F.coalesce("ts_raw", F.lit("")))
-    cols = ["session_id", "tkey", "seq", "role", "user_text", "assistant_text"]
-    if ttl:
-        t = t.withColumn("arrival", F.current_timestamp()).withWatermark("arrival", "0 seconds")
-        cols.append("arrival")
-    t = t.select(*cols)
-    ttl_ms = int(pd.Timedelta(ttl).total_seconds() * 1000) if ttl else None
-    out = t.groupBy("session_id").applyInPandasWithState(
-        _pair_fn(ttl_ms), PAIR_OUT, PAIR_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout)
-    msg = F.array(
-        F.struct(F.lit("system").alias("role"), F.lit(system).alias("content")),
-        F.struct(F.lit("user").alias("role"), F.col("user").alias("content")),
-        F.struct(F.lit("assistant").alias("role"), F.col("assistant").alias("content")))
-    return out.withColumn("messages", msg)
-
-
-# ------------------------------------------------------------------- T4
-FOLLOW_OUT = "session_id string, anchor string, n_follow long, roles array<string>, texts array<string>"
-FOLLOW_STATE = "anchor string, end_us long, roles array<string>, texts array<string>, closed boolean, last_us long"
-
-
-def _follow_fn(follow_k: int, minutes: int, min_chars: int, idle_us: int):
-    columns = ["session_id", "anchor", "n_follow", "roles", "texts"]
-
-    def emitted(sid, win):
-        """The window's row, if it took an answer."""
-        return [(sid, win["anchor"], len(win["roles"]), win["roles"], win["texts"])] if win and "assistant" in win["roles"] else []
-
-    def extend(win, part):
-        """Take the rows of an island into its window, up to the first one
-        past its end."""
-        if win is None or win["closed"] or not len(part):
-            return
-        if win["end"] is not None:
-            late = (part["ts"].isna() | (part["us"] > win["end"])).to_numpy()
-            if late.any():
-                part, win["closed"] = part[:late.argmax()], True
-        answers = (part["role"] == "assistant") & (part["assistant_text"] != "")
-        taken = part[answers | ((part["role"] == "user") & (part["user_text"] != ""))][:follow_k - len(win["roles"])]
-        win["roles"] += list(taken["role"])
-        win["texts"] += list(taken["assistant_text"].where(taken["role"] == "assistant", taken["user_text"]))
-
-    def opened(row):
-        if len(row["human_text"]) < min_chars:
-            return None
-        end = int(row["us"]) + minutes * 60_000_000 if minutes and not pd.isna(row["ts"]) else None
-        return {"anchor": row["human_text"], "end": end, "roles": [], "texts": [], "closed": False}
-
-    def fn(key, pdfs, state):
-        sid, win, last = key[0], None, None
-        if state.exists:
-            a, e, roles, texts, closed, last = state.get
-            win = {"anchor": a, "end": None if pd.isna(e) else int(e), "roles": list(roles), "texts": list(texts), "closed": bool(closed)}
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame(emitted(sid, win), columns=columns)
-            return
-        rows, out = _sorted(pdfs), []
-        if len(rows):
-            rows = rows.assign(us=pd.to_datetime(rows["ts"], utc=True).astype("datetime64[us, UTC]").astype("int64")).reset_index(drop=True)
-            known = rows["us"][rows["ts"].notna()]
-            last = max([int(known.max())] if len(known) else [], default=last)
-            human = ((rows["role"] == "user") & rows["has_human"]).to_numpy()
-            starts = [*human.nonzero()[0].tolist(), len(rows)]
-            extend(win, rows[:starts[0]])
-            for a, z in zip(starts, starts[1:]):  # one island per human turn
-                out += emitted(sid, win)
-                win = opened(rows.loc[a])
-                extend(win, rows[a + 1:z])
-        if win is None:
-            state.remove()
-        else:
-            state.update((win["anchor"], win["end"], win["roles"], win["texts"], win["closed"], last))
-            # a window without a bound ends when its session has been idle
-            until = win["end"] if win["end"] is not None else None if last is None or pd.isna(last) else int(last) + idle_us
-            if until is not None:
-                state.setTimeoutTimestamp(max(until // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=columns)
-    return fn
-
-
-def stream_follow(turns: DataFrame, follow_k: int = K.DEFAULT_FOLLOW_K, follow_minutes: int = 0,
-                  min_user_chars: int = K.DEFAULT_MIN_USER_CHARS, lateness: str = "10 minutes",
-                  system: str = K.PAIR_SYSTEM_PROMPT, idle: str = "1 day") -> DataFrame:
-    """Follow windows over a stream of normalised turns: ``session_id,
-    n_follow, messages`` as in the batch form.  ``ts`` must be a TIMESTAMP
-    (``withWatermark`` rejects TIMESTAMP_NTZ, so it is cast).  A window is
-    emitted when the next human turn arrives, when the watermark passes its
-    minute bound, or, without one, ``idle`` after its session's last row."""
-    t = (turns.withColumn("ts", F.col("ts").cast("timestamp"))
-         .withColumn("tkey", F.coalesce("ts_raw", F.lit("")))
-         .withWatermark("ts", lateness)
-         .select("session_id", "tkey", "seq", "ts", "role", "user_text", "assistant_text",
-                 "has_human", "human_text"))
-    out = t.groupBy("session_id").applyInPandasWithState(
-        _follow_fn(follow_k, follow_minutes, min_user_chars, int(pd.Timedelta(idle).total_seconds() * 1_000_000)), FOLLOW_OUT,
-        FOLLOW_STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    taken = F.transform(F.arrays_zip("roles", "texts"), lambda x: F.struct(x["roles"].alias("role"), x["texts"].alias("content")))
-    head = F.array(F.struct(F.lit("system").alias("role"), F.lit(system).alias("content")),
-                   F.struct(F.lit("user").alias("role"), F.col("anchor").alias("content")))
-    return out.select("session_id", "n_follow", F.concat(head, taken).alias("messages"))
-
-
 def normalise_stream(lines: DataFrame, max_tool_chars: int = K.DEFAULT_PAIR_TOOL_CHARS,
                      tool_fallback: bool = True) -> DataFrame:
     """Raw log lines (``value`` + ``seq``) from a stream -> normalised turns."""
@@ -269,8 +129,8 @@ def incremental_pairs(spark: SparkSession, src: str, out: str, checkpoint: str,
              .load(src)
              .where(~T.is_blank("value"))
              # streams have no row ids: ties on the timestamp are broken by
-             # file path, then arrival order (a stable sort in the state fn)
+             # file path, then place in the micro-batch
              .select("value", F.col("_metadata.file_path").alias("seq")))
     turns = normalise_stream(lines, max_tool_chars=max_tool_chars, tool_fallback=True)
-    pairs = stream_pairs(turns, system, ttl)
-    return _run(pairs.select(F.to_json(F.struct("messages"), {"ignoreNullFields": "false"}).alias("value")), out, checkpoint)
+    pairs_job(turns, out, checkpoint, system, ttl, as_json=True)
+    return unreported(spark, out, checkpoint)

@@ -12,6 +12,8 @@ from quarry.sources import code as C
 from quarry.sources import jsonl as J
 from quarry.sources import sinks as K
 from quarry.streaming import incremental as ST
+from quarry.streaming import seen as SN
+from quarry.streaming import sessions as SS
 
 MSG = "array<struct<role:string,content:string>>"
 
@@ -93,11 +95,8 @@ def test_stream_pairs_equals_batch(spark, tmp_path):
     d = tmp_path / "turns"
     spark.createDataFrame(rows, TURNS).write.json(str(d))
     sdf = spark.readStream.schema(TURNS).json(str(d))
-    q = (ST.stream_pairs(sdf).select("session_id", "user", "assistant").writeStream
-         .format("memory").queryName("pairs_t3").outputMode("append")
-         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = sorted(tuple(r) for r in spark.sql("select * from pairs_t3").collect())
+    SS.pairs_job(sdf, str(tmp_path / "out"), str(tmp_path / "ck"))
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("session_id", "user", "assistant").collect())
     batch = spark.createDataFrame(rows, TURNS).withColumn("ord", F.col("seq"))
     exp = sorted(tuple(r) for r in W.build_pairs(batch).select("session_id", "user", "assistant").collect())
     assert got == exp and len(got) == 6
@@ -109,12 +108,9 @@ def test_stream_follow_closes_windows(spark, tmp_path):
     df = spark.createDataFrame(rows, TURNS).withColumn("ts", F.to_timestamp("ts_raw"))
     df.write.json(str(d))
     sdf = spark.readStream.schema(df.schema).json(str(d))
-    q = (ST.stream_follow(sdf, follow_k=5, follow_minutes=5, min_user_chars=80,
-                          lateness="0 seconds").writeStream
-         .format("memory").queryName("follow_t4").outputMode("append")
-         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = spark.sql("select * from follow_t4").collect()
+    SS.follow_job(sdf, str(tmp_path / "out"), str(tmp_path / "ck"), follow_k=5, follow_minutes=5, min_user_chars=80,
+                  lateness="0 seconds")
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
     # the first window is closed by the next human turn, the second by the
     # late row and emitted when the watermark passes its end
     assert sorted(r["n_follow"] for r in got) == [1, 1, 1, 3, 3, 3]
