@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import text as T
+from .frames import once
 from .ranking import top_n_per_group
 
-FILE_SPLIT = r"\n(?=diff --git )"
+FILE_SPLIT = r"\n(?=diff --(?:git|cc|combined) )"
 HUNK_SPLIT = r"\n(?=@@)"
 _RSTRIP = "(?U)" + K.JAVA_SPACE_CLASS + r"+\z"
 
@@ -73,8 +74,8 @@ def cap_commits(walked: DataFrame, n: int, newest: str = "committed_at") -> Data
     applied before dedupe and the other gates)."""
     nm = walked.where(F.size("parents") <= 1)
     if newest not in nm.columns:  # exports without times: any n, by sha
-        return top_n_per_group(nm, ["repo", "ref"], F.lit(None).cast("timestamp"), n, tiebreak=F.col("sha"))
-    return top_n_per_group(nm, ["repo", "ref"], F.col(newest), n, tiebreak=F.col("sha"), descending=True)
+        return top_n_per_group(nm, ["repo", "ref"], F.lit(None).cast("timestamp"), n, tiebreak=F.col("sha"), key=["repo", "ref", "sha"])
+    return top_n_per_group(nm, ["repo", "ref"], F.col(newest), n, tiebreak=F.col("sha"), descending=True, key=["repo", "ref", "sha"])
 
 
 def unique_commits(df: DataFrame, max_commits: int | None = None, **walk) -> DataFrame:
@@ -87,44 +88,79 @@ def unique_commits(df: DataFrame, max_commits: int | None = None, **walk) -> Dat
 
 
 # ------------------------------------------------------------------- G1
+#: Bytes of the one-letter escapes in a quoted path, in hexadecimal.
+_ESCAPES = {"a": "07", "b": "08", "t": "09", "n": "0A", "v": "0B", "f": "0C", "r": "0D", '"': "22", "\\": "5C"}
+
+
+def git_path(c) -> Column:
+    """A path as a diff writes it, decoded: the tab that ends names with
+    blanks goes, and a quoted name (``"na\303\257ve"``) gives its bytes back,
+    octal and one-letter escapes undone, as UTF-8."""
+    x = F.regexp_replace(T.col(c), r"\t\z", "")
+    inner = F.regexp_extract(x, r'(?s)\A"(.*)"\z', 1)
+    simple = F.create_map(*[F.lit(v) for kv in _ESCAPES.items() for v in kv])
+    octal = r"\A\\[0-7]{3}\z"
+    hexed = F.transform(
+        F.regexp_extract_all(inner, F.lit(r"(?s)\\[0-7]{3}|\\.|[^\\]+"), F.lit(0)),
+        lambda t: F.when(t.rlike(octal), F.lpad(F.conv(F.substring(t, 2, 3), 8, 16), 2, "0"))
+        .when(t.startswith("\\"), F.coalesce(simple[F.substring(t, 2, 1)], F.hex(F.encode(F.substring(t, 2, 1), "UTF-8"))))
+        .otherwise(F.hex(F.encode(t, "UTF-8"))))
+    return F.when(x.rlike(r'(?s)\A".*"\z'), F.decode(F.unhex(F.array_join(hexed, "")), "UTF-8")).otherwise(x)
+
+
+def file_path(header) -> Column:
+    """Path of a file patch from its header lines: the ``+++`` target without
+    ``b/``; the ``---`` source without ``a/`` when the target is
+    ``/dev/null``; else the target of a rename or copy; else the ``b/`` side
+    of the ``diff --git`` line, or the name of a combined diff."""
+    def line(mark):
+        return git_path(F.regexp_extract(header, rf"(?dm)^{mark}(.*)$", 1))
+    plus, minus, moved = line(r"\+\+\+ "), line("--- "), line("(?:rename|copy) to ")
+    combined = line("diff --(?:cc|combined) ")
+    # both sides name the same path unless the file moved
+    alike = F.regexp_extract(header, r"(?dm)^diff --git a/(.*) b/\1$", 1)
+    either = git_path(F.regexp_extract(header, r'(?dm)^diff --git (?:a/.*|"a/.*") ("b/.*"|b/.*)$', 1))
+    return (F.when(plus == "/dev/null", F.regexp_replace(minus, "^a/", ""))
+            .when(plus != "", F.regexp_replace(plus, "^b/", ""))
+            .when(moved != "", moved)
+            .when(combined != "", combined)
+            .when(alike != "", alike)
+            .otherwise(F.regexp_replace(either, "^b/", "")))
+
+
 def diff_files(diffs: DataFrame, diff: str = "diff") -> DataFrame:
     """One row per file patch: ``file_no``, ``header`` (lines before the
-    first hunk), ``hunks`` (array of hunk texts), ``file_text``, ``path``.
-
-    Path rule: the ``+++`` target without ``b/``; the ``---`` source
-    without ``a/`` when the target is ``/dev/null``; else the ``b/`` side
-    of the ``diff --git`` line (renames and binary files without hunks).
-    """
+    first hunk), ``hunks`` (array of hunk texts), ``file_text``, ``path``
+    (:func:`file_path`), the plain name whatever way the diff writes it."""
     # a final newline ends the last line, it does not begin another one
     body = F.regexp_replace(F.col(diff), r"\n\z", "")
     files = diffs.select("*", F.posexplode(F.split(body, FILE_SPLIT)).alias("file_no", "file_text"))
-    files = files.where(F.col("file_text").startswith("diff --git "))
+    files = files.where(F.col("file_text").rlike(r"\Adiff --(?:git|cc|combined) "))
     # one-row Generate: the hunk split runs once per file however often the
     # parts are referenced (projections and pushed-down filters alike)
     files = files.select("*", F.explode(F.array(F.split("file_text", HUNK_SPLIT))).alias("_parts"))
     parts = F.col("_parts")
     files = files.withColumn("header", F.get(parts, 0)).withColumn(
         "hunks", F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))).drop("_parts")
-    plus = F.regexp_extract("header", r"(?dm)^\+\+\+ (.*)$", 1)
-    minus = F.regexp_extract("header", r"(?dm)^--- (.*)$", 1)
-    git_b = F.regexp_extract("header", r"(?dm)^diff --git a/.* b/(.*)$", 1)
-    path = (F.when(plus == "/dev/null", F.regexp_replace(minus, "^a/", ""))
-            .when(plus != "", F.regexp_replace(plus, "^b/", ""))
-            .otherwise(git_b))
-    return files.withColumn("path", path).drop(diff)
+    return once(files, "path", file_path(F.col("header"))).drop(diff)
 
 
 def diff_lines(diffs: DataFrame, diff: str = "diff") -> DataFrame:
     """G1: line rows ``file_no, path, hunk_no, pos, kind, value`` where kind
     is header / hunk / context / added / removed / marker; ``hunk_no`` is 0
-    for file headers; ``value`` is the line without its marker."""
+    for file headers; ``value`` is the line without its marker.  Lines of a
+    combined hunk (``@@@``) have one marker per parent: added where one is
+    ``+``, else removed where one is ``-``."""
     files = diff_files(diffs, diff)
     blocks = F.concat(F.array("header"), F.col("hunks"))
     h = files.select(*[c for c in files.columns if c not in ("header", "hunks", "file_text")],
                      F.posexplode(blocks).alias("hunk_no", "block"))
     ln = h.select(*[c for c in h.columns if c != "block"],
-                  F.posexplode(F.split("block", "\n")).alias("pos", "line"))
-    first = F.substring("line", 1, 1)
+                  "block", F.posexplode(F.split("block", "\n")).alias("pos", "line"))
+    ways = F.greatest(F.lit(1), F.length(F.regexp_extract("block", r"\A(@+)", 1)) - 1)
+    marks = F.substr("line", F.lit(1), ways)
+    first = F.when(ways == 1, marks).when(marks.rlike(r"\A[ +]*\+[ +]*\z"), "+").when(marks.rlike(r"\A[ -]*-[ -]*\z"), "-") \
+        .when(marks.rlike(r"\A +\z"), " ").otherwise(F.substring("line", 1, 1))
     kind = (F.when(F.col("hunk_no") == 0, F.lit("header"))
             .when(F.col("pos") == 0, F.lit("hunk"))
             .when(first == " ", F.lit("context"))
@@ -133,8 +169,8 @@ def diff_lines(diffs: DataFrame, diff: str = "diff") -> DataFrame:
             .when(first == "\\", F.lit("marker"))
             .when(F.col("line") == "", F.lit("context"))
             .otherwise(F.lit("other")))
-    value = F.when(kind.isin("context", "added", "removed"), F.substr("line", F.lit(2)))
-    return ln.withColumn("kind", kind).withColumn("value", value)
+    value = F.when(kind.isin("context", "added", "removed"), F.substr("line", ways + 1))
+    return ln.withColumn("kind", kind).withColumn("value", value).drop("block")
 
 
 # ------------------------------------------------------------------- G2
@@ -150,11 +186,11 @@ def _hunk_side(hunk: Column, keep: str) -> Column:
 
 def before_after(files: DataFrame) -> DataFrame:
     """G2 + F7: per-hunk before (context+removed) and after (context+added)
-    text, values keep their newline, no-newline markers excluded.  Hunks
-    where both sides are blank are dropped; files left without hunks, or
+    text, values keep their newline, no-newline markers excluded.  A combined
+    hunk (``@@@``) has no single text before and counts as blank.  Hunks where both sides are blank are dropped; files left without hunks, or
     with a blank patch block, are dropped.  Adds ``before``, ``after``,
     ``patch_block`` (G3, the raw file chunk right-stripped)."""
-    sides = F.transform("hunks", lambda h: F.struct(
+    sides = F.transform(F.filter("hunks", lambda h: ~h.startswith("@@@")), lambda h: F.struct(
         _hunk_side(h, "\\-").alias("b"), _hunk_side(h, "+").alias("a")))
     kept = F.filter(sides, lambda s: ~T.is_blank(s["b"]) | ~T.is_blank(s["a"]))
     # kept hunks and the patch block come out of one-row Generates, so the

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import materialize
+from .quality import packed_order
 
 
 # ------------------------------------------------------------------- E1
@@ -27,12 +29,16 @@ def unary_prefs(examples: DataFrame, votes: DataFrame, key: str = "id",
 def pair_prefs(df: DataFrame, sig: str = "sig", reply: str = "assistant",
                label: str = "label", order: str = "ord") -> DataFrame:
     """Per prompt signature one chosen (first label-1 reply) and one
-    rejected (first label-0 reply); one-sided signatures are dropped."""
-    chosen = F.min(F.when(F.col(label) == 1, F.struct(F.col(order).alias("o"), F.col(reply).alias("r"))))
-    rejected = F.min(F.when(F.col(label) == 0, F.struct(F.col(order).alias("o"), F.col(reply).alias("r"))))
-    g = df.groupBy(sig).agg(chosen.alias("_c"), rejected.alias("_r"))
-    return g.where(F.col("_c").isNotNull() & F.col("_r").isNotNull()).select(
-        sig, F.col("_c.r").alias("chosen"), F.col("_r.r").alias("rejected"))
+    rejected (first label-0 reply); one-sided signatures are dropped.
+    ``order`` must be unique per row."""
+    # the choice is made on orders alone: one fixed-width minimum a side, no reply is sorted or carried
+    rows = materialize(df.select(sig, order, label, reply), "replies").withColumn("_o", packed_order(df, order))
+    first = rows.groupBy(sig).agg(F.min(F.when(F.col(label) == 1, F.col("_o"))).alias("_c"), F.min(F.when(F.col(label) == 0, F.col("_o"))).alias("_r"))
+    sides = materialize(first.where(F.col("_c").isNotNull() & F.col("_r").isNotNull()), "sides")
+    text = rows.select(F.col("_o"), F.col(reply).alias("_text"))
+    chosen = sides.join(text, F.col("_c") == F.col("_o")).select(sig, F.col("_text").alias("chosen"))
+    rejected = sides.join(text, F.col("_r") == F.col("_o")).select(F.col(sig).alias("_sig"), F.col("_text").alias("rejected"))
+    return chosen.join(rejected, F.col(sig).eqNullSafe(F.col("_sig"))).select(sig, "chosen", "rejected")
 
 
 # ------------------------------------------------------------------- E3

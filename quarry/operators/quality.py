@@ -46,11 +46,33 @@ def packed_order(df: DataFrame, order: str = "ord") -> Column:
     return out
 
 
+#: Bits of the parts of a file row's packed order: input, file, start of the split, place in its task.
+FILE_ORDER_BITS = (15, 31, 46, 33)
+
+
+def _with_packed(slim: DataFrame, order: str) -> DataFrame:
+    """Narrow rows with ``_o``, their order as one fixed-width value.  The
+    order of rows read from files (input, path, start of the split, row)
+    holds a string: the distinct paths are ranked in a table as long as the
+    list of files, and rank, start and row are packed."""
+    kind = slim.schema[order].dataType
+    if not (isinstance(kind, StructType) and kind.fieldNames() == ["src", "path", "block", "row"]):
+        return slim.withColumn("_o", packed_order(slim, order))
+    o = F.col(order)
+    paths = slim.select(o["path"].alias("_path")).distinct()
+    ranks = paths.select("_path", (F.row_number().over(_whole().orderBy("_path")) - 1).alias("_file"))
+    parts = (o["src"], F.col("_file"), o["block"], o["row"].bitwiseAND(2 ** FILE_ORDER_BITS[3] - 1))
+    packed = F.lit(0).cast("decimal(38,0)")
+    for part, bits in zip(parts, FILE_ORDER_BITS, strict=True):
+        packed = ((packed * F.lit(str(2 ** bits)).cast("decimal(38,0)")).cast("decimal(38,0)") + part.cast("decimal(38,0)")).cast("decimal(38,0)")
+    return slim.join(ranks, o["path"] == F.col("_path")).select(*slim.columns, packed.alias("_o"))
+
+
 def _flag_first(slim: DataFrame, key: str, order: str) -> DataFrame:
     """``slim`` with ``_first``: whether the row is the first of its key; null
     keys are never first.  The winners join back on the unique order, which
     spreads even the hottest key over all partitions."""
-    o = slim.withColumn("_o", packed_order(slim, order))
+    o = _with_packed(slim, order)
     firsts = o.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("_o").alias("_f")).select("_f")
     return o.join(firsts, F.col("_o") == F.col("_f"), "left") \
         .withColumn("_first", F.col("_f").isNotNull()).drop("_o", "_f")
@@ -78,8 +100,8 @@ def keep_first(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
     are aggregated alone; the payload of the winners is fetched afterwards,
     so it is never sorted."""
     slim = materialize(df.select(F.coalesce(key, F.lit("")).alias("_k"), F.col(order).alias("_ord")), "keys")
-    first = slim.withColumn("_o", packed_order(slim, "_ord")).groupBy("_k").agg(F.min("_o").alias("_f"))
-    return df.join(first.select("_f"), packed_order(df, order) == F.col("_f"), "left_semi")
+    first = _flag_first(slim, "_k", "_ord").where("_first")
+    return df.join(first.select("_ord"), F.col(order) == F.col("_ord"), "left_semi")
 
 
 # ------------------------------------------------------------------- F2
@@ -181,7 +203,7 @@ def drop_report(df: DataFrame, include_kept: bool = False) -> DataFrame:
 
 def _whole():
     from pyspark.sql import Window
-    # un-partitioned: only ever applied to an aggregate with a handful of rows
+    # un-partitioned: only ever applied to an aggregate with a handful of rows, or to the list of files
     return Window.partitionBy(F.lit(1))
 
 
@@ -211,68 +233,95 @@ def keep_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id",
 
 # ------------------------------------------------------------------- F14
 # License classes recognised in lower-cased text, checked in this order; the
-# stricter licenses come first, so a text under two is judged by those.
+# stricter licenses come first, so a text under two is judged by those.  A
+# pattern names the license in full, by its tag, or as what a text is under.
+_UNDER = r"(?:under|licen[sc]ed?|released|license-identifier)(?: as| under)?:?(?: the| terms of| an?)* "
 LICENSE_PATTERNS = [
-    ("proprietary", r"\b(?:all rights reserved|proprietary (?:license|software|and confidential)|unauthori[sz]ed (?:copying|use))\b"),
-    ("agpl", r"\bagpl\b|gnu affero general public license"),
-    ("lgpl", r"\blgpl\b|gnu (?:lesser|library) general public license"),
-    ("cc-by-nc-4.0", r"cc by-nc 4\.0"),
-    ("cc-by-nc", r"\bcc[ -]by-nc\b|attribution-noncommercial"),
-    ("gpl-3.0", r"gnu general public license,? version 3"),
-    ("gpl", r"\bgpl(?:v[123])?\b|gnu general public license"),
-    ("apache-2.0", r"apache license,? version 2\.0"),
-    ("mit", r"\bmit license"),
-    ("bsd", r"\bbsd (?:[0-9]-clause )?license"),
+    ("proprietary", r"\ball rights reserved\b|\bproprietary (?:license|software|and confidential)\b|\bunauthori[sz]ed (?:copying|use)\b"),
+    ("agpl", r"\bagpl(?:[ -]?v?[0-9](?:\.[0-9])?)?\b|\bgnu affero general public license"),
+    ("lgpl", r"\blgpl(?:[ -]?v?[0-9](?:\.[0-9])?)?\b|\bgnu (?:lesser|library) general public license"),
+    ("cc-by-nc-4.0", r"\bcc by-nc 4\.0"),
+    ("cc-by-nc", r"\bcc[ -]by-nc\b|\battribution-noncommercial"),
+    ("gpl-3.0", r"\bgnu general public license,? version 3|\bgpl[ -]?v?3(?:\.0)?\b"),
+    ("gpl", r"\bgpl(?:[ -]?v?[0-9](?:\.[0-9])?)?\b|\bgnu general public license"),
+    ("mpl-2.0", r"\bmpl[ -]?v?2(?:\.0)?\b|\bmozilla public license"),
+    ("apache-2.0", r"\bapache license,? version 2\.0|\bapache[ -]?(?:license[ -]?)?v?2(?:\.0)?\b"),
+    ("mit", r"\bmit license|\b" + _UNDER + r"mit\b"),
+    ("bsd", r"\bbsd (?:[0-9]-clause )?license|\bbsd[ -][0-9](?:[ -]clause)?\b|\b" + _UNDER + r"bsd\b"),
 ]
+# Letters in one of which every class has a match; texts without any of them skip the patterns.
+_LICENSE_LETTERS = ("all rights reserved", "proprietary", "unauthori", "gpl", "public license", "cc by", "cc-by", "attribution", "mpl", "apache", "mit", "bsd")
+_ANY_LICENSE = "|".join(f"(?:{p})" for _, p in LICENSE_PATTERNS)
 # Words that speak of a license at all; with none of the classes above the text is "unknown".
-LICENSE_WORDS = r"licen[sc]e|copyright|\(c\) [0-9]{4}"
-DEFAULT_ALLOWED_LICENSES = ["apache-2.0", "mit", "bsd", "none"]
+LICENSE_WORDS = ("license", "licence", "copyright", "public domain")
+#: What the gate lets pass.  Neither an unknown license nor none at all is among them: what is not recognised is not allowed.
+DEFAULT_ALLOWED_LICENSES = ["apache-2.0", "mit", "bsd"]
+
+
+def _holds_any(c: Column, words: Sequence[str]) -> Column:
+    out = F.lit(False)
+    for w in words:
+        out = out | F.contains(c, F.lit(w))
+    return out
 
 
 def license_class(c) -> Column:
-    """First matching license class of an already lower-cased text;
-    ``unknown`` for license words of no known class, ``none`` without any."""
-    expr = F.when(T.col(c).rlike(LICENSE_WORDS), F.lit("unknown")).otherwise(F.lit("none"))
-    for name, pat in reversed(LICENSE_PATTERNS):
-        expr = F.when(T.col(c).rlike(pat), F.lit(name)).otherwise(expr)
-    return expr
+    """First license class, in order, that an already lower-cased text
+    names; ``unknown`` for license words of no known class, ``none`` without
+    any.  One pass finds all places that name a license; the classes are told
+    from those alone."""
+    low = T.col(c)
+    named = F.when(_holds_any(low, _LICENSE_LETTERS), F.array_join(F.regexp_extract_all(low, F.lit(_ANY_LICENSE), F.lit(0)), "\n")).otherwise("")
+    spoken = _holds_any(low, LICENSE_WORDS) | (F.contains(low, F.lit("(c) ")) & low.rlike(r"\(c\) [0-9]{4}"))
+
+    def told(x: Column) -> Column:
+        out = F.when(spoken, F.lit("unknown")).otherwise(F.lit("none"))
+        for name, pat in reversed(LICENSE_PATTERNS):
+            out = F.when(x.rlike(pat), F.lit(name)).otherwise(out)
+        return F.when(x == "", F.when(spoken, F.lit("unknown")).otherwise(F.lit("none"))).otherwise(out)
+    # a one-element list binds the places found, so the text is searched once
+    return F.get(F.transform(F.array(named), told), 0)
 
 
 def license_gate(df: DataFrame, text: str = "text",
                  allowed: Sequence[str] = DEFAULT_ALLOWED_LICENSES) -> DataFrame:
-    """Lower-case once, then plain (case-sensitive) pattern scans."""
-    low = df.select("*", F.lower(F.col(text)).alias("_low"))
+    """Rows whose license class is ``allowed``, with the class.  The text is
+    lower-cased once and searched once."""
+    low = once(df, "_low", F.lower(F.col(text)))
     return (once(low, "license", license_class("_low")).drop("_low")
             .where(F.col("license").isin(list(allowed))))
 
 
 # ------------------------------------------------------------------- P27
 # Personal-data and secret classes, applied in this order.
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 REDACT_PATTERNS = [
-    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]"),
-    ("secret", r'(token|api_key|secret|password) ?= ?"[^"]*"', "[SECRET]"),
+    # the look-behind starts a match only where a run of name characters does: the same matches, found in one walk
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]"),
+    ("secret", r"""(?i)\b(?:token|api[_-]?key|secret|passwd|password)["']? ?[:=] ?(?:"[^"]*"|'[^']*'|[^ \t\r\n"',;]+)""", "[SECRET]"),
     ("key", r"\b(?:AKIA[A-Z0-9]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|xox[bp]-[A-Za-z0-9-]{10,})\b", "[KEY]"),
     ("card", r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}", "[CARD]"),
-    ("ip", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", "[IP]"),
+    ("ip", rf"\b(?:{_OCTET}\.){{3}}{_OCTET}\b", "[IP]"),
     ("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "[SSN]"),
     ("phone", r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|\b[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}\b", "[PHONE]"),
 ]
-# A character every match of the class contains: texts without it skip
-# the regex (an exact test, not a sample).
-REDACT_REQUIRES = {"email": "@", "secret": '"', "ip": ".", "ssn": "-"}
+# What every match of the class contains: texts without it skip the pattern
+# (an exact test, not a sample).
+REDACT_REQUIRES = {"email": ("@",), "key": ("AKIA", "ghp_", "sk-", "xox"), "ip": (".",), "ssn": ("-",)}
 
 
 def redact(df: DataFrame, c: str = "text", classes: Sequence[str] | None = None) -> DataFrame:
-    """Replace personal data and secrets; add ``n_<class>`` counts and
-    ``n_redacted``.  Counts are taken on the text as it enters each step.
-    One projection per class keeps every regex to a single pass."""
+    """Replace personal data and secrets, quoted or not; add ``n_<class>``
+    counts and ``n_redacted``.  Counts are taken on the text as it enters
+    each step.  A class is searched once, where its letters occur at all, and
+    replaces only where it was found."""
     out = df
     names = []
     for name, pat, rep in REDACT_PATTERNS:
         if classes is not None and name not in classes:
             continue
         need = REDACT_REQUIRES.get(name)
-        hit = F.instr(F.col(c), need) > 0 if need else F.lit(True)
+        hit = _holds_any(F.col(c), need) if need else F.lit(True)
         out = out.select("*", F.when(hit, F.regexp_count(F.col(c), F.lit(pat)))
                          .otherwise(F.lit(0)).cast("bigint").alias(f"n_{name}"))
         out = out.withColumn(c, F.when(F.col(f"n_{name}") > 0, F.regexp_replace(F.col(c), pat, rep))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
+from ..session import materialize
 from .scan import running_sums
 
 _LAST = (1 << 63) - 1
@@ -34,14 +35,28 @@ def _bucket(df: DataFrame, order: Column, width: float) -> Column:
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Column, n: int,
                     tiebreak: Column, descending: bool = True,
-                    bucket_width: float = 3600.0, bucket: Column | None = None) -> DataFrame:
+                    bucket_width: float = 3600.0, bucket: Column | None = None,
+                    key: Sequence[str] | None = None) -> DataFrame:
     """The first ``n`` rows of each group by ``order`` (null last either
     way), then ``tiebreak``.  ``bucket`` must be a long that never decreases
     along ``order`` (default: hours of a timestamp, days of one without a
-    zone, ``bucket_width`` steps of a number).  Null groups are a group."""
-    b = _bucket(df, order, bucket_width) if bucket is None else bucket.cast("bigint")
-    b = F.when(order.isNull(), F.lit(_LAST)).otherwise(F.coalesce(-b if descending else b, F.lit(_LAST)))
-    x = df.select("*", b.alias("_b"))
+    zone, ``bucket_width`` steps of a number).  Null groups are a group.
+
+    The rows are stored once for the histogram, the head and the boundary;
+    with ``key``, columns that tell rows apart, only key, group and order
+    are, and the payload meets the winners' keys."""
+    plain = _bucket(df, order, bucket_width) if bucket is None else bucket.cast("bigint")
+    b = F.when(order.isNull(), F.lit(_LAST)).otherwise(F.coalesce(-plain if descending else plain, F.lit(_LAST)))
+    if key is not None:
+        cols = list(dict.fromkeys([*key, *group]))
+        narrow = df.select(*cols, order.alias("_order"), tiebreak.alias("_tie"), plain.alias("_bucket"))
+        won = top_n_per_group(narrow, group, F.col("_order"), n, F.col("_tie"), descending, bucket=F.col("_bucket"))
+        won = won.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)])
+        on = F.lit(True)
+        for i, k in enumerate(key):
+            on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        return df.join(won, on, "left_semi")
+    x = materialize(df.select("*", b.alias("_b")), "ranked")
     hist = x.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_c"))
     wc = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # the boundary is the first bucket whose running count reaches n; its row

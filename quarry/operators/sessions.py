@@ -134,8 +134,8 @@ def limit_ordered(examples: DataFrame, turns: DataFrame, n: int) -> DataFrame:
 
     The cut is found from the number of examples per session: a prefix sum
     over sessions in input order says which are whole below ``n`` and which
-    one is cut.  Of that one only the island numbers are ordered; the
-    examples themselves are filtered where they are."""
+    one is cut.  Of that one the island numbers alone are counted by the
+    segmented scan; the examples themselves are filtered where they are."""
     examples = materialize(examples, "examples")
     counts = examples.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
     first = turns.groupBy("session_id").agg(F.min("ord").alias("session_first_ord"))
@@ -148,7 +148,8 @@ def limit_ordered(examples: DataFrame, turns: DataFrame, n: int) -> DataFrame:
         return whole
     cut = examples.where(F.col("session_id") == part.session_id)
     room = n - (part._cum - part._n)
-    last = cut.select("island").orderBy("island").limit(room).agg(F.max("island")).first()[0]
+    placed_islands = running_sums(cut.select("island"), [], ["island"], {"_rn": F.lit(1)})
+    last = placed_islands.where(F.col("_rn") <= room).agg(F.max("island")).first()[0]
     cut = cut.where(F.col("island") <= last).join(
         placed.where(F.col("session_id") == part.session_id).select("session_id", "session_first_ord"), "session_id")
     return whole.unionByName(cut)

@@ -39,8 +39,9 @@ def length_stats(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.75, 0.9
 
     The histogram is bounded only for integral values (lengths).  A
     fractional column could have as many distinct values as rows, so it is
-    refused unless ``approx=True``, which answers every rule with
-    ``percentile_approx`` (bounded memory, rank error about 1/accuracy).
+    refused here (:func:`number_stats` takes it) unless ``approx=True``, which
+    answers every rule with ``percentile_approx`` (bounded memory, rank error
+    about 1/accuracy).
     """
     from pyspark.sql.types import DecimalType, DoubleType, FloatType
     v = F.col(c)
@@ -53,7 +54,7 @@ def length_stats(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.75, 0.9
         return df.agg(*aggs)
     if fractional:
         raise ValueError(f"length_stats: '{c}' is fractional; the exact rules need integral "
-                         "lengths (bounded histogram) - pass approx=True")
+                         "lengths (bounded histogram) - use number_stats, or pass approx=True")
     hist = df.where(v.isNotNull()).groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
     w_all = Window.partitionBy(F.lit(1))  # un-partitioned: one row per distinct length
     w_cum = w_all.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -95,6 +96,37 @@ def length_stats(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.75, 0.9
     return h.agg(*aggs)
 
 
+def number_stats(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.75, 0.9, 0.95), rule: str = "floor") -> DataFrame:
+    """:func:`length_stats` of a column of any numbers, as exact: the order
+    statistics are searched between the bounds of a quantile sketch
+    (``quantiles.order_statistics``), so no value is collected and no
+    histogram grows with the rows.  The mean is a sum of doubles."""
+    import math
+
+    from .quantiles import order_statistics
+    v = F.col(c)
+    n, least, most, mean = df.agg(F.count(v), F.min(v), F.max(v), F.avg(v)).first()
+    linear = rule == "linear"
+    wanted = [0.5, *probs] if linear else list(probs)
+    places = [p / 100 * n if rule == "scan" else p * (n - 1) for p in wanted]
+    ranks = [min(max(n - 1, 0), math.floor(x)) for x in places]
+    got = order_statistics(df, c, ranks + ([min(r + 1, n - 1) for r in ranks] if linear else []))
+    values = got[:len(ranks)]
+    if linear:
+        values = [None if a is None else float(a) + (x - r) * (float(z) - float(a)) for a, z, x, r in zip(values, got[len(ranks):], places, ranks, strict=True)]
+    named = dict(zip((["median"] if linear else []) + [_pname(p) for p in probs], values, strict=True))
+    kind = "double" if linear else df.schema[c].dataType.simpleString()
+
+    def cell(x, name, to=kind):
+        return F.lit(x).cast(to).alias(name)
+    row = [cell(n, "n", "bigint")] + ([cell(least, "min")] if rule != "floor" else [])
+    row += [cell(most, "max"), cell(mean, "mean", "double")] if linear else []
+    row += [cell(x, name) for name, x in named.items()]
+    row += [cell(most, "max")] if not linear else []
+    row += [cell(None if mean is None else math.floor(mean), "mean", "bigint")] if rule == "floor" else []
+    return df.sparkSession.range(1).select(*row)
+
+
 # ------------------------------------------------------------------- A5
 def clip_report(df: DataFrame) -> DataFrame:
     """kept / clipped / dropped from a frame with ``clip_status``."""
@@ -148,13 +180,11 @@ def dataset_stats(df: DataFrame, by: str = "source", length: str = "n_tok") -> D
 def balance(df: DataFrame, by: str, n: int, key: str, seed: int = 42) -> DataFrame:
     """Cap every group to ``n`` rows in seeded hash order: a per-group
     histogram over 16-bit hash prefixes, then only the boundary buckets are
-    ranked (``ranking.top_n_per_group``)."""
+    ranked (``ranking.top_n_per_group``).  ``key`` must be unique."""
     from .ranking import top_n_per_group
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    x = df.withColumn("_h", h)
-    prefix = F.conv(F.substring("_h", 1, 4), 16, 10).cast("bigint")
-    out = top_n_per_group(x, [by], F.col("_h"), n, tiebreak=F.col(key), descending=False, bucket=prefix)
-    return out.drop("_h")
+    prefix = F.conv(F.substring(h, 1, 4), 16, 10).cast("bigint")
+    return top_n_per_group(df, [by], h, n, tiebreak=F.col(key), descending=False, bucket=prefix, key=[key])
 
 
 # ------------------------------------------------------------------- L7

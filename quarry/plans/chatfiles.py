@@ -30,7 +30,7 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 def _raw(spark: SparkSession, sf_dir: str, upper: bool = False) -> str:
     """Conversations as chat lines in conv_id order.  Each message has a
-    ``name`` and a ``tool_calls`` key, each record an ``id``; every tenth
+    ``weight`` of 1.0, a ``name`` and a ``tool_calls`` key, each record an ``id``; every tenth
     conversation has no user role, every eleventh a blank first user text;
     after every seventh line comes a bad one, after every ninth a blank one."""
     conv = S.table(spark, sf_dir, "conversations")
@@ -40,7 +40,7 @@ def _raw(spark: SparkSession, sf_dir: str, upper: bool = False) -> str:
     rows = conv.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(
         "turn", role.alias("role"), F.when(blank, F.lit(" \t")).otherwise(text).alias("content")))).alias("m"))
     messages = F.transform("m", lambda x: F.struct(
-        x["role"].alias("role"), x["content"].alias("content"), F.concat(F.lit("n"), x["turn"]).alias("name"),
+        x["role"].alias("role"), x["content"].alias("content"), F.lit(1.0).alias("weight"), F.concat(F.lit("n"), x["turn"]).alias("name"),
         F.array(F.struct(x["turn"].alias("id"))).alias("tool_calls")))
     line = F.to_json(F.struct(F.col("conv_id").alias("id"), messages.alias("messages")))
     junk = F.when(F.col("conv_id") % 7 == 0, F.array(line, F.lit('{"messages": [}'))) \
@@ -71,16 +71,16 @@ def chat_qc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("export_jsonl")
 def export_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S2 -> QC -> K1: the written lines, with the message keys that no
-    operator uses and their place in the file."""
+    """S2 -> QC -> K1: the written lines, as they are, with the message keys
+    that no operator uses and their place in the file."""
     path = _clean(spark, sf_dir)[0]
-    lines = J.read_lines(spark, path, recursive=False)
+    lines = J.read_lines(spark, path, recursive=False).withColumn("line", F.col("value"))
     places = running_sums(lines.select("ord"), [], ["ord"], {"place": F.lit(1)})
     back = J.parse_records(lines).join(places.withColumnRenamed("ord", "_ord"), F.col("ord") == F.col("_ord"))
     m = F.try_variant_get("rec", "$.messages", "array<struct<role:string,content:string,name:string,tool_calls:array<struct<id:bigint>>>>")
     line = F.array_join(F.transform(m, lambda x: F.concat_ws(":", x["role"], x["name"], F.get(x["tool_calls"], 0)["id"], x["content"])), "\n")
     first = F.get(m, 0)["content"]
-    return back.select("place", F.md5(line).alias("line_md5"), F.md5(first).alias("first_md5"))
+    return back.select("place", F.md5(line).alias("line_md5"), F.md5(first).alias("first_md5"), F.md5("line").alias("written_md5"))
 
 
 @query("merge_counts")
@@ -106,6 +106,16 @@ def chat_merge_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return side(tr, "train").unionByName(side(ev, "eval"))
 
 
+@query("append_files")
+def append_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: examples of several sources appended to one output, read back."""
+    ex = S.chat_examples(spark, sf_dir, upper_copy=True)
+    out = _folder(spark, "appended")
+    for source in (0, 1):
+        KS.write_chat(ex.where(F.col("src") == source), out, mode="append")
+    return J.read_chat(spark, out).select(T.merge_signature("messages").alias("sig"))
+
+
 @query("clip_files")
 def clip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 -> P16 -> K4 + A5: texts clipped in a file of records that hold
@@ -121,14 +131,15 @@ def clip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ST.clip_tokens(J.read_examples(spark, path, keep_empty=True), CLIP_CAP, "text")
     out = _folder(spark, "clipped")
     KS.write_examples(rows.where(F.col("clip_status") != "dropped"), out)
-    back = J.parse_records(J.read_lines(spark, out, recursive=False))
+    back = J.parse_records(J.read_lines(spark, out, recursive=False).withColumn("line", F.col("value")))
 
     def field(path, kind="string"):
         return F.try_variant_get("rec", path, kind)
-    written = back.select(field("$.id", "bigint").alias("doc_id"), field("$.meta.lang").alias("lang"), field("$.meta.source").alias("source"),
+    back = back.withColumn("keys", F.array_join(F.json_object_keys("line"), ","))
+    written = back.select("keys", field("$.id", "bigint").alias("doc_id"), field("$.meta.lang").alias("lang"), field("$.meta.source").alias("source"),
                           F.md5(field("$.text")).alias("text_md5"), field("$.messages[0].role").alias("role"))
     dropped = rows.where(F.col("clip_status") == "dropped").select(
-        field("$.id", "bigint").alias("doc_id"), F.lit("dropped").alias("lang"), F.lit(None).cast("string").alias("source"),
+        F.lit(None).cast("string").alias("keys"), field("$.id", "bigint").alias("doc_id"), F.lit("dropped").alias("lang"), F.lit(None).cast("string").alias("source"),
         F.lit(None).cast("string").alias("text_md5"), F.lit(None).cast("string").alias("role"))
     return written.unionByName(dropped)
 
@@ -161,7 +172,9 @@ UNION ALL SELECT 'bad_json', count(*) FROM a WHERE conv_id % 7 = 0"""
 SQL["export_jsonl"] = f"""WITH {_file('a', 'text')}
 SELECT row_number() OVER (ORDER BY conv_id) AS place,
   md5(array_to_string(list_transform(m, lambda x: x.role || ':n' || CAST(x.turn AS VARCHAR) || ':' || CAST(x.turn AS VARCHAR) || ':' || x.content), chr(10))) AS line_md5,
-  md5(m[1].content) AS first_md5
+  md5(m[1].content) AS first_md5,
+  md5('{{"messages":[' || array_to_string(list_transform(m, lambda x: '{{"role":"' || x.role || '","content":' || CAST(to_json(x.content) AS VARCHAR)
+    || ',"weight":1.0,"name":"n' || CAST(x.turn AS VARCHAR) || '","tool_calls":[{{"id":' || CAST(x.turn AS VARCHAR) || '}}]}}'), ',') || ']}}') AS written_md5
 FROM a WHERE drop_reason = 'kept'"""
 
 SQL["merge_counts"] = f"""WITH {_file('a', 'text')}, {_file('b', O.UP)}
@@ -179,4 +192,8 @@ SQL["clip_files"] = f"""WITH t AS (
 )
 SELECT doc_id, CASE WHEN x = '' THEN 'dropped' ELSE lang END AS lang, CASE WHEN x <> '' THEN source END AS source,
   CASE WHEN x <> '' THEN md5(CASE WHEN length(x) // 4 <= {CLIP_CAP} THEN x ELSE substr(x, 1, {CLIP_CAP} * 4 + 3) END) END AS text_md5,
-  CASE WHEN doc_id % 4 = 2 THEN 'user' END AS role FROM t"""
+  CASE WHEN doc_id % 4 = 2 THEN 'user' END AS role,
+  CASE WHEN x = '' THEN NULL WHEN doc_id % 4 < 2 THEN 'id,meta,text' ELSE 'id,meta,messages,text' END AS keys FROM t"""
+
+SQL["append_files"] = f"""WITH {O.EXAMPLES_2}
+SELECT md5(array_to_string(list_transform(messages, lambda m: lower(coalesce(m.role, '')) || ':' || {O.strip("coalesce(m.content, '')")}), chr(10))) AS sig FROM ex"""

@@ -156,6 +156,66 @@ def lang_balance_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.balance(d, "lang", 1200, "doc_id", seed=42)
 
 
+# path, header lines, and (kind, lines, characters) of its hunk lines; # stands for the document
+ODD_FILES = [
+    ("x y#.py", "diff --git a/x y#.py b/x y#.py\n--- a/x y#.py\t\n+++ b/x y#.py\t", "@@ -1 +1 @@\n-a\n+b", [("hunk", 1, 0), ("removed", 1, 1), ("added", 1, 1)]),
+    ("naïve#.py", 'diff --git "a/na\\303\\257ve#.py" "b/na\\303\\257ve#.py"\n--- "a/na\\303\\257ve#.py"\n+++ "b/na\\303\\257ve#.py"', "@@ -1 +1,2 @@\n same\n+more",
+     [("hunk", 1, 0), ("context", 1, 4), ("added", 1, 4)]),
+    ('q"\\\t#.md', 'diff --git "a/q\\"\\\\\\t#.md" "b/q\\"\\\\\\t#.md"\nnew file mode 100644\n--- /dev/null\n+++ "b/q\\"\\\\\\t#.md"', "@@ -0,0 +1 @@\n+one",
+     [("hunk", 1, 0), ("added", 1, 3)]),
+    ("new name#", "diff --git a/old b/new name#\nsimilarity index 100%\nrename from old\nrename to new name#", "", []),
+    ("m b/x#", "diff --git a/m b/x# b/m b/x#\nold mode 100644\nnew mode 100755", "", []),
+    ("中#", 'diff --git "a/\\344\\270\\255#" "b/\\344\\270\\255#"\nBinary files differ', "", []),
+    ("src/c#.ts", "diff --cc src/c#.ts\nindex 1,2..3\n--- a/src/c#.ts\n+++ b/src/c#.ts", "@@@ -1,2 -1,2 +1,3 @@@\n  same\n+ one\n +two\n- gone\n++both",
+     [("hunk", 1, 0), ("context", 1, 4), ("added", 3, 10), ("removed", 1, 4)]),
+]
+
+
+@query("repo_paths")
+def repo_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 on names with blanks, quotes, tabs and other scripts, on renames,
+    mode changes, binary files and combined diffs."""
+    text = "\n".join(head + ("\n" + hunk if hunk else "") for _, head, hunk, _ in ODD_FILES) + "\n"
+    d = table(spark, sf_dir, "documents").select("doc_id", F.replace(F.lit(text), F.lit("#"), F.col("doc_id").cast("string")).alias("diff"))
+    return DF.diff_lines(d).groupBy("doc_id", "path", "kind").agg(
+        F.count("*").alias("n"), F.sum(F.coalesce(F.length("value"), F.lit(0))).alias("chars"))
+
+
+@query("git_log_patches")
+def git_log_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 -> G4 from the text of a Git log: the same examples as from the
+    exported tables."""
+    base = f"{ensure_checkpoint_dir(spark)}/gitlog-{uuid.uuid4().hex}"
+    d = _build(spark, sf_dir).where("repo = 'alpha'")
+    message = F.regexp_replace(F.regexp_replace(F.concat(F.lit("\n"), "message"), "\n", "\n    "), r"\A\n", "")
+    bare = F.coalesce(F.length(F.trim(F.regexp_replace("diff", "\n", ""))), F.lit(0)) == 0
+    d.select(F.concat(
+        F.lit("commit "), F.concat_ws(" ", F.array("sha"), "parents"), F.lit(" (HEAD -> main, next, origin/HEAD)\nAuthor: A <a@b.c>\nDate:   "),
+        F.lit("2024-01-01T00:00:00+00:00\n\n"), message, F.lit("\n"),
+        F.when(bare, F.lit("")).otherwise(F.concat(F.lit("\n"), F.col("diff"))))).write.text(base)
+    log = C.read_git_log(spark, base, "alpha")
+    p = DF.patch_examples(log.drop("diff"), log.select("repo", "sha", "diff").where("diff is not null"), max_lines=10**9, reason_from_subject=True)
+    return p.select("repo", "sha", "path", transcript_md5().alias("msg_md5"), F.md5("assistant").alias("assistant_md5"))
+
+
+SCAN_CHARS, SCAN_DOCS, SCAN_COPIES = 30_000, 200, 40
+
+
+@query("source_scan")
+def source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 over files written from ``documents``, ``SCAN_DOCS`` texts each,
+    the first file forty times as large: the first characters of each."""
+    base = f"{ensure_checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    file = F.floor(F.col("doc_id") / SCAN_DOCS).cast("bigint").alias("file")
+    copy = F.explode(F.sequence(F.lit(1), F.when(F.col("doc_id") < SCAN_DOCS, SCAN_COPIES).otherwise(1)))
+    rows = table(spark, sf_dir, "documents").select(file, copy.alias("copy"), "doc_id", F.col("text").alias("value"))
+    rows.repartition(n, "file").sortWithinPartitions("file", "copy", "doc_id").drop("copy", "doc_id").write.partitionBy("file").text(base)
+    found = C.read_code(spark, base, exts=(".txt",), max_chars=SCAN_CHARS)
+    return found.select(F.regexp_extract("path", "/file=([0-9]+)/", 1).cast("bigint").alias("file"), F.md5("text").alias("text_md5"),
+                        F.length("text").cast("bigint").alias("n_chars"))
+
+
 def _files(spark, sf_dir):
     """Source files of both repositories."""
     d = table(spark, sf_dir, "documents")
@@ -285,3 +345,16 @@ FIM_REPOS = (O.FIM.replace("SELECT CAST(doc_id AS VARCHAR) AS path", "SELECT rep
 SQL["repo_fim_spans"] = f"WITH {FIM_REPOS} SELECT repo, path, sample_no FROM spans_u"
 SQL["harvest"] = f"""WITH {REPO}, {FIM_REPOS}
 SELECT kind, repo, count(*) AS n FROM (SELECT 'patch' AS kind, repo FROM pe UNION ALL SELECT 'fim', repo FROM spans_u) u GROUP BY kind, repo"""
+
+
+def _literal(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+O.SQL["repo_paths"] = "SELECT doc_id, replace(path, '#', CAST(doc_id AS VARCHAR)) AS path, kind, n, chars FROM documents, (VALUES " + ", ".join(
+    f"({_literal(path)}, '{kind}', CAST({n} AS BIGINT), CAST({chars} AS BIGINT))" for path, head, _, kinds in ODD_FILES
+    for kind, n, chars in [("header", head.count("\n") + 1, 0), *kinds]) + ") AS f(path, kind, n, chars)"
+O.SQL["git_log_patches"] = f"SELECT * FROM ({O.SQL['repo_patch_examples']}) x WHERE repo = 'alpha'"
+O.SQL["source_scan"] = f"""SELECT file, md5(t) AS text_md5, CAST(length(t) AS BIGINT) AS n_chars FROM (
+  SELECT file, substr(regexp_replace(string_agg(text || {NL}, '' ORDER BY copy, doc_id), '\r\n?', {NL}, 'g'), 1, {SCAN_CHARS}) AS t FROM (
+    SELECT doc_id // {SCAN_DOCS} AS file, doc_id, text, unnest(range(CASE WHEN doc_id < {SCAN_DOCS} THEN {SCAN_COPIES} ELSE 1 END)) AS copy FROM documents) d GROUP BY file) x"""

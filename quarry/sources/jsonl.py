@@ -85,24 +85,32 @@ def messages_of(rec) -> Column:
     return F.coalesce(m, F.array().cast(MESSAGES_TYPE))
 
 
+def _with_raw(lines: DataFrame) -> DataFrame:
+    """``raw``: the JSON text of a line's messages, streamed through without
+    a parsed value in between."""
+    return lines.withColumn("raw", F.get_json_object("value", "$.messages"))
+
+
 # ------------------------------------------------------------------- S2
 def read_chat(spark: SparkSession, path) -> DataFrame:
     """Chat JSONL; bad lines are kept and flagged (the QC counts them).
-    ``messages`` is the typed view that the operators read; ``rec`` is the
-    whole record, so the writers put out every key of its messages."""
-    recs = parse_records(read_lines(spark, path, recursive=False))
-    return recs.select("ord", messages_of(F.col("rec")).alias("messages"), "rec", "bad_json")
+    ``messages`` is the typed view that the operators read (a content that is
+    no text is its JSON text); ``rec`` is the whole record, and ``raw`` the
+    text of its messages, so the writers put out every key in its order and
+    every number as it was written."""
+    recs = parse_records(_with_raw(read_lines(spark, path, recursive=False)))
+    return recs.select("ord", messages_of(F.col("rec")).alias("messages"), "rec", "raw", "bad_json")
 
 
 # ------------------------------------------------------------------- S3
 def read_chat_many(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Several inputs in argument order; bad lines and rows with empty
-    ``messages`` are skipped.  ``rec`` as in :func:`read_chat`."""
+    ``messages`` are skipped.  ``rec`` and ``raw`` as in :func:`read_chat`."""
     out = None
     for i, p in enumerate(paths):
-        recs = parse_records(read_lines(spark, p, src=i, recursive=False))
+        recs = parse_records(_with_raw(read_lines(spark, p, src=i, recursive=False)))
         df = recs.where(~F.col("bad_json")).select(
-            "ord", F.lit(i).alias("src"), messages_of(F.col("rec")).alias("messages"), "rec")
+            "ord", F.lit(i).alias("src"), messages_of(F.col("rec")).alias("messages"), "rec", "raw")
         df = df.where(F.size("messages") > 0)
         out = df if out is None else out.unionByName(df)
     return out
@@ -113,32 +121,43 @@ def read_examples(spark: SparkSession, path, keep_empty: bool = False, **render_
     """Rows with ``text`` (preferred) or ``messages``; rows with neither are
     skipped, or stay with an empty ``text`` when ``keep_empty`` (so that a
     report can count them).  ``text`` here is the training text of the row;
-    ``rec`` is the whole record."""
-    recs = parse_records(read_lines(spark, path, recursive=False)).where(~F.col("bad_json"))
+    ``rec`` is the whole record and ``line`` its JSON text."""
+    lines = read_lines(spark, path, recursive=False).withColumn("line", F.col("value"))
+    recs = parse_records(lines).where(~F.col("bad_json"))
     raw_text = F.try_variant_get(F.col("rec"), "$.text", "string")
     msgs = F.try_variant_get(F.col("rec"), "$.messages", MESSAGES_TYPE)
     text = F.coalesce(
         F.nullif(raw_text, F.lit("")),
         F.when(F.size(msgs) > 0, render_chat(msgs, **render_kw)),
     )
-    out = recs.select("ord", F.coalesce(text, F.lit("")).alias("text"), msgs.alias("messages"), "rec")
+    out = recs.select("ord", F.coalesce(text, F.lit("")).alias("text"), msgs.alias("messages"), "rec", "line")
     return out if keep_empty else out.where(F.col("text") != F.lit(""))
 
 
 # ------------------------------------------------------------------- S7
-DATASET_SCHEMA = f"messages {MESSAGES_TYPE}, text string, assistant string"
+def _load(spark: SparkSession, path: str) -> DataFrame:
+    recs = parse_records(_with_raw(read_lines(spark, path, recursive=False)))
+
+    def field(name, kind="string"):
+        return F.try_variant_get("rec", f"$.{name}", kind).alias(name)
+    return recs.select(field("messages", MESSAGES_TYPE), field("text"), field("assistant"), "rec", "raw")
 
 
-def load_dataset(spark: SparkSession, train: str, eval: str | None = None, schema: str = DATASET_SCHEMA):
+def load_dataset(spark: SparkSession, train: str, eval: str | None = None, schema: str | None = None):
     """Training set plus optional eval set; a missing eval path gives
-    ``None`` (a warning), any other error propagates.  The schema is given,
-    so no pass over the data infers it."""
-    reader = spark.read.schema(schema)
-    tr = reader.json(train)
+    ``None`` (a warning), any other error propagates.
+
+    Every column of the records is there: ``messages``, ``text`` and
+    ``assistant`` typed, all keys in ``rec``, and the messages as written in
+    ``raw``; no pass over the data infers a schema.  With ``schema`` the
+    columns are those of the schema instead."""
+    def load(path):
+        return spark.read.schema(schema).json(path) if schema else _load(spark, path)
+    tr = load(train)
     ev = None
     if eval is not None:
         try:
-            ev = reader.json(eval)
+            ev = load(eval)
         except AnalysisException as e:  # only a missing path is tolerated
             if "PATH_NOT_FOUND" not in str(e.getCondition() or e):
                 raise
