@@ -11,6 +11,7 @@ length and link density alone decide.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -27,6 +28,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td
 tfoot th thead tr ul""".split())
+_INLINE = frozenset("a b em font i span strong u".split())
 #: Elements that never hold article text, and those that do so only inside an article.
 _NEVER = frozenset("""aside audio button canvas datalist dialog embed fieldset footer head iframe input label map math menu nav
 noembed noframes noscript object option progress script select style svg template textarea title video xmp""".split())
@@ -37,7 +39,11 @@ comments commentlist complementary consent contentinfo cookie cookies copyright
 login masthead menu modal nav navbar navigation newsletter notice notification pager pagination popup promo promotion recommended related
 replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription taboola tagcloud tags teaser toolbar
 toc widget widgets""".split())
-_TALK = frozenset("comment comments commentlist usercomments disqus feedback replies reply respond responses".split())
+_TALK = frozenset("comment comments commentlist usercomments disqus discussion discussions feedback replies reply respond responses reviews".split())
+#: Of these one part is enough, whatever else is in the name, unless a word of ``_STATES`` says that it is about the page.
+_DECISIVE = frozenset("""ad ads advert adverts advertisement advertising comment comments commentlist consent cookie cookies discussion disqus gdpr
+newsletter promo recommended related reviews sidebar sponsor sponsored taboola teaser""".split())
+_STATES = frozenset("closed disabled enabled fixed has layout no off on open with without".split())
 _PLACE = frozenset("area bar block body box button buttons container global icons inner item items link links list main page panel section site wrap wrapper".split())
 
 #: Frequent function words of some languages (short lists; only their share matters).
@@ -55,6 +61,10 @@ MAX_LINKS = 0.33
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+#: Short lines outside an article that are no text of it.
+_LEGAL = re.compile(r"©|\bcopyright\b|\bcookies\b.*\b(?:accept|agree|consent|policy)|\b(?:accept|uses?|using)\b.*\bcookies\b", re.I)
+
+
 @dataclass
 class Block:
     parts: list = field(default_factory=list)
@@ -67,17 +77,19 @@ class Block:
 
 
 def _named(value: str, words: frozenset) -> bool:
-    """Whether a whole name of the list is one of ``words``, or joins some with words of place."""
+    """Whether a whole name of the list is one of ``words``, joins some with
+    words of place, or holds a decisive one."""
     for name in value.split():
         parts = [p for p in re.split(r"[^a-z]+", name) if p]
-        if any(p in words for p in parts) and all(p in words or p in _FURNITURE or p in _PLACE for p in parts):
+        own = [p for p in parts if p in words]
+        if own and (all(p in words or p in _FURNITURE or p in _PLACE for p in parts) or not _STATES.intersection(parts) and not _DECISIVE.isdisjoint(own)):
             return True
     return False
 
 
 def _furniture(tag: str, rest: str, inside: bool) -> tuple[bool, bool, bool]:
     """(is furniture, is named as furniture, is named as reader talk) of an
-    element; one that opens a region has no such name."""
+    element."""
     names, hidden = "", False
     for name, *values in _ATTR.findall(rest):
         name, value = name.lower(), next((v for v in values if v), "").lower()
@@ -91,10 +103,10 @@ def _furniture(tag: str, rest: str, inside: bool) -> tuple[bool, bool, bool]:
         return True, False, False
     if "-" in tag:  # a custom element
         names += " " + tag.removeprefix("amp-")
-    if tag in _REGION and not inside or not names:
+    if not names:
         return False, tag == "form", False
     talk = _named(names, _TALK)
-    return False, talk or tag == "form" or tag not in _REGION and tag != "header" and _named(names, _FURNITURE), talk
+    return False, talk or tag == "form" or tag != "header" and _named(names, _FURNITURE), talk
 
 
 def blocks(html: str) -> list[Block]:
@@ -103,7 +115,20 @@ def blocks(html: str) -> list[Block]:
     out, now, aside = [], Block(), []
     none = ("", False, False, 0, 0)
     stack: list[tuple[str, bool, bool, int, int]] = []  # tag, furniture, talk, region, names
-    links, regions, pos = 0, 0, 0
+    floors: list[int] = []  # place of the nearest entry, at or below each, that is not inline
+    opened: Counter = Counter()  # entries by tag
+    regions, pos = 0, 0
+
+    def push(*entry):
+        floors.append(floors[-1] if floors and entry[0] in _INLINE else len(stack))
+        stack.append(entry)
+        opened[entry[0]] += 1
+
+    def pop() -> str:
+        floors.pop()
+        tag = stack.pop()[0]
+        opened[tag] -= 1
+        return tag
 
     def cut():
         nonlocal now
@@ -128,16 +153,15 @@ def blocks(html: str) -> list[Block]:
                     aside.append(Block(region=region, talk=talk, names=names, inline=True))
                 to = aside[-1]
             to.parts.append(text)
-            to.linked += len(text) if links else 0
+            to.linked += len(text) if opened["a"] else 0
             continue
         if not (tag := m["tag"]):
             continue
         tag = tag.lower()
         if m["end"]:
-            if any(s[0] == tag for s in stack):
-                while stack.pop()[0] != tag:
+            if opened[tag]:
+                while pop() != tag:
                     pass
-            links = sum(s[0] == "a" for s in stack)
             if tag in _BLOCK:
                 cut()
             continue
@@ -150,21 +174,20 @@ def blocks(html: str) -> list[Block]:
         if tag in _RAW:
             end = _RAW[tag].search(html, pos)
             pos = end.start() if end else len(html)
-            stack.append((tag, True, False, 0, 0))
+            push(tag, True, False, 0, 0)
             continue
         if tag == "p" or tag in ("li", "dt", "dd", "tr", "td", "th", "option"):  # an open one of these ends here
             same = ("p",) if tag == "p" else (tag, "p")
-            while stack and (stack[-1][0] in same or stack[-1][0] in ("a", "b", "i", "em", "strong", "span", "u", "font") and any(s[0] in same for s in stack[-8:])):
-                stack.pop()
-            links = sum(s[0] == "a" for s in stack)
+            while stack and stack[floors[-1]][0] in same:  # with what is inline in it
+                while pop() not in same:
+                    pass
         _, held, talk, region, names = stack[-1] if stack else none
         own, named, own_talk = _furniture(tag, m["rest"] or "", region > 0)
         if tag in _REGION and not own and not talk and not region:
             held, names = False, 0
             regions += 1
             region = regions
-        stack.append((tag, held or own, talk or own_talk, region, names + named))
-        links += tag == "a"
+        push(tag, held or own, talk or own_talk, region, names + named)
         if tag in _BLOCK:
             cut()
     cut()
@@ -193,7 +216,7 @@ def _first_pass(b: Block, text: str, stops: tuple[int, int] | None, listed: bool
     if links > MAX_LINKS:
         return "bad"
     if len(text) < MIN_LENGTH:
-        return "bad" if not b.region and (links > 0 or re.search(r"©|\bcopyright\b", text, re.I)) else "short"
+        return "bad" if not b.region and (links > 0 or _LEGAL.search(text)) else "short"
     share = stops[0] / max(1, stops[1]) if stops and (listed or not stops[1]) else 1
     if share >= HIGH_STOPS:
         return "good" if len(text) > GOOD_LENGTH else "near"
@@ -206,7 +229,13 @@ def _labelled(found: list) -> list:
     stops = [_stop_words(t) if len(t) >= MIN_LENGTH and not b.furniture else (0, 0) for b, t in found]
     long = [n for (b, _), n in zip(found, stops, strict=True) if n and _link_share(b) <= MAX_LINKS]
     listed = sum(n for n, _ in long) >= LOW_STOPS * sum(n for _, n in long)
-    return [(b, t, _first_pass(b, t, n, listed)) for (b, t), n in zip(found, stops, strict=True)]
+    labels = [_first_pass(b, t, n, listed) for (b, t), n in zip(found, stops, strict=True)]
+    dense = [bool(b.region) and not b.furniture and _link_share(b) > MAX_LINKS for b, _ in found]
+    for i, (b, _) in enumerate(found):
+        # one line of links within an article goes with its neighbours; several together are a menu
+        if dense[i] and not any(0 <= j < len(found) and dense[j] and found[j][0].region == b.region for j in (i - 1, i + 1)):
+            labels[i] = "short"
+    return [(b, t, label) for (b, t), label in zip(found, labels, strict=True)]
 
 
 def _second_pass(labels: list[str]) -> list[str]:
@@ -265,11 +294,11 @@ def main_text(html: str) -> str:
         if text := " ".join(unescape("".join(b.parts)).split()):
             found.append((b, text))
     found = _labelled(found)
-    stretches = {}
-    for x in found:
-        if x[0].region:
+    stretches, held = {}, [x for x in found if x[0].region]
+    if _level(held) == (0, False):  # else the only articles are reader talk or furniture by name, and the whole page is weighed
+        for x in _by_name(held):
             stretches.setdefault(x[0].region, []).append(x)
-    stretches = [_by_name(x) for x in stretches.values()]
+    stretches = list(stretches.values())
     if any(label != "bad" for x in stretches for _, _, label in x):  # the page names its article
         stretches = [[x for x in part if not x[0].furniture] for part in stretches]  # an advert in the article says nothing of its neighbours
     else:

@@ -101,3 +101,38 @@ def test_furniture_within_a_paragraph():
             body = f"{start}<p>{PROSE} {inner} {PROSE}</p><p>Short end {inner}</p><p>{PROSE}</p>{end}"
             assert main_text(page(body)) == f"{PROSE} {PROSE} Short end {PROSE}", (inner, start)
     assert main_text(page(f"<my-page class='sidebar'>{PROSE}<button>Go</button></my-page>")) == PROSE
+
+
+def test_a_second_article_is_weighed_by_its_names():
+    for other in ("<article class='comment'>", "<article class='teaser related'>", "<div class='comment-thread'>", "<div class='user-reviews'>", "<div class='discussion'>",
+                  "<div class='ad-slot-2'>", "<div class='sponsored-content'>", "<div class='gdpr-overlay'>", "<div class='left-sidebar'>"):
+        close = "</article>" if "article" in other else "</div>"
+        for start, end in (("<article>", "</article>"), ("<div>", "</div>"), ("<main><article class='post'>", "</article></main>")):
+            main = f"{start}<h1>Headline</h1><p>{PROSE}</p><p>{PROSE}</p>{end}"
+            side = f"{other}<p>{PROSE} Not this.</p>{close}"
+            want = f"Headline {PROSE} {PROSE}"
+            assert main_text(page(main + side)) == want, (start, other)
+            if "article" not in other or start != "<div>":
+                assert main_text(page(side + main)) == want, (start, other)
+    assert main_text(page(f"<article class='post'><p>{PROSE}</p></article><article class='post'><p>{PROSE}</p></article>")) == f"{PROSE} {PROSE}"
+
+
+def test_cookie_line_and_links_in_the_text():
+    assert main_text(page(f"<p>We use cookies to improve this site.</p><div><h2>Head line</h2><p>{PROSE}</p><p>{PROSE}</p></div>")) == f"Head line {PROSE} {PROSE}"
+    linked = "<p><a href=/>A paragraph that is mostly one link</a> indeed</p>"
+    menu = "<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a></li></ul>"
+    item = "<ul><li>First thing said</li><li><a href=/>Second thing said</a></li><li>Third thing said</li></ul>"
+    got = main_text(page(f"<article><p>{PROSE}</p>{linked}<p>{PROSE}</p>{menu}<p>{PROSE}</p>{item}<p>{PROSE}</p></article>"))
+    assert got == f"{PROSE} A paragraph that is mostly one link indeed {PROSE} {PROSE} First thing said Second thing said Third thing said {PROSE}"
+
+
+def test_unbalanced_pages_take_linear_time():
+    import time
+
+    began = time.time()
+    assert main_text("<div>" * 2000 + PROSE + "</p>" * 20_000) == PROSE
+    assert main_text("<b>" * 20_000 + f"<p>{PROSE}" * 3) == " ".join([PROSE] * 3)
+    main_text("<p>" + "<i>" * 3000 + "<p>x" * 3000 + "<a>" * 3000 + "</a>" * 5000)
+    assert time.time() - began < 2
+    deep = "<b><i><u><em><strong><font><span><a>" * 3
+    assert main_text(f"<article><p>{deep}{PROSE}<p>{PROSE}</article>").startswith(PROSE)
