@@ -9,6 +9,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,16 +75,26 @@ def columns_of(docs: DataFrame) -> list[Column]:
     return [F.col(f"`{_OWN if c == KEY else c}`").alias(c) for c in docs.columns]
 
 
+def _numbers_rows(docs: DataFrame) -> bool:
+    """Whether the file format of ``docs`` tells row numbers (Parquet does,
+    text formats and ORC do not)."""
+    try:
+        return "row_index" in docs.select("_metadata.row_index").columns
+    except AnalysisException:
+        return False
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with a column KEY that tells its rows apart, repeated rows
     and null ids included, and is the same in every later read.
 
-    A plain file read is keyed by file and row number, so nothing is
-    written; any other frame is stored once with generated numbers.  A
+    A plain read of files that number their rows is keyed by file and row
+    number, so nothing is written; any other frame is stored once with
+    generated numbers.  A
     column of docs by that name is set aside for :func:`columns_of`."""
     docs = docs.withColumnRenamed(KEY, _OWN) if KEY in docs.columns else docs
     relation = docs._jdf.queryExecution().analyzed().getClass().getSimpleName()
-    if relation == "LogicalRelation" and "_metadata" not in docs.columns:
+    if relation == "LogicalRelation" and "_metadata" not in docs.columns and _numbers_rows(docs):
         key = F.struct(F.xxhash64(F.col("_metadata.file_path")).alias("f"),
                        F.col("_metadata.row_index").alias("i"))
         return docs.select("*", key.alias(KEY))

@@ -8,6 +8,7 @@ all paths and versions that hold the blob.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import pyarrow as pa
@@ -32,13 +33,17 @@ RULES = (
     ("private_key", ("private key",), r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
     ("provider", ("gh", "xox", "aiza", "sk_live_"),
      r"(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|sk_live_[A-Za-z0-9]{16,})", 0, 1),
-    ("jwt", ("eyj",), r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 1),
+    ("jwt", ("eyj",), r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+", 0, 1),
     ("url_password", ("://",), r"[a-z][a-z0-9+]{1,30}://[^\s/:@]{1,200}:[^\s/:@]{3,200}@", 0, 1),
 )
-RULE_VERSION = "1"
 BASE = ("assign", "access", "hex")
 
 
+def version_of(rules) -> str:
+    """Version of a set of rules: a digest of all their parts."""
+    return hashlib.sha256(repr(tuple(tuple(r) for r in rules)).encode()).hexdigest()[:16]
+
+
 def spans(text: str, rules=RULES) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start, then rule order; per
     rule the leftmost matches that do not overlap, dropped after matching if
@@ -68,11 +73,13 @@ def _scan(rules, version: str):
 
 
 def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules=RULES,
-                  rule_version: str = RULE_VERSION, text: str = "text") -> tuple[DataFrame, DataFrame]:
+                  rule_version: str | None = None, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(findings, additions): ``versions`` with ``blob`` and ``spans``
     (array of kind, start, end in code points), and the ledger rows that
     were missing.  Append the additions to the stored ledger; the next call
-    scans only blobs, or rule versions, that it does not hold.
+    scans only blobs, or rule versions, that it does not hold.  The version
+    is a digest of the rules unless it is given, so changed rules scan again;
+    ledger rows held twice, after a repeated append, count once.
 
     Texts move once, combined by blob before the shuffle.  Blobs without
     findings are in the ledger too, with no spans.  Null content counts as
@@ -80,7 +87,8 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules=RU
     no rows and no additions; columns named blob or spans are replaced."""
     versions = versions.drop("blob", "spans")
     spark = versions.sparkSession
-    ledger = (ledger if ledger is not None else spark.createDataFrame([], LEDGER)).where(F.col("rule_version") == rule_version)
+    rule_version = rule_version or version_of(rules)
+    ledger = (ledger if ledger is not None else spark.createDataFrame([], LEDGER)).where(F.col("rule_version") == rule_version).dropDuplicates(["blob"])
     blobs = versions.select(F.sha2(text_of(text), 256).alias("blob"), text_of(text).alias("content"))
     unseen = blobs.groupBy("blob").agg(F.first("content").alias("content")).join(ledger, "blob", "left_anti")
     new = stash(unseen.mapInArrow(_scan(rules, rule_version), LEDGER), "ledger")

@@ -101,3 +101,37 @@ def test_licenses_odd_tables(spark, odd, empty, clashing):
     got = licenses.license_scan(clashing).collect()
     assert sorted(r.n_words for r in got) == sorted(brute_base(r[1])[0] for r in odd_rows())
     assert licenses.license_scan(empty).count() == 0
+
+
+def test_ledger_of_repeated_appends_changed_rules_and_long_runs(spark, tmp_path):
+    import time
+
+    docs = spark.createDataFrame([(1, "token=abcdefgh"), (2, "magic-word"), (3, "token=abcdefgh")], "doc_id bigint, text string")
+    found, new = secrets.scan_versions(docs)
+    path = str(tmp_path / "ledger")
+    for _ in range(2):  # a retried append
+        new.write.mode("append").parquet(path)
+    ledger = spark.read.schema(secrets.LEDGER).parquet(path)
+    again, none = secrets.scan_versions(docs, ledger)
+    assert none.count() == 0 and sorted((r.doc_id, len(r.spans)) for r in again.collect()) == [(1, 1), (2, 0), (3, 1)]
+    rules = (*secrets.RULES, ("magic", (), "magic-word", 0, 1))
+    assert secrets.version_of(rules) != secrets.version_of(secrets.RULES)
+    more, added = secrets.scan_versions(docs, ledger, rules)
+    assert added.count() == 2 and [r.spans[0].kind for r in more.where("doc_id = 2").collect()] == ["magic"]
+    began = time.time()
+    assert secrets.spans("eyJ" * 350_000) == []
+    assert time.time() - began < 3
+    jwt = "eyJ" + "a" * 20 + ".eyJ" + "b" * 20 + "." + "c" * 20
+    assert secrets.spans(f"x {jwt}.") == [("jwt", 2, 2 + len(jwt))]
+
+
+def test_every_file_format_is_keyed(spark, odd, tmp_path):
+    from quarry.llm.common import keyed
+
+    for fmt in ("json", "orc", "csv", "parquet"):
+        odd.where("doc_id is null or doc_id <> 7").write.format(fmt).save(str(tmp_path / fmt))
+        read = spark.read.schema(odd.schema).format(fmt).load(str(tmp_path / fmt))
+        read.createOrReplaceTempView("docs_view")
+        for docs in (read, spark.table("docs_view")):
+            keys = [r._row_key for r in keyed(docs).select("_row_key").collect()]
+            assert len(set(keys)) == len(keys) == read.count()
