@@ -62,10 +62,16 @@ def _by_hotness(df: DataFrame, key: str, skew_safe, hot_rows: int, fn) -> DataFr
     """
     if skew_safe != "auto":
         return fn(df, bool(skew_safe))
-    hot = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > F.lit(hot_rows)).select(key), "hot")
+    hot = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > F.lit(hot_rows)).select(F.col(key).alias("_hot")), "hot")
     if hot.isEmpty():
         return fn(df, False)
-    return fn(df.join(hot, key, "left_anti"), False).unionByName(fn(df.join(hot, key, "left_semi"), True))
+    same = F.col(key).eqNullSafe(F.col("_hot"))
+    return fn(df.join(hot, same, "left_anti"), False).unionByName(fn(df.join(hot, same, "left_semi"), True))
+
+
+def join_session(df: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
+    """Join on ``session_id``, where null is a session too."""
+    return df.join(other.withColumnRenamed("session_id", "_sid"), F.col("session_id").eqNullSafe(F.col("_sid")), how).drop("_sid")
 
 
 # ------------------------------------------------------------------- F1
@@ -101,7 +107,7 @@ def build_pairs(turns: DataFrame, system: str = K.PAIR_SYSTEM_PROMPT,
         # before any text is gathered
         if safe:
             total = materialize(part.groupBy("session_id").agg(F.sum(F.col("_asst").cast("bigint")).alias("_total")), "totals")
-            part = part.join(total, "session_id")
+            part = join_session(part, total)
         else:
             part = part.withColumn("_total", F.sum(F.col("_asst").cast("bigint")).over(Window.partitionBy("session_id")))
         scanned = running_sums(part, ["session_id"], ORDER,

@@ -53,8 +53,10 @@ class SeenTable:
 
     def add(self, sigs: DataFrame, batch: int, day) -> None:
         """Keep ``sigs`` for ``batch``; a repeated attempt replaces the one before."""
-        rows = sigs.select("sig", F.lit(day).cast("date").alias("day"), F.lit(batch).cast("bigint").alias("batch"))
-        rows.repartition(self.buckets, "sig").write.option("partitionOverwriteMode", "dynamic").insertInto(self.name, overwrite=True)
+        view, spark = f"{self.name}_new", sigs.sparkSession  # a micro-batch has a session of its own
+        sigs.select("sig").repartition(self.buckets, "sig").createOrReplaceTempView(view)
+        spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION (day = DATE '{day}', batch = {int(batch)}) SELECT sig FROM {view}")
+        spark.catalog.dropTempView(view)
 
     def expire(self, day) -> None:
         """Delete the partitions of days that ``day`` has outlived."""

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from ..functions import constants as K
 from ..functions.text import strip
 from ..operators.scan import running_sums
-from ..operators.sessions import HOT_ROWS, _by_hotness
+from ..operators.sessions import HOT_ROWS, _by_hotness, join_session
 from ..session import exists, hadoop, materialize
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -105,7 +105,7 @@ def _pair_edges(rows: DataFrame, hot_rows: int) -> DataFrame:
     closed = all_.where("island > 0 and assistant is not null and user is not null").select(
         F.lit("closed").alias("kind"), "session_id", "user", "assistant", none.alias("tail"))
     tail = all_.where("island > 0 and assistant is null").select("session_id", F.col("user").alias("tail"))
-    edge = all_.where("island = 0").join(tail, "session_id", "left").select(F.lit("edge").alias("kind"), "session_id", "user", "assistant", "tail")
+    edge = join_session(all_.where("island = 0"), tail, "left").select(F.lit("edge").alias("kind"), "session_id", "user", "assistant", "tail")
     return closed.unionByName(edge)
 
 
@@ -251,16 +251,15 @@ def _follow_edges(rows: DataFrame, follow_k: int, minutes: int, min_chars: int,
     opens = F.length("anchor") >= min_chars
     end = F.when(F.lit(bool(minutes)) & (F.col("at") < _NEVER), F.col("at") + F.lit(minutes * 60_000_000))
     last = all_.groupBy("session_id").agg(F.max("island").alias("island"), F.max("last").alias("_seen"))
-    whole = all_.join(last.select("session_id", F.col("island").alias("_last")), "session_id")
+    whole = join_session(all_, last.select("session_id", F.col("island").alias("_last")))
     kept = F.filter("taken", lambda x: end.isNull() | (x["hi"] <= end))
     closed = whole.where((F.col("island") > 0) & (F.col("island") < F.col("_last")) & opens).withColumn("taken", kept) \
         .where(F.exists("taken", lambda x: x["role"] == "assistant")) \
         .select(F.lit("closed").alias("kind"), "session_id", F.size("taken").cast("bigint").alias("n_follow"), "anchor", "taken")
-    open_ = all_.join(last.where("island > 0").drop("_seen"), ["session_id", "island"]).select(
+    open_ = whole.where("island = _last and island > 0").select(
         "session_id", F.when(opens, F.col("anchor")).alias("anchor"), "taken", "at", "hi", F.lit(True).alias("has_human"))
     head = all_.where("island = 0").select("session_id", F.col("taken").alias("head"), F.col("hi").alias("head_hi"))
-    edge = last.select("session_id", F.col("_seen").alias("last")).join(open_, "session_id", "left").join(head, "session_id", "left") \
-        .withColumn("kind", F.lit("edge"))
+    edge = join_session(join_session(last.select("session_id", F.col("_seen").alias("last")), open_, "left"), head, "left").withColumn("kind", F.lit("edge"))
     return closed.unionByName(edge, allowMissingColumns=True)
 
 
