@@ -1,10 +1,11 @@
 """License scans over a positional rare-token index.
 
 The index holds, for every word of the license templates, the templates and
-positions where it stands.  Of each file the license words that are rarest
-in the corpus are looked up, for the templates whose words it can hold;
-postings vote for (template, file position
-minus template position), and what enough votes agree on is aligned and
+positions where it stands.  Of each template whose words a file can hold,
+the half of its places with the words rarest in the corpus is looked up;
+postings vote for (template, file position minus template position), where
+neighbouring offsets count together, so added or missing words do not part
+them.  What has as many votes as an aligned text must have is aligned and
 verified by the template's mandatory key phrases.
 """
 
@@ -51,8 +52,8 @@ TEMPLATES = (
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license",
      ("creative commons attribution 4 0",)),
 )
-#: Rarest license words of a file that are looked up per template that its words allow.
-RARE_WORDS = 12
+#: Words by which an aligned text may have been shifted within a template by words that were added or left out.
+BAND = 8
 #: Share of a template's words that must stand aligned.
 MIN_SCORE = 0.75
 
@@ -70,7 +71,7 @@ class Index:
     """Template postings and inverse document frequencies; its size is that
     of the templates, whatever the corpus."""
 
-    def __init__(self, templates, phrases, frequency: dict[str, int], documents: int):
+    def __init__(self, templates, phrases, frequency: dict[str, int], documents: int, least: float):
         split = lambda s: s.encode().split()
         self.templates = [(label, split(t), [split(k) for k in keys]) for label, t, keys in templates]
         self.phrases = [(split(p), label) for p, label in phrases]
@@ -80,7 +81,13 @@ class Index:
                 self.postings.setdefault(w, {}).setdefault(t, []).append(at)
         self.parts = [Counter(body) for _, body, _ in self.templates]
         self.idf = {w: math.log(1 + documents / (1 + frequency.get(w.decode(), 0))) for w in self.postings}
-
+        # Of a template that stands in a file with the share ``least``, all but (1 - least) of its places are
+        # aligned, so of the half of its places with the highest idf at least ``needed`` are.
+        self.rare, self.needed = [], []
+        for _, body, _ in self.templates:
+            half = sorted(range(len(body)), key=lambda i: (-self.idf[body[i]], body[i], i))[:(len(body) + 1) // 2]
+            self.rare.append({w: sorted(i for i in half if body[i] == w) for w in {body[i] for i in half}})
+            self.needed.append(max(1, len(half) - math.floor((1 - least) * len(body) + 1e-9)))
 
     def possible(self, have: set, least: float) -> list[int]:
         """Templates of whose words a file that has ``have`` can hold the
@@ -106,34 +113,60 @@ def places(line: list[bytes], phrase: list[bytes], where: dict[bytes, list[int]]
     return [i - k for i in where[phrase[k]] if i >= k and line[i - k:i - k + n] == phrase]
 
 
-def examine(line: list[bytes], index: Index, vocabulary: set, rare: int, least: float):
+def regions(rare: dict[bytes, list[int]], needed: int, where: dict[bytes, list[int]]) -> list[int]:
+    """Offsets of a file at which ``needed`` different places of the rare
+    words ``rare`` (word, places in the template) lie at offsets less than
+    BAND apart; of those that follow each other, one in every BAND."""
+    votes = sorted((i - at, at) for w, ats in rare.items() for i in where.get(w, ()) for at in ats)
+    seen, left, out = Counter(), 0, []
+    for offset, at in votes:
+        seen[at] += 1
+        while offset - votes[left][0] >= BAND:
+            old = votes[left][1]
+            seen[old] -= 1
+            if not seen[old]:
+                del seen[old]
+            left += 1
+        if len(seen) >= needed and (not out or votes[left][0] - out[-1] >= BAND):
+            out.append(votes[left][0])
+    return out
+
+
+def aligned(body: list[bytes], near: list[bytes]) -> int:
+    """Words of ``body`` that stand in ``near`` in the same order: the
+    longest common subsequence, a bit of a number per word of the body."""
+    at, full = defaultdict(int), (1 << len(body)) - 1
+    for i, w in enumerate(body):
+        at[w] |= 1 << i
+    left = full
+    for w in near:
+        if hit := left & at.get(w, 0):
+            left = (left + hit | left - hit) & full
+    return len(body) - left.bit_count()
+
+
+def examine(line: list[bytes], index: Index, vocabulary: set, least: float):
     """(n_base, first, last, base labels, all labels, score) of a file."""
     have = vocabulary.intersection(line)
     phrases = [(p, label) for p, label in index.phrases if have.issuperset(p)]
     chosen = index.possible(have, least)
     if not phrases and not chosen:
         return 0, None, None, [], [], 0.0
-    looked = {t: sorted(have.intersection(index.parts[t]), key=lambda w: (-index.idf[w], w))[:rare] for t in chosen}
-    where = spots(line, {w for ws in (*looked.values(), *(p for p, _ in phrases)) for w in ws})
+    where = spots(line, {w for ws in (*(index.rare[t] for t in chosen), *(p for p, _ in phrases)) for w in ws})
     starts, base = [], set()
     for phrase, label in phrases:
         if at := places(line, phrase, where):
             starts += at
             base.add(label)
     labels, score = set(base), 1.0 if base else 0.0
-    votes = Counter((t, i - at) for t in chosen for w in looked[t] for at in index.postings[w][t] for i in where[w])
-    for (t, start), n in votes.items():
+    for t in chosen:
         label, body, keys = index.templates[t]
-        if 2 * n < sum(w in looked[t] for w in body):
-            continue
-        window = line[max(0, start):max(0, start + len(body))]
-        shift = max(0, -start)
-        hit = sum(a == b for a, b in zip(window, body[shift:], strict=False)) / len(body)
-        # key phrases may stand anywhere in the aligned window or just behind it
-        near = line[max(0, start):max(0, start + len(body) + 8)]
-        if hit >= least and all(places(near, k, spots(near, set(k))) for k in keys):
-            labels.add(label)
-            score = max(score, hit)
+        for start in regions(index.rare[t], index.needed[t], where):
+            near = line[max(0, start - BAND):max(0, start + len(body) + 2 * BAND)]
+            hit = aligned(body, near) / len(body)
+            if hit >= least and all(places(near, k, spots(near, set(k))) for k in keys):
+                labels.add(label)
+                score = max(score, hit)
     return len(starts), min(starts, default=None), max(starts, default=None), sorted(base), sorted(labels), score
 
 
@@ -158,7 +191,7 @@ def document_frequencies(docs: DataFrame, templates=TEMPLATES) -> tuple[dict[str
     return sums, sums.pop(None, 0)
 
 
-def _examine(index: Index, rare: int, least: float):
+def _examine(index: Index, least: float):
     vocabulary = set(index.postings) | {w for p, _ in index.phrases for w in p}
 
     def run(batches):
@@ -167,7 +200,7 @@ def _examine(index: Index, rare: int, least: float):
             out = []
             for t in texts:
                 line = words(t or b"")
-                out.append((len(line), *examine(line, index, vocabulary, rare, least)))
+                out.append((len(line), *examine(line, index, vocabulary, least)))
             cols = list(zip(*out, strict=True)) or [[]] * 7
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.float64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)]],
@@ -175,21 +208,20 @@ def _examine(index: Index, rare: int, least: float):
     return run
 
 
-def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, rare_words: int = RARE_WORDS,
-                 min_score: float = MIN_SCORE) -> DataFrame:
+def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, min_score: float = MIN_SCORE) -> DataFrame:
     """One row per row: doc_id, n_words, n_base (places of base phrases),
     first_word, last_word (their smallest and largest start, else null),
     base_labels, labels (sorted arrays) and score (1 with a base phrase,
-    else the best aligned share of a template's words that was verified).
+    else the best share of a template's words, in order, that was verified).
 
     Null text counts as empty and has no words; repeated rows are scanned
     alike; empty input gives an empty result; other columns are not read.
     Two passes read the texts: word statistics over all rows, then the
     scan; only counts of template words reach the driver."""
     counts, n = document_frequencies(docs, templates)
-    index = Index(templates, phrases, counts, n)
+    index = Index(templates, phrases, counts, n, min_score)
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text").mapInArrow(
-        _examine(index, rare_words, min_score),
+        _examine(index, min_score),
         f"doc_id {kind}, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
         "base_labels array<string>, labels array<string>, score double")

@@ -1,6 +1,7 @@
 """Secret and license scans against plain Python."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -135,3 +136,37 @@ def test_every_file_format_is_keyed(spark, odd, tmp_path):
         for docs in (read, spark.table("docs_view")):
             keys = [r._row_key for r in keyed(docs).select("_row_key").collect()]
             assert len(set(keys)) == len(keys) == read.count()
+
+
+def test_templates_with_words_added_left_out_and_changed(spark):
+    """Every template with up to a fifth of its words edited, its key phrases kept, deep in other text."""
+    rng, texts, want = random.Random(8), [], []
+    other = "the sea was calm and the work of the group is free to all who came with the boat from the public harbour".split()
+    for label, template, keys in licenses.TEMPLATES:
+        body = template.split()
+        fixed = {i + j for k in (p.split() for p in keys) for i in range(len(body)) if body[i:i + len(k)] == k for j in range(len(k))}
+        for edit in ("none", "add", "drop", "change"):
+            free = [i for i in range(len(body)) if i not in fixed]
+            out = list(body)
+            for i in sorted(rng.sample(free, min(len(free), max(1, len(body) // 6))) if edit != "none" else [], reverse=True):
+                out[i:i + 1] = {"add": ["added", body[i]], "drop": [], "change": ["other"]}[edit]
+            texts.append(" ".join(rng.choices(other, k=300) + out + rng.choices(other, k=300)))
+            want.append(label)
+    texts += [" ".join(rng.choices(other + licenses.TEMPLATES[i][1].split(), k=600)) for i in range(len(licenses.TEMPLATES))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r.labels for r in licenses.license_scan(docs).collect()}
+    missed = [(i, label, got[i]) for i, label in enumerate(want) if label not in got[i]]
+    assert not missed
+    one = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"
+    assert one == licenses.TEMPLATES[0][1] and licenses.aligned(one.split(), ("x " + one.replace("person", "person or group")).split()) == len(one.split())
+
+
+def test_aligned_is_the_longest_common_subsequence():
+    rng = random.Random(2)
+    for _ in range(200):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randrange(1, 14))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        assert licenses.aligned(a, b) == best[-1][-1]
