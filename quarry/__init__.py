@@ -15,7 +15,7 @@ from .functions.text import (  # noqa: E402,F401
     merge_signature, qc_signature, render_chat, strip, token_estimate, train_text,
 )
 from .operators.diffs import diff_lines, patch_examples  # noqa: E402,F401
-from .operators.fim import fim_dedupe, fim_example, fim_spans  # noqa: E402,F401
+from .operators.fim import fim_dedupe, fim_example, fim_spans, fim_unique  # noqa: E402,F401
 from .operators.quality import (  # noqa: E402,F401
     dedupe_first, drop_report, keep_first, license_gate, qc, qc_clean, qc_groups, qc_reasons,
     qc_report, redact,

@@ -108,7 +108,7 @@ def cmd_merge(spark, a):
 
 def cmd_fim(spark, a):
     files = C.read_code(spark, a.repo)
-    spans = FM.fim_dedupe(FM.fim_spans(files, per_file=a.per_file, max_len=a.max_len, seed=a.seed))
+    spans = FM.fim_unique(files, per_file=a.per_file, max_len=a.max_len, seed=a.seed)
     KS.write_chat(FM.fim_example(spans), a.out, mode="overwrite")
 
 

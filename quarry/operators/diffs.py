@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import text as T
+from ..session import materialize
 from .frames import once
 from .ranking import top_n_per_group
 
@@ -250,7 +251,9 @@ def patch_examples(commits: DataFrame, diffs: DataFrame, max_commits: int | None
     c = intentful_commits(small_commits(single_parent(c), max_files, max_lines))
     # only the subject line is used by the template: carry that, not the
     # whole message, so the commit side stays narrow
-    c = c.select("repo", "sha", T.subject("message").alias("subject")).dropDuplicates(["repo", "sha"])
+    # and store it: the planner then knows its bytes and, below its broadcast
+    # threshold, moves no diff text
+    c = materialize(c.select("repo", "sha", T.subject("message").alias("subject")).dropDuplicates(["repo", "sha"]), "gated")
     # a fork holds the same sha: diffs that name their repository meet that
     # one alone, others serve every repository with the commit once
     if "repo" in diffs.columns:

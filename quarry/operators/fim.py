@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.text import lf
 from .frames import once
-from .quality import keep_first
+from ..session import materialize
+from .quality import first_flags, keep_first
 
 TWO52 = float(2 ** 52)
 
@@ -44,17 +45,18 @@ def fim_gates(df: DataFrame, text: str = "text") -> DataFrame:
 # ------------------------------------------------------------------- L6
 def fim_spans(df: DataFrame, path: str = "path", text: str = "text",
               per_file: int = K.DEFAULT_FIM_PER_FILE, max_len: int = K.DEFAULT_FIM_MAX_LEN,
-              seed: int | Column = K.DEFAULT_SEED) -> DataFrame:
+              seed: int | Column = K.DEFAULT_SEED, skip: str | None = None) -> DataFrame:
     """``per_file`` draws per file: a random window of ``max_len`` when the
     file is longer; middle length ``max(80, int(L * U(.2, .4)))``; middle
     start uniform in ``[20, L - mid_len - 20]``; prefix/middle/suffix.
     Draws whose window has no newline or whose middle is too long are
-    skipped.  Returns ``path, sample_no, prefix, middle, suffix``,
-    and ``repo`` where the input has it."""
+    skipped, and so are the draw numbers in the array column ``skip``.
+    Returns ``path, sample_no, prefix, middle, suffix``, and ``repo`` where
+    the input has it."""
     carry = ["repo"] if "repo" in df.columns else []
     seeds = seed if isinstance(seed, Column) else F.lit(seed)
     g = fim_gates(df, text).select(*carry, seeds.cast("string").alias("_seed"), F.col(path).cast("string").alias("path"), "code",
-                                   F.length("code").cast("bigint").alias("_n"))
+                                   *([F.col(skip).alias("_skip")] if skip else []), F.length("code").cast("bigint").alias("_n"))
     n = F.col("_n")
 
     def draw(k):
@@ -65,7 +67,10 @@ def fim_spans(df: DataFrame, path: str = "path", text: str = "text",
 
     # the windows (at most max_len characters each) are cut inside the row,
     # then exploded: a large file is not copied once per draw
-    g = g.select(*carry, "path", F.explode(F.transform(F.sequence(F.lit(0), F.lit(per_file - 1)), draw)).alias("_d"))
+    numbers = F.sequence(F.lit(0), F.lit(per_file - 1))
+    if skip:
+        numbers = F.filter(numbers, lambda k: ~F.coalesce(F.array_contains("_skip", k), F.lit(False)))
+    g = g.select(*carry, "path", F.explode(F.transform(numbers, draw)).alias("_d"))
     g = g.select(*carry, "path", F.col("_d.sample_no").alias("sample_no"), F.col("_d._h1").alias("_h1"),
                  F.md5(F.col("_d._h1")).alias("_h2"), F.col("_d._win").alias("_win"))
     g = g.where(F.instr("_win", "\n") > 0)
@@ -97,6 +102,26 @@ def fim_dedupe(spans: DataFrame, order: Column | None = None) -> DataFrame:
     return keep_first(s, "_h", "_o").drop("_h", "_o")
 
 
+def fim_unique(files: DataFrame, rank: Column | None = None, path: str = "path", **draw) -> DataFrame:
+    """The rows of :func:`fim_dedupe` over :func:`fim_spans` of ``files``, in
+    ``(rank, path, sample_no)`` order, without moving a span.
+
+    Hashes and orders of the spans are compared alone.  The numbers of the
+    repeated draws, one small row per file that has some, then meet the
+    files, which are drawn again without them; the planner knows the size of
+    these rows and moves no file where it can broadcast them."""
+    rank = F.col("repo") if rank is None and "repo" in files.columns else F.lit(0) if rank is None else rank
+    ranked = files.withColumn("_rank", rank)
+    named = ranked.withColumn("repo", F.col("_rank"))  # the rank goes where spans carry a column through
+    spans = fim_spans(named, path, **draw)
+    slim = spans.select(span_hash().alias("_h"), F.struct(F.col("repo").alias("n"), "path", "sample_no").alias("_o"))
+    again = materialize(first_flags(slim, "_h", "_o").where("not _first").groupBy("_ord.n", "_ord.path")
+                        .agg(F.collect_set("_ord.sample_no").alias("_again"))
+                        .select(F.col("n").alias("_again_rank"), F.col("path").alias("_again_path"), "_again"), "again")
+    on = F.col("_rank").eqNullSafe(F.col("_again_rank")) & F.col(path).cast("string").eqNullSafe(F.col("_again_path"))
+    return fim_spans(ranked.join(again, on, "left"), path, skip="_again", **draw)
+
+
 # ------------------------------------------------------------------- P21
 def fim_user(path: Column, prefix: Column, suffix: Column, style: str = "chat") -> Column:
     if style == "markers":

@@ -3,7 +3,7 @@ repositories as one job.
 
 Patch examples of all repositories are written to one output, spans are
 drawn with ``seed``, ``seed + 1``, ... per repository and share one
-de-duplication.  The report counts the written files, so nothing is
+de-duplication, for which no span is moved.  The report counts the written files, so nothing is
 computed twice.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from .diffs import fold_assistant, patch_examples
-from .fim import fim_dedupe, fim_example, fim_spans
+from .fim import fim_example, fim_unique
 
 
 def repo_spans(files: DataFrame, repos: Sequence[str], seed: int = K.DEFAULT_SEED, **draw) -> DataFrame:
@@ -26,8 +26,7 @@ def repo_spans(files: DataFrame, repos: Sequence[str], seed: int = K.DEFAULT_SEE
     path, draw) stays.  Files of other repositories are left out."""
     place = F.array_position(F.array(*[F.lit(r) for r in repos]), F.col("repo"))
     known = files.where(place > 0)
-    spans = fim_spans(known, seed=F.lit(seed) + place.cast("int") - 1, **draw)
-    return fim_dedupe(spans, F.struct(place.alias("n"), F.col("path"), F.col("sample_no")))
+    return fim_unique(known.withColumn("_place", place), F.col("_place"), seed=F.lit(seed) + F.col("_place").cast("int") - 1, **draw)
 
 
 def harvest(commits: DataFrame, diffs: DataFrame, files: DataFrame, repos: Sequence[str], out_sft: str, out_fim: str,

@@ -105,3 +105,30 @@ def test_fim_invariants(spark):
     later = [r.asDict() | {"sample_no": r["sample_no"] + 100} for r in spans[:3]]
     d = FM.fim_dedupe(spark.createDataFrame([r.asDict() for r in spans] + later))
     assert d.count() == len({(r["prefix"], r["middle"], r["suffix"]) for r in spans})
+
+
+def test_spans_are_deduplicated_without_moving_texts(spark):
+    body = "".join(f"line {i} of the file\n" for i in range(40))
+    long = "".join(f"row {i * 7919 % 1000} and {i}\n" for i in range(400))
+    files = spark.createDataFrame(
+        [("b", "p", body), ("a", "p", body), ("a", "p", long), ("a", "p", body), ("a", None, body), ("a", None, body), ("b", "q", long), ("b", "r", None)],
+        "repo string, path string, text string")
+    for rank in (None, F.when(F.col("repo") == "b", 1).otherwise(2)):
+        spans = FM.fim_spans(files.withColumn("repo", F.col("repo")))
+        order = None if rank is None else F.struct(rank.alias("n"), F.col("path"), F.col("sample_no"))
+        want = sorted(map(str, FM.fim_dedupe(spans, order).collect()))
+        got = FM.fim_unique(files, rank)
+        assert sorted(map(str, got.collect())) == want and (len(want) < spans.count() or rank is not None)
+    from quarry.operators import harvest as H
+    plan = H.repo_spans(files, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Broadcast" in plan
+
+
+def test_diffs_stay_where_they_are_read(spark):
+    commits = spark.createDataFrame([("r", str(i), ["p"], "Fix the parser so that it reads all lines", 1, 1) for i in range(50)],
+                                    "repo string, sha string, parents array<string>, message string, n_files int, n_lines int")
+    diffs = spark.range(500).select(F.lit("r").alias("repo"), F.col("id").cast("string").alias("sha"), F.lit(
+        "diff --git a/x.py b/x.py\n--- a/x.py\n+++ b/x.py\n@@ -1 +1 @@\n-a\n+b\n").alias("diff"))
+    got = DF.patch_examples(commits, diffs)
+    assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 50
