@@ -1,30 +1,35 @@
 """Lexical retrieval packing of documents into token windows.
 
-Documents of a task are taken in shards of bounded size.  A shard has a
-BM25 inverted index; the first unused document opens a window, the index
-returns its best unused neighbours, and these fill the window greedily.
-What crosses the window's end is cut and its rest opens the next window.
+Documents that share their weightiest word, by BM25, are brought to one
+index of bounded size; the first unused document opens a
+window, the index scores all its unused documents by all words they share
+with the seed, and the best fill the window greedily.  What crosses the
+window's end is cut and its rest opens the next window.
 """
 
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import give_back_memory
+from .common import give_back_memory, partitions
 
 WINDOW = 2048
 END_ID = 1
 #: A shard closes at so many bytes of text or documents.
 SHARD_BYTES, SHARD_DOCS = 8 << 20, 4096
-#: Rarest words of the seed that are looked up.
-QUERY_WORDS = 16
+#: Bytes of text that one packing task should get at most.
+TASK_BYTES = 256 << 20
 K1, B = 1.2, 0.75
+#: A term of one in so many documents of a shard has its weights as a dense row.
+OFTEN = 8
 PIECES = "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 #: Letter runs that are encoded as one line.
 LINE_WORDS = 16384
@@ -41,6 +46,22 @@ def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A 32-bit hash of every word's bytes."""
+    data = words.cast(pa.large_binary())
+    if not len(data):
+        return np.zeros(0, np.uint32)
+    ends = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
+    sizes = np.diff(ends)
+    at = np.arange(ends[-1] - ends[0]) - np.repeat(ends[:-1] - ends[0], sizes)
+    held = np.frombuffer(data.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]].astype(np.uint64) + np.uint64(1)
+    powers = np.cumprod(np.full(int(sizes.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
+    sums = np.append(np.uint64(0), np.cumsum(held * powers[at]))  # modulo 2^64, as its differences
+    out = sums[ends[1:] - ends[0]] - sums[ends[:-1] - ends[0]]
+    out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (out >> np.uint64(32)).astype(np.uint32)
+
+
 class Words:
     """Token ids and term numbers of texts by their white-space words.
 
@@ -56,6 +77,8 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
+        #: Type of shuffled ids.
+        self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
@@ -77,8 +100,9 @@ class Words:
         return tuple(np.concatenate([g[j] for g in got]) for j in (0, 1)) if got else self._each(stems)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(ids of all texts, end of each text's ids, term number of every
-        word, end of each text's words); null texts have none."""
+        """(ids of all texts, end of each text's ids, term of every word, end
+        of each text's words); null texts have none.  A term is a hash of the
+        word, without marks behind letters, that is the same everywhere."""
         lines = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
         coded = lines.flatten().dictionary_encode()
         words, at = coded.dictionary, coded.indices.to_numpy()
@@ -105,48 +129,123 @@ class Words:
         cut = lines.offsets.to_numpy()[1:] - lines.offsets[0].as_py()
         real = (pc.binary_length(words).to_numpy() > 0)[at]  # splitting leaves empty words at a text's ends
         ids_end = np.append(0, np.cumsum(size.sum(axis=1)))[cut]
-        return ids, ids_end, run[real, 0], np.append(0, np.cumsum(real))[cut]
+        term = np.empty(len(words), np.uint32)
+        term[plain], term[~plain] = _hashes(stems.dictionary)[stems.indices.to_numpy()], _hashes(odd)
+        return ids, ids_end, term[at][real], np.append(0, np.cumsum(real))[cut]
+
+
+def _weights(number: np.ndarray, tf: np.ndarray, sizes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(documents of each term, BM25 weight of each pair of a term and a
+    document) over the documents of ``sizes`` words."""
+    n, df = len(sizes), np.bincount(number) if len(number) else np.zeros(0, np.int64)
+    norm = K1 * (1 - B + B * sizes / max(1.0, sizes.mean() if n else 0.0))
+    return df, np.log1p((n - df + 0.5) / (df + 0.5))[number] * tf * (K1 + 1) / (tf + norm[doc])
+
+
+def _numbered(term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of every term, their places by number, then as they stand)."""
+    by_term = np.argsort(term, kind="stable")
+    ordered = term[by_term]
+    number = np.empty(len(term), np.int64)
+    number[by_term] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1])[:len(term)])
+    return number, by_term
+
+
+class Encoded:
+    """Tokens, words and distinct terms, with their counts, of texts."""
+
+    def __init__(self, texts: pa.Array, words: Words):
+        ids, ids_end, term, words_end = words.encode(texts)
+        ids = ids.astype(words.kind)
+        self.tokens = [ids[a:z] for a, z in zip([0, *ids_end.tolist()], ids_end.tolist())]
+        self.sizes = np.diff(words_end, prepend=0).astype(np.int64)
+        self.bytes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64()).to_numpy()
+        n = len(texts)
+        doc = np.repeat(np.arange(n, dtype=np.uint64), self.sizes)
+        pair, self.tf = np.unique(doc << np.uint64(32) | term, return_counts=True)  # by document, then term
+        self.doc, self.term = (pair >> np.uint64(32)).astype(np.int64), pair.astype(np.uint32)
+        self.cut = np.append(0, np.cumsum(np.bincount(self.doc, minlength=n)))
+
+    def routes(self, ids: list, total: int, shard_docs: int) -> np.ndarray:
+        """One number per document: its weightiest term that others hold too,
+        zero without one, by the statistics of these documents.  A term that
+        more of all ``total`` documents seem to hold than a shard takes is
+        split by doc_id, so no task gets all of a hot one."""
+        route, held = np.zeros(len(ids), np.int64), np.full(len(ids), len(ids))
+        number, _ = _numbered(self.term)
+        df, weight = _weights(number, self.tf, self.sizes, self.doc)
+        weight[df[number] < 2] = 0
+        some = np.flatnonzero(np.diff(self.cut))
+        if len(some):
+            top = np.zeros(len(ids))
+            top[some] = np.maximum.reduceat(weight, self.cut[some])
+            best = np.flatnonzero((weight == top[self.doc]) & (weight > 0))[::-1]  # the smallest term comes last and stays
+            route[self.doc[best]], held[self.doc[best]] = self.term[best], df[number[best]]
+        parts = held * total // max(1, len(ids)) // shard_docs + 1
+        salt = [zlib.crc32(str(i).encode()) % p for i, p in zip(ids, parts.tolist(), strict=True)]
+        return (route << 31) + np.array(salt, np.int64)
 
 
 class Shard:
-    """Documents with a BM25 inverted index over their words."""
+    """Documents with a BM25 inverted index over all their words."""
 
     def __init__(self, doc_ids: list, texts: pa.Array, words: Words):
+        e = Encoded(texts, words)
+        self._index(doc_ids, e.tokens, e.sizes, e.doc, e.term, e.tf)
+
+    @classmethod
+    def of(cls, rows: pa.Table, kind: str) -> Shard:
+        """The shard of encoded rows, whose tokens are of ``kind``."""
+        def numbers(name, kind):
+            return [np.frombuffer(x, kind) for x in rows.column(name).to_pylist()]
+        terms = numbers("terms", "<u4")
+        doc = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+        out = cls.__new__(cls)
+        out._index(rows.column("doc_id").to_pylist(), numbers("ids", kind), rows.column("size").to_numpy(), doc,
+                   np.concatenate(terms), np.concatenate(numbers("counts", "<u4")))
+        return out
+
+    def _index(self, doc_ids: list, tokens: list, sizes: np.ndarray, doc: np.ndarray, term: np.ndarray, tf: np.ndarray) -> None:
         n = len(doc_ids)
-        ids, ids_end, term, words_end = words.encode(texts)
         end = np.array([END_ID], "<u4").tobytes()
-        self.ids = doc_ids
-        self.tokens = [ids[a:z].astype("<u4", copy=False).tobytes() + end for a, z in zip([0, *ids_end.tolist()], ids_end.tolist())]
-        sizes = np.diff(words_end, prepend=0).astype(np.int64)
-        doc = np.repeat(np.arange(n), sizes)
-        pair, tf = np.unique(term.astype(np.int64) * max(1, n) + doc, return_counts=True)  # by term, then document
-        term, self.doc = np.divmod(pair, max(1, n))
-        _, self.term = np.unique(term, return_inverse=True)
-        df = np.bincount(self.term) if len(pair) else np.zeros(0, np.int64)
-        self.first = np.append(0, np.cumsum(df))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * sizes / max(1.0, sizes.mean() if n else 0.0))
-        self.weight = idf[self.term] * tf * (K1 + 1) / (tf + norm[self.doc])
-        self.df = df
-        by_doc = np.argsort(self.doc.astype(np.uint16 if n < 1 << 16 else np.int64), kind="stable")
-        cut = np.append(0, np.cumsum(np.bincount(self.doc, minlength=n)))
-        terms = self.term[by_doc]
-        self.terms_of = [terms[a:z] for a, z in zip(cut[:-1].tolist(), cut[1:].tolist())]
+        self.ids, self.tokens = doc_ids, [t.astype("<u4").tobytes() + end for t in tokens]
+        number, by_term = _numbered(term)
+        self.df, weight = _weights(number, tf, sizes, doc)
+        cut = np.append(0, np.cumsum(np.bincount(doc, minlength=n)))
+        self.terms_of = [number[a:z] for a, z in zip(cut[:-1].tolist(), cut[1:].tolist())]
+        self.doc, self.weight = doc[by_term], weight[by_term]
+        self.first = np.append(0, np.cumsum(self.df))
+        # terms of many documents have a row of weights each
+        often = np.flatnonzero(self.df * OFTEN >= n)
+        self.row = np.full(len(self.df), -1)
+        self.row[often] = np.arange(len(often))
+        self.rows = np.zeros((len(often), n))
+        for i, t in enumerate(often.tolist()):
+            at = slice(self.first[t], self.first[t + 1])
+            self.rows[i, self.doc[at]] = self.weight[at]
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
-        """Unused documents that share a rare word with the seed, best score
-        first, then in order."""
+        """Unused documents that share a word with the seed, best score over
+        all shared words first, then in order."""
         terms = self.terms_of[seed]
-        terms = terms[self.df[terms] > 1]
-        if len(terms) > QUERY_WORDS:
-            terms = terms[np.argsort(self.df[terms], kind="stable")[:QUERY_WORDS]]
-        if not len(terms):
-            return iter(())
-        at = np.concatenate([np.arange(self.first[t], self.first[t + 1]) for t in terms])
-        at = at[unused[self.doc[at]]]
-        docs, place = np.unique(self.doc[at], return_inverse=True)
-        scores = np.bincount(place, self.weight[at])
-        return iter(docs[np.argsort(-scores, kind="stable")].tolist())
+        row = self.row[terms]
+        terms = terms[(row < 0) & (self.df[terms] > 1)]
+        scores = self.rows[row[row >= 0]].sum(axis=0)
+        if len(terms):
+            at = _runs(self.first[terms], self.df[terms])
+            scores += np.bincount(self.doc[at], self.weight[at], minlength=len(unused))
+        return _best_first(scores * unused)
+
+
+def _best_first(scores: np.ndarray) -> Iterator[int]:
+    """Places of positive scores, largest first, then in order; sorted piece
+    by piece, as most windows are full after a few."""
+    at, block = np.flatnonzero(scores > 0), 32
+    while len(at):
+        s = scores[at]
+        top = s >= (np.partition(s, -block)[-block] if len(s) > block else 0)
+        yield from at[top][np.argsort(-s[top], kind="stable")].tolist()
+        at, block = at[~top], block * 8
 
 
 class Packer:
@@ -208,12 +307,46 @@ class Packer:
             self.open, self.fill = rest, left
 
 
-def _batches(path: str, window: int, shard_bytes: int, shard_docs: int):
+def _encoded(path: str, total: int, routed: bool, shard_bytes: int, shard_docs: int):
+    """mapInArrow function: tokens, terms and route of every row."""
+    def run(batches):
+        words = Words(path)
+        kind, ids, texts, held = pa.null(), [], [], 0
+
+        def out():
+            e = Encoded(pa.concat_arrays(texts), words)
+            route = e.routes(ids, total, shard_docs) if routed else np.zeros(len(ids), np.int64)
+            cut, tf = e.cut.tolist(), e.tf.astype("<u4")
+            for i in range(0, len(ids), 256):
+                z = min(i + 256, len(ids))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(ids[i:z], kind), pa.array(route[i:z]), pa.array(e.sizes[i:z]), pa.array(e.bytes[i:z]), pa.array([t.tobytes() for t in e.tokens[i:z]], pa.binary()),
+                    *(pa.array([x[a:b].tobytes() for a, b in zip(cut[i:z], cut[i + 1:z + 1])], pa.binary()) for x in (e.term, tf))],
+                    names=["doc_id", "route", "size", "bytes", "ids", "terms", "counts"])
+
+        for b in batches:
+            kind = b.schema.field("doc_id").type
+            for i in range(0, b.num_rows, 64):
+                part = b.slice(i, 64)
+                ids += part.column("doc_id").to_pylist()
+                texts.append(part.column("text"))
+                held += part.column("text").nbytes
+                if held >= shard_bytes or len(ids) >= shard_docs:
+                    yield from out()
+                    ids, texts, held = [], [], 0
+        if ids:
+            yield from out()
+        give_back_memory()
+    return run
+
+
+def _packed(tokens: str, window: int, shard_bytes: int, shard_docs: int):
+    """mapInArrow function over encoded rows in the order of their routes."""
     def run(batches):
         from pyspark import TaskContext
 
-        words, packer = Words(path), Packer(TaskContext.get().partitionId(), window)
-        kind, ids, texts, held = pa.null(), [], [], 0
+        packer = Packer(TaskContext.get().partitionId(), window)
+        kind, parts, docs, held = pa.null(), [], 0, 0
 
         def out():
             cols = list(zip(*packer.rows, strict=True))
@@ -227,15 +360,14 @@ def _batches(path: str, window: int, shard_bytes: int, shard_docs: int):
             kind = b.schema.field("doc_id").type
             for i in range(0, b.num_rows, 64):
                 part = b.slice(i, 64)
-                ids += part.column("doc_id").to_pylist()
-                texts.append(part.column("text"))
-                held += part.column("text").nbytes
-                if held >= shard_bytes or len(ids) >= shard_docs:
-                    packer.pack(Shard(ids, pa.concat_arrays(texts), words))
-                    ids, texts, held = [], [], 0
+                parts.append(part)
+                docs, held = docs + part.num_rows, held + pc.sum(part.column("bytes")).as_py()
+                if held >= shard_bytes or docs >= shard_docs:
+                    packer.pack(Shard.of(pa.Table.from_batches(parts), tokens))
+                    parts, docs, held = [], 0, 0
                     yield from out()
-        if ids:
-            packer.pack(Shard(ids, pa.concat_arrays(texts), words))
+        if parts:
+            packer.pack(Shard.of(pa.Table.from_batches(parts), tokens))
         packer.finish()
         yield from out()
         give_back_memory()
@@ -249,11 +381,21 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard_bytes: int
     ``doc_tokens`` counts the document's with the end id.  ``tokenizer`` is
     the path of a word-BPE file that never joins across white space.
 
-    Each task packs the rows it reads; nothing is shuffled, so a hot source
-    or group of copies spreads as its files do.  Every window holds
-    ``window`` ids but a task's last ones, which are cut at powers of two.
-    Null and empty texts are the end id alone; repeated rows are packed each
-    for itself; a null doc_id passes through; empty input gives an empty
-    result; other columns are not read."""
+    What fits one shard is packed by one index over everything.  Otherwise
+    each document is encoded once and shuffled by its weightiest word, and
+    each task packs its rows in the order of these words, shard by shard, so
+    related texts of different files meet.  A word of more documents than a
+    shard takes is split by doc_id.  Every window holds ``window`` ids
+    but a task's last ones, which are cut at powers of two.  Null and empty
+    texts are the end id alone; repeated rows are packed each for itself; a
+    null doc_id passes through; empty input gives an empty result; other
+    columns are not read.  ``docs`` is read twice and should be stored."""
+    rows = docs.select("doc_id", "text")
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    shards = max(-(-n // shard_docs), -(-size // shard_bytes), 1)
+    tasks = min(shards, max(partitions(docs), size // TASK_BYTES))
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(_batches(tokenizer, window, shard_bytes, shard_docs), f"doc_id {kind}, {PIECES}")
+    encoded = rows.mapInArrow(_encoded(tokenizer, n, shards > 1, shard_bytes, shard_docs),
+                              f"doc_id {kind}, route bigint, size bigint, bytes bigint, ids binary, terms binary, counts binary")
+    placed = encoded.repartition(tasks, "route").sortWithinPartitions("route", "doc_id", "ids")
+    return placed.mapInArrow(_packed(Words(tokenizer).kind, window, shard_bytes, shard_docs), f"doc_id {kind}, {PIECES}")

@@ -115,3 +115,59 @@ def test_sharding_odd_tables(spark, odd, empty, clashing):
         assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
     assert {r.size for r in got if r.doc_id in (3, 4)} == {1} and {r.text_crc32 for r in got if r.doc_id in (3, 4)} == {0}
     assert sharding.shard_rows(keyed(empty)).count() == 0
+
+
+def test_neighbours_score_all_shared_words():
+    rare = [f"left{i}" for i in range(40)]
+    # the seed's 20 rarest words are held by the last two alone; the second shares only commoner ones
+    texts = [" ".join([*rare, "common topic shared words"]), "common topic shared words", "none of them", " ".join(rare[:20]), " ".join(rare[:20])]
+    shard = packing.Shard(list(range(5)), pa.array(texts), packing.Words(TOKENIZER))
+    assert list(shard.neighbours(0, np.arange(5) != 0)) == [3, 4, 1]
+
+
+def test_order_is_that_of_plain_bm25(corpus):
+    texts = [t or "" for t in list(corpus.values())[:200]]
+    shard = packing.Shard(list(range(200)), pa.array(texts), packing.Words(TOKENIZER))
+    _, _, term, end = packing.Words(TOKENIZER).encode(pa.array(texts))
+    held = [term[a:z].tolist() for a, z in zip([0, *end], end, strict=False)]
+    mean = sum(map(len, held)) / 200
+    df = defaultdict(int)
+    for h in held:
+        for t in set(h):
+            df[t] += 1
+    for seed in (0, 7, 150):
+        scores = np.zeros(200)
+        for d, h in enumerate(held):
+            for t in set(held[seed]) & set(h):
+                tf, idf = h.count(t), np.log1p((200 - df[t] + 0.5) / (df[t] + 0.5))
+                scores[d] += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(h) / mean))
+        got = list(shard.neighbours(seed, np.arange(200) != seed))
+        scores[seed] = 0
+        assert len(got) == (scores > 0).sum() and (np.diff(scores[got]) < 1e-9).all()
+
+
+def test_windows_do_not_depend_on_the_files(spark):
+    """Texts of 64 subjects, dealt so that files and shards split each."""
+    rows = [(i, " ".join([f"subject{'abcdefgh'[i % 8]}{'abcdefgh'[i // 8 % 8]}"] * 6 + ["the usual words", f"own{i}"])) for i in range(1024)]
+    mates = []
+    for order, parts in ((rows, 1), (rows[::-1], 7)):
+        got = packing.pack(spark.createDataFrame(order, "doc_id bigint, text string").coalesce(parts), TOKENIZER, window=512, shard_docs=128).collect()
+        assert sum(r.length for r in got) == sum(len(ids(t)) // 4 for _, t in rows) and windows(got, 512) == 0
+        seq = defaultdict(set)
+        for r in got:
+            seq[r.sequence_id].add(r.doc_id)
+        pairs = {(a, b) for s in seq.values() for a in s for b in s if a < b}
+        mates.append(pairs)
+        alike = sum((a - b) % 64 == 0 for a, b in pairs)
+        assert alike > 0.5 * len(pairs)  # file order alone brings none together
+    assert len(mates[0] & mates[1]) > 0.9 * len(mates[0] | mates[1])
+
+
+def test_a_hot_word_is_split_over_tasks(spark):
+    rows = [(i, "one text of many copies") for i in range(2000)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string"), TOKENIZER, window=64, shard_docs=100).collect()
+    assert sum(r.length for r in got) == 2000 * len(ids(rows[0][1])) // 4 and windows(got, 64) == 0
+    tasks = defaultdict(int)
+    for r in got:
+        tasks[r.sequence_id >> 32] += 1
+    assert len(tasks) > 1 and max(tasks.values()) < 0.8 * len(got)
