@@ -10,8 +10,10 @@ window's end is cut and its rest opens the next window.
 from __future__ import annotations
 
 import os
+import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ OFTEN = 8
 PIECES = "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 #: Letter runs that are encoded as one line.
 LINE_WORDS = 16384
+#: Words of letters after which a worker's vocabulary learns no more (the rest is encoded as met).
+KNOWN_WORDS = 1 << 19
 #: A word of letters with ASCII marks behind it, which the tokenizer splits between the two.  (U+0130 is the
 #: one letter that does not stay a letter in lower case.)
 _PLAIN = r"^(?P<stem>[^\P{L}\x{130}]+)(?P<tail>[.,;:!?#*$%&|()\[\]{}\-_/+=~^@\\]*)$"
@@ -40,24 +44,37 @@ _PLAIN = r"^(?P<stem>[^\P{L}\x{130}]+)(?P<tail>[.,;:!?#*$%&|()\[\]{}\-_/+=~^@\\]
 
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places start, start + 1, ... of every run, one after another."""
-    ends = np.cumsum(sizes, dtype=np.int32)
-    out = np.repeat((starts - ends + sizes).astype(np.int32), sizes)
-    out += np.arange(len(out), dtype=np.int32)
+    out = np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+    out += np.arange(len(out))
     return out
 
 
+def _bytes_of(data: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all large_binary values, one after another, where each
+    begins and the last ends)."""
+    if not len(data):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    ends = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
+    return np.frombuffer(data.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]], ends - ends[0]
+
+
+def _blobs(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The ids of each word, ``sizes`` many, as bytes."""
+    ends = np.append(0, np.cumsum(4 * sizes)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(ids.astype(np.uint32, copy=False))])
+
+
 def _hashes(words: pa.Array) -> np.ndarray:
     """A 32-bit hash of every word's bytes."""
-    data = words.cast(pa.large_binary())
-    if not len(data):
+    if not len(words):
         return np.zeros(0, np.uint32)
-    ends = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
+    data, ends = _bytes_of(words.cast(pa.large_binary()))
     sizes = np.diff(ends)
-    at = np.arange(ends[-1] - ends[0]) - np.repeat(ends[:-1] - ends[0], sizes)
-    held = np.frombuffer(data.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]].astype(np.uint64) + np.uint64(1)
+    at = np.arange(ends[-1]) - np.repeat(ends[:-1], sizes)
+    held = data.astype(np.uint64) + np.uint64(1)
     powers = np.cumprod(np.full(int(sizes.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
     sums = np.append(np.uint64(0), np.cumsum(held * powers[at]))  # modulo 2^64, as its differences
-    out = sums[ends[1:] - ends[0]] - sums[ends[:-1] - ends[0]]
+    out = sums[ends[1:]] - sums[ends[:-1]]
     out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return (out >> np.uint64(32)).astype(np.uint32)
 
@@ -74,31 +91,56 @@ class Words:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        self.tokenizer = tokenizer = Tokenizer.from_file(path)
+        #: The same model without normalizer and pattern, if they leave a run of a to z as it is.
+        self.ascii, run = tokenizer, "zyxwvutsrqponmlkjihgfedcba"
+        norm, cut = tokenizer.normalizer, tokenizer.pre_tokenizer
+        if cut and [w for w, _ in cut.pre_tokenize_str(norm.normalize_str(run) if norm else run)] == [run]:
+            self.ascii = Tokenizer(tokenizer.model)
+            self.ascii.pre_tokenizer = WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
         #: Type of shuffled ids.
         self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        #: Words of letters met so far, and their ids.
+        self.known, self.known_ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
 
     def _each(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each)."""
         got = [e.ids for e in self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
         return np.array([i for ids in got for i in ids], np.uint32), np.array([len(ids) for ids in got], np.int64)
 
-    def _letters(self, stems: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _letters(self, stems: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
         """The same for words of letters alone, many encoded as one line."""
         got = []
         for i in range(0, len(stems), LINE_WORDS):
             part = stems.slice(i, LINE_WORDS)
             line = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part), " ")[0].as_py()
-            ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
+            ids = np.array(tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
             stops = np.flatnonzero(self.ends[ids]) + 1
             whole = len(stops) == len(part) and stops[-1] == len(ids)
             got.append((ids, np.diff(stops, prepend=0)) if whole else self._each(part))
         return tuple(np.concatenate([g[j] for g in got]) for j in (0, 1)) if got else self._each(stems)
 
+    def _stems(self, stems: pa.Array) -> pa.Array:
+        """Ids of words of letters alone, those met before from the vocabulary."""
+        stems = stems.cast(pa.string())
+        places = pc.index_in(stems, self.known).fill_null(-1).to_numpy().copy()
+        new = np.flatnonzero(places < 0)
+        ascii = pc.string_is_ascii(stems.take(pa.array(new))).to_numpy(zero_copy_only=False)
+        pool, known = [self.known_ids], [self.known]
+        for at, tokenizer in ((new[ascii], self.ascii), (new[~ascii], self.tokenizer)):
+            places[at] = np.arange(len(at)) + sum(map(len, pool))
+            known.append(stems.take(pa.array(at)))
+            pool.append(_blobs(*self._letters(known[-1], tokenizer)))
+        ids = pa.concat_arrays(pool)
+        if len(self.known) < KNOWN_WORDS:
+            self.known, self.known_ids = pa.concat_arrays(known), ids
+        return ids.take(pa.array(places))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts, end of each text's ids, term of every word, end
         of each text's words); null texts have none.  A term is a hash of the
@@ -111,27 +153,24 @@ class Words:
         stems = pc.struct_field(parts, "stem").drop_null().dictionary_encode()
         tails = pc.struct_field(parts, "tail").drop_null().dictionary_encode()
         odd = words.filter(pa.array(~plain))
-        blobs = [self._letters(stems.dictionary), self._each(tails.dictionary), self._each(odd)]
-        pool = np.concatenate([ids for ids, _ in blobs])
-        sizes = np.concatenate([n for _, n in blobs]).astype(np.int32)
-        starts = np.cumsum(sizes, dtype=np.int32) - sizes
-        # one more run, of no ids, for words without a second one
-        sizes, starts = np.append(sizes, np.int32(0)), np.append(starts, np.int32(0))
-        # every distinct word is one or two runs of the pool: its stem and its tail, or itself
-        first, second = np.zeros(len(words), np.int32), np.full(len(words), len(sizes) - 1, np.int32)
-        n_stems, n_tails = len(stems.dictionary), len(tails.dictionary)
-        first[plain] = stems.indices.to_numpy()
-        second[plain] = tails.indices.to_numpy() + n_stems
-        first[~plain] = np.arange(len(odd)) + n_stems + n_tails
-        run = np.stack([first, second], axis=1)[at]
-        size = sizes[run]
-        ids = pool[_runs(starts[run].ravel(), size.ravel())]
+        # every distinct word is a stem and a tail, or itself
+        place = np.empty(len(words), np.int64)
+        place[plain], place[~plain] = np.arange(len(stems)), np.arange(len(stems), len(words))
+        both = pc.binary_join_element_wise(self._stems(stems.dictionary).take(stems.indices), _blobs(*self._each(tails.dictionary)).take(tails.indices),
+                                           pa.scalar(b"", pa.large_binary()))
+        blobs = pa.concat_arrays([both, _blobs(*self._each(odd))]).take(pa.array(place))
+        ids, ends = _bytes_of(blobs.take(coded.indices))
         cut = lines.offsets.to_numpy()[1:] - lines.offsets[0].as_py()
         real = (pc.binary_length(words).to_numpy() > 0)[at]  # splitting leaves empty words at a text's ends
-        ids_end = np.append(0, np.cumsum(size.sum(axis=1)))[cut]
         term = np.empty(len(words), np.uint32)
         term[plain], term[~plain] = _hashes(stems.dictionary)[stems.indices.to_numpy()], _hashes(odd)
-        return ids, ids_end, term[at][real], np.append(0, np.cumsum(real))[cut]
+        return ids.view(np.uint32), ends[cut] // 4, term[at][real], np.append(0, np.cumsum(real))[cut]
+
+
+@lru_cache(maxsize=1)
+def _words(path: str, run: str) -> Words:
+    """The words of one run of :func:`pack`, for all its tasks in a worker."""
+    return Words(path)
 
 
 def _weights(number: np.ndarray, tf: np.ndarray, sizes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -213,8 +252,11 @@ class Shard:
         self.df, weight = _weights(number, tf, sizes, doc)
         cut = np.append(0, np.cumsum(np.bincount(doc, minlength=n)))
         self.terms_of = [number[a:z] for a, z in zip(cut[:-1].tolist(), cut[1:].tolist())]
-        self.doc, self.weight = doc[by_term], weight[by_term]
+        #: Documents that are held, and each term's places among them with their weights.
+        self.held = np.arange(n)
+        self.doc, self.weight = doc[by_term].astype(np.int32), weight[by_term]
         self.first = np.append(0, np.cumsum(self.df))
+        self.size = np.where(self.df > 1, self.df, 0)  # one document's own terms find no other
         # terms of many documents have a row of weights each
         often = np.flatnonzero(self.df * OFTEN >= n)
         self.row = np.full(len(self.df), -1)
@@ -224,27 +266,41 @@ class Shard:
             at = slice(self.first[t], self.first[t + 1])
             self.rows[i, self.doc[at]] = self.weight[at]
 
+    def forget(self, unused: np.ndarray) -> None:
+        """Let go of used documents, which no seed finds again, once they are
+        a quarter of those held; all statistics and scores stay."""
+        keep = unused[self.held]
+        if 4 * np.count_nonzero(keep) >= 3 * len(keep):
+            return
+        pairs = keep[self.doc]
+        ends = np.append(0, np.cumsum(pairs))
+        self.doc, self.weight = (np.cumsum(keep, dtype=np.int32) - 1)[self.doc[pairs]], self.weight[pairs]
+        self.first = ends[self.first]
+        self.size = np.where(self.df > 1, np.diff(self.first), 0)
+        self.rows = np.take(self.rows, np.flatnonzero(keep), axis=1)
+        self.held = self.held[keep]
+
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share a word with the seed, best score over
         all shared words first, then in order."""
         terms = self.terms_of[seed]
         row = self.row[terms]
-        terms = terms[(row < 0) & (self.df[terms] > 1)]
-        scores = self.rows[row[row >= 0]].sum(axis=0)
+        terms = terms[(row < 0) & (self.size[terms] > 0)]
+        scores = self.rows.take(row[row >= 0], axis=0).sum(axis=0)
         if len(terms):
-            at = _runs(self.first[terms], self.df[terms])
-            scores += np.bincount(self.doc[at], self.weight[at], minlength=len(unused))
-        return _best_first(scores * unused)
+            at = _runs(self.first[terms], self.size[terms])
+            scores += np.bincount(self.doc.take(at), self.weight.take(at), minlength=len(self.held))
+        return _best_first(scores * unused[self.held], self.held)
 
 
-def _best_first(scores: np.ndarray) -> Iterator[int]:
-    """Places of positive scores, largest first, then in order; sorted piece
-    by piece, as most windows are full after a few."""
+def _best_first(scores: np.ndarray, held: np.ndarray) -> Iterator[int]:
+    """The ``held`` of positive scores, largest first, then in order; sorted
+    piece by piece, as most windows are full after a few."""
     at, block = np.flatnonzero(scores > 0), 32
     while len(at):
         s = scores[at]
         top = s >= (np.partition(s, -block)[-block] if len(s) > block else 0)
-        yield from at[top][np.argsort(-s[top], kind="stable")].tolist()
+        yield from held[at[top][np.argsort(-s[top], kind="stable")]].tolist()
         at, block = at[~top], block * 8
 
 
@@ -287,6 +343,7 @@ class Packer:
             while at < length:
                 at = self.put(shard.ids[doc], shard.tokens[doc], at)
             if queue is None or self.sequence != window:  # a seed, or the rest of a cut document: look up its neighbours
+                shard.forget(unused)
                 queue = shard.neighbours(doc, unused)
 
     def finish(self) -> None:
@@ -307,10 +364,10 @@ class Packer:
             self.open, self.fill = rest, left
 
 
-def _encoded(path: str, total: int, routed: bool, shard_bytes: int, shard_docs: int):
+def _encoded(path: str, run_id: str, total: int, routed: bool, shard_bytes: int, shard_docs: int):
     """mapInArrow function: tokens, terms and route of every row."""
     def run(batches):
-        words = Words(path)
+        words = _words(path, run_id)
         kind, ids, texts, held = pa.null(), [], [], 0
 
         def out():
@@ -395,7 +452,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard_bytes: int
     shards = max(-(-n // shard_docs), -(-size // shard_bytes), 1)
     tasks = min(shards, max(partitions(docs), size // TASK_BYTES))
     kind = dict(docs.dtypes)["doc_id"]
-    encoded = rows.mapInArrow(_encoded(tokenizer, n, shards > 1, shard_bytes, shard_docs),
+    encoded = rows.mapInArrow(_encoded(tokenizer, uuid.uuid4().hex, n, shards > 1, shard_bytes, shard_docs),
                               f"doc_id {kind}, route bigint, size bigint, bytes bigint, ids binary, terms binary, counts binary")
     placed = encoded.repartition(tasks, "route").sortWithinPartitions("route", "doc_id", "ids")
     return placed.mapInArrow(_packed(Words(tokenizer).kind, window, shard_bytes, shard_docs), f"doc_id {kind}, {PIECES}")

@@ -171,3 +171,36 @@ def test_a_hot_word_is_split_over_tasks(spark):
     for r in got:
         tasks[r.sequence_id >> 32] += 1
     assert len(tasks) > 1 and max(tasks.values()) < 0.8 * len(got)
+
+
+def test_known_words_are_not_encoded_again(monkeypatch):
+    words, asked = packing.Words(TOKENIZER), []
+    monkeypatch.setattr(words, "_letters", lambda stems, by, f=words._letters: asked.extend(stems.to_pylist()) or f(stems, by))
+    for texts, new in ((["zebra quagga, okapi", "1st"], ["zebra", "quagga", "okapi"]), (["okapi. zebra! été", None], ["été"]), (["quagga-"], []), ([""], [])):
+        got, end, _, _ = words.encode(pa.array(texts, pa.string()))
+        assert [got[a:z].tobytes() for a, z in zip([0, *end], end, strict=False)] == [ids(t)[:-4] for t in texts]
+        assert asked == new
+        asked.clear()
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 0)  # a full vocabulary: what is not in it is encoded as met
+    for _ in range(2):
+        got, _, _, _ = words.encode(pa.array(["dugong zebra dägong manatee"]))
+        assert got.tobytes() == ids("dugong zebra dägong manatee")[:-4] and asked == ["dugong", "manatee", "dägong"]
+        asked.clear()
+
+
+def test_tasks_of_one_run_share_their_vocabulary():
+    assert packing._words(TOKENIZER, "a") is packing._words(TOKENIZER, "a")
+    assert packing._words(TOKENIZER, "b").known.to_pylist() == []
+
+
+def test_used_documents_leave_the_index(corpus):
+    texts = pa.array([t or "" for t in list(corpus.values())[:200]])
+    whole, less = (packing.Shard(list(range(200)), texts, packing.Words(TOKENIZER)) for _ in range(2))
+    order, unused = np.random.default_rng(0).permutation(200), np.ones(200, bool)
+    pairs = []
+    for seed in order.tolist():
+        unused[seed] = False
+        less.forget(unused)
+        pairs.append(len(less.doc))
+        assert list(less.neighbours(seed, unused)) == list(whole.neighbours(seed, unused))
+    assert pairs[-1] < pairs[100] < pairs[0] == len(whole.doc)
